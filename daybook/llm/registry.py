@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import shards, topk, url_filter
+from . import shards, simhash, topk, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (url_filter.op4_url_filter, shards.op6_shards, topk.op8_topk)
+    found = (simhash.op3_simhash, url_filter.op4_url_filter, shards.op6_shards, topk.op8_topk)
     return {f.__name__: f for f in found}
 
 
