@@ -86,7 +86,7 @@ def spanning_links(fps, radius: int) -> list[tuple[int, int]]:
     turns = order[:1]
     while len(turns):
         for i in turns:
-            if len(turns) > 1 and size[label[i]] == size.max():
+            if len(turns) > 1 and label[i] == size.argmax():
                 continue
             done[i] = True
             near = np.nonzero(np.bitwise_count(fps ^ fps[i]) <= radius)[0]
