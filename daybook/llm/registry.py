@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, packing, quality, shards, simhash, topk, url_filter
+from . import language, packing, quality, shards, simhash, topk, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (packing.op2_packing, simhash.op3_simhash, url_filter.op4_url_filter, quality.op5_quality, shards.op6_shards, topk.op8_topk, language.op10_language)
+    found = (toxicity.op1_toxicity, packing.op2_packing, simhash.op3_simhash, url_filter.op4_url_filter, quality.op5_quality, shards.op6_shards, topk.op8_topk, language.op10_language)
     return {f.__name__: f for f in found}
 
 
