@@ -92,7 +92,7 @@ def spanning_links(fps, radius: int) -> list[tuple[int, int]]:
             near = np.nonzero(np.bitwise_count(fps ^ fps[i]) <= radius)[0]
             for other, at in zip(*np.unique(label[near], return_index=True)):
                 mine = label[i]
-                if other != mine:
+                if other != mine and size[other]:
                     links.append((int(i), int(near[at])))
                     keep, drop = (mine, other) if size[mine] >= size[other] else (other, mine)
                     label[label == drop] = keep
