@@ -1,15 +1,54 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences, in stages that each keep what the one before kept.
+
+Every stage takes (spark, docs, sf_dir) and returns the columns of documents; the last one returns the
+packed pieces. run() writes each stage's rows in the shared scratch folder and rereads them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from daybook.llm import common, language, packing, quality, simhash
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leaves out documents whose language is not determined or whose text fits no language's limit."""
+    model = language.fit(docs.filter(~common.held_out()))
+    judged = language.identify(docs, model, names=("_lang", "_score", "_accepted"))
+    return judged.filter("_accepted").select(*docs.columns)
+
+
+def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leaves out documents that the quality model scores under its threshold."""
+    labels = common.table(spark, sf_dir, "labels").filter(~common.held_out())
+    model = quality.learn(docs, labels)
+    return quality.score(docs, model, name="_score").filter(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near-duplicates: five-word shingles, 4 of 64 bits."""
+    return simhash.drop_near_duplicates(docs, shingle=5)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
+    pieces = packing.tokenised_pieces(docs)
+    return packing.pack(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
+
+
+STAGES = [
+    ("language", keep_known_languages),
+    ("quality", keep_good_quality),
+    ("near_duplicates", keep_one_of_near_duplicates),
+    ("packing", pack_sequences),
+]
 
-STAGES: list = []
+#: Models, fingerprints and tokens are beyond SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs = common.table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = common.written(stage(spark, docs, sf_dir), name)
     return docs
