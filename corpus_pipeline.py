@@ -26,8 +26,14 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near-duplicates: five-word shingles, 4 of 64 bits."""
-    return simhash.drop_near_duplicates(docs, shingle=5)
+    """Keeps the document with the smallest id of each group of near-duplicates.
+
+    A change of one word touches five shingles of five words, but one word: texts whose five-word
+    shingles agree to 0.8 differ by some 10 of 64 bits in fingerprints over such shingles, too many for
+    covering hashing, and by some 3 bits in fingerprints over their different words. So the stage
+    fingerprints different words and links what differs in up to 6 bits.
+    """
+    return simhash.drop_near_duplicates(docs, radius=6, shingle=1, distinct=True)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
