@@ -14,15 +14,16 @@ from daybook.llm import common, language, packing, quality, simhash
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out documents whose language is not determined or whose text fits no language's limit."""
     model = language.fit(docs.filter(~common.held_out()))
-    judged = language.identify(docs, model, names=("_lang", "_score", "_accepted"))
-    return judged.filter("_accepted").select(*docs.columns)
+    lang, score, accepted = common.free_names(docs, "_lang", "_score", "_accepted")
+    return language.identify(docs, model, names=(lang, score, accepted)).filter(F.col(accepted)).select(*docs.columns)
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out documents that the quality model scores under its threshold."""
     labels = common.table(spark, sf_dir, "labels").filter(~common.held_out())
     model = quality.learn(docs, labels)
-    return quality.score(docs, model, name="_score").filter(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+    (score,) = common.free_names(docs, "_score")
+    return quality.score(docs, model, name=score).filter(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
