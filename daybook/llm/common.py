@@ -48,6 +48,17 @@ def hash_share(col: str, rows: int, most: int):
     return F.pmod(F.xxhash64(F.lit("share"), F.col(col)), F.lit(grain)) < keep
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before those that df has already (in any case of letters)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def sliced(texts: list[str], most: int = 1 << 20):
     """Consecutive ranges of `texts` with about `most` characters each, or one text that is longer."""
     start, size = 0, 0

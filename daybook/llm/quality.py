@@ -182,7 +182,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str =
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
-    """Appends the score (0 to 1) to docs."""
+    """Appends the score (0 to 1) to docs; a column of that name is replaced."""
+    docs = docs.drop(name)
     at = docs.columns.index(text)
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -158,9 +158,10 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 
 def rate(docs: DataFrame, chain: Chain, text: str = "text", prefix: str = "p_") -> DataFrame:
-    """Appends one probability for each category to docs."""
-    at = docs.columns.index(text)
+    """Appends one probability for each category to docs; columns of these names are replaced."""
     names = [prefix + n for n in chain.names]
+    docs = docs.drop(*names)
+    at = docs.columns.index(text)
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
