@@ -144,6 +144,17 @@ def parse_numbers_and_dates(spark, sf_dir):
     return d.select("l_orderkey", "l_linenumber", C.to_double(F.col("price_text")).alias("price"), C.to_long(F.col("price_text")).alias("whole"), day.alias("parsed"), C.compact_date(day).alias("stamp"), C.sortable_date(day).alias("sortable"), C.instrument_key(C.clean(F.col("symbol_text"))).alias("instrument"))
 
 
+@registered("SELECT symbol, name, 'EQ' AS series, DATE '2001-02-03' AS listing_date, isin, face_value FROM ({symbols}) s WHERE symbol_id % 7 <> 0 AND symbol_id % 11 <> 0")
+def parse_listing(spark, sf_dir):
+    """Listing rows with padded cells; every seventh lacks its ISIN, every eleventh its ticker."""
+    s = view(spark, sf_dir, "symbols")
+    raw = s.select(
+        F.when(F.col("symbol_id") % 11 != 0, F.concat(F.lit(" "), "symbol")).alias("SYMBOL"), F.concat("name", F.lit(" ")).alias("NAME OF COMPANY"), F.lit(" EQ").alias(" SERIES"), F.lit("03-FEB-2001").alias(" DATE OF LISTING"),
+        F.when(F.col("symbol_id") % 7 == 0, F.lit("  ")).otherwise(F.col("isin")).alias(" ISIN NUMBER"), F.col("face_value").cast("string").alias(" FACE VALUE"),
+    )
+    return files.listing_columns(raw)
+
+
 @registered("SELECT concat('INE', CAST(l_partkey AS VARCHAR)) AS isin, ship_date AS trade_date, whole_price AS close, CAST(l_quantity AS BIGINT) AS volume FROM ({dirty}) d WHERE l_orderkey % 5 <> 0")
 def parse_candles(spark, sf_dir):
     """Nested arrays written from line items; every fifth order has a broken body or a short candle."""
@@ -232,6 +243,11 @@ def severity_rollup(spark, sf_dir):
     return quality.severity_rollup(quality.batch_findings(view(spark, sf_dir, "bars")))
 
 
+@registered(f"SELECT check_name, severity, left(detail, 4000) AS detail, symbol_id, trade_date, 7 AS run_id FROM ({_BATCH}) f")
+def stored_findings(spark, sf_dir):
+    return ingest.finding_rows(quality.batch_findings(view(spark, sf_dir, "bars")), F.lit(7))
+
+
 @registered(f"SELECT check_name, severity, detail, symbol_id, trade_date FROM ({_BATCH}) f ORDER BY trade_date, symbol_id, check_name, detail LIMIT 20")
 def first_errors(spark, sf_dir):
     return quality.first_errors(quality.batch_findings(view(spark, sf_dir, "bars")))
@@ -447,6 +463,15 @@ def fingerprint_compare(spark, sf_dir):
     return audit.compare_fingerprints(prints(bars.withColumn("close", F.col("close").cast("double")), orders), prints(edited.withColumn("close", F.col("close").cast("double")), orders.repartition(3)))
 
 
+@registered("SELECT * FROM (VALUES ('added', 'new, not empty'), ('log', 'identical'), ('empty', 'new, empty'), ('orders', 'gone')) v(table_name, verdict)")
+def fingerprint_new_tables(spark, sf_dir):
+    log = view(spark, sf_dir, "log")
+    orders = query(spark, sf_dir, "SELECT o_orderkey, o_custkey FROM {orders}")
+    one = lambda df, name: audit.fingerprint(df, name, df.columns, df.columns[0])
+    before = one(log, "log").unionByName(one(orders, "orders"))
+    return audit.compare_fingerprints(before, one(log.repartition(3), "log").unionByName(one(orders.limit(0), "empty")).unionByName(one(orders, "added")))
+
+
 @registered("SELECT * FROM (SELECT 'ohlc' AS rule, count(*) AS n FROM ({bars}) b WHERE high < low OR high < open OR high < close OR low > open OR low > close UNION ALL SELECT 'volume', count(*) FROM ({bars}) b WHERE volume < 0) v WHERE n > 0")
 def constraint_violations(spark, sf_dir):
     return quality.violations(view(spark, sf_dir, "bars"), quality.bar_constraints(), ("symbol_id", "trade_date", "series"))

@@ -22,8 +22,12 @@ def _csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
+    return listing_columns(_csv(spark, path))
+
+
+def listing_columns(raw: DataFrame) -> DataFrame:
     """symbol, name, series, listing_date, isin, face_value; rows without ISIN or symbol are left out."""
-    raw = by_header(_csv(spark, path))
+    raw = by_header(raw)
     out = raw.select(
         clean(field(raw, "SYMBOL")).alias("symbol"), clean(field(raw, "NAME OF COMPANY")).alias("name"), clean(field(raw, "SERIES")).alias("series"),
         dashed_date(field(raw, "DATE OF LISTING")).alias("listing_date"), clean(field(raw, "ISIN NUMBER")).alias("isin"), to_double(field(raw, "FACE VALUE")).alias("face_value"),

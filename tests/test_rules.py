@@ -136,6 +136,8 @@ def test_fingerprint_is_blind_to_order_only(spark):
     b = audit.fingerprint(df.withColumn("close", F.when(F.col("id") == 5, 7.55).otherwise(F.col("close"))), "t", ["id", "close"], "id").first()
     assert a["n"] == b["n"] and a["digest"] != b["digest"]
     assert audit.fingerprint(df.limit(0), "t", ["id", "close"], "id").first()["n"] == 0
+    verdicts = lambda *v: spark.createDataFrame([(str(k), x) for k, x in enumerate(v)], "table_name string, verdict string")
+    assert audit.protected(verdicts("identical", "new, empty")).first()[0] and not audit.protected(verdicts("identical", "gone")).first()[0]
 
 
 def test_columns(spark):
