@@ -27,10 +27,12 @@ from .common import table, written
 from .components import components
 
 SHINGLE, SEED, RADIUS, CHUNK = 4, 42, 4, 4096
+#: Tables of up to so many rows (of a few numbers) are broadcast.
+BROADCAST_ROWS = 100_000
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The fingerprint of one text as a signed 64-bit number."""
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED, distinct: bool = False) -> int:
+    """The fingerprint of one text as a signed 64-bit number; distinct: each different shingle counts once."""
     import numpy as np
     from xxhash import xxh64_intdigest
 
@@ -38,7 +40,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     if not words:
         return 0
     runs = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else (b" ".join(words),)
-    hashes = np.fromiter((xxh64_intdigest(s, seed) for s in runs), np.uint64)
+    hashes = np.fromiter((xxh64_intdigest(s, seed) for s in (set(runs) if distinct else runs)), np.uint64)
     ones = np.zeros(64, np.int64)
     for lo in range(0, len(hashes), 1 << 14):
         part = hashes[lo : lo + (1 << 14)].view(np.uint8).reshape(-1, 8)
@@ -46,16 +48,16 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """key, fp (long) of every row."""
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, seed: int = SEED, distinct: bool = False) -> DataFrame:
+    """doc_id, fp (long) and text_hash of every row."""
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = [fingerprint(t.as_py(), shingle, seed) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            fps = [fingerprint(t.as_py(), shingle, seed, distinct) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), b.column(2)], names=["doc_id", "fp", "text_hash"])
 
-    return rows.mapInArrow(per_batch, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    return rows.mapInArrow(per_batch, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long, text_hash long")
 
 
 def covering_masks(radius: int = RADIUS) -> list[int]:
@@ -142,36 +144,95 @@ def _bucket_links(radius: int):
 def links(nodes: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
     """a, b: links that connect the ids whose fingerprints differ in at most radius bits.
 
-    nodes: id long and fp long, each fingerprint once.
+    nodes: id long and fp long, one row for each text or fingerprint.
     """
     masks = covering_masks(radius)
     tables = F.explode(F.array(*(F.struct(F.lit(v).alias("v"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for v, m in enumerate(masks))))
     rows = nodes.select("id", "fp", tables.alias("t")).select("t.v", "t.key", "fp", "id")
-    large = rows.groupBy("v", "key").agg(F.count("*").alias("n")).filter(F.col("n") > chunk)
-    parts = F.ceil(F.col("n") / chunk).cast("int")
-    own = F.pmod(F.xxhash64("fp"), parts).cast("int")
-    meets = F.when(F.col("n").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), parts - 1))
-    own = F.coalesce(own, F.lit(0))
-    dealt = rows.join(large, ["v", "key"], "left").select("v", "key", own.alias("c"), F.explode(meets).alias("j"), "fp", "id")
-    dealt = dealt.select("v", "key", F.least("c", "j").alias("i"), F.greatest("c", "j").alias("j"), "fp", "id")
     keys = ["v", "key", "i", "j"]
+    large = large_buckets(rows, nodes.count() * len(masks), chunk)
+    n_large = large.count()
+    if not n_large:
+        dealt = rows.select("v", "key", F.lit(0).alias("i"), F.lit(0).alias("j"), "fp", "id")
+    else:
+        parts = F.ceil(F.col("n") / chunk).cast("int")
+        own = F.coalesce(F.pmod(F.xxhash64("fp"), parts).cast("int"), F.lit(0))
+        meets = F.when(F.col("n").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), parts - 1))
+        dealt = rows.join(F.broadcast(large) if n_large <= BROADCAST_ROWS else large, ["v", "key"], "left").select("v", "key", own.alias("c"), F.explode(meets).alias("j"), "fp", "id")
+        dealt = dealt.select("v", "key", F.least("c", "j").alias("i"), F.greatest("c", "j").alias("j"), "fp", "id")
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_bucket_links(radius), "a long, b long").distinct()
 
 
-def near_duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+def large_buckets(rows: DataFrame, n: int, chunk: int) -> DataFrame:
+    """v, key, n of the buckets of over chunk rows.
+
+    Buckets are first counted by cells of their hash, which are few; only those in a cell that could
+    hold a large bucket are counted one by one.
+    """
+    cell = F.pmod(F.xxhash64("v", "key"), F.lit(max(1 << 10, 4 * n // chunk))).alias("cell")
+    full = written(rows.groupBy(cell).agg(F.count("*").alias("n")).filter(F.col("n") > chunk).select("cell"), "cells")
+    n_full = full.count()
+    if not n_full:
+        return full.select(F.lit(0).alias("v"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("n"))
+    inside = rows.withColumn("cell", cell).join(F.broadcast(full) if n_full <= BROADCAST_ROWS else full, "cell", "left_semi")
+    return written(inside.groupBy("v", "key").agg(F.count("*").alias("n")).filter(F.col("n") > chunk), "large")
+
+
+def near_duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, distinct: bool = False) -> DataFrame:
     """key, fp and component_id, the smallest id that links reach, of every row."""
-    prints = written(fingerprints(docs, key, text, shingle).withColumn("doc_id", F.col("doc_id").cast("long")), "fingerprints")
+    prints = written(fingerprints(docs, key, text, shingle, distinct=distinct).withColumn("doc_id", F.col("doc_id").cast("long")), "fingerprints")
     nodes = written(prints.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
-    found = components(links(nodes, radius))
+    found = components(links(nodes.select("id", "fp"), radius))
     of = nodes.join(found, nodes["id"] == found["node"], "left").select("fp", F.coalesce("component", "id").alias("component_id"))
     return prints.join(written(of, "components"), "fp", "left").select(F.col("doc_id").alias(key), "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """The rows of docs whose id is the smallest of its component, one row for each such id."""
-    groups = near_duplicate_groups(docs, key, text, radius, shingle)
-    kept = groups.filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
-    return docs.join(kept, F.col(key) == F.col("_kept"), "left_semi").dropDuplicates([key])
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """id, shingles (hashes of the different runs of `words` words; of all words, if fewer) of id and text."""
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
+        for b in batches:
+            sets = []
+            for text in b.column(1):
+                w = (text.as_py() or "").encode().lower().split()
+                runs = set(zip(*(w[i:] for i in range(words)))) if len(w) >= words else {tuple(w)}
+                sets.append([h - (1 << 64) if (h := xxh64_intdigest(b" ".join(r), SEED)) >> 63 else h for r in runs])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
+
+    return texts.select("id", "text").mapInArrow(per_batch, "id long, shingles array<long>")
+
+
+def similar_links(found: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, words: int, least: float) -> DataFrame:
+    """The links (a, b) whose texts share at least `least` of their different runs of `words` words."""
+    ends = found.select(F.col("a").alias("id")).union(found.select(F.col("b").alias("id"))).distinct()
+    named = written(nodes.join(ends, "id", "left_semi").select("id", "text_hash"), "ends")
+    n = named.count()
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    rows = rows.join(F.broadcast(named) if n <= BROADCAST_ROWS else named, ["id", "text_hash"], "left_semi").dropDuplicates(["id"])
+    sets = written(shingle_sets(rows, words), "shingles")
+    left, right = (sets.select(F.col("id").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
+    share = F.size(F.array_intersect("sa", "sb")) / F.size(F.array_union("sa", "sb"))
+    return found.join(left, "a").join(right, "b").filter(share >= least).select("a", "b")
+
+
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, distinct: bool = False, words: int = 5, least: float = 0.8) -> DataFrame:
+    """One row of docs for each group of texts that links connect: the row with the smallest id.
+
+    A link counts if its two texts share at least `least` of their runs of `words` words. Rows with
+    null ids are kept. Links are those that span the buckets, so a text that is near another one only
+    through a third that is not alike can stay.
+    """
+    prints = written(fingerprints(docs, key, text, shingle, distinct=distinct).withColumn("doc_id", F.col("doc_id").cast("long")), "fingerprints")
+    nodes = written(prints.filter("doc_id IS NOT NULL").groupBy("fp", "text_hash").agg(F.min("doc_id").alias("id")), "nodes")
+    found = written(links(nodes.select("id", "fp"), radius), "links")
+    groups = components(similar_links(found, nodes, docs, key, text, words, least))
+    # A text's smallest id stays, unless its group has a smaller one.
+    kept = nodes.select("id").join(groups.filter("node <> component").select(F.col("node").alias("id")), "id", "left_anti").select(F.col("id").alias(key)).distinct()
+    unnamed = docs.filter(F.col(key).isNull())
+    docs = docs.filter(F.col(key).isNotNull())
+    return docs.join(kept, key, "left_semi").select(docs.columns).dropDuplicates([key]).unionByName(unnamed)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
