@@ -17,17 +17,21 @@ stand there. Empty tables give no pieces. Columns other than key and text are no
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import table, written
 
 LENGTH, GRAIN, CLOSING_ID = 2048, 8, 1
 TOKENIZER = "word_bpe_49k.json"
-#: Encoded words that a task keeps at hand; the cache starts afresh when it is full.
-CACHED_WORDS = 400_000
+#: Encoded words that a worker process keeps at hand; the cache starts afresh when it is full.
+CACHED_WORDS = 600_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -36,54 +40,103 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@lru_cache(2)
 def word_encoder(path: str):
-    """A function from a text to its ids as little-endian 32-bit numbers.
+    """A function from words to their ids as little-endian 32-bit numbers; one for each worker process.
 
     The tokenizer never lets a token span white space, so runs between white space are encoded once
-    and kept. Texts with control characters that only Python takes for white space go through whole.
+    and kept for all later tasks of the process. It lowers case first, and parts a comma or full stop
+    from a letter or digit before it, so such runs are put together from what is known.
     """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     known: dict[str, bytes] = {}
 
-    def encode(text: str) -> bytes:
-        words = text.split()
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            words = [text]
-        new = list({w for w in words if w not in known})
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list(set(words))
-        for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else ()):
-            known[w] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-        return b"".join(map(known.__getitem__, words))
-
+    def parts(word: str) -> tuple[str, str]:
+        """A run as what it shares with other runs, and a mark at its end."""
+        low = word if "\u03a3" in word else word.lower()
+        return (low[:-1], low[-1]) if low[-1:] in marks and low[-2:-1].isalnum() else (low, "")
+
+    def encode(words: list[str]) -> list[bytes]:
+        found = list(map(known.get, words))
+        if None in found:
+            if len(known) > CACHED_WORDS:
+                known.clear()
+                known.update(marks)
+                found = [None] * len(words)
+            lost = [k for k, ids in enumerate(found) if ids is None]
+            split = [parts(words[k]) for k in lost]
+            new = list({stem for stem, _ in split if stem not in known})
+            for stem, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                known[stem] = np.array(e.ids, "<u4").tobytes()
+            for k, (stem, end) in zip(lost, split):
+                found[k] = known[words[k]] = known[stem] + marks[end]
+        return found
+
+    marks: dict[str, bytes] = {}
+    for mark in ("", ",", "."):
+        marks[mark] = np.array(tokenizer.encode(mark, add_special_tokens=False).ids, "<u4").tobytes()
+    known.update(marks)
     return encode
 
 
+#: Characters that split runs here, but that the tokenizer does not take for white space.
+_NO_SPACE = "[\\x1c-\\x1f]"
+
+
+def encode_batch(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of texts (no nulls) one after the other, and how many each text has.
+
+    Runs between white space are told apart and numbered by Arrow, so that Python sees each
+    different run of a batch once; ids are gathered by number.
+    """
+    import pyarrow.compute as pc
+
+    runs = pc.utf8_split_whitespace(texts)
+    odd = np.nonzero(pc.match_substring_regex(texts, _NO_SPACE).to_numpy(zero_copy_only=False))[0]
+    if len(odd):
+        lists = runs.to_pylist()
+        for i in odd:
+            lists[i] = [texts[i].as_py()]
+        runs = pa.array(lists, pa.list_(pa.string()))
+    coded = runs.flatten().dictionary_encode()
+    found = word_encoder(path)(coded.dictionary.to_pylist())
+    sizes = np.fromiter((len(x) >> 2 for x in found), np.int64, len(found))
+    flat, begins = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+    at = coded.indices.to_numpy()
+    ends = np.cumsum(sizes[at])
+    ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[at] - (ends - sizes[at]), sizes[at])]
+    cuts = np.r_[0, np.cumsum(runs.value_lengths().to_numpy())]
+    return ids, np.diff(np.r_[0, ends][cuts])
+
+
 def tokenised_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, tokenizer: str | None = None) -> DataFrame:
     """key, start, length, ids (binary, little-endian 32-bit), doc_tokens of every piece of every document."""
     path = tokenizer or tokenizer_path(TOKENIZER)
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_encoder(path)
+        closing = np.array([CLOSING_ID], "<u4").tobytes()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                at, start, sizes, pieces, totals = [], [], [], [], []
-                for row, text in enumerate(part.column(1)):
-                    ids = encode(text.as_py() or "") + CLOSING_ID.to_bytes(4, "little")
-                    for s in range(0, len(ids), 4 * length):
-                        piece = ids[s : s + 4 * length]
+            for lo in range(0, batch.num_rows, 4096):
+                part = batch.slice(lo, 4096)
+                ids, sizes = encode_batch(part.column(1), path)
+                packed, end = ids.tobytes(), 0
+                at, start, lengths, pieces, totals = [], [], [], [], []
+                for row, n in enumerate(sizes.tolist()):
+                    own = packed[4 * end : 4 * (end + n)] + closing
+                    end += n
+                    for s in range(0, len(own), 4 * length):
+                        piece = own[s : s + 4 * length]
                         at.append(row)
                         start.append(s // 4)
-                        sizes.append(len(piece) // 4)
+                        lengths.append(len(piece) // 4)
                         pieces.append(piece)
-                        totals.append(len(ids) // 4)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(sizes, pa.int64()), pa.array(pieces, pa.binary()), pa.array(totals, pa.int64())], names=["doc_id", "start", "length", "ids", "doc_tokens"])
+                        totals.append(n + 1)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(lengths, pa.int64()), pa.array(pieces, pa.binary()), pa.array(totals, pa.int64())], names=["doc_id", "start", "length", "ids", "doc_tokens"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(per_batch, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long").withColumnRenamed("doc_id", key)
@@ -91,8 +144,6 @@ def tokenised_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", l
 
 def best_pattern(values, units: int):
     """Unbounded knapsack: how often to take each of the sizes 1..len(values) within `units`, and its value."""
-    import numpy as np
-
     sizes = np.arange(1, len(values) + 1)
     best, taken = np.zeros(units + 1), np.zeros(units + 1, np.int64)
     for room in range(1, units + 1):
@@ -117,8 +168,6 @@ def cutting_stock(demand, units: int, gap: float = 1e-4, most_rounds: int = 3000
 
     demand[k] items have size k + 1. The last patterns may be partly filled.
     """
-    import numpy as np
-
     demand = np.asarray(demand, np.int64)
     live = np.nonzero(demand)[0]
     patterns: dict[tuple, int] = {}
@@ -180,8 +229,6 @@ def pack(pieces: DataFrame, length: int = LENGTH, grain: int = GRAIN, order: tup
 
     `order` ranks items within a class. pieces is read twice and should be a written table.
     """
-    import numpy as np
-
     units = length // grain
     ranked = written(pieces.withColumns({"_part": F.spark_partition_id(), "_class": F.ceil(F.col("length") / grain).cast("int") - 1}), "pieces")
     counts = written(ranked.groupBy("_part", "_class").agg(F.count("*").alias("_n")), "classes")
@@ -217,8 +264,6 @@ def pack(pieces: DataFrame, length: int = LENGTH, grain: int = GRAIN, order: tup
                 sequences[mine] = base[p] + (ranks[mine] - first[p]) // each[p]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sequences)], names=[*batch.schema.names, "sequence_id"])
 
-    from pyspark.sql.types import LongType, StructField, StructType
-
     placed = items.mapInArrow(place, StructType([*items.schema.fields, StructField("sequence_id", LongType())]))
     before = W.partitionBy("sequence_id").orderBy(F.desc("_class"), "_rank").rowsBetween(W.unboundedPreceding, -1)
     return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")).drop("_class", "_rank")
