@@ -48,6 +48,17 @@ def hash_share(col: str, rows: int, most: int):
     return F.pmod(F.xxhash64(F.lit("share"), F.col(col)), F.lit(grain)) < keep
 
 
+def small_parts(batches, rows: int = 1000):
+    """The batches in parts of at most `rows` rows, so that a task's Python objects stay few; unused memory goes back after each batch."""
+    import pyarrow as pa
+
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """The names, with underscores before those that df has already (in any case of letters)."""
     taken, out = {c.lower() for c in df.columns}, []

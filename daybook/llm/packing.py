@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import table, written
+from .common import small_parts, table, written
 
 LENGTH, GRAIN, CLOSING_ID = 2048, 8, 1
 TOKENIZER = "word_bpe_49k.json"
 #: Encoded words that a worker process keeps at hand; the cache starts afresh when it is full.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 500_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -120,23 +120,21 @@ def tokenised_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", l
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         closing = np.array([CLOSING_ID], "<u4").tobytes()
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 4096):
-                part = batch.slice(lo, 4096)
-                ids, sizes = encode_batch(part.column(1), path)
-                packed, end = ids.tobytes(), 0
-                at, start, lengths, pieces, totals = [], [], [], [], []
-                for row, n in enumerate(sizes.tolist()):
-                    own = packed[4 * end : 4 * (end + n)] + closing
-                    end += n
-                    for s in range(0, len(own), 4 * length):
-                        piece = own[s : s + 4 * length]
-                        at.append(row)
-                        start.append(s // 4)
-                        lengths.append(len(piece) // 4)
-                        pieces.append(piece)
-                        totals.append(n + 1)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(lengths, pa.int64()), pa.array(pieces, pa.binary()), pa.array(totals, pa.int64())], names=["doc_id", "start", "length", "ids", "doc_tokens"])
+        for part in small_parts(batches, 1500):
+            ids, sizes = encode_batch(part.column(1), path)
+            packed, end = ids.tobytes(), 0
+            at, start, lengths, pieces, totals = [], [], [], [], []
+            for row, n in enumerate(sizes.tolist()):
+                own = packed[4 * end : 4 * (end + n)] + closing
+                end += n
+                for s in range(0, len(own), 4 * length):
+                    piece = own[s : s + 4 * length]
+                    at.append(row)
+                    start.append(s // 4)
+                    lengths.append(len(piece) // 4)
+                    pieces.append(piece)
+                    totals.append(n + 1)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(lengths, pa.int64()), pa.array(pieces, pa.binary()), pa.array(totals, pa.int64())], names=["doc_id", "start", "length", "ids", "doc_tokens"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(per_batch, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long").withColumnRenamed("doc_id", key)

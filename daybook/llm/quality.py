@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import hash_share, held_out, table
+from .common import hash_share, held_out, small_parts, table
 
 MOST_LABELLED = 20_000
 BINS, PAIR_BINS, PAIRS = 48, 12, 8
@@ -162,7 +162,7 @@ def _vectors(df: DataFrame, text: str, name: str) -> DataFrame:
     at = df.columns.index(text)
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_parts(batches):
             values = feature_matrix(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(values), pa.list_(pa.float64()))], names=[*batch.schema.names, name])
 
@@ -187,7 +187,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
     at = docs.columns.index(text)
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_parts(batches):
             found = model.scores(feature_matrix(batch.column(at).to_pylist()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, name])
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import hash_share, held_out, table
+from .common import hash_share, held_out, small_parts, table
 
 MOST_LABELLED, VOCABULARY, FOLDS, THRESHOLD = 20_000, 300, 5, 0.5
 SEEDS = {
@@ -123,7 +123,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small_parts(batches):
             found = [sorted({w for w in words(t) if len(w) <= 64}) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(2), pa.array(found, pa.list_(pa.binary()))], names=["y", "words"])
 
@@ -138,7 +138,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             chain.vocabulary.setdefault(w.encode(), len(chain.vocabulary))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small_parts(batches):
             at, values, of = chain.sparse(b.column(1).to_pylist())
             cuts = np.r_[0, np.cumsum(np.bincount(of, minlength=b.num_rows))].astype(np.int32)
             lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x)) for x in (at.astype(np.int64), values)]
@@ -164,7 +164,7 @@ def rate(docs: DataFrame, chain: Chain, text: str = "text", prefix: str = "p_")
     at = docs.columns.index(text)
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small_parts(batches):
             p = chain.predict(*chain.sparse(b.column(at).to_pylist()), b.num_rows)
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(np.ascontiguousarray(c)) for c in p.T)], names=[*b.schema.names, *names])
 
