@@ -27,6 +27,10 @@ from .common import table, written
 from .components import components
 
 SHINGLE, SEED, RADIUS, CHUNK = 4, 42, 4, 4096
+#: Texts whose shingles one task holds at once are at most two chunks of about so many.
+SET_CHUNK = 256
+#: A bucket with up to so many pairs for each row yields them all; of a denser one, each row meets about as many others, and as many rows with most links, before the rest.
+FEW = 8
 #: Tables of up to so many rows (of a few numbers) are broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -104,16 +108,73 @@ def spanning_links(fps, radius: int) -> list[tuple[int, int]]:
     return links
 
 
-def _bucket_links(radius: int):
-    """For rows sorted by bucket: (a, b) of the links that span each bucket."""
+def _bounds(rows) -> tuple:
+    """Where the buckets (equal v, key, i, j) of sorted rows start and end."""
+    import numpy as np
+
+    cut = np.nonzero((rows[1:, :4] != rows[:-1, :4]).any(1))[0] + 1
+    return np.r_[0, cut], np.r_[cut, len(rows)]
+
+
+def _whole_buckets(batches: Iterator[pa.RecordBatch], width: int):
+    """The rows of the batches as arrays of numbers that hold whole buckets."""
+    import numpy as np
+
+    held = np.zeros((0, width), np.int64)
+    for batch in batches:
+        rows = np.concatenate([held, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], 1)])
+        last = len(rows)  # where the last bucket, which may go on, begins
+        while last and (rows[last - 1, :4] == rows[-1, :4]).all():
+            last -= 1
+        held = rows[last:]
+        if last:
+            yield rows[:last]
+    if len(held):
+        yield held
+
+
+def _drawn(a, b):
+    """A number below 2^32 for each pair, the same whichever comes first."""
+    import numpy as np
+
+    mixed = (a.astype(np.uint64) ^ b.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + (a + b).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)
+
+
+def _more_links(group, radius: int):
+    """Pairs of ids beyond the spanning ones, of one bucket's rows: all within the radius, if few; else some, and (id, id) of every row."""
+    import numpy as np
+
+    fps, ids = np.ascontiguousarray(group[:, 4]).view(np.uint64), group[:, 5]
+    n, found, count = len(fps), [], 0
+    for k in range(n - 1):
+        near = k + 1 + np.nonzero(np.bitwise_count(fps[k + 1 :] ^ fps[k]) <= radius)[0]
+        count += len(near)
+        if count > FEW * n:
+            break
+        found.append(np.stack([np.full(len(near), ids[k]), ids[near]], 1))
+    else:
+        return np.concatenate(found)
+    some = [np.stack([ids, ids], 1)]
+    rng = np.random.default_rng(n)
+    for _ in range(FEW):
+        turn = np.roll(np.argsort(_drawn(ids, np.full(n, rng.integers(1 << 62)))), 1)
+        other = np.empty(n, np.int64)
+        other[turn] = np.roll(turn, 1)
+        near = np.nonzero(np.bitwise_count(fps ^ fps[other]) <= radius)[0]
+        some.append(np.stack([ids[near], ids[other[near]]], 1))
+    return np.concatenate(some)
+
+
+def _bucket_links(radius: int, dense: bool = False):
+    """For rows sorted by bucket: (a, b) of the links that span each bucket; if dense, also those of _more_links."""
 
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         def links(rows: np.ndarray) -> pa.RecordBatch:
             """rows: columns v, key, i, j, fp, id of whole buckets."""
-            cut = np.nonzero((rows[1:, :4] != rows[:-1, :4]).any(1))[0] + 1
-            starts, ends = np.r_[0, cut], np.r_[cut, len(rows)]
+            starts, ends = _bounds(rows)
             found = []
             pairs = starts[ends - starts == 2]
             near = pairs[np.bitwise_count((rows[pairs, 4] ^ rows[pairs + 1, 4]).view(np.uint64)) <= radius]
@@ -123,44 +184,156 @@ def _bucket_links(radius: int):
                 at = spanning_links(np.ascontiguousarray(group[:, 4]).view(np.uint64), radius)
                 if at:
                     found.append(group[np.array(at), 5])
+                    if dense:
+                        found.append(_more_links(group, radius))
             ids = np.concatenate(found)
             return pa.RecordBatch.from_arrays([pa.array(ids[:, 0], pa.int64()), pa.array(ids[:, 1], pa.int64())], names=["a", "b"])
 
-        held = np.zeros((0, 6), np.int64)
-        for batch in batches:
-            rows = np.concatenate([held, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], 1)])
-            last = len(rows)  # where the last bucket, which may go on, begins
-            while last and (rows[last - 1, :4] == rows[-1, :4]).all():
-                last -= 1
-            held = rows[last:]
-            if last:
-                yield links(rows[:last])
-        if len(held):
-            yield links(held)
+        yield from map(links, _whole_buckets(batches, 6))
 
     return per_partition
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
-    """a, b: links that connect the ids whose fingerprints differ in at most radius bits.
-
-    nodes: id long and fp long, one row for each text or fingerprint.
-    """
+def dealt_buckets(nodes: DataFrame, radius: int, chunk: int, also: tuple[str, ...] = ()) -> DataFrame:
+    """v, key, i, j, fp, id and the columns `also` of nodes, once for each table and pair of chunks, sorted by bucket."""
     masks = covering_masks(radius)
     tables = F.explode(F.array(*(F.struct(F.lit(v).alias("v"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for v, m in enumerate(masks))))
-    rows = nodes.select("id", "fp", tables.alias("t")).select("t.v", "t.key", "fp", "id")
+    rows = nodes.select("id", "fp", *also, tables.alias("t")).select("t.v", "t.key", "fp", "id", *also)
     keys = ["v", "key", "i", "j"]
     large = large_buckets(rows, nodes.count() * len(masks), chunk)
     n_large = large.count()
     if not n_large:
-        dealt = rows.select("v", "key", F.lit(0).alias("i"), F.lit(0).alias("j"), "fp", "id")
+        dealt = rows.select("v", "key", F.lit(0).alias("i"), F.lit(0).alias("j"), "fp", "id", *also)
     else:
         parts = F.ceil(F.col("n") / chunk).cast("int")
         own = F.coalesce(F.pmod(F.xxhash64("fp"), parts).cast("int"), F.lit(0))
         meets = F.when(F.col("n").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), parts - 1))
-        dealt = rows.join(F.broadcast(large) if n_large <= BROADCAST_ROWS else large, ["v", "key"], "left").select("v", "key", own.alias("c"), F.explode(meets).alias("j"), "fp", "id")
-        dealt = dealt.select("v", "key", F.least("c", "j").alias("i"), F.greatest("c", "j").alias("j"), "fp", "id")
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_bucket_links(radius), "a long, b long").distinct()
+        dealt = rows.join(F.broadcast(large) if n_large <= BROADCAST_ROWS else large, ["v", "key"], "left").select("v", "key", own.alias("c"), F.explode(meets).alias("j"), "fp", "id", *also)
+        dealt = dealt.select("v", "key", F.least("c", "j").alias("i"), F.greatest("c", "j").alias("j"), "fp", "id", *also)
+    return dealt.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def links(nodes: DataFrame, radius: int = RADIUS, chunk: int = CHUNK, dense: bool = False) -> DataFrame:
+    """a, b: links that connect the ids whose fingerprints differ in at most radius bits.
+
+    nodes: id long and fp long, one row for each text or fingerprint. If dense, all such pairs of a bucket
+    come too, or where they are many, some of them and a loop (a, a) for each row of that bucket.
+    """
+    return dealt_buckets(nodes, radius, chunk).mapInArrow(_bucket_links(radius, dense), "a long, b long").distinct()
+
+
+def _owner_table(masks: list[int]):
+    """For each of 8 bytes and each value: the tables (bits of two numbers) that the byte's bits keep a pair out of."""
+    import numpy as np
+
+    out = np.zeros((8, 256, 2), np.uint64)
+    for byte in range(8):
+        for value in range(256):
+            for v, m in enumerate(masks):
+                if (m >> (8 * byte)) & 255 & value:
+                    out[byte, value, v >> 6] |= np.uint64(1 << (v & 63))
+    return out
+
+
+def open_pairs(state: DataFrame, radius: int, chunk: int, hubs: bool) -> DataFrame:
+    """id, others: pairs of state's rows within the radius and of different groups g, each listed at both ends.
+
+    hubs: only pairs with one of the rows of a bucket that have most links so far (degree). Otherwise
+    all, each in the first table that both rows meet in.
+    """
+    kept_out = None if hubs else _owner_table(covering_masks(radius))
+
+    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        def batch(found: dict) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([o for _, o in found], pa.list_(pa.int64()))], names=["id", "others"])
+
+        found, held = [], 0
+        for rows in _whole_buckets(batches, 8):
+            for lo, hi in zip(*_bounds(rows)):
+                fps, ids, g, degree = np.ascontiguousarray(rows[lo:hi, 4]).view(np.uint64), rows[lo:hi, 5], rows[lo:hi, 6], rows[lo:hi, 7]
+                names, label, size = np.unique(g, return_inverse=True, return_counts=True)
+                if len(names) < 2:
+                    continue
+                if hubs:
+                    turns = np.argsort(-degree, kind="stable")[:FEW]
+                    turns = turns[degree[turns] > 0]
+                else:
+                    turns = np.nonzero(label != size.argmax())[0]
+                taken = np.zeros(hi - lo, bool)
+                taken[turns] = True
+                v = int(rows[lo, 0])
+                for t in turns:
+                    near = np.nonzero((np.bitwise_count(fps ^ fps[t]) <= radius) & (label != label[t]))[0]
+                    if not hubs and v:
+                        differ = (fps[near] ^ fps[t]).view(np.uint8).reshape(-1, 8)
+                        out = np.zeros((len(near), 2), np.uint64)
+                        for byte in range(8):
+                            out |= kept_out[byte, differ[:, byte]]
+                        free = ~out
+                        first = v & 63
+                        earlier = free[:, v >> 6] & np.uint64((1 << first) - 1)
+                        near = near[(earlier == 0) & ((free[:, 0] == 0) if v >> 6 else True)]
+                    if len(near):
+                        found.append((ids[t], ids[near]))
+                        # The other ends that take no turn of their own list the pair here.
+                        found.extend((ids[k], ids[t : t + 1]) for k in near[~taken[near]])
+                        held += 2 * len(near)
+                    if held > 1 << 18:
+                        yield batch(found)
+                        found, held = [], 0
+        if found:
+            yield batch(found)
+
+    return dealt_buckets(state, radius, chunk, ("g", "degree")).mapInArrow(per_partition, "id long, others array<long>")
+
+
+def alike_pairs(pairs: DataFrame, state: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """a, b: links that connect what the pairs whose shingles agree to `least` connect.
+
+    The nodes of a component of near fingerprints are cut into chunks; a task holds the shingles of two
+    chunks at most, and only of nodes that have a pair there.
+    """
+    parts = state.groupBy("near").agg(F.ceil(F.count("*") / SET_CHUNK).cast("int").alias("parts"))
+    part = lambda id_: F.pmod(F.xxhash64(F.lit("sets"), id_), F.col("parts")).cast("int")
+    of = pairs.join(state.select("id", "near"), "id").join(parts, "near")
+    of = of.withColumn("to", F.explode(F.array_distinct(F.transform("others", part)))).withColumn("c", part(F.col("id")))
+    of = of.withColumn("others", F.filter("others", lambda o: part(o) == F.col("to"))).select("near", F.least("c", "to").alias("i"), F.greatest("c", "to").alias("j"), "id", "others")
+    of = of.groupBy("near", "i", "j", "id").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+
+    def check(block: pa.Table) -> pa.Table:
+        import numpy as np
+
+        ids = block.column("id").to_numpy()
+        lists = block.column("shingles").combine_chunks()
+        ends = lists.offsets.to_numpy()
+        _, codes = np.unique(lists.values.to_numpy()[ends[0] : ends[-1]], return_inverse=True)
+        ends = ends - ends[0]
+        size = np.diff(ends)
+        order = np.argsort(ids)
+        label, found = np.arange(len(ids)), []
+        mask = np.zeros(int(codes.max(initial=-1)) + 1, bool)
+        for k, others in enumerate(block.column("others")):
+            near = order[np.searchsorted(ids[order], others.values.to_numpy())]
+            near = near[(near > k) & (label[near] != label[k])]
+            near = near[(size[near] >= least * size[k]) & (size[k] >= least * size[near])]
+            if not len(near):
+                continue
+            mask[codes[ends[k] : ends[k + 1]]] = True
+            if 4 * len(near) > len(ids):
+                sums = np.r_[0, np.cumsum(mask[codes])]
+                same = sums[ends[near + 1]] - sums[ends[near]]
+            else:
+                same = np.array([np.count_nonzero(mask[codes[ends[o] : ends[o + 1]]]) for o in near])
+            mask[codes[ends[k] : ends[k + 1]]] = False
+            for o in near[same / (size[near] + size[k] - same) >= least]:
+                if label[o] != label[k]:
+                    found.append((ids[k], ids[o]))
+                    label[label == label[o]] = label[k]
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return of.join(sets, "id").groupBy("near", "i", "j").applyInArrow(check, "a long, b long")
 
 
 def large_buckets(rows: DataFrame, n: int, chunk: int) -> DataFrame:
@@ -204,30 +377,53 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("id", "text").mapInArrow(per_batch, "id long, shingles array<long>")
 
 
-def similar_links(found: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, words: int, least: float) -> DataFrame:
-    """The links (a, b) whose texts share at least `least` of their different runs of `words` words."""
+def sets_of_ends(found: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """id, shingles of the texts that links name."""
     ends = found.select(F.col("a").alias("id")).union(found.select(F.col("b").alias("id"))).distinct()
     named = written(nodes.join(ends, "id", "left_semi").select("id", "text_hash"), "ends")
     n = named.count()
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     rows = rows.join(F.broadcast(named) if n <= BROADCAST_ROWS else named, ["id", "text_hash"], "left_semi").dropDuplicates(["id"])
-    sets = written(shingle_sets(rows, words), "shingles")
+    return written(shingle_sets(rows, words), "shingles")
+
+
+def similar_links(found: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The links (a, b) whose texts share at least `least` of their different runs of words."""
     left, right = (sets.select(F.col("id").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
     share = F.size(F.array_intersect("sa", "sb")) / F.size(F.array_union("sa", "sb"))
     return found.join(left, "a").join(right, "b").filter(share >= least).select("a", "b")
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, distinct: bool = False, words: int = 5, least: float = 0.8) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, distinct: bool = False, words: int = 5, least: float = 0.8, chunk: int = CHUNK) -> DataFrame:
     """One row of docs for each group of texts that links connect: the row with the smallest id.
 
     A link counts if its two texts share at least `least` of their runs of `words` words. Rows with
-    null ids are kept. Links are those that span the buckets, so a text that is near another one only
-    through a third that is not alike can stay.
+    null ids are kept. Every pair within the radius is checked, unless checked pairs connect it already.
+    In dense buckets a few pairs are checked first, then those with the rows that have most links, and
+    last all pairs between what are still different groups.
     """
     prints = written(fingerprints(docs, key, text, shingle, distinct=distinct).withColumn("doc_id", F.col("doc_id").cast("long")), "fingerprints")
     nodes = written(prints.filter("doc_id IS NOT NULL").groupBy("fp", "text_hash").agg(F.min("doc_id").alias("id")), "nodes")
-    found = written(links(nodes.select("id", "fp"), radius), "links")
-    groups = components(similar_links(found, nodes, docs, key, text, words, least))
+    found = written(links(nodes.select("id", "fp"), radius, chunk, dense=True), "links")
+    sets = sets_of_ends(found, nodes, docs, key, text, words)
+    alike = written(similar_links(found.filter("a <> b"), sets, least), "alike")
+    groups = components(alike)
+    dense = found.filter("a = b").select(F.col("a").alias("id"))
+    if not dense.isEmpty():
+        inner = found.filter("a <> b").join(dense.withColumnRenamed("id", "a"), "a", "left_semi").join(dense.withColumnRenamed("id", "b"), "b", "left_semi")
+        near = components(inner.select("a", "b")).select(F.col("node").alias("id"), F.col("component").alias("near"))
+        near = written(nodes.select("id", "fp").join(near, "id"), "near")
+        for hubs in (True, False):
+            degree = alike.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
+            state = near.join(groups.select(F.col("node").alias("id"), F.col("component").alias("g")), "id", "left").join(degree, "id", "left")
+            state = state.select("id", "fp", "near", F.coalesce("g", "id").alias("g"), F.coalesce("degree", F.lit(0)).alias("degree"))
+            split = state.groupBy("near").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high")
+            state = written(state.join(split, "near", "left_semi").select("id", "fp", "near", "g", "degree"), "state")
+            if state.isEmpty():
+                break
+            pairs = written(open_pairs(state, radius, chunk, hubs), "pairs")
+            alike = written(alike.union(alike_pairs(pairs, state, sets, least)), "alike")
+            groups = components(alike)
     # A text's smallest id stays, unless its group has a smaller one.
     kept = nodes.select("id").join(groups.filter("node <> component").select(F.col("node").alias("id")), "id", "left_anti").select(F.col("id").alias(key)).distinct()
     unnamed = docs.filter(F.col(key).isNull())

@@ -101,6 +101,30 @@ def test_stage_drops_alike_texts_only(spark):
     assert all((i in kept) == (edits != 2) for i, (_, edits) in twin.items())
 
 
+@pytest.mark.parametrize("copies, words, chunk", [(300, 300, 4096), (120, 1500, 50)])
+def test_stage_against_brute_force_on_a_dense_group(spark, copies, words, chunk):
+    rng = random.Random(copies)
+    base = [f"w{rng.randrange(100000)}" for _ in range(words)]
+    texts = []
+    for _ in range(copies):  # alike to the original, mostly not to each other
+        w = list(base)
+        for at in rng.sample(range(words), words // 50):
+            w[at] = f"v{rng.randrange(100000)}"
+        texts.append(" ".join(w))
+    texts.insert(copies // 2, " ".join(base))
+    prints = [simhash.fingerprint(t, 1, distinct=True) % (1 << 64) for t in texts]
+    runs = [set(zip(*(t.split()[i:] for i in range(5)))) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and (prints[i] ^ prints[j]).bit_count() <= 6 and len(runs[i] & runs[j]) >= 0.8 * len(runs[i] | runs[j]):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(docs, radius=6, shingle=1, distinct=True, chunk=chunk).collect()}
+    assert kept == set(label)
+
+
 def test_op3_against_all_pairs(spark, sf_dir):
     got = simhash.op3_simhash(spark, sf_dir).toPandas()
     values = [int(x, 16) for x in got["fingerprint"]]
