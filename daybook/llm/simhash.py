@@ -206,7 +206,7 @@ def dealt_buckets(nodes: DataFrame, radius: int, chunk: int, also: tuple[str, ..
         dealt = rows.select("v", "key", F.lit(0).alias("i"), F.lit(0).alias("j"), "fp", "id", *also)
     else:
         parts = F.ceil(F.col("n") / chunk).cast("int")
-        own = F.coalesce(F.pmod(F.xxhash64("fp"), parts).cast("int"), F.lit(0))
+        own = F.coalesce(F.pmod(F.xxhash64("fp", "id"), parts).cast("int"), F.lit(0))
         meets = F.when(F.col("n").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), parts - 1))
         dealt = rows.join(F.broadcast(large) if n_large <= BROADCAST_ROWS else large, ["v", "key"], "left").select("v", "key", own.alias("c"), F.explode(meets).alias("j"), "fp", "id", *also)
         dealt = dealt.select("v", "key", F.least("c", "j").alias("i"), F.greatest("c", "j").alias("j"), "fp", "id", *also)

@@ -61,6 +61,13 @@ def test_links_of_large_and_small_buckets(spark, chunk):
     assert same([found.get(i, i) for i in range(len(values))], groups(values, 4))
 
 
+def test_chunks_part_texts_of_one_fingerprint(spark):
+    nodes = spark.range(600).select("id", F.lit(5).cast("long").alias("fp"))
+    sizes = simhash.dealt_buckets(nodes, 1, 50).groupBy("v", "key", "i", "j").count()
+    assert sizes.agg(F.max("count")).first()[0] < 200
+    assert {r["component"] for r in components.components(simhash.links(nodes, 1, 50)).collect()} == {0}
+
+
 def test_components_of_chains_stars_and_nothing(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 30)] + [(5, 5), (None, 3)]
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
