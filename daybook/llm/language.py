@@ -29,8 +29,8 @@ ORDER = 4
 UNDETERMINED = "und"
 #: The model keeps at most so many 4-grams of a language, the most frequent; discounts use all counts.
 MOST_NGRAMS = 200_000
-#: Calibration looks at about so many training texts.
-CALIBRATION_DOCS = 8_000
+#: Of n training texts of a language, medians and quantiles are off by n / ACCURACY ranks at most.
+ACCURACY = 10_000
 #: The least limit, in spreads, and the share of a language's own texts that lie within the limit.
 LEAST_LIMIT, WITHIN = 10.0, 0.999
 
@@ -224,7 +224,7 @@ def kneser_ney(langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray,
     return model
 
 
-def fit(train: DataFrame, text: str = "text", lang: str = "lang", most_ngrams: int = MOST_NGRAMS, calibration_docs: int = CALIBRATION_DOCS) -> Model:
+def fit(train: DataFrame, text: str = "text", lang: str = "lang", most_ngrams: int = MOST_NGRAMS) -> Model:
     """Counts all rows of train. What reaches the driver is bounded by languages x most_ngrams."""
     counted = written(count_grams(train, text, lang), "grams")
     steps = counted.groupBy("lang", F.least("n", F.lit(10_000)).alias("n")).agg(F.count("*").alias("kinds"))
@@ -250,34 +250,38 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", most_ngrams: i
         order = np.argsort(own["gram"].to_numpy().view(np.uint64))
         counts[name] = (own["gram"].to_numpy().view(np.uint64)[order], own["n"].to_numpy()[order], n1 / (n1 + 2 * n2) if n1 and n2 else 0.5)
     model = kneser_ney(langs, counts)
-    return calibrate(model, train, text, lang, calibration_docs)
+    return calibrate(model, train, text, lang)
 
 
-def calibrate(model: Model, train: DataFrame, text: str, lang: str, most: int) -> Model:
-    """Sets each language's centre, spread and limit from about `most` of its own training texts."""
+def calibrate(model: Model, train: DataFrame, text: str, lang: str) -> Model:
+    """Sets each language's centre, spread and limit from all of its own training texts, equal ones once."""
+    shape = len(model.langs)
+    model.centre, model.spread, model.limit = np.zeros(shape), np.ones(shape), np.full(shape, LEAST_LIMIT)
+    if not shape:
+        return model
     rows = train.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    n, grain = rows.count(), 1 << 20
-    share = grain if n <= most else max(1, grain * most // n)
-    chosen = rows.filter(F.pmod(F.xxhash64("text"), F.lit(grain)) < share).select("lang", "text")
+    shared = train.sparkSession.sparkContext.broadcast(model)
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        place = {name: j for j, name in enumerate(m.langs)}
         for batch in small_parts(batches):
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            entropies, sizes = model.cross_entropies(texts)
-            own = [entropies[i, model.langs.index(name)] for i, name in enumerate(langs)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.float64()), pa.array(sizes)], names=["lang", "h", "n"])
-
-    seen = chosen.mapInArrow(per_batch, "lang string, h double, n long").filter("n > 0").distinct().limit(8 * most).toPandas() if model.langs else None
-    shape = len(model.langs)
-    model.centre, model.spread, model.limit = np.zeros(shape), np.ones(shape), np.full(shape, LEAST_LIMIT)
-    for j, name in enumerate(model.langs):
-        own = seen[seen["lang"] == name]
-        if len(own) > 1:
-            h, n = own["h"].to_numpy(), own["n"].to_numpy()
-            model.centre[j] = np.median(h)
-            model.spread[j] = max(1e-3, 1.4826 * np.median(np.abs(h - model.centre[j]) / _slack(n)))
-            away = (h - model.centre[j]) / (model.spread[j] * _slack(n))
-            model.limit[j] = max(LEAST_LIMIT, 1.5 * np.quantile(away, WITHIN))
+            entropies, sizes = m.cross_entropies(texts)
+            # A language none of whose texts has a letter is not in the model; such texts have size 0.
+            own = [entropies[i, place[name]] if name in place else 0.0 for i, name in enumerate(langs)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.float64()), pa.array(sizes), pa.array(_slack(sizes), pa.float64())], names=["lang", "h", "n", "slack"])
+
+    seen = written(rows.mapInArrow(per_batch, "lang string, h double, n long, slack double").filter("n > 0").distinct(), "entropies")
+    at = lambda value, share: F.percentile_approx(value, share, ACCURACY)
+    centres = seen.groupBy("lang").agg(at("h", 0.5).alias("centre"))
+    away = (F.col("h") - F.col("centre")) / F.col("slack")
+    found = seen.join(F.broadcast(centres), "lang").groupBy("lang", "centre").agg(F.count("*").alias("texts"), at(F.abs(away), 0.5).alias("mad"), at(away, WITHIN).alias("far"))
+    for r in found.filter("texts > 1").collect():
+        j = model.langs.index(r["lang"])
+        model.centre[j] = r["centre"]
+        model.spread[j] = max(1e-3, 1.4826 * r["mad"])
+        model.limit[j] = max(LEAST_LIMIT, 1.5 * r["far"] / model.spread[j])
     return model
 
 

@@ -33,6 +33,18 @@ def test_language_of_odd_rows(spark):
     assert {r["p"] for r in none.collect()} == {"und"}
 
 
+def test_rare_language_is_calibrated_on_all_its_texts(spark):
+    rare = [f"tämä on {w} lause suomeksi ja {w} vielä" for w in ("yksi", "toinen", "kolmas", "neljäs", "viides", "kuudes", "seitsemäs")]
+    common = spark.range(60_000).select(F.concat(F.lit("this is text "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("text"), F.lit("en").alias("lang"))
+    model = language.fit(common.union(spark.createDataFrame([(t, "fi") for t in rare], "text string, lang string")))
+    j = model.langs.index("fi")
+    own = model.cross_entropies(rare)[0][:, j]
+    assert abs(model.centre[j] - np.median(own)) < 1e-6 and model.spread[j] < 1
+    odd = spark.createDataFrame([("tämä on yksi lause suomeksi",), ("ää öö yy ää öö yy kkkk ääää",)], "text string")
+    got = [r["accepted"] for r in language.identify(odd, model).collect()]
+    assert got == [True, False]
+
+
 def test_quality_on_held_out_rows(spark):
     got = quality.op5_quality(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").filter("held_out").toPandas()
     good, bad = got[got["quality"] == 1], got[got["quality"] == 0]
