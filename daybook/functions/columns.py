@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# What the source files write for "no value", series that are kept, and limits.
-NO_VALUE = ("", "-", "NA", "N/A")
+# Series that are kept, and limits.
 SERIES = ("EQ", "BE", "BZ")
 MAX_PLAUSIBLE_FACTOR = 1000.0
 FACTOR_TOLERANCE = 0.005
 RATIO_TOLERANCE = 1e-6
 
-#: Numbers as the files write them. Keeps out what only one of two languages reads as a number
-#: ("12d", "1_0", "NaN", "Infinity"): such cells are no value.
-NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+#: Numbers as the files write them, between blanks. Keeps out what only one of two languages reads as
+#: a number ("12d", "1_0", "NaN", "Infinity") and the marks of no value: such cells are null.
+NUMBER = r"^ *([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?) *$"
 
 
 def clean(c: Column) -> Column:
@@ -26,9 +25,8 @@ def blank_to_null(c: Column) -> Column:
 
 
 def to_double(c: Column) -> Column:
-    """A number with thousands commas; anything unreadable is null."""
-    text = F.replace(clean(c), F.lit(","), F.lit(""))
-    return F.when(~text.isin(*NO_VALUE) & text.rlike(NUMBER), text.try_cast("double"))
+    """A number with thousands commas; anything unreadable is null. The text is cleaned once: one match gives the number or nothing."""
+    return F.regexp_extract(F.replace(c, F.lit(","), F.lit("")), NUMBER, 1).try_cast("double")
 
 
 def to_long(c: Column) -> Column:

@@ -75,12 +75,16 @@ def _unzipped(files: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 with archive.open(entry) as lines:
                     for part in pd.read_csv(lines, dtype=str, keep_default_na=False, skipinitialspace=True, chunksize=50_000):
                         part.columns = [c.strip() for c in part.columns]
-                        yield part.reindex(columns=list(UDIFF_HEADERS)).assign(path=path)
+                        yield part.reindex(columns=list(UDIFF_HEADERS)).assign(path=path).astype(object)
 
 
 def udiff_bars(spark: SparkSession, path: str) -> DataFrame:
-    """Zipped daily files: stocks only, with their ISIN; delivery columns are null. The trade date is the name's first yyyyMMdd."""
-    raw = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(_unzipped, ", ".join(f"{c} string" for c in (*UDIFF_HEADERS, "path")))
+    return udiff_columns(spark.read.format("binaryFile").load(path))
+
+
+def udiff_columns(archives: DataFrame) -> DataFrame:
+    """Zipped daily files (path, content): stocks only, with their ISIN; delivery columns are null. The trade date is the name's first yyyyMMdd."""
+    raw = archives.select("path", "content").mapInPandas(_unzipped, ", ".join(f"{c} string" for c in (*UDIFF_HEADERS, "path")))
     stocks = raw.filter(clean(F.col("FinInstrmTp")) == "STK")
     name = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"(\d{8})", 1)
     out = stocks.select(

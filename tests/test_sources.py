@@ -2,12 +2,14 @@ import io
 import zipfile
 from datetime import date
 
+import pytest
+
 from daybook.sources import files
 
 LISTING = """SYMBOL,NAME OF COMPANY, SERIES, DATE OF LISTING, PAID UP VALUE, MARKET LOT, ISIN NUMBER, FACE VALUE
-AAA,First Ltd,EQ,06-OCT-2008,5,1,INE000A01011,5
-BBB,Second Ltd,BE,,5,1,INE000A01012,"1,000"
-CCC,No Isin,EQ,01-JAN-2001,5,1,,5
+AAA,First Ltd,EQ,23-Jul-1999,2,1,INE000A01011,2
+BBB,Second Ltd,BE,,10,1,INE000A01012,"1,000"
+CCC,No Isin,EQ,14-FEB-2011,10,1,,10
 """
 DELIVERY = """SYMBOL, SERIES, DATE1, PREV_CLOSE, OPEN_PRICE, HIGH_PRICE, LOW_PRICE, LAST_PRICE, CLOSE_PRICE, AVG_PRICE, TTL_TRD_QNTY, TURNOVER_LACS, NO_OF_TRADES, DELIV_QTY, DELIV_PER
 AAA, EQ, 15-Mar-2024, 99, 100, 110, 95, 104, 105, 101, 1000, 1.5, 10, 400, 40.0
@@ -21,7 +23,7 @@ def test_listing(spark, tmp_path):
     (tmp_path / "list.csv").write_text(LISTING)
     got = {r["symbol"]: r for r in files.listing(spark, str(tmp_path)).collect()}
     assert set(got) == {"AAA", "BBB"}
-    assert got["AAA"]["listing_date"] == date(2008, 10, 6) and got["BBB"]["listing_date"] is None
+    assert got["AAA"]["listing_date"] == date(1999, 7, 23) and got["BBB"]["listing_date"] is None
     assert got["BBB"]["face_value"] == 1000.0
 
 
@@ -69,3 +71,21 @@ def test_actions_and_candles(spark, tmp_path):
     (tmp_path / "c" / "INE000A01012.json").write_text('["error"]')
     got = files.candles(spark, str(tmp_path / "c")).collect()
     assert [(r["isin"], r["trade_date"], r["volume"]) for r in got] == [("INE000A01011", date(2026, 9, 17), 90), ("INE000A01011", date(2026, 9, 18), 100)]
+
+
+def test_missing_columns_empty_files_and_other_headers(spark, tmp_path):
+    lines = DELIVERY.splitlines()
+    short = "\n".join(",".join(line.split(",")[:11]) for line in lines)  # no turnover, trades or delivery
+    (tmp_path / "short").mkdir()
+    (tmp_path / "short" / "d_15032024.csv").write_text(short)
+    got = {r["symbol"]: r for r in files.delivery_bars(spark, str(tmp_path / "short")).collect()}
+    assert set(got) == {"AAA", "BBB"} and got["AAA"]["deliv_qty"] is None and got["AAA"]["turnover"] is None
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "d_18032024.csv").write_text(lines[0] + "\n")
+    assert files.delivery_bars(spark, str(tmp_path / "none")).count() == 0
+    (tmp_path / "mixed").mkdir()
+    (tmp_path / "mixed" / "d_15032024.csv").write_text(DELIVERY)
+    swapped = [",".join([c[1], c[0], *c[2:]]) for c in (line.split(",") for line in lines)]
+    (tmp_path / "mixed" / "d_18032024.csv").write_text("\n".join(swapped))
+    with pytest.raises(Exception):  # columns in another order are refused, not mixed up
+        files.delivery_bars(spark, str(tmp_path / "mixed")).collect()
