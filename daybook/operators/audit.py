@@ -44,7 +44,9 @@ def assess(dates: DataFrame, log: DataFrame, manifest: DataFrame, source: str) -
 
 
 def freshness(spark: SparkSession, log: DataFrame, manifest: DataFrame, source: str, today: date, n: int) -> DataFrame:
-    return assess(expected_dates(spark, today, n), log, manifest, source)
+    """The n days before today. Only those days of log and manifest are read."""
+    first = F.date_sub(F.lit(today).cast("date"), n)
+    return assess(expected_dates(spark, today, n), log.filter(F.col("data_date") >= first), manifest.filter(F.col("trade_date") >= first), source)
 
 
 def overall(assessed: DataFrame) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .calendar import classify_loaded, classify_missing
-from .quality import accepted, batch_findings
+from .quality import judged_dates, storable
 
 DETAIL_WIDTH = 4000
 
@@ -20,17 +23,15 @@ def latest_bar(bars: DataFrame) -> DataFrame:
 
 
 def load_status(expected: DataFrame, bars: DataFrame, today: Column) -> DataFrame:
-    """trade_date, status, rows_loaded of every expected date.
+    """trade_date, status, rows_loaded of every expected date, in one scan of bars.
 
     Dates without bars are failed or no_data by their age; dates with an error among their findings are
     failed whole; others are loaded or partial. One bad date does not touch the others.
     """
-    good = coverage(accepted(bars, batch_findings(bars)))
-    there = bars.select("trade_date").distinct().withColumn("_there", F.lit(True))
-    joined = expected.join(there, "trade_date", "left").join(good, "trade_date", "left")
-    d = F.col("trade_date")
-    status = F.when(F.col("_there").isNull(), classify_missing(d, today)).when(F.col("n_bars").isNull(), "failed").otherwise(classify_loaded(F.col("any_delivery"), d, today))
-    return joined.select("trade_date", status.alias("status"), F.coalesce("n_bars", F.lit(0)).cast("int").alias("rows_loaded"))
+    joined = expected.join(judged_dates(bars), "trade_date", "left")
+    d, good = F.col("trade_date"), F.col("n_bars").isNotNull() & ~F.col("has_error")
+    status = F.when(F.col("n_bars").isNull(), classify_missing(d, today)).when(F.col("has_error"), "failed").otherwise(classify_loaded(F.col("n_delivery") > 0, d, today))
+    return joined.select("trade_date", status.alias("status"), F.when(good, F.col("n_bars")).otherwise(0).cast("int").alias("rows_loaded"), (F.col("n_bars").isNull() & (status == "failed")).alias("pending"))
 
 
 def finding_rows(findings: DataFrame, run_id: Column) -> DataFrame:
@@ -38,20 +39,61 @@ def finding_rows(findings: DataFrame, run_id: Column) -> DataFrame:
     return findings.withColumns({"detail": F.left("detail", F.lit(DETAIL_WIDTH)), "run_id": run_id})
 
 
+def append_findings(findings: DataFrame, run_id: int, path: str) -> None:
+    """Appends a run's findings to the stored ones, if their severities are known."""
+    storable(finding_rows(findings, F.lit(run_id).cast("long")), "findings").write.mode("append").parquet(path)
+
+
+EVENTS = "run_id long, event_time timestamp, status string, commit_sha string, notes string"
+
+
+def record_event(spark: SparkSession, path: str, run_id: int, status: str, at: datetime, commit: str | None = None, notes: str = "") -> None:
+    """Appends one event of a run: running, succeeded, halted or failed."""
+    spark.createDataFrame([(run_id, at, status, commit, notes[:DETAIL_WIDTH])], EVENTS).write.mode("append").parquet(path)
+
+
+def recorded_run(spark: SparkSession, path: str, run_id: int, work: Callable[[], DataFrame], clock: Callable[[], datetime], commit: str | None = None) -> str:
+    """Runs work, which returns its findings, between an opening and a closing event; returns the closing status.
+
+    An error among the findings closes the run as halted; what was written before stays. An exception
+    closes it as failed and is raised again.
+    """
+    record_event(spark, path, run_id, "running", clock(), commit)
+    try:
+        status = "succeeded" if work().filter("severity = 'error'").isEmpty() else "halted"
+    except Exception as error:
+        record_event(spark, path, run_id, "failed", clock(), commit, str(error))
+        raise
+    record_event(spark, path, run_id, status, clock(), commit)
+    return status
+
+
 def run_state(events: DataFrame) -> DataFrame:
     """Current state of each run from its appended events (run_id, event_time, status, notes)."""
     last = F.max_by(F.struct("status", F.left("notes", F.lit(DETAIL_WIDTH)).alias("notes")), F.col("event_time"))
     return events.groupBy("run_id").agg(F.min("event_time").alias("started"), last.alias("last")).select("run_id", "started", "last.*")
 
 
-def run_summary(status: DataFrame, findings: DataFrame) -> DataFrame:
-    """One row: date lists by outcome, row and finding counts, and the run's status (halted on any error)."""
-    def dates(*outcomes: str) -> Column:
-        return F.sort_array(F.collect_set(F.when(F.col("status").isin(*outcomes), F.col("trade_date"))))
+def run_summary(status: DataFrame, findings: DataFrame, run_id: Column | None = None, **counted: DataFrame) -> DataFrame:
+    """One row: date lists by outcome, counts of what was written and found, and the run's status (halted on any error).
 
-    left = status.agg(dates("loaded", "partial").alias("dates_loaded"), dates("no_data").alias("dates_no_data"), dates("failed").alias("dates_failed"), dates("partial").alias("dates_partial"), F.coalesce(F.sum("rows_loaded"), F.lit(0)).alias("bars_written"))
-    right = findings.agg(F.count("*").alias("n_findings"), F.count_if(F.col("severity") == "error").alias("n_errors"))
-    return left.join(right).withColumn("run_status", F.when(F.col("n_errors") > 0, "halted").otherwise("succeeded"))
+    counted: the tables whose rows are counted, by the name of their counter, such as universe_symbols,
+    adjusted_bars_written, corporate_actions_written and factors_written.
+    """
+    def dates(which: Column) -> Column:
+        return F.sort_array(F.collect_set(F.when(which, F.col("trade_date"))))
+
+    of = F.col("status")
+    pending = F.col("pending") if "pending" in status.columns else F.lit(False)
+    out = status.agg(
+        dates(of.isin("loaded", "partial")).alias("dates_loaded"), dates(of == "no_data").alias("dates_no_data"), dates((of == "failed") & ~pending).alias("dates_failed"),
+        dates(pending).alias("dates_pending"), dates(of == "partial").alias("dates_partial"), F.coalesce(F.sum("rows_loaded"), F.lit(0)).alias("bars_written"),
+    )
+    parts = [df.agg(F.count("*").alias(name)) for name, df in counted.items()]
+    parts.append(findings.agg(F.count("*").alias("n_findings"), F.count_if(F.col("severity") == "error").alias("n_errors")))
+    for part in parts:  # single rows
+        out = out.join(part)
+    return out.select((F.lit(None).cast("long") if run_id is None else run_id).alias("run_id"), "*", F.when(F.col("n_errors") > 0, "halted").otherwise("succeeded").alias("run_status"))
 
 
 def summary_text(summary: DataFrame) -> DataFrame:

@@ -39,17 +39,39 @@ def duplicate_keys(bars: DataFrame) -> DataFrame:
     return bars.groupBy("symbol_id", "trade_date", "series").agg(F.count("*").alias("n")).filter("n > 1")
 
 
+def _broken_rules(bars: DataFrame) -> Column:
+    """array<struct<check_name, detail>>: what is wrong with a row of bars by itself."""
+    found = [F.when(rule, F.struct(F.lit("ohlc_insane").alias("check_name"), F.lit(name).alias("detail"))) for name, rule in ohlc_rules().items()]
+    other_day = F.col("file_date").isNotNull() & (F.col("file_date") != F.col("trade_date"))
+    found.append(F.when(other_day, F.struct(F.lit("date_mismatch").alias("check_name"), F.concat(F.lit("bar dated "), F.col("file_date").cast("string")).alias("detail"))))
+    return F.array_compact(F.array(*found))
+
+
 def batch_findings(bars: DataFrame, expected: DataFrame | None = None) -> DataFrame:
-    """All structural findings of all trade dates in one pass; expected dates without bars give empty_batch."""
-    duplicates = _findings(duplicate_keys(bars), "duplicate_bar", "error", F.concat_ws(" ", F.lit("series"), "series"))
-    mismatched = _findings(bars.filter(F.col("file_date").isNotNull() & (F.col("file_date") != F.col("trade_date"))), "date_mismatch", "error", F.concat(F.lit("bar dated "), F.col("file_date").cast("string")))
-    out = ohlc_findings(bars).unionByName(duplicates).unionByName(mismatched)
+    """All structural findings of all trade dates in one scan of bars; expected dates without bars give empty_batch (a second scan, of dates only).
+
+    Every row counts once for its key; what is wrong with it is counted beside. The counts are summed
+    before the exchange, so a key that many rows share costs no more than others.
+    """
+    key = F.struct(F.lit("duplicate_bar").alias("check_name"), F.concat_ws(" ", F.lit("series"), "series").alias("detail"))
+    rows = bars.select("symbol_id", "trade_date", "series", F.explode(F.concat(F.array(key), _broken_rules(bars))).alias("f"))
+    counted = rows.groupBy("symbol_id", "trade_date", "series", "f").agg(F.count("*").alias("n"))
+    of_key = F.col("f.check_name") == "duplicate_bar"
+    times = F.when(of_key, F.when(F.col("n") > 1, 1).otherwise(0)).otherwise(F.col("n")).cast("int")
+    out = counted.select("symbol_id", "trade_date", "f", F.explode(F.array_repeat(F.lit(1), times)))
+    out = out.select("f.check_name", F.lit("error").alias("severity"), "f.detail", F.col("symbol_id").cast("long").alias("symbol_id"), "trade_date")
     if expected is not None:
         empty = expected.join(bars.select("trade_date").distinct(), "trade_date", "left_anti")
         out = out.unionByName(_findings(empty, "empty_batch", "error", F.lit("no bars"), F.lit(None)))
     return out
 
 
+def judged_dates(bars: DataFrame) -> DataFrame:
+    """trade_date, n_bars, n_delivery and has_error (any structural finding) of every trade date, in one scan."""
+    keys = bars.groupBy("symbol_id", "trade_date", "series").agg(F.count("*").alias("n"), F.count("deliv_pct").alias("d"), F.bool_or(F.size(_broken_rules(bars)) > 0).alias("broken"))
+    return keys.groupBy("trade_date").agg(F.sum("n").alias("n_bars"), F.sum("d").alias("n_delivery"), F.bool_or(F.col("broken") | (F.col("n") > 1)).alias("has_error"))
+
+
 def accepted(bars: DataFrame, findings: DataFrame) -> DataFrame:
     """Bars of trade dates without an error: a date with one is rejected whole."""
     bad = findings.filter("severity = 'error'").select("trade_date").distinct()
@@ -100,7 +122,7 @@ def bar_constraints() -> dict[str, Column]:
     c = F.col
     prices = c("open").isNull() | c("high").isNull() | c("low").isNull() | c("close").isNull()
     shape = (c("high") < c("low")) | (c("high") < c("open")) | (c("high") < c("close")) | (c("low") > c("open")) | (c("low") > c("close"))
-    return {"not_null": c("symbol_id").isNull() | c("trade_date").isNull() | c("series").isNull() | prices, "ohlc": F.coalesce(shape, F.lit(False)), "volume": F.coalesce(c("volume") < 0, F.lit(False))}
+    return {"not_null": c("symbol_id").isNull() | c("trade_date").isNull() | c("series").isNull() | prices, "ohlc": F.coalesce(shape, F.lit(False)), "positive": F.coalesce((c("open") <= 0) | (c("close") <= 0), F.lit(False)), "volume": F.coalesce(c("volume") < 0, F.lit(False))}
 
 
 CONSTRAINTS = {
@@ -108,16 +130,18 @@ CONSTRAINTS = {
     "membership": lambda: {"range": F.col("valid_to") < F.col("valid_from"), "not_null": F.col("valid_from").isNull() | F.col("valid_to").isNull()},
     "log": lambda: {"status": ~F.coalesce(F.col("status").isin(*STATUSES), F.lit(False))},
     "findings": lambda: {"severity": ~F.coalesce(F.col("severity").isin(*SEVERITIES), F.lit(False))},
+    "actions": lambda: {"not_null": F.col("symbol_id").isNull() | F.col("ex_date").isNull() | F.col("purpose").isNull() | F.col("source").isNull()},
+    "symbols": lambda: {"not_null": F.col("isin").isNull() | F.col("symbol").isNull() | F.col("first_seen").isNull() | F.col("last_seen").isNull()},
     "factors": lambda: {"positive": ~F.coalesce(F.col("factor") > 0, F.lit(False))},
 }
 
 
 def violations(df: DataFrame, rules: Mapping[str, Column], unique: tuple[str, ...] = ()) -> DataFrame:
-    """rule, n: how many rows break each rule (keys, for uniqueness); rules that hold are not listed."""
+    """rule, n: how many rows break each rule (keys, for uniqueness); rules that hold are not listed. Keys with nulls never repeat."""
     broken = F.array_compact(F.array(*(F.when(F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items())))
     out = df.select(F.explode(broken).alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
     if unique:
-        repeated = df.groupBy(*unique).agg(F.count("*").alias("_n")).filter("_n > 1").agg(F.count("*").alias("n"))
+        repeated = df.dropna(subset=list(unique)).groupBy(*unique).agg(F.count("*").alias("_n")).filter("_n > 1").agg(F.count("*").alias("n"))
         out = out.unionByName(repeated.filter("n > 0").select(F.lit("unique").alias("rule"), "n"))
     return out
 
@@ -130,6 +154,15 @@ def assert_constraints(df: DataFrame, rules: Mapping[str, Column], unique: tuple
     return df
 
 
+#: The keys that each table's rows are unique by.
+UNIQUE = {"bars": ("symbol_id", "trade_date", "series"), "membership": ("symbol_id", "series", "valid_from"), "log": ("source", "data_date"), "findings": (), "actions": ("symbol_id", "ex_date", "purpose"), "symbols": ("isin",), "factors": ("symbol_id", "trade_date")}
+
+
+def storable(df: DataFrame, table: str) -> DataFrame:
+    """df, if it keeps the constraints of the stored table; this runs a job."""
+    return assert_constraints(df, CONSTRAINTS[table](), UNIQUE[table])
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Rows of child whose key is not in parent; null keys refer to nothing and are no orphans."""
     return child.filter(F.col(key).isNotNull()).join(parent.select(key).distinct(), key, "left_anti")

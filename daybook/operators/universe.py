@@ -21,10 +21,19 @@ def observations(snapshots: DataFrame) -> DataFrame:
     return dates.select("snapshot_date", F.row_number().over(order).alias("ordinal"), F.lag("snapshot_date").over(order).alias("previous"))
 
 
+#: Observation dates are broadcast up to so many (some 180 years of days); beyond, the planner decides.
+MOST_DATES = 1 << 16
+
+
+def _small(dates: DataFrame) -> DataFrame:
+    """dates, marked for broadcasting only within MOST_DATES; one count of distinct dates."""
+    return F.broadcast(dates) if dates.limit(MOST_DATES + 1).count() <= MOST_DATES else dates
+
+
 def build_intervals(snapshots: DataFrame) -> DataFrame:
     """One row for each unbroken run of observations of a (symbol, series)."""
     rows = snapshots.groupBy("snapshot_date", *KEYS).agg(F.min("listing_date").alias("listing_date"))
-    numbered = rows.join(F.broadcast(observations(snapshots)), "snapshot_date")
+    numbered = rows.join(_small(observations(snapshots)), "snapshot_date")
     island = F.col("ordinal") - F.row_number().over(W.partitionBy(*KEYS).orderBy("snapshot_date"))
     return (
         numbered.withColumn("_island", island)
@@ -45,7 +54,7 @@ def universe_on(intervals: DataFrame, symbols: DataFrame, day: Column) -> DataFr
 
 def expand(intervals: DataFrame, dates: DataFrame) -> DataFrame:
     """Intervals as one row for each observation date they cover: equality joins on ordinals, no range join."""
-    ordinal = F.broadcast(dates.select("snapshot_date", "ordinal"))
+    ordinal = _small(dates.select("snapshot_date", "ordinal"))
     at = lambda c, name: ordinal.select(F.col("snapshot_date").alias(c), F.col("ordinal").alias(name))
     spans = intervals.join(at("valid_from", "_a"), "valid_from").join(at("valid_to", "_b"), "valid_to")
     return spans.withColumn("ordinal", F.explode(F.sequence("_a", "_b"))).join(ordinal, "ordinal").select("snapshot_date", *KEYS)
@@ -84,13 +93,13 @@ def change_kind(previous_observation: Column) -> Column:
 
 def changes(intervals: DataFrame, dates: DataFrame) -> DataFrame:
     """symbol_id, series, valid_from, kind of every interval that began after the first observation."""
-    previous = F.broadcast(dates.select(F.col("snapshot_date").alias("valid_from"), "previous"))
+    previous = _small(dates.select(F.col("snapshot_date").alias("valid_from"), "previous"))
     return with_previous(intervals).join(previous, "valid_from").filter(F.col("previous").isNotNull()).select(*KEYS, "valid_from", change_kind(F.col("previous")).alias("kind"))
 
 
 def closed(intervals: DataFrame, dates: DataFrame) -> DataFrame:
     """Intervals that end before the last observation: closed_on is the next one; reappears: as another series of the symbol on that date."""
-    following = F.broadcast(dates.select(F.col("previous").alias("valid_to"), F.col("snapshot_date").alias("closed_on")).filter("valid_to IS NOT NULL"))
+    following = _small(dates.select(F.col("previous").alias("valid_to"), F.col("snapshot_date").alias("closed_on")).filter("valid_to IS NOT NULL"))
     ended = intervals.join(following, "valid_to").select(*KEYS, "valid_from", "valid_to", "closed_on")
     begun = intervals.select("symbol_id", F.col("valid_from").alias("closed_on")).distinct().withColumn("reappears", F.lit(True))
     return ended.join(begun, ["symbol_id", "closed_on"], "left").withColumn("reappears", F.coalesce("reappears", F.lit(False)))
@@ -106,6 +115,43 @@ def report_verdict(changed: DataFrame) -> DataFrame:
     return changed.agg(*(F.count_if(F.col("kind") == k).alias(k.lower()) for k in kinds)).withColumn("verdict", F.when(F.col("suspect_split") > 0, "fail").otherwise("ok"))
 
 
+def opened_since(intervals: DataFrame, since: Column, previous: Column) -> DataFrame:
+    """Intervals that began on `since` or later, with the interval before them and the kind of change."""
+    return with_previous(intervals).filter(F.col("valid_from") >= since).withColumn("kind", change_kind(previous))
+
+
+def closed_at(intervals: DataFrame, opened: DataFrame, previous: Column) -> DataFrame:
+    """Intervals that end on `previous`; reappears: their symbol is among those opened."""
+    again = opened.select("symbol_id").distinct().withColumn("reappears", F.lit(True))
+    return intervals.filter(F.col("valid_to") == previous).join(again, "symbol_id", "left").withColumn("reappears", F.coalesce("reappears", F.lit(False)))
+
+
+def change_report(intervals: DataFrame, latest: Column, previous: Column, since: Column | None = None) -> DataFrame:
+    """The report of one observation: section, symbol_id, series, valid_from, valid_to, note, n.
+
+    Sections: size (of the previous and the latest day), opened (since the latest day, or `since`; note: the
+    kind), kind (how many of each), closed (at the previous day; note: whether the symbol opened anew), and
+    verdict (FAIL if an interval was split that should have gone on; n: how many).
+    """
+    opened = opened_since(intervals, latest if since is None else since, previous)
+    whole = ("symbol_id", "series", "valid_from", "valid_to")
+    none = [F.lit(None).cast(intervals.schema[c].dataType).alias(c) for c in whole]
+    row = lambda section, columns, note, n: (F.lit(section).alias("section"), *columns, note.alias("note"), n.cast("long").alias("n"))
+    days = intervals.select(F.explode(F.filter(F.array(previous, latest), lambda d: d.isNotNull())).alias("day"), "valid_from", "valid_to").filter("valid_from <= day AND valid_to >= day")
+    sizes = days.groupBy("day").agg(F.count("*").alias("n")).select(*row("size", none, F.col("day").cast("string"), F.col("n")))
+    kinds = opened.groupBy("kind").agg(F.count("*").alias("n")).select(*row("kind", none, F.col("kind"), F.col("n")))
+    note = F.when(F.col("reappears"), "reappears under another series").otherwise("absent from the latest list")
+    split = opened.agg(F.count_if(F.col("kind") == "SUSPECT_SPLIT").alias("n"))
+    parts = [
+        sizes, kinds, opened.select(*row("opened", whole, F.col("kind"), F.lit(None))), closed_at(intervals, opened, previous).select(*row("closed", whole, note, F.lit(None))),
+        split.select(*row("verdict", none, F.when(F.col("n") > 0, "FAIL").otherwise("OK"), F.col("n"))),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def record_snapshot(intervals: DataFrame, today: DataFrame, day: Column, previous: Column) -> DataFrame:
     """The intervals after one more snapshot: those that reach `previous` go on to `day`, other rows open a new one.
 

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 RULES = {
     "new": lambda new, old: new,
@@ -89,18 +91,61 @@ def with_ids(rows: DataFrame, ids: DataFrame, on: str) -> tuple[DataFrame, DataF
     return rows.join(ids, on), rows.join(ids.select(on), on, "left_anti")
 
 
-def new_symbol_ids(symbols: DataFrame, rows: DataFrame) -> DataFrame:
+def new_symbol_ids(symbols: DataFrame, rows: DataFrame, prefix: int = 6) -> DataFrame:
     """isin, symbol_id of ISINs that symbols lacks: numbered on from the largest id, by ISIN.
 
-    The numbering window has no key, but runs on ISINs never seen before only.
+    ISINs are numbered within their first `prefix` characters; only the counts of those are summed in
+    one window without a key.
     """
-    new = rows.select("isin").filter("isin IS NOT NULL").distinct().join(symbols.select("isin"), "isin", "left_anti")
+    new = rows.select("isin").filter("isin IS NOT NULL").distinct().join(symbols.select("isin"), "isin", "left_anti").withColumn("_p", F.substring("isin", 1, prefix))
     top = symbols.agg(F.coalesce(F.max("symbol_id"), F.lit(0)).alias("_top"))
-    numbered = new.select("isin", F.row_number().over(W.orderBy("isin")).alias("_n"))
-    return numbered.join(F.broadcast(top)).select("isin", (F.col("_top") + F.col("_n")).cast("long").alias("symbol_id"))
+    before = F.coalesce(F.sum("_k").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = new.groupBy("_p").agg(F.count("*").alias("_k")).select("_p", before.alias("_before"))
+    numbered = new.withColumn("_n", F.row_number().over(W.partitionBy("_p").orderBy("isin"))).join(starts, "_p")
+    return numbered.join(F.broadcast(top)).select("isin", (F.col("_top") + F.col("_before") + F.col("_n")).cast("long").alias("symbol_id"))
+
+
+def seen_symbols(symbols: DataFrame, listed: DataFrame, today: Column) -> DataFrame:
+    """symbols after a listing (isin, symbol, name, face_value, listing_date) of the day, with ids for new ISINs.
+
+    A new ISIN was first seen on its listing date, or today if the listing has none. Of rows with one ISIN
+    the one with the last symbol in the order of text counts.
+    """
+    rows = last_by_key(listed.filter("isin IS NOT NULL"), ("isin",), "symbol", "name", "face_value")
+    updates = rows.select("isin", "symbol", F.nullif(F.trim("name"), F.lit("")).alias("name"), "face_value", F.coalesce("listing_date", today).alias("first_seen"), today.alias("last_seen"))
+    ids = new_symbol_ids(symbols, updates).unionByName(symbols.select("isin", "symbol_id"))
+    return keyed_upsert(symbols, updates.join(ids, "isin"), *SYMBOLS)
+
+
+def symbols_by_ticker(symbols: DataFrame, limit: int = 0) -> DataFrame:
+    """isin, symbol_id, symbol in the order of tickers; the first `limit`, or all for 0."""
+    out = symbols.select("isin", "symbol_id", "symbol").orderBy("symbol", "isin")
+    return out.limit(limit) if limit else out
 
 
 def write_partitions(df: DataFrame, path: str, month_of: str) -> None:
     """Replaces the months that df has rows of; other months stay. df must hold those months whole."""
     months = df.withColumn("trade_month", F.date_format(month_of, "yyyy-MM"))
     months.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("trade_month").parquet(path)
+
+
+def months_after(spark: SparkSession, path: str, schema: StructType, updates: DataFrame, keys: Sequence[str], rules: Mapping[str, str], month_of: str) -> DataFrame:
+    """The rows that the months of updates (one for each key) hold after them. Only those months of the stored table are read."""
+    months = [r["m"] for r in updates.select(F.date_format(month_of, "yyyy-MM").alias("m")).distinct().collect()]
+    stored = StructType([*schema.fields, StructField("trade_month", StringType())])
+    try:
+        old = spark.read.schema(stored).parquet(path).filter(F.col("trade_month").isin(months)).drop("trade_month")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        old = spark.createDataFrame([], schema)  # nothing stored yet
+    return keyed_upsert(old, updates, keys, rules)
+
+
+def upsert_months(spark: SparkSession, path: str, schema: StructType, updates: DataFrame, keys: Sequence[str], rules: Mapping[str, str], month_of: str) -> None:
+    """Upserts into a table that is stored by month: reads and replaces the months that updates touch.
+
+    Doing it again changes nothing, so a batch that is lost half-way is simply done again. Keys hold
+    month_of, so that a key never moves to another month.
+    """
+    write_partitions(months_after(spark, path, schema, updates, keys, rules, month_of), path, month_of)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timedelta
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import columns as C
@@ -63,7 +66,8 @@ def universe_size_by_date(spark, sf_dir):
 
 
 @registered("""
-    SELECT CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra, r.n AS n_rows, i.n AS n_intervals, round(100.0 * (r.n - i.n) / r.n, 1) AS reduction_pct
+    SELECT (SELECT count(*) FROM (SELECT snapshot_date, symbol_id, series FROM ({snapshots}) a EXCEPT SELECT d.snapshot_date, v.symbol_id, v.series FROM ({intervals}) v JOIN ({dates}) d ON d.snapshot_date BETWEEN v.valid_from AND v.valid_to) e) AS missing,
+           (SELECT count(*) FROM (SELECT d.snapshot_date, v.symbol_id, v.series FROM ({intervals}) v JOIN ({dates}) d ON d.snapshot_date BETWEEN v.valid_from AND v.valid_to EXCEPT SELECT snapshot_date, symbol_id, series FROM ({snapshots}) a) e) AS extra, r.n AS n_rows, i.n AS n_intervals, round(100.0 * (r.n - i.n) / r.n, 1) AS reduction_pct
     FROM (SELECT count(*) AS n FROM (SELECT DISTINCT snapshot_date, symbol_id, series FROM ({snapshots}) s) x) r, (SELECT count(*) AS n FROM ({intervals}) y) i""")
 def interval_equivalence(spark, sf_dir):
     snapshots, intervals, _ = _intervals(spark, sf_dir)
@@ -120,6 +124,31 @@ def universe_incremental(spark, sf_dir):
     return out
 
 
+_LATEST = "(SELECT max(snapshot_date) FROM ({snapshots}) z)"
+_PREVIOUS = "(SELECT max(previous) FROM ({dates}) z)"
+_OPENED = f"""
+    SELECT m.symbol_id, m.series, m.valid_from, m.valid_to,
+           CASE WHEN p.series IS NULL THEN 'new_symbol' WHEN p.series <> m.series THEN 'series_change' WHEN p.valid_to = {_PREVIOUS} THEN 'SUSPECT_SPLIT' ELSE 'gap_relist' END AS kind
+    FROM ({{intervals}}) m LEFT JOIN (
+        SELECT a.symbol_id, a.series AS own, a.valid_from AS own_from, b.series, b.valid_to, row_number() OVER (PARTITION BY a.symbol_id, a.series, a.valid_from ORDER BY b.valid_from DESC, b.series DESC) AS n
+        FROM ({{intervals}}) a JOIN ({{intervals}}) b ON a.symbol_id = b.symbol_id AND b.valid_from < a.valid_from) p ON p.symbol_id = m.symbol_id AND p.own = m.series AND p.own_from = m.valid_from AND p.n = 1
+    WHERE m.valid_from >= {_LATEST}"""
+
+
+@registered(f"""
+    SELECT 'size' AS section, NULL AS symbol_id, NULL AS series, NULL AS valid_from, NULL AS valid_to, CAST(d.day AS VARCHAR) AS note, count(*) AS n
+    FROM (SELECT {_LATEST} AS day UNION ALL SELECT {_PREVIOUS}) d JOIN ({{intervals}}) i ON i.valid_from <= d.day AND i.valid_to >= d.day GROUP BY d.day
+    UNION ALL SELECT 'kind', NULL, NULL, NULL, NULL, kind, count(*) FROM ({_OPENED}) o GROUP BY kind
+    UNION ALL SELECT 'opened', symbol_id, series, valid_from, valid_to, kind, NULL FROM ({_OPENED}) o
+    UNION ALL SELECT 'closed', symbol_id, series, valid_from, valid_to, CASE WHEN symbol_id IN (SELECT symbol_id FROM ({_OPENED}) o) THEN 'reappears under another series' ELSE 'absent from the latest list' END, NULL FROM ({{intervals}}) i WHERE valid_to = {_PREVIOUS}
+    UNION ALL SELECT 'verdict', NULL, NULL, NULL, NULL, CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'OK' END, count(*) FROM ({_OPENED}) o WHERE kind = 'SUSPECT_SPLIT'""")
+def universe_report(spark, sf_dir):
+    """What the latest observation changed."""
+    _, intervals, dates = _intervals(spark, sf_dir)
+    latest, previous = (r["snapshot_date"] for r in universe.latest_two(dates).collect())
+    return universe.change_report(intervals, F.lit(latest), F.lit(previous))
+
+
 # --- parsing
 
 
@@ -165,6 +194,29 @@ def parse_candles(spark, sf_dir):
     return files.candle_columns(d.select(body.alias("body"), "l_partkey"), "body", F.concat(F.lit("INE"), F.col("l_partkey").cast("string"))).select("isin", "trade_date", "close", "volume")
 
 
+def _zipped(rows: pd.DataFrame) -> pd.DataFrame:
+    """One day's rows as a zipped file."""
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as archive:
+        archive.writestr("about.txt", "no data")
+        archive.writestr("DAY.CSV", rows.drop(columns="day").to_csv(index=False))
+    return pd.DataFrame({"path": [f"/landed/BhavCopy_{rows['day'].iloc[0]}_F.zip"], "content": [content.getvalue()]}, dtype=object)
+
+
+@registered("""
+    SELECT concat('SYM', CAST(l_partkey AS VARCHAR)) AS symbol, concat('INE', CAST(l_partkey AS VARCHAR)) AS isin, CASE l_returnflag WHEN 'A' THEN 'EQ' ELSE 'BE' END AS series, ship_date AS trade_date, ship_date AS file_date,
+           whole_price + 0.5 AS close, CAST(l_quantity AS BIGINT) AS volume
+    FROM ({dirty}) d WHERE l_returnflag <> 'R' AND l_orderkey % 11 <> 0 AND l_orderkey % 13 <> 0 AND l_orderkey % 17 <> 0 AND l_orderkey % 5 <> 0""")
+def parse_zip(spark, sf_dir):
+    """A zipped file for each ship date; every fifth order is no stock."""
+    d = view(spark, sf_dir, "dirty")
+    cells = {"TradDt": F.col("ship_date").cast("string"), "FinInstrmTp": F.when(F.col("l_orderkey") % 5 == 0, " IDX").otherwise(" STK "), "ISIN": F.concat(F.lit("INE"), F.col("l_partkey").cast("string")), "TckrSymb": F.col("symbol_text"), " SctySrs": F.col("series_text")}
+    cells |= {c: F.col("price_text") for c in ("OpnPric", "HghPric", "LwPric", "ClsPric")} | {"TtlTradgVol": F.col("qty_text")}
+    rows = d.select(F.date_format("ship_date", "yyyyMMdd").alias("day"), *(c.alias(n) for n, c in cells.items()))
+    archives = rows.groupBy("day").applyInPandas(_zipped, "path string, content binary")
+    return files.udiff_columns(archives).select("symbol", "isin", "series", "trade_date", "file_date", "close", "volume")
+
+
 @registered("""
     SELECT concat('SYM', CAST(l_partkey AS VARCHAR)) AS symbol, ship_date AS ex_date, CASE WHEN l_linenumber % 2 = 0 THEN 'DIVIDEND' ELSE 'unspecified' END AS purpose, l_quantity AS face_value
     FROM ({dirty}) d WHERE l_orderkey % 7 <> 0""")
@@ -232,6 +284,18 @@ def duplicate_bars(spark, sf_dir):
     return quality.duplicate_keys(rows)
 
 
+_ROWS = "SELECT l_partkey % 50 AS symbol_id, CAST(l_shipdate AS DATE) AS trade_date, l_returnflag AS series, CAST(1 AS DOUBLE) AS open, CAST(2 AS DOUBLE) AS high, CAST(1 AS DOUBLE) AS low, CAST(2 AS DOUBLE) AS close, CAST(l_orderkey % 40 - 1 AS BIGINT) AS volume, CAST(l_shipdate AS DATE) AS file_date FROM {lineitem} WHERE day(l_shipdate) % 10 <> 0"
+
+
+@registered(f"""
+    SELECT 'duplicate_bar' AS check_name, 'error' AS severity, concat('series ', series) AS detail, symbol_id, trade_date FROM ({_ROWS}) r GROUP BY symbol_id, trade_date, series HAVING count(*) > 1
+    UNION ALL SELECT 'ohlc_insane', 'error', 'negative volume', symbol_id, trade_date FROM ({_ROWS}) r WHERE volume < 0
+    UNION ALL SELECT 'empty_batch', 'error', 'no bars', NULL, CAST(d AS DATE) FROM range(DATE '1998-01-01', DATE '1998-04-01', INTERVAL 1 DAY) w(d) WHERE isodow(CAST(d AS DATE)) < 6 AND CAST(d AS DATE) NOT IN (SELECT trade_date FROM ({_ROWS}) r)""")
+def repeated_and_empty_batches(spark, sf_dir):
+    """Line items as bars: keys repeat, and every tenth day has none."""
+    return quality.batch_findings(query(spark, sf_dir, _ROWS), calendar.candidate_dates(spark, START, TODAY))
+
+
 @registered(f"SELECT symbol_id, trade_date, series, close FROM ({{bars}}) b WHERE trade_date NOT IN (SELECT trade_date FROM ({_BATCH}) f)")
 def accepted_batches(spark, sf_dir):
     bars = view(spark, sf_dir, "bars")
@@ -277,10 +341,10 @@ def factor_findings(spark, sf_dir):
 
 
 @registered(f"""
-    SELECT symbol_id, trade_date, CAST(round(factor, 6) AS DECIMAL(18, 6)) AS factor
+    SELECT symbol_id, trade_date, CAST(round(factor, 8) AS DECIMAL(18, 8)) AS factor
     FROM (SELECT *, row_number() OVER (PARTITION BY symbol_id, trade_date ORDER BY CASE series WHEN 'EQ' THEN 1 WHEN 'BE' THEN 2 ELSE 3 END) AS n FROM ({_JUDGED}) j WHERE check_name IS NULL OR check_name = 'volume_factor_mismatch') k WHERE n = 1""")
 def adjustment_factors(spark, sf_dir):
-    return quality.adjustment_factors(_pairs(spark, sf_dir)).select("symbol_id", "trade_date", F.round("factor", 6).cast("decimal(18,6)").alias("factor"))
+    return quality.adjustment_factors(_pairs(spark, sf_dir)).select("symbol_id", "trade_date", F.col("factor").cast("decimal(18,8)").alias("factor"))
 
 
 @registered("SELECT symbol_id, trade_date, series, CASE WHEN open <> 0 AND high <> 0 AND low <> 0 AND close <> 0 AND symbol_id % 2 = 0 THEN CAST(2.0 AS DOUBLE) END AS ratio FROM ({bars}) b WHERE volume > 0")
@@ -301,7 +365,7 @@ def _halves(df: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
 
 @registered("""
     SELECT isin, symbol_id, concat(symbol, 'N') AS symbol, CASE WHEN symbol_id % 3 = 0 AND symbol_id % 2 = 0 THEN name WHEN symbol_id % 3 = 0 THEN NULL ELSE concat(name, '!') END AS name,
-           CASE WHEN symbol_id % 2 = 0 THEN DATE '1999-01-01' ELSE DATE '1999-01-01' END AS first_seen, CASE WHEN symbol_id % 2 = 0 THEN DATE '2001-01-01' ELSE DATE '2000-06-01' END AS last_seen
+           DATE '1999-01-01' AS first_seen, CASE WHEN symbol_id % 2 = 0 THEN DATE '2001-01-01' ELSE DATE '2000-06-01' END AS last_seen
     FROM ({symbols}) s""")
 def upsert_symbols(spark, sf_dir):
     old, new = _halves(view(spark, sf_dir, "symbols"), "symbol_id")
@@ -309,6 +373,36 @@ def upsert_symbols(spark, sf_dir):
     return upsert.keyed_upsert(old, new, *upsert.SYMBOLS).select("isin", "symbol_id", "symbol", "name", "first_seen", "last_seen")
 
 
+@registered("""
+    SELECT isin, CASE WHEN symbol_id % 2 = 0 THEN symbol_id ELSE (SELECT max(symbol_id) FROM ({symbols}) m WHERE symbol_id % 2 = 0) + row_number() OVER (PARTITION BY symbol_id % 2 ORDER BY isin) END AS symbol_id, symbol,
+           CASE WHEN symbol_id % 5 = 0 AND symbol_id % 2 = 1 THEN NULL ELSE name END AS name,
+           CASE WHEN symbol_id % 2 = 0 THEN DATE '1995-01-02' WHEN symbol_id % 3 = 0 THEN DATE '1998-03-31' ELSE DATE '1995-01-02' END AS first_seen, CASE WHEN symbol_id % 2 = 0 THEN DATE '2001-01-01' ELSE DATE '1998-03-31' END AS last_seen
+    FROM ({symbols}) s WHERE symbol_id % 6 <> 0""")
+def seen_symbols(spark, sf_dir):
+    """A day's listing: new ISINs get ids and their listing date, or the day itself, as first seen; blank names fill nothing."""
+    all_ = view(spark, sf_dir, "symbols").filter("symbol_id % 6 <> 0")
+    listed = all_.select("isin", "symbol", F.when(F.col("symbol_id") % 5 == 0, F.lit(" ")).otherwise(F.col("name")).alias("name"), "face_value", F.when(F.col("symbol_id") % 3 != 0, F.lit(date(1995, 1, 2))).alias("listing_date"))
+    return upsert.seen_symbols(all_.filter("symbol_id % 2 = 0"), listed, F.lit(TODAY)).select("isin", "symbol_id", "symbol", "name", "first_seen", "last_seen")
+
+
+@registered("SELECT isin, symbol_id, symbol FROM ({symbols}) s ORDER BY symbol, isin LIMIT 40")
+def symbols_by_ticker(spark, sf_dir):
+    return upsert.symbols_by_ticker(view(spark, sf_dir, "symbols"), 40)
+
+
+@registered("SELECT symbol_id, trade_date, series, CASE WHEN trade_date BETWEEN DATE '1998-03-10' AND DATE '1998-05-20' THEN close + 1 ELSE close END AS close, deliv_qty FROM ({bars}) b")
+def upsert_stored_bars(spark, sf_dir):
+    """Bars stored by month; a revision of some weeks reads and replaces the months it touches."""
+    folder = _folder(spark)
+    bars = view(spark, sf_dir, "bars").select("symbol_id", "trade_date", "series", F.col("close").cast("double").alias("close"), "deliv_qty")
+    upsert.write_partitions(bars, f"{folder}/bars", "trade_date")
+    revised = bars.filter("trade_date BETWEEN DATE '1998-03-10' AND DATE '1998-05-20'").withColumns({"close": F.col("close") + 1, "deliv_qty": F.lit(None).cast("long")})
+    keys, rules = upsert.RAW_BARS
+    for _ in range(2):  # the second time changes nothing
+        upsert.upsert_months(spark, f"{folder}/bars", bars.schema, revised, keys, rules, "trade_date")
+    return spark.read.parquet(f"{folder}/bars").drop("trade_month")
+
+
 @registered("""
     SELECT symbol_id, trade_date, series, close + 1 AS close, CASE WHEN symbol_id % 2 = 0 THEN deliv_qty END AS deliv_qty
     FROM ({bars}) b""")
@@ -371,6 +465,24 @@ def ticker_lookup(spark, sf_dir):
     return known.unionByName(unknown, allowMissingColumns=True)
 
 
+@registered("SELECT b.isin, b.o_orderkey, s.symbol_id FROM (SELECT concat('INE', lpad(CAST(o_custkey % 1800 AS VARCHAR), 9, '0')) AS isin, o_orderkey FROM orders) b LEFT JOIN ({symbols}) s ON s.isin = b.isin")
+def isin_lookup(spark, sf_dir):
+    """Adjusted bars come with an ISIN: those known with their id, and those that nobody knows."""
+    rows = query(spark, sf_dir, "SELECT concat('INE', lpad(CAST(o_custkey % 1800 AS STRING), 9, '0')) AS isin, o_orderkey FROM {orders}")
+    known, unknown = upsert.with_ids(rows, view(spark, sf_dir, "symbols").select("isin", "symbol_id"), "isin")
+    return known.unionByName(unknown, allowMissingColumns=True)
+
+
+@registered("""
+    SELECT a.symbol, a.ex_date, a.purpose, t.symbol_id
+    FROM (SELECT DISTINCT concat('SYM', CAST(l_partkey AS VARCHAR)) AS symbol, ship_date AS ex_date, CASE WHEN l_linenumber % 2 = 0 THEN 'DIVIDEND' ELSE 'unspecified' END AS purpose FROM ({dirty}) d WHERE l_orderkey % 7 <> 0) a
+    JOIN (SELECT symbol, min(symbol_id) AS symbol_id FROM ({symbols}) s GROUP BY symbol) t ON t.symbol = a.symbol""")
+def action_lookup(spark, sf_dir):
+    """Corporate actions with the id of their ticker; unknown tickers are left out."""
+    known, _ = upsert.with_ids(parse_actions(spark, sf_dir).select("symbol", "ex_date", "purpose").distinct(), upsert.ticker_ids(view(spark, sf_dir, "symbols")), "symbol")
+    return known
+
+
 @registered("SELECT concat('X', CAST(n_nationkey AS VARCHAR)) AS isin, (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY concat('X', CAST(n_nationkey AS VARCHAR))) AS symbol_id FROM nation")
 def new_symbol_ids(spark, sf_dir):
     rows = query(spark, sf_dir, "SELECT concat('X', CAST(n_nationkey AS STRING)) AS isin FROM {nation}")
@@ -399,7 +511,7 @@ def backfill_worklist(spark, sf_dir):
 
 @registered(f"""
     SELECT w.trade_date, CASE WHEN t.trade_date IS NULL THEN CASE WHEN date_diff('day', w.trade_date, DATE '1998-03-31') <= 3 THEN 'failed' ELSE 'no_data' END WHEN g.trade_date IS NULL THEN 'failed'
-           WHEN g.n_delivery > 0 THEN 'loaded' WHEN date_diff('day', w.trade_date, DATE '1998-03-31') <= 3 THEN 'partial' ELSE 'loaded' END AS status, CAST(coalesce(g.n, 0) AS INTEGER) AS rows_loaded
+           WHEN g.n_delivery > 0 THEN 'loaded' WHEN date_diff('day', w.trade_date, DATE '1998-03-31') <= 3 THEN 'partial' ELSE 'loaded' END AS status, CAST(coalesce(g.n, 0) AS INTEGER) AS rows_loaded, t.trade_date IS NULL AND date_diff('day', w.trade_date, DATE '1998-03-31') <= 3 AS pending
     FROM ({_span('1998-01-01', '1998-03-31')}) w
     LEFT JOIN (SELECT DISTINCT trade_date FROM ({{bars}}) b) t ON t.trade_date = w.trade_date
     LEFT JOIN (SELECT trade_date, count(*) AS n, count(deliv_pct) AS n_delivery FROM ({{bars}}) b WHERE trade_date NOT IN (SELECT trade_date FROM ({_BATCH}) f) GROUP BY trade_date) g ON g.trade_date = w.trade_date""")
@@ -451,7 +563,18 @@ def date_chunks(spark, sf_dir):
 # --- audits
 
 
-@registered("SELECT * FROM (VALUES ('bars', 'changed'), ('log', 'identical'), ('orders', 'identical')) v(table_name, verdict)")
+_DIFFER = "(SELECT count(*) FROM (({a}) EXCEPT ALL ({b})) x) + (SELECT count(*) FROM (({b}) EXCEPT ALL ({a})) y)"
+
+
+def _compared(name: str, a: str, b: str) -> str:
+    return f"SELECT '{name}' AS table_name, CASE WHEN {_DIFFER.format(a=a, b=b)} = 0 THEN 'identical' ELSE 'changed' END AS verdict"
+
+
+@registered(" UNION ALL ".join((
+    _compared("bars", "SELECT * FROM ({bars}) p", "SELECT * REPLACE (CASE WHEN symbol_id = 1 THEN close + 1 ELSE close END AS close) FROM ({bars}) p"),
+    _compared("log", "SELECT * FROM ({log}) p", "SELECT * FROM ({log}) q ORDER BY data_date"),
+    _compared("orders", "SELECT * FROM orders", "SELECT * FROM orders ORDER BY o_totalprice"),
+)))
 def fingerprint_compare(spark, sf_dir):
     """The same rows in another order are identical; one changed close is not."""
     bars, log = views(spark, sf_dir, "bars", "log")
@@ -463,7 +586,10 @@ def fingerprint_compare(spark, sf_dir):
     return audit.compare_fingerprints(prints(bars.withColumn("close", F.col("close").cast("double")), orders), prints(edited.withColumn("close", F.col("close").cast("double")), orders.repartition(3)))
 
 
-@registered("SELECT * FROM (VALUES ('added', 'new, not empty'), ('log', 'identical'), ('empty', 'new, empty'), ('orders', 'gone')) v(table_name, verdict)")
+@registered("""
+    SELECT coalesce(b.name, a.name) AS table_name, CASE WHEN a.name IS NULL THEN 'gone' WHEN b.name IS NULL AND a.n = 0 THEN 'new, empty' WHEN b.name IS NULL THEN 'new, not empty' WHEN a.n = b.n AND a.h = b.h THEN 'identical' ELSE 'changed' END AS verdict
+    FROM (SELECT 'log' AS name, count(*) AS n, sum(hash(l)) AS h FROM ({log}) l UNION ALL SELECT 'orders', count(*), sum(hash(o_orderkey)) FROM orders) b
+    FULL JOIN (SELECT 'log' AS name, count(*) AS n, sum(hash(l)) AS h FROM ({log}) l UNION ALL SELECT 'empty', count(*), sum(hash(o_orderkey)) FROM orders WHERE o_orderkey IS NULL UNION ALL SELECT 'added', count(*), sum(hash(o_orderkey)) FROM orders) a ON a.name = b.name""")
 def fingerprint_new_tables(spark, sf_dir):
     log = view(spark, sf_dir, "log")
     orders = query(spark, sf_dir, "SELECT o_orderkey, o_custkey FROM {orders}")
@@ -472,11 +598,58 @@ def fingerprint_new_tables(spark, sf_dir):
     return audit.compare_fingerprints(before, one(log.repartition(3), "log").unionByName(one(orders.limit(0), "empty")).unionByName(one(orders, "added")))
 
 
-@registered("SELECT * FROM (SELECT 'ohlc' AS rule, count(*) AS n FROM ({bars}) b WHERE high < low OR high < open OR high < close OR low > open OR low > close UNION ALL SELECT 'volume', count(*) FROM ({bars}) b WHERE volume < 0) v WHERE n > 0")
+@registered("SELECT * FROM (SELECT 'ohlc' AS rule, count(*) AS n FROM ({bars}) b WHERE high < low OR high < open OR high < close OR low > open OR low > close UNION ALL SELECT 'positive', count(*) FROM ({bars}) b WHERE open <= 0 OR close <= 0 UNION ALL SELECT 'volume', count(*) FROM ({bars}) b WHERE volume < 0) v WHERE n > 0")
 def constraint_violations(spark, sf_dir):
     return quality.violations(view(spark, sf_dir, "bars"), quality.bar_constraints(), ("symbol_id", "trade_date", "series"))
 
 
+@registered("""
+    SELECT * FROM (
+        SELECT 'membership' AS table_name, 'range' AS rule, count(*) AS n FROM ({intervals}) i WHERE symbol_id % 5 = 0
+        UNION ALL SELECT 'membership', 'not_null', count(*) FROM ({intervals}) i WHERE symbol_id % 7 = 0 AND symbol_id % 5 <> 0
+        UNION ALL SELECT 'log', 'status', count(*) FROM ({log}) l WHERE status = 'partial'
+        UNION ALL SELECT 'log', 'unique', count(*) FROM (SELECT data_date FROM ({log_events}) e GROUP BY data_date HAVING count(*) > 1) u
+        UNION ALL SELECT 'findings', 'severity', count(*) FROM ({log}) l WHERE status = 'failed'
+        UNION ALL SELECT 'factors', 'positive', count(*) FROM ({adjusted}) a WHERE close = 0
+        UNION ALL SELECT 'actions', 'unique', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_partkey, l_shipdate HAVING count(*) > 1) u
+        UNION ALL SELECT 'symbols', 'not_null', count(*) FROM ({symbols}) s WHERE symbol_id % 9 = 0) v
+    WHERE n > 0""")
+def table_constraints(spark, sf_dir):
+    """The rule sets that are checked before a table is written, on tables with planted faults."""
+    _, intervals, _ = _intervals(spark, sf_dir)
+    log, events, adjusted, symbols = views(spark, sf_dir, "log", "log_events", "adjusted", "symbols")
+    day = F.col("valid_from")
+    faulty = {
+        "membership": intervals.select("symbol_id", "series", F.when((F.col("symbol_id") % 7 != 0) | (F.col("symbol_id") % 5 == 0), day).alias("valid_from"), F.when(F.col("symbol_id") % 5 == 0, F.date_sub(day, 1)).otherwise(F.col("valid_to")).alias("valid_to")),
+        "log": log.withColumn("status", F.when(F.col("status") == "partial", "unknown").otherwise(F.col("status"))),
+        "findings": log.select(F.when(F.col("status") == "failed", "fatal").otherwise("error").alias("severity")),
+        "factors": adjusted.select("symbol_id", "trade_date", F.col("close").alias("factor")),
+        "actions": query(spark, sf_dir, "SELECT l_partkey AS symbol_id, CAST(l_shipdate AS DATE) AS ex_date, 'SPLIT' AS purpose, 'x' AS source FROM {lineitem}"),
+        "symbols": symbols.withColumn("symbol", F.when(F.col("symbol_id") % 9 != 0, F.col("symbol"))),
+    }
+    parts = [quality.violations(df, quality.CONSTRAINTS[name](), quality.UNIQUE[name]).select(F.lit(name).alias("table_name"), "rule", "n") for name, df in faulty.items()]
+    parts.append(quality.violations(events, {}, quality.UNIQUE["log"]).select(F.lit("log").alias("table_name"), "rule", "n"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@registered("SELECT 'daybook_nation' AS table_name, count(*) AS n FROM nation UNION ALL SELECT 'daybook_events', count(*) FROM events")
+def table_counts(spark, sf_dir):
+    """Rows of the tables that are there; one that is not is skipped."""
+    for name in ("nation", "events"):
+        query(spark, sf_dir, f"SELECT * FROM {{{name}}}").createOrReplaceTempView(f"daybook_{name}")
+    return audit.table_counts(spark, ["daybook_nation", "daybook_absent", "daybook_events"])
+
+
+@registered()
+def footprint(spark, sf_dir):
+    """Bytes of the line items' files against an allowance of twice as many rows of 100 bytes."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return audit.footprint(items, F.lit(200 * items.count()))
+
+
 @registered("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 4 <> 0)")
 def orphans(spark, sf_dir):
     child = query(spark, sf_dir, "SELECT o_orderkey, o_custkey FROM {orders}")
@@ -500,15 +673,45 @@ def file_completeness(spark, sf_dir):
 
 
 @registered(f"""
-    SELECT count(*) FILTER (status IN ('loaded', 'partial')) AS n_loaded, count(*) FILTER (status = 'no_data') AS n_no_data, count(*) FILTER (status = 'failed') AS n_failed, CAST(sum(rows_loaded) AS BIGINT) AS bars_written,
-           (SELECT count(*) FROM ({_BATCH}) f) AS n_findings, 'halted' AS run_status
+    SELECT CAST(17 AS BIGINT) AS run_id, count(*) FILTER (status IN ('loaded', 'partial')) AS n_loaded, count(*) FILTER (status = 'no_data') AS n_no_data, count(*) FILTER (status = 'failed' AND NOT pending) AS n_failed,
+           count(*) FILTER (pending) AS n_pending, count(*) FILTER (status = 'partial') AS n_partial, min(trade_date) FILTER (status = 'failed' AND NOT pending) AS first_failed, CAST(sum(rows_loaded) AS BIGINT) AS bars_written,
+           (SELECT count(*) FROM ({{symbols}}) y) AS universe_symbols, (SELECT count(*) FROM ({{adjusted}}) a) AS adjusted_bars_written, (SELECT count(*) FROM ({{adjusted}}) a WHERE close > 0) AS factors_written,
+           (SELECT count(*) FROM ({_BATCH}) f) AS n_findings, (SELECT count(*) FROM ({_BATCH}) f WHERE severity = 'error') AS n_errors,
+           CASE WHEN EXISTS (SELECT 1 FROM ({_BATCH}) f WHERE severity = 'error') THEN 'halted' ELSE 'succeeded' END AS run_status
     FROM ({ORACLES['load_status']}) s""")
 def run_summary(spark, sf_dir):
-    bars = view(spark, sf_dir, "bars")
+    bars, symbols, adjusted = views(spark, sf_dir, "bars", "symbols", "adjusted")
     status = ingest.load_status(calendar.candidate_dates(spark, START, TODAY), bars, F.lit(TODAY))
-    out = ingest.run_summary(status, quality.batch_findings(bars))
-    size = lambda c: F.size(c).cast("long")
-    return out.select(size("dates_loaded").alias("n_loaded"), size("dates_no_data").alias("n_no_data"), size("dates_failed").alias("n_failed"), "bars_written", "n_findings", "run_status")
+    out = ingest.run_summary(status, quality.batch_findings(bars), F.lit(17).cast("long"), universe_symbols=symbols, adjusted_bars_written=adjusted, factors_written=adjusted.filter("close > 0"))
+    size = lambda c: F.size(f"dates_{c}").cast("long").alias(f"n_{c}")
+    return out.select("run_id", *map(size, ("loaded", "no_data", "failed", "pending", "partial")), F.get("dates_failed", F.lit(0)).alias("first_failed"), "bars_written", "universe_symbols", "adjusted_bars_written", "factors_written", "n_findings", "n_errors", "run_status")
+
+
+@registered(f"SELECT CAST(r_regionkey AS BIGINT) AS run_id, CASE WHEN r_regionkey = 4 THEN 'failed' WHEN r_regionkey IN (SELECT symbol_id FROM ({_BATCH}) f WHERE severity = 'error') THEN 'halted' ELSE 'succeeded' END AS status, CASE WHEN r_regionkey = 4 THEN 'no listing' ELSE '' END AS notes FROM region")
+def recorded_runs(spark, sf_dir):
+    """A run for each region, over the findings of one symbol; the last one breaks."""
+    folder, bars = _folder(spark), view(spark, sf_dir, "bars")
+    ticks = iter(datetime(2020, 1, 1) + timedelta(seconds=k) for k in range(1000))
+    for region in query(spark, sf_dir, "SELECT r_regionkey FROM {region} ORDER BY 1").collect():
+        def work(number=region["r_regionkey"]) -> DataFrame:
+            if number == 4:
+                raise ValueError("no listing")
+            return quality.batch_findings(bars.filter(F.col("symbol_id") == number))
+
+        try:
+            ingest.recorded_run(spark, f"{folder}/runs", region["r_regionkey"], work, lambda: next(ticks))
+        except ValueError:
+            pass
+    return ingest.run_state(spark.read.schema(ingest.EVENTS).parquet(f"{folder}/runs")).select("run_id", "status", "notes")
+
+
+@registered(f"SELECT run_id, check_name, count(*) AS n FROM (SELECT CAST(1 AS BIGINT) AS run_id, check_name FROM ({_BATCH}) f WHERE symbol_id < 10 UNION ALL SELECT 2, check_name FROM ({_BATCH}) f WHERE symbol_id >= 10) u GROUP BY ALL")
+def appended_findings(spark, sf_dir):
+    """The findings of two runs, one appended after the other."""
+    folder, bars = _folder(spark), view(spark, sf_dir, "bars")
+    for run, which in ((1, "symbol_id < 10"), (2, "symbol_id >= 10")):
+        ingest.append_findings(quality.batch_findings(bars.filter(which)), run, f"{folder}/findings")
+    return spark.read.parquet(f"{folder}/findings").groupBy("run_id", "check_name").agg(F.count("*").alias("n"))
 
 
 @registered("SELECT o_custkey AS run_id, arg_max(o_orderstatus, o_orderkey) AS status, min(o_orderkey) AS started FROM orders GROUP BY o_custkey")
@@ -528,8 +731,11 @@ def clean_detail(spark, sf_dir):
 
 
 def _folder(spark: SparkSession) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-daybook-")
-    return f"{shared}/stream-{uuid.uuid4().hex}"
+    """A new folder in the one that the driver and all executors share; a local session may name none."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{shared or 'file://' + tempfile.mkdtemp(prefix='spark-daybook-')}/stream-{uuid.uuid4().hex}"
 
 
 def _landed_bars(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
@@ -538,19 +744,43 @@ def _landed_bars(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     early = bars.withColumns({"deliv_qty": F.lit(None).cast("bigint"), "seq": F.lit(1)})
     late = bars.filter("deliv_qty IS NOT NULL").withColumns({"close": F.col("close") + 1, "seq": F.lit(2)})
     for part in (early, late):
-        part.coalesce(2).write.mode("append").parquet(f"{folder}/landed")
-    return feeds.landed(spark, f"{folder}/landed", spark.read.parquet(f"{folder}/landed").schema, 2)
+        part.write.mode("append").parquet(f"{folder}/landed")
+    return feeds.landed(spark, f"{folder}/landed", spark.read.parquet(f"{folder}/landed").schema, 8)
 
 
 @registered("SELECT symbol_id, trade_date, series, CAST(close AS DOUBLE) + CASE WHEN deliv_qty IS NULL THEN 0 ELSE 1 END AS close, deliv_qty FROM ({bars}) b")
 def stream_upsert(spark, sf_dir):
     folder = _folder(spark)
     stream = _landed_bars(spark, sf_dir, folder)
-    target = feeds.VersionedTable(spark, f"{folder}/bars", stream.drop("seq").schema)
     keys, rules = upsert.RAW_BARS
-    done = feeds.upsert_stream(stream, target, f"{folder}/state", keys, {c: r for c, r in rules.items() if c in ("close", "volume", "deliv_qty")}, ("seq",))
-    done.awaitTermination()
-    return target.before(done.lastProgress["batchId"] + 1 if done.lastProgress["numInputRows"] else done.lastProgress["batchId"]).select("symbol_id", "trade_date", "series", "close", "deliv_qty")
+    schema = stream.drop("seq").schema
+    feeds.upsert_stream(spark, stream, f"{folder}/bars", schema, f"{folder}/state", keys, {c: r for c, r in rules.items() if c in schema.names}, ("seq",)).awaitTermination()
+    return spark.read.parquet(f"{folder}/bars").select("symbol_id", "trade_date", "series", "close", "deliv_qty")
+
+
+@registered("""
+    SELECT 'daily' AS source, trade_date AS data_date, CASE WHEN count(deliv_qty) > 0 THEN 'loaded' WHEN date_diff('day', trade_date, DATE '1998-03-31') <= 3 THEN 'partial' ELSE 'loaded' END AS status, CAST(count(*) AS INTEGER) AS rows_loaded
+    FROM ({bars}) b GROUP BY trade_date""")
+def stream_enrich(spark, sf_dir):
+    """Bars land without delivery figures, which follow; the log says of each date how far it has come."""
+    folder = _folder(spark)
+    stream = _landed_bars(spark, sf_dir, folder)
+    keys, rules = upsert.RAW_BARS
+    schema = stream.drop("seq").schema
+    feeds.enrich_stream(spark, stream, f"{folder}/bars", schema, f"{folder}/log", f"{folder}/state", keys, {c: r for c, r in rules.items() if c in schema.names}, ("seq",), F.lit(TODAY), "daily").awaitTermination()
+    return spark.read.parquet(f"{folder}/log").select("source", "data_date", "status", "rows_loaded")
+
+
+@registered("SELECT CAST(1 + event_id % 2 AS INTEGER) AS run, count(*) AS n FROM events GROUP BY 1")
+def stream_files_once(spark, sf_dir):
+    """Two runs over one checkpoint: the second reads only the files that landed after the first."""
+    folder = _folder(spark)
+    e = query(spark, sf_dir, "SELECT event_id, value FROM {events}")
+    for run in (1, 2):
+        e.filter(F.col("event_id") % 2 == run - 1).write.mode("append").parquet(f"{folder}/events")
+        stream = feeds.landed(spark, f"{folder}/events", e.schema)
+        feeds.run_available(stream, f"{folder}/state", lambda rows, _, run=run: rows.withColumn("run", F.lit(run)).write.mode("append").parquet(f"{folder}/out")).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").groupBy("run").agg(F.count("*").alias("n"))
 
 
 def _drained(spark: SparkSession, out: DataFrame, folder: str) -> DataFrame:
@@ -562,7 +792,7 @@ def _drained(spark: SparkSession, out: DataFrame, folder: str) -> DataFrame:
 def _event_files(spark: SparkSession, sf_dir: str, folder: str, twice: bool) -> DataFrame:
     e = query(spark, sf_dir, "SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, value FROM {events}")
     for _ in range(2 if twice else 1):
-        e.coalesce(1).write.mode("append").parquet(f"{folder}/events")
+        e.write.mode("append").parquet(f"{folder}/events")
     return feeds.landed(spark, f"{folder}/events", e.schema, 10)
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.upsert import keyed_upsert, applied_in_order
+from ..operators.calendar import GRACE_DAYS, classify_loaded
+from ..operators.upsert import LOG, applied_in_order, upsert_months
 
 
 def landed(spark: SparkSession, path: str, schema: StructType, files_a_batch: int = 100) -> DataFrame:
@@ -20,36 +21,35 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-class VersionedTable:
-    """A table whose every version is a folder of its own: a batch that is replayed writes the same version again.
+def upsert_stream(spark: SparkSession, stream: DataFrame, path: str, schema: StructType, checkpoint: str, keys: Sequence[str], rules: Mapping[str, str], order: Sequence[str], month_of: str = "trade_date") -> StreamingQuery:
+    """Micro-batch upsert into a table stored by month: the rows of a batch take effect in `order`.
 
-    The current version is the largest one below the batch's own number, so a lost or repeated batch
-    neither reads what it overwrites nor applies its rows twice.
+    Late delivery figures fill what an earlier row left null; prices of later rows win. A batch reads and
+    replaces the months it touches; a batch that is replayed changes nothing more.
     """
+    def each(rows: DataFrame, batch: int) -> None:
+        upsert_months(spark, path, schema, applied_in_order(rows, keys, rules, *order), keys, rules, month_of)
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType):
-        self.spark, self.path, self.schema = spark, path, schema
-
-    def at(self, version: int) -> str:
-        return f"{self.path}/v={version}"
-
-    def before(self, batch: int) -> DataFrame:
-        if batch == 0:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.at(batch - 1))
-
-    def put(self, batch: int, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.at(batch))
+    return run_available(stream, checkpoint, each)
 
 
-def upsert_stream(stream: DataFrame, table: VersionedTable, checkpoint: str, keys: Sequence[str], rules: Mapping[str, str], order: Sequence[str]) -> StreamingQuery:
-    """Micro-batch upsert: the rows of a batch take effect in `order`, then update the table.
+def enrich_stream(spark: SparkSession, stream: DataFrame, path: str, schema: StructType, log_path: str, checkpoint: str, keys: Sequence[str], rules: Mapping[str, str], order: Sequence[str], today: Column, source: str, grace: int = GRACE_DAYS) -> StreamingQuery:
+    """upsert_stream, and after each batch the status of the trade dates it touched.
 
-    Late delivery figures fill what an earlier row left null; prices of later rows win.
+    A date is loaded once a bar has a delivery figure, partial while it has none and is within the grace
+    period, and loaded as it is beyond. The log is a table by month too: source, data_date, status, rows_loaded.
     """
+    log_keys, log_rules = LOG
+
     def each(rows: DataFrame, batch: int) -> None:
-        updates = applied_in_order(rows, keys, rules, *order)
-        table.put(batch, keyed_upsert(table.before(batch), updates, keys, rules))
+        upsert_months(spark, path, schema, applied_in_order(rows, keys, rules, *order), keys, rules, "trade_date")
+        touched = rows.select("trade_date").distinct()
+        months = [r["m"] for r in rows.select(F.date_format("trade_date", "yyyy-MM").alias("m")).distinct().collect()]
+        bars = spark.read.parquet(path).filter(F.col("trade_month").isin(months)).join(touched, "trade_date", "left_semi")
+        days = bars.groupBy("trade_date").agg(F.count("*").alias("n"), F.count("deliv_qty").alias("d"))
+        status = classify_loaded(F.col("d") > 0, F.col("trade_date"), today, grace)
+        outcome = days.select(F.lit(source).alias("source"), F.col("trade_date").alias("data_date"), status.alias("status"), F.col("n").cast("int").alias("rows_loaded"))
+        upsert_months(spark, log_path, outcome.schema, outcome, log_keys, {c: r for c, r in log_rules.items() if c in outcome.columns}, "data_date")
 
     return run_available(stream, checkpoint, each)
 

@@ -1,10 +1,11 @@
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from daybook.functions import columns as C
 from daybook.operators import audit, calendar, ingest, quality, universe, upsert
+from daybook.streaming import feeds
 
 D = lambda d: date(2026, 9, d)
 SNAPSHOT = "snapshot_date date, symbol_id long, series string, listing_date date"
@@ -81,7 +82,7 @@ def pair(spark, raw, adj, rv=1000, av=1000):
 @pytest.mark.parametrize(
     "args, findings, factors",
     [
-        ((2655.70, 1327.85, 9298748, 18597496), [], [2.0]),
+        ((846.30, 282.10, 410200, 1230600), [], [3.0]),
         ((200.0, 100.0), [("volume_factor_mismatch", "warning")], [2.0]),
         ((100000.0, 20.0), [("implausible_factor", "error")], []),
         ((100.0, 0.0), [("factor_uncomputable", "warning")], []),
@@ -129,6 +130,85 @@ def test_freshness_never_guesses(spark):
     assert audit.overall(got).first()[0] == 7 and audit.overall(got.filter("verdict <> 'STALE'")).first()[0] == 8
 
 
+def test_listing_of_a_day(spark):
+    symbols = spark.createDataFrame([(4, "IA", "A", "Alpha", 1.0, D(2), D(10))], "symbol_id long, isin string, symbol string, name string, face_value double, first_seen date, last_seen date")
+    listed = spark.createDataFrame([("IA", "A2", " ", None, None), ("IC", "C", "Gamma", 2.0, D(5)), ("IB", "B", None, None, None), (None, "X", None, None, None), ("IC", "C", "Gamma", 2.0, D(5))], "isin string, symbol string, name string, face_value double, listing_date date")
+    once = upsert.seen_symbols(symbols, listed, F.lit(D(22)))
+    rows = {r["isin"]: (r["symbol_id"], r["symbol"], r["name"], r["first_seen"], r["last_seen"]) for r in once.collect()}
+    assert rows == {"IA": (4, "A2", "Alpha", D(2), D(22)), "IB": (5, "B", None, D(22), D(22)), "IC": (6, "C", "Gamma", D(5), D(22))}
+    again = upsert.seen_symbols(once, listed, F.lit(D(22)))
+    assert sorted(map(str, again.collect())) == sorted(map(str, once.collect()))
+    assert [r["symbol"] for r in upsert.symbols_by_ticker(once).collect()] == ["A2", "B", "C"] and upsert.symbols_by_ticker(once, 2).count() == 2
+
+
+def test_only_touched_months_are_read(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    schema = "symbol_id long, trade_date date, series string, close double, deliv_qty long"
+    old = spark.createDataFrame([(1, date(2026, m, 3), "EQ", float(m), m) for m in range(1, 9)], schema)
+    keys, rules = upsert.RAW_BARS
+    upsert.upsert_months(spark, path, old.schema, old, keys, rules, "trade_date")
+    new = spark.createDataFrame([(1, date(2026, 3, 3), "EQ", 30.0, None), (2, date(2026, 3, 4), "EQ", 1.0, None)], schema)
+    after = upsert.months_after(spark, path, old.schema, new, keys, rules, "trade_date")
+    plan = after._jdf.queryExecution().executedPlan().toString()
+    assert "trade_month" in plan.split("PartitionFilters")[1][:120] and "2026-03" in plan.split("PartitionFilters")[1][:200]
+    upsert.upsert_months(spark, path, old.schema, new, keys, rules, "trade_date")
+    got = {(r["symbol_id"], r["trade_date"]): (r["close"], r["deliv_qty"]) for r in spark.read.parquet(path).collect()}
+    assert len(got) == 9 and got[(1, date(2026, 3, 3))] == (30.0, 3) and got[(1, date(2026, 8, 3))] == (8.0, 8)
+
+
+def test_runs_are_closed_whatever_happens(spark, tmp_path):
+    path, ticks = str(tmp_path / "runs"), iter(datetime(2026, 9, 1, 0, 0, k) for k in range(20))
+    finding = lambda severity: spark.createDataFrame([("x", severity, "d" * 5000, 1, D(14))], "check_name string, severity string, detail string, symbol_id long, trade_date date")
+
+    def breaks():
+        raise OSError("disk full")
+
+    assert ingest.recorded_run(spark, path, 1, lambda: finding("warning"), lambda: next(ticks)) == "succeeded"
+    assert ingest.recorded_run(spark, path, 2, lambda: finding("error"), lambda: next(ticks)) == "halted"
+    with pytest.raises(OSError):
+        ingest.recorded_run(spark, path, 3, breaks, lambda: next(ticks))
+    ingest.record_event(spark, path, 4, "running", next(ticks))
+    state = {r["run_id"]: (r["status"], r["notes"]) for r in ingest.run_state(spark.read.schema(ingest.EVENTS).parquet(path)).collect()}
+    assert state == {1: ("succeeded", ""), 2: ("halted", ""), 3: ("failed", "disk full"), 4: ("running", "")}
+    ingest.append_findings(finding("error"), 2, str(tmp_path / "f"))
+    ingest.append_findings(finding("info"), 3, str(tmp_path / "f"))
+    assert sorted((r["run_id"], len(r["detail"])) for r in spark.read.parquet(str(tmp_path / "f")).collect()) == [(2, 4000), (3, 4000)]
+    with pytest.raises(ValueError):
+        ingest.append_findings(finding("fatal"), 4, str(tmp_path / "f"))
+
+
+def test_late_figures_settle_a_date(spark, tmp_path):
+    schema = "symbol_id long, trade_date date, series string, close double, deliv_qty long, seq int"
+    keys, rules = upsert.RAW_BARS
+    rules = {c: r for c, r in rules.items() if c in ("close", "deliv_qty")}
+
+    def land(*rows):
+        df = spark.createDataFrame(list(rows), schema)
+        df.write.mode("append").parquet(str(tmp_path / "landed"))
+        stream = feeds.landed(spark, str(tmp_path / "landed"), df.schema)
+        feeds.enrich_stream(spark, stream, str(tmp_path / "bars"), df.drop("seq").schema, str(tmp_path / "log"), str(tmp_path / "state"), keys, rules, ("seq",), F.lit(D(21)), "daily").awaitTermination()
+        return {r["data_date"].day: (r["status"], r["rows_loaded"]) for r in spark.read.parquet(str(tmp_path / "log")).collect()}
+
+    assert land((1, D(18), "EQ", 1.0, None, 1), (2, D(18), "EQ", 2.0, None, 1), (1, D(17), "EQ", 1.0, None, 1)) == {18: ("partial", 2), 17: ("loaded", 1)}
+    assert land((1, D(21), "EQ", 1.0, None, 1)) == {21: ("partial", 1), 18: ("partial", 2), 17: ("loaded", 1)}
+    assert land((2, D(18), "EQ", 2.0, 40, 2)) == {21: ("partial", 1), 18: ("loaded", 2), 17: ("loaded", 1)}
+    assert {(r["symbol_id"], r["trade_date"].day): r["deliv_qty"] for r in spark.read.parquet(str(tmp_path / "bars")).collect()} == {(1, 18): None, (2, 18): 40, (1, 17): None, (1, 21): None}
+
+
+def test_report_of_one_date(spark):
+    snap = snapshots(spark, [(16, 1, "EQ"), (16, 2, "EQ"), (18, 1, "EQ"), (18, 3, "EQ"), (18, 4, "EQ"), (21, 1, "EQ"), (21, 3, "BE"), (21, 5, "EQ"), (21, 2, "EQ")])
+    built = universe.build_intervals(snap)
+    got = [(r["section"], r["symbol_id"], r["note"], r["n"]) for r in universe.change_report(built, F.lit(D(21)), F.lit(D(18))).collect()]
+    assert sorted(got, key=str) == sorted([
+        ("size", None, "2026-09-18", 3), ("size", None, "2026-09-21", 4), ("kind", None, "new_symbol", 1), ("kind", None, "series_change", 1), ("kind", None, "gap_relist", 1),
+        ("opened", 5, "new_symbol", None), ("opened", 3, "series_change", None), ("opened", 2, "gap_relist", None),
+        ("closed", 3, "reappears under another series", None), ("closed", 4, "absent from the latest list", None), ("verdict", None, "OK", 0),
+    ], key=str)
+    split = spark.createDataFrame([(1, "EQ", D(16), D(18), None), (1, "EQ", D(21), D(21), None)], "symbol_id long, series string, valid_from date, valid_to date, listing_date date")
+    assert [(r["note"], r["n"]) for r in universe.change_report(split, F.lit(D(21)), F.lit(D(18))).filter("section = 'verdict'").collect()] == [("FAIL", 1)]
+    assert universe.change_report(split, F.lit(D(21)), F.lit(D(18)), F.lit(D(16))).filter("section = 'opened'").count() == 2
+
+
 def test_fingerprint_is_blind_to_order_only(spark):
     df = spark.range(1000).select("id", (F.col("id") * 1.5).alias("close"))
     a = audit.fingerprint(df, "t", ["id", "close"], "id").first()
@@ -145,6 +225,7 @@ def test_columns(spark):
     assert [r[0] for r in df.select(C.to_double(F.col("t"))).collect()] == [1234.5, None, None, None, None, 7.9, None, -3.7]
     assert [r[0] for r in df.select(C.to_long(F.col("t"))).collect()] == [1234, None, None, None, None, 7, None, -3]
     one = spark.range(1)
+    assert tuple(one.select(C.month_name_date(F.lit(D(8))), C.compact_date(F.lit(D(8))), C.sortable_date(F.lit(D(8)))).first()) == ("08-Sep-2026", "08092026", "20260908")
     assert one.select(C.candle_date(F.lit("2026-09-18T00:00:00+05:30"))).first()[0] == D(18)
     ratio = lambda *a: one.select(C.agreed_ratio([F.lit(x) for x in a[:4]], [F.lit(x) for x in a[4:]])).first()[0]
     assert ratio(2.0, 4.0, 2.0, 3.0, 1.0, 2.0, 1.0, 1.5) == 2.0 and ratio(2.0, 4.0, 2.0, 3.0, 1.0, 2.0, 1.0, 1.6) is None and ratio(2.0, 4.0, 2.0, 3.0, 0.0, 2.0, 1.0, 1.5) is None
