@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,14 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a folder of our own only if the session names none."""
+    """The shared folder named by spark.checkpoint.dir. A local session that names none gets a folder of its own."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="spark-daybook-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return shared
 
 
+#: Where the tables that written() gave are.
+_PATHS: WeakKeyDictionary = WeakKeyDictionary()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared scratch folder and reads it back.
 
@@ -33,7 +40,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def removed(df: DataFrame) -> None:
+    """Deletes a table that written() gave and that nothing needs any more."""
+    path = _PATHS.pop(df, None)
+    if path:
+        context = df.sparkSession.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -48,15 +66,25 @@ def hash_share(col: str, rows: int, most: int):
     return F.pmod(F.xxhash64(F.lit("share"), F.col(col)), F.lit(grain)) < keep
 
 
-def small_parts(batches, rows: int = 1000):
-    """The batches in parts of at most `rows` rows, so that a task's Python objects stay few; unused memory goes back after each batch."""
+def give_back() -> None:
+    """Hands memory that Arrow and C's allocator keep back to the system, for what this worker process runs next."""
+    import ctypes
+
     import pyarrow as pa
 
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def small_parts(batches, rows: int = 1000):
+    """The batches in parts of at most `rows` rows, so that a task's Python objects stay few; unused memory goes back after each batch."""
     for batch in batches:
         for lo in range(0, batch.num_rows, rows):
             yield batch.slice(lo, rows)
         del batch
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def free_names(df: DataFrame, *names: str) -> list[str]:

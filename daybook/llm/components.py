@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import written
+from .common import removed, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -26,12 +26,13 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node, component (the smallest node reachable) of every node that an edge (a, b) names.
 
     Null ends and loops are left out. Nodes that no edge names are not in the result. Each round
-    halves chains and is written down; it ends when a round changes nothing.
+    halves chains and is written down, and the one before is deleted; it ends when a round changes nothing.
     """
     edges = written(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     mark = None
     for _ in range(most_rounds):
-        edges = written(_small_star(_large_star(edges)), "edges")
+        before, edges = edges, written(_small_star(_large_star(edges)), "edges")
+        removed(before)
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if now == mark or not now["n"]:
             break
