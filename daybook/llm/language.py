@@ -1,16 +1,24 @@
 """Language identification by character language models with interpolated Kneser-Ney smoothing.
 
-Texts become letters in lower case with single gaps between words. For each language the 4-grams of
-all its training texts are counted on the cluster; lower orders are continuation counts. The models
-of all languages share sorted arrays of hashed n-grams with one column of log-probabilities for each
-language: a text's positions are looked up together, unseen n-grams back off to shorter ones. The
-language with the lowest cross-entropy for a letter wins. A text is accepted if that cross-entropy,
-measured in the spread that the language's own training texts show, is within the calibrated limit
-and the winner's posterior is at least one half.
-
-Null texts and texts without a letter get `und`, score 0, and are not accepted. Empty training tables
-give models of no language: all texts get `und`. Nulls in lang are not learned from; repeated rows
-count as often as they stand there.
+Texts become letters in lower case with single gaps between words; in counting, a text's end is a gap. For each language the 4-grams of
+all its training texts are counted on the cluster, and all of them make its model; lower orders are
+continuation counts. Languages whose models together are small form a group: the group's models share
+sorted arrays of hashed n-grams with one column of log-probabilities for each of its languages; a
+text's positions are looked up together, unseen n-grams back off to shorter ones. The language with the
+lowest cross-entropy for a letter wins. A text is accepted if that cross-entropy, measured in the spread
+that the language's own training texts show, is within the calibrated limit and the winner's posterior is
+at least one half.
+
+Models grow with the corpus, and nothing is cut off them. A group takes at most MODEL_BYTES, or is one
+language alone; one group at a time passes through the driver and is broadcast, and texts are read once
+for each group. So tasks hold one group, however many languages there are. A language needs some 24
+bytes for each of its different 4-grams.
+
+Null texts and texts without a letter get `und`, score 0, and are not accepted. Languages whose texts
+have no letter are never predicted. Empty training tables give models of no language: all texts get `und`.
+Nulls in lang are not learned from; repeated rows count as often as they stand there. Of languages with
+equal entropies the first by name wins. Very long texts are read whole, in slices. Columns other than key,
+text and lang are not read; those of the appended names are replaced.
 """
 
 from __future__ import annotations
@@ -20,15 +28,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
-from .common import held_out, sliced, small_parts, table, written
+from .common import free_names, held_out, sliced, small_parts, table, written
 
 ORDER = 4
 UNDETERMINED = "und"
-#: The model keeps at most so many 4-grams of a language, the most frequent; discounts use all counts.
-MOST_NGRAMS = 200_000
+#: The most bytes that the models of one group of languages take together; a larger language is a group of its own.
+MODEL_BYTES = 128 << 20
 #: Of n training texts of a language, medians and quantiles are off by n / ACCURACY ranks at most.
 ACCURACY = 10_000
 #: The least limit, in spreads, and the share of a language's own texts that lie within the limit.
@@ -46,14 +54,18 @@ def _letters() -> np.ndarray:
 
 
 def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Letters of all texts, gaps as 0, each text after ORDER - 1 gaps; and where each text begins."""
+    """Letters of all texts as UTF-16, gaps as 0, each text after ORDER - 1 gaps; and where each text begins."""
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    table_ = _letters()
-    letter = table_[points & 0xFFFF]
-    far = np.nonzero(points > 0xFFFF)[0]
-    if len(far):  # letters beyond the basic plane are told apart by their low bits
-        letter[far] = [p & 0xFFFF if chr(p).isalpha() else 0 for p in points[far]]
+    letter = _letters()[points & 0xFFFF]
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    far = np.nonzero(points > 0xFFFF)[0]
+    if len(far):  # a letter beyond the basic plane becomes two symbols, as in UTF-16
+        low = np.array([ord(chr(p).lower()[0]) if chr(p).isalpha() else 0 for p in points[far]], np.int64)
+        wide = low > 0xFFFF
+        letter[far] = np.where(wide, 0xD800 + (low - 0x10000 >> 10), low)
+        owner = np.searchsorted(np.cumsum(sizes), far[wide], side="right")
+        letter = np.insert(letter, far[wide] + 1, 0xDC00 + (low[wide] - 0x10000 & 0x3FF))
+        sizes = sizes + np.bincount(owner, minlength=len(texts))
     starts = np.cumsum(sizes) - sizes
     keep = letter != 0
     keep[1:] |= letter[:-1] != 0
@@ -122,13 +134,12 @@ class Level:
 
 @dataclass
 class Model:
+    """The models of a group of languages."""
+
     langs: list[str]
     grams: list[Level]  # of orders ORDER..1
     weights: list[Level]  # of contexts of ORDER-1..1 symbols
     floor: np.ndarray
-    centre: np.ndarray | None = None
-    spread: np.ndarray | None = None
-    limit: np.ndarray | None = None
 
     def log_probabilities(self, keys: np.ndarray, level: int = 0) -> np.ndarray:
         """One row for each key of order ORDER - level."""
@@ -171,19 +182,54 @@ class Model:
         return out, sizes
 
 
-def kneser_ney(langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray, float]]) -> Model:
-    """counts: for each language its 4-grams, their counts, and the discount."""
+@dataclass
+class Models:
+    """All languages, in groups, and what tells a text of a language from others."""
+
+    groups: list[Model]
+    centre: np.ndarray
+    spread: np.ndarray
+    limit: np.ndarray
+
+    @property
+    def langs(self) -> list[str]:
+        return [name for group in self.groups for name in group.langs]
+
+    def cross_entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [group.cross_entropies(texts) for group in self.groups]
+        return np.concatenate([f[0] for f in found], 1), found[0][1]
+
+    def verdicts(self, entropies: np.ndarray, sizes: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The language, the winner's posterior and whether it is accepted, for each row of entropies."""
+        langs = self.langs
+        if not langs or not len(entropies):
+            return [UNDETERMINED] * len(entropies), np.zeros(len(entropies)), np.zeros(len(entropies), bool)
+        best = entropies.argmin(1)
+        low = entropies[np.arange(len(best)), best]
+        posterior = 1 / np.exp(-(entropies - low[:, None]) * np.minimum(sizes, 100)[:, None]).sum(1)
+        away = (low - self.centre[best]) / (self.spread[best] * _slack(sizes))
+        some = sizes > 0
+        accepted = some & (posterior >= 0.5) & (away <= self.limit[best])
+        return [langs[b] if s else UNDETERMINED for b, s in zip(best, some)], np.where(some, posterior, 0.0), accepted
+
+
+def _discount(n: np.ndarray) -> float:
+    n1, n2 = (n == 1).sum(), (n == 2).sum()
+    return float(n1 / (n1 + 2 * n2)) if n1 and n2 else 0.5
+
+
+def kneser_ney(langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
+    """counts: for each language all its 4-grams, ascending, and their counts."""
     most = 1 << 16
     parts = []  # for each language, the orders' (grams, probabilities) and contexts' (contexts, weights)
     for name in langs:
-        keys, n, discount = counts[name]
+        keys, n = counts[name]
         orders, contexts = [], []
         tops = []
         for order in range(ORDER, 0, -1):
             if order < ORDER:  # continuation counts: how many symbols stand before
                 keys, n = np.unique(keys & np.uint64((1 << 16 * order) - 1), return_counts=True)
-                n1, n2 = (n == 1).sum(), (n == 2).sum()
-                discount = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+            discount = _discount(n)
             context, at = np.unique(keys >> np.uint64(16), return_inverse=True)
             total = np.bincount(at, weights=n)
             kinds = np.bincount(at)
@@ -224,65 +270,64 @@ def kneser_ney(langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray,
     return model
 
 
-def fit(train: DataFrame, text: str = "text", lang: str = "lang", most_ngrams: int = MOST_NGRAMS) -> Model:
-    """Counts all rows of train. What reaches the driver is bounded by languages x most_ngrams."""
-    counted = written(count_grams(train, text, lang), "grams")
-    steps = counted.groupBy("lang", F.least("n", F.lit(10_000)).alias("n")).agg(F.count("*").alias("kinds"))
-    least: dict[str, int] = {}
-    discounts: dict[str, float] = {}
-    for r in sorted(steps.collect(), key=lambda r: (r["lang"], -r["n"])):
-        name = r["lang"]
-        so_far = discounts.get((name, "kinds"), 0) + r["kinds"]
-        discounts[(name, "kinds")] = so_far
-        if so_far <= most_ngrams or name not in least:
-            least[name] = r["n"]
-        if r["n"] in (1, 2):
-            discounts[(name, r["n"])] = r["kinds"]
-    langs = sorted(least)
-    keep = F.lit(False)
-    for name in langs:
-        keep = keep | ((F.col("lang") == name) & (F.col("n") >= least[name]))
-    kept = counted.filter(keep).toPandas() if langs else None
-    counts = {}
-    for name in langs:
-        own = kept[kept["lang"] == name]
-        n1, n2 = discounts.get((name, 1), 0), discounts.get((name, 2), 0)
-        order = np.argsort(own["gram"].to_numpy().view(np.uint64))
-        counts[name] = (own["gram"].to_numpy().view(np.uint64)[order], own["n"].to_numpy()[order], n1 / (n1 + 2 * n2) if n1 and n2 else 0.5)
-    model = kneser_ney(langs, counts)
-    return calibrate(model, train, text, lang)
+def grouped(kinds: dict[str, int], most_bytes: int) -> list[list[str]]:
+    """Languages in groups by how many different 4-grams they have."""
+    groups: list[list[str]] = []
+    held = 0
+    for name in sorted(kinds):
+        if groups and 2 * (held + kinds[name]) * (8 + 4 * (len(groups[-1]) + 1)) <= most_bytes:
+            groups[-1].append(name)
+            held += kinds[name]
+        else:
+            groups.append([name])
+            held = kinds[name]
+    return groups
 
 
-def calibrate(model: Model, train: DataFrame, text: str, lang: str) -> Model:
+def fit(train: DataFrame, text: str = "text", lang: str = "lang", most_bytes: int = MODEL_BYTES) -> Models:
+    """Counts all rows of train; the driver holds the counts of one group of languages at a time."""
+    counted = written(count_grams(train, text, lang), "grams")
+    kinds = {r["lang"]: r["n"] for r in counted.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
+    groups = []
+    for names in grouped(kinds, most_bytes):
+        held = counted.filter(F.col("lang").isin(names)).toPandas()
+        counts = {}
+        for name, own in held.groupby("lang"):
+            keys = own["gram"].to_numpy().view(np.uint64)
+            order = np.argsort(keys)
+            counts[name] = (keys[order], own["n"].to_numpy()[order])
+        groups.append(kneser_ney(names, counts))
+    return calibrate(groups, train, text, lang)
+
+
+def calibrate(groups: list[Model], train: DataFrame, text: str, lang: str) -> Models:
     """Sets each language's centre, spread and limit from all of its own training texts, equal ones once."""
-    shape = len(model.langs)
-    model.centre, model.spread, model.limit = np.zeros(shape), np.ones(shape), np.full(shape, LEAST_LIMIT)
-    if not shape:
-        return model
+    shape = sum(len(group.langs) for group in groups)
+    models = Models(groups, np.zeros(shape), np.ones(shape), np.full(shape, LEAST_LIMIT))
     rows = train.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    shared = train.sparkSession.sparkContext.broadcast(model)
-
-    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        place = {name: j for j, name in enumerate(m.langs)}
-        for batch in small_parts(batches):
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            entropies, sizes = m.cross_entropies(texts)
-            # A language none of whose texts has a letter is not in the model; such texts have size 0.
-            own = [entropies[i, place[name]] if name in place else 0.0 for i, name in enumerate(langs)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.float64()), pa.array(sizes), pa.array(_slack(sizes), pa.float64())], names=["lang", "h", "n", "slack"])
-
-    seen = written(rows.mapInArrow(per_batch, "lang string, h double, n long, slack double").filter("n > 0").distinct(), "entropies")
-    at = lambda value, share: F.percentile_approx(value, share, ACCURACY)
-    centres = seen.groupBy("lang").agg(at("h", 0.5).alias("centre"))
-    away = (F.col("h") - F.col("centre")) / F.col("slack")
-    found = seen.join(F.broadcast(centres), "lang").groupBy("lang", "centre").agg(F.count("*").alias("texts"), at(F.abs(away), 0.5).alias("mad"), at(away, WITHIN).alias("far"))
-    for r in found.filter("texts > 1").collect():
-        j = model.langs.index(r["lang"])
-        model.centre[j] = r["centre"]
-        model.spread[j] = max(1e-3, 1.4826 * r["mad"])
-        model.limit[j] = max(LEAST_LIMIT, 1.5 * r["far"] / model.spread[j])
-    return model
+    place = {name: j for j, name in enumerate(models.langs)}
+    for group in groups:
+        shared = train.sparkSession.sparkContext.broadcast(group)  # of bounded size, see MODEL_BYTES
+
+        def per_batch(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            own = {name: j for j, name in enumerate(shared.value.langs)}
+            for batch in small_parts(batches):
+                entropies, sizes = shared.value.cross_entropies(batch.column(1).to_pylist())
+                h = entropies[np.arange(len(sizes)), [own[name] for name in batch.column(0).to_pylist()]]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(h, pa.float64()), pa.array(sizes), pa.array(_slack(sizes), pa.float64())], names=["lang", "h", "n", "slack"])
+
+        mine = rows.filter(F.col("lang").isin(group.langs))
+        seen = written(mine.mapInArrow(per_batch, "lang string, h double, n long, slack double").filter("n > 0").distinct(), "entropies")
+        at = lambda value, share: F.percentile_approx(value, share, ACCURACY)
+        centres = seen.groupBy("lang").agg(at("h", 0.5).alias("centre"))  # a row a language
+        away = (F.col("h") - F.col("centre")) / F.col("slack")
+        found = seen.join(F.broadcast(centres), "lang").groupBy("lang", "centre").agg(F.count("*").alias("texts"), at(F.abs(away), 0.5).alias("mad"), at(away, WITHIN).alias("far"))
+        for r in found.filter("texts > 1").collect():
+            j = place[r["lang"]]
+            models.centre[j] = r["centre"]
+            models.spread[j] = max(1e-3, 1.4826 * r["mad"])
+            models.limit[j] = max(LEAST_LIMIT, 1.5 * r["far"] / models.spread[j])
+    return models
 
 
 def _slack(sizes: np.ndarray) -> np.ndarray:
@@ -290,37 +335,48 @@ def _slack(sizes: np.ndarray) -> np.ndarray:
     return 1 + 8 / np.sqrt(np.maximum(sizes, 1))
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "accepted")) -> DataFrame:
+def identify(docs: DataFrame, models: Models, text: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "accepted"), keep_text: bool = True) -> DataFrame:
     """Appends the language, the score (the winner's posterior, 0 to 1) and whether it is accepted to docs.
 
-    Columns of these names are replaced.
+    Columns of these names are replaced. Without keep_text the texts do not come back.
     """
     docs = docs.drop(*names)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # of bounded size, see MOST_NGRAMS
-    at = docs.columns.index(text)
-
-    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in small_parts(batches):
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            langs, scores, accepted = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
-            if m.langs and texts:
-                entropies, sizes = m.cross_entropies(texts)
-                best = entropies.argmin(1)
-                rows = np.arange(len(texts))
-                low = entropies[rows, best]
-                posterior = 1 / np.exp(-(entropies - low[:, None]) * np.minimum(sizes, 100)[:, None]).sum(1)
-                away = (low - m.centre[best]) / (m.spread[best] * _slack(sizes))
-                some = sizes > 0
-                scores = np.where(some, posterior, 0.0)
-                accepted = some & (posterior >= 0.5) & (away <= m.limit[best])
-                langs = [m.langs[b] if s else UNDETERMINED for b, s in zip(best, some)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())], names=[*batch.schema.names, *names])
-
-    return docs.mapInArrow(per_batch, StructType([*docs.schema.fields, *(StructField(n, t) for n, t in zip(names, (StringType(), DoubleType(), BooleanType())))]))
+    spark = docs.sparkSession
+    so_far, length = free_names(docs, "_entropies", "_length")
+    verdict = [StructField(n, t) for n, t in zip(names, (StringType(), DoubleType(), BooleanType()))]
+    limits = Models([Model(models.langs, [], [], np.zeros(0))], models.centre, models.spread, models.limit)
+
+    def pass_over(rows: DataFrame, group: Model | None, fields: list[StructField], last: bool) -> DataFrame:
+        """Appends the entropies of one more group, or in the last pass the verdict."""
+        shared = spark.sparkContext.broadcast(group)  # of bounded size, see MODEL_BYTES
+        at, before = rows.columns.index(text), rows.columns.index(so_far) if so_far in rows.columns else None
+        keep = [rows.columns.index(f.name) for f in fields]
+        added = verdict if last else [StructField(so_far, ArrayType(DoubleType())), StructField(length, LongType())]
+
+        def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in small_parts(batches):
+                texts = [t or "" for t in batch.column(at).to_pylist()]
+                entropies, sizes = shared.value.cross_entropies(texts) if shared.value and texts else (np.zeros((len(texts), 0)), np.zeros(len(texts), np.int64))
+                if before is not None:
+                    earlier = batch.column(before).flatten().to_numpy(zero_copy_only=False).reshape(len(texts), -1)
+                    entropies = np.concatenate([earlier, entropies], 1)
+                if last:
+                    langs, scores, accepted = limits.verdicts(entropies, sizes)
+                    out = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())]
+                else:
+                    out = [pa.array(list(entropies), pa.list_(pa.float64())), pa.array(sizes)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *out], names=[f.name for f in (*fields, *added)])
+
+        return rows.mapInArrow(per_batch, StructType([*fields, *added]))
+
+    fields, rows = list(docs.schema.fields), docs
+    for group in models.groups[:-1]:
+        rows = written(pass_over(rows, group, fields, False), "entropies")
+    ends = [f for f in fields if keep_text or f.name != text]
+    return pass_over(rows, models.groups[-1] if models.groups else None, ends, True)
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    model = fit(docs.filter(~held_out()))
-    return identify(docs.select("doc_id", "text", held_out().alias("held_out")), model).drop("text")
+    models = fit(docs.filter(~held_out()))
+    return identify(docs.select("doc_id", "text", held_out().alias("held_out")), models, keep_text=False)
