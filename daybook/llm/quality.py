@@ -7,8 +7,11 @@ then get tables of their own in the same way. A score is the sum of one table en
 and pair, put through the logistic function; whole batches are scored by array look-ups.
 
 The fit uses about MOST_LABELLED labelled rows (all, if fewer), chosen by a hash of their id. Null
-texts are scored as empty ones. Ids labelled more than once count with their largest label; null
-labels and ids are not learned from. Without labels every score is 0.5.
+texts are scored as empty ones; very long texts are read whole. Ids labelled more than once count with
+their largest label; rows that repeat an id are learned from as often as they stand there and are all
+scored; null labels and ids are not learned from. Of equally good cuts a tree takes the first. Without
+labels every score is 0.5; empty tables give no rows. A column named like the score is replaced; others
+are left alone.
 """
 
 from __future__ import annotations
@@ -177,25 +180,29 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str =
     chosen = known.filter(hash_share("doc_id", known.count(), most))
     # About `most` rows of two numbers: small, whatever the size of docs.
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id").select("y", "text")
-    seen = _vectors(rows, "text", "x").select("y", "x").orderBy("x", "y").toPandas()
-    return fit(np.array(seen["x"].tolist(), float).reshape(len(seen), len(FEATURES)), seen["y"].to_numpy(float))
+    seen = _vectors(rows, "text", "x").select("y", "x").toPandas()
+    x, y = np.array(seen["x"].tolist(), float).reshape(len(seen), len(FEATURES)), seen["y"].to_numpy(float)
+    order = np.lexsort([y, *x.T[::-1]])  # sums do not depend on the order that rows come in
+    return fit(x[order], y[order])
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
-    """Appends the score (0 to 1) to docs; a column of that name is replaced."""
+def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score", keep_text: bool = True) -> DataFrame:
+    """Appends the score (0 to 1) to docs; a column of that name is replaced. Without keep_text the texts do not come back."""
     docs = docs.drop(name)
     at = docs.columns.index(text)
+    fields = [f for f in docs.schema.fields if keep_text or f.name != text]
+    keep = [docs.columns.index(f.name) for f in fields]
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_parts(batches):
             found = model.scores(feature_matrix(batch.column(at).to_pylist()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(found, pa.float64())], names=[*(f.name for f in fields), name])
 
-    return docs.mapInArrow(per_batch, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+    return docs.mapInArrow(per_batch, StructType([*fields, StructField(name, DoubleType())]))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = learn(docs, table(spark, sf_dir, "labels").filter(~held_out()))
-    out = score(docs.withColumn("held_out", held_out()), model)
+    out = score(docs.withColumn("held_out", held_out()), model, keep_text=False)
     return out.select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
