@@ -1,16 +1,23 @@
 """URL filtering by host and path rules and a weighted vocabulary.
 
-Rules decide first: the longest rule that fits gives the verdict. A url that no rule fits is judged
-by its terms, which an Aho-Corasick automaton finds in one pass: one strict term, or `soft_limit`
-different soft terms, block it. A term counts only if no ASCII letter or digit touches it.
+Rules decide first: the longest rule that fits gives the verdict. A url that no rule fits is judged by
+its terms, which an Aho-Corasick automaton finds in one pass. Terms have weights, and a url whose
+different terms weigh `limit` or more is blocked: one term suffices if it weighs so much by itself
+(strict), of lighter ones (soft) several different ones are needed. A term counts only if no ASCII letter
+or digit touches it; a term that occurs twice, or inside a longer one that counts too, counts once for itself.
+
+The vocabulary is a table of terms and weights, of any size that an executor can hold; `url_terms.csv` is
+the one that the query uses. Terms are compared in lower case of A-Z and may be of any script.
 
 Null urls and urls without "://" have an empty host and path, so no rule fits; their terms still
-count (null: no terms, hence allowed). Repeated rows are judged alike, extra columns are left alone.
+count (null: no terms, hence allowed). Repeated rows are judged alike, very long urls are read whole, and
+empty tables give no rows. Columns other than key and url are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from importlib import resources
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,9 +27,9 @@ from .common import table
 
 #: (verdict, host, path prefix); a rule fits its host and all subdomains.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-STRICT = ("adult", "casino", "escort", "nude", "phishing", "porn", "sex", "spam", "viagra", "warez", "xxx")
-SOFT = ("ads", "bet", "bets", "bonus", "cheap", "click", "crack", "deal", "farm", "free", "jackpot", "loan", "offer", "pills", "poker", "prize", "promo", "slots", "track", "win")
-SOFT_LIMIT = 2
+LIMIT = 2
+#: More terms than this are refused, as every task holds an automaton over all of them.
+MOST_TERMS = 2_000_000
 
 
 def host_of(url: Column) -> Column:
@@ -45,49 +52,77 @@ def rule_match(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]
     return out if out is not None else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def term_hits(df: DataFrame, url: str = "url", strict: Sequence[str] = STRICT, soft: Sequence[str] = SOFT) -> DataFrame:
-    """Appends strict_hits and soft_hits, how many different terms of each kind stand in the url, to df."""
-    weights = {**{t: 1 for t in soft}, **{t: 0 for t in strict}}
-    schema = StructType([*df.schema.fields, *(StructField(n, IntegerType()) for n in ("strict_hits", "soft_hits"))])
+def lowered(text: str) -> str:
+    """A-Z in lower case."""
+    return text.encode("utf-8", "replace").lower().decode()
+
+
+def checked(terms: Iterable[tuple[str | None, int | None]]) -> dict[str, int]:
+    """Terms with their weights; null and empty ones are left out, of repeated ones the heaviest counts."""
+    found: dict[str, int] = {}
+    for term, weight in terms:
+        if term and weight is not None and weight > 0:
+            found[lowered(term)] = max(weight, found.get(lowered(term), 0))
+    if len(found) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} terms")
+    return found
+
+
+def vocabulary(table_: DataFrame) -> dict[str, int]:
+    """The vocabulary in a table with the columns term and weight."""
+    rows = table_.select("term", F.col("weight").cast("int")).filter("term IS NOT NULL").limit(2 * MOST_TERMS + 1)
+    return checked(map(tuple, rows.collect()))
+
+
+def own_vocabulary() -> dict[str, int]:
+    lines = resources.files(__package__).joinpath("url_terms.csv").read_text("utf-8").splitlines()[1:]
+    return checked((term, int(weight)) for term, weight in (line.split(",") for line in lines))
+
+
+def term_hits(df: DataFrame, weights: Mapping[str, int], url: str = "url", limit: int = LIMIT) -> DataFrame:
+    """Appends to df how many different strict and soft terms stand in the url, and what they weigh together."""
+    added = ("strict_hits", "soft_hits", "weight")
+    schema = StructType([*df.schema.fields, *(StructField(n, IntegerType()) for n in added)])
+    shared = df.sparkSession.sparkContext.broadcast(dict(weights))  # at most MOST_TERMS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
 
         automaton = ahocorasick.Automaton()
-        for term, kind in weights.items():
-            automaton.add_word(term, (term, kind))
-        if weights:
+        for term, weight in shared.value.items():
+            automaton.add_word(term, (term, weight))
+        if shared.value:
             automaton.make_automaton()
         for batch in batches:
-            hits = [], []
+            hits: tuple[list, list, list] = [], [], []
             for value in batch.column(url).to_pylist():
-                text = (value or "").encode().lower().decode()  # A-Z only
-                found: tuple[set, set] = set(), set()
-                for end, (term, kind) in automaton.iter(text) if weights and text else ():
+                text, found = lowered(value or ""), {}
+                for end, (term, weight) in automaton.iter(text) if shared.value and text else ():
                     around = text[end - len(term)] if end >= len(term) else "", text[end + 1 : end + 2]
                     if not any(c.isascii() and c.isalnum() for c in around):
-                        found[kind].add(term)
-                for kind in (0, 1):
-                    hits[kind].append(len(found[kind]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(h, pa.int32()) for h in hits)], names=[*batch.schema.names, "strict_hits", "soft_hits"])
+                        found[term] = weight
+                strict = sum(w >= limit for w in found.values())
+                for column, n in zip(hits, (strict, len(found) - strict, sum(found.values()))):
+                    column.append(n)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(h, pa.int32()) for h in hits)], names=[*batch.schema.names, *added])
 
     return df.mapInArrow(count, schema)
 
 
-def judge_urls(pages: DataFrame, key: str = "page_id", url: str = "url", rules: Sequence[tuple[str, str, str]] = RULES, strict: Sequence[str] = STRICT, soft: Sequence[str] = SOFT, soft_limit: int = SOFT_LIMIT) -> DataFrame:
-    """key, url, host, path, rule, strict_hits, soft_hits and verdict ("allow" or "block") of every row."""
-    judged = term_hits(pages.select(F.col(key).alias(key), F.col(url).alias("url")), "url", strict, soft)
+def judge_urls(pages: DataFrame, key: str = "page_id", url: str = "url", rules: Sequence[tuple[str, str, str]] = RULES, weights: Mapping[str, int] | None = None, limit: int = LIMIT) -> DataFrame:
+    """key, url, host, path, rule, strict_hits, soft_hits, weight and verdict ("allow" or "block") of every row."""
+    judged = term_hits(pages.select(F.col(key).alias(key), F.col(url).alias("url")), own_vocabulary() if weights is None else weights, "url", limit)
     host, path = host_of(F.col("url")), path_of(F.col("url"))
-    own = F.when((F.col("strict_hits") > 0) | (F.col("soft_hits") >= soft_limit), "block").otherwise("allow")
+    own = F.when(F.col("weight") >= limit, "block").otherwise("allow")
     return (
         judged.withColumns({"host": host, "path": path})
         .withColumn("hit", rule_match(F.col("host"), F.col("path"), rules))
-        .select(key, "url", "host", "path", F.col("hit.rule").alias("rule"), "strict_hits", "soft_hits", F.coalesce("hit.verdict", own).alias("verdict"))
+        .select(key, "url", "host", "path", F.col("hit.rule").alias("rule"), "strict_hits", "soft_hits", "weight", F.coalesce("hit.verdict", own).alias("verdict"))
     )
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(table(spark, sf_dir, "pages")).drop("url")
+    return judge_urls(table(spark, sf_dir, "pages")).drop("url", "weight")
 
 
 def oracle() -> str:
@@ -96,15 +131,18 @@ def oracle() -> str:
     fits = {r: f"(host = '{r[1]}' OR ends_with(host, '.{r[1]}')) AND starts_with(path, '{r[2]}')" for r in ordered}
     rule = " ".join(f"WHEN {fits[r]} THEN '{r[1]}{r[2]}'" for r in ordered)
     verdict = " ".join(f"WHEN {fits[r]} THEN '{r[0]}'" for r in ordered)
-    lowered = "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    strict, soft = (" + ".join(f"CAST(regexp_matches({lowered}, '(^|[^a-z0-9]){t}([^a-z0-9]|$)') AS INTEGER)" for t in terms) for terms in (STRICT, SOFT))
+    weights = own_vocabulary()
+    kinds = [t for t, w in weights.items() if w >= LIMIT], [t for t, w in weights.items() if w < LIMIT]
+    if any(w not in (1, LIMIT) for w in weights.values()):
+        raise ValueError("the SQL counts soft terms as one each")
+    strict, soft = (" + ".join(f"CAST(regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)') AS INTEGER)" for t in terms) for terms in kinds)
     return f"""
         WITH cut AS (
-            SELECT page_id, url,
+            SELECT page_id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
                    translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
             FROM pages),
         hits AS (SELECT *, CAST({strict} AS INTEGER) AS strict_hits, CAST({soft} AS INTEGER) AS soft_hits FROM cut)
         SELECT page_id, host, path, CASE {rule} END AS rule, strict_hits, soft_hits,
-               CASE {verdict} WHEN strict_hits > 0 OR soft_hits >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict
+               CASE {verdict} WHEN strict_hits > 0 OR soft_hits >= {LIMIT} THEN 'block' ELSE 'allow' END AS verdict
         FROM hits"""
