@@ -15,4 +15,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": url_filter.oracle(), "op8_topk": topk.oracle()}
+    return {"op4_url_filter": url_filter.oracle(), "op6_shards": shards.oracle(), "op8_topk": topk.oracle()}

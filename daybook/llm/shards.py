@@ -45,7 +45,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", t
         F.col(key).alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_group"),
+        F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("_group"),
     )
     summed = written(prefix_sums(rows, ["_group", "doc_id"], "size"), "prefix")
     total = summed.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
@@ -79,3 +79,22 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, key: str = "d
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_by_bytes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def oracle() -> str:
+    """The same shards in SQL. The checksum is the bytewise one, over a table of the 256 bytes' remainders."""
+    remainders = "list_transform(range(256), lambda b: list_reduce(range(8), lambda r, x: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, CAST(b AS BIGINT)))"
+    return f"""
+        WITH r AS (SELECT doc_id, coalesce(text, '') AS t, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size, md5(coalesce(text, '')) AS g FROM documents),
+        s AS (SELECT *, CAST(sum(size) OVER (ORDER BY g, doc_id ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS before FROM r),
+        spans AS (SELECT g, min(before) AS a, max(before + size) AS b FROM s GROUP BY g),
+        targets AS (SELECT k, n, n * k / CAST({SHARDS} AS DOUBLE) AS t FROM (SELECT sum(size) AS n FROM r) x, (SELECT unnest(range(1, {SHARDS})) AS k) y),
+        cuts AS (
+            SELECT k, coalesce(CASE WHEN t - a <= b - t THEN a ELSE b END, ceil(t)) AS c
+            FROM targets LEFT JOIN spans ON a < t AND t < b AND b - a <= {WHOLE_SHARE} * n / {SHARDS}),
+        placed AS (SELECT *, CAST((SELECT count(*) FROM cuts WHERE before >= c) AS INTEGER) AS shard FROM s),
+        remainders AS (SELECT {remainders} AS m)
+        SELECT doc_id, size,
+               xor(list_reduce(list_transform(range(size - 1), lambda i: CAST(concat('0x', substr(h, 2 * i + 1, 2)) AS BIGINT)), lambda crc, b: xor(crc >> 8, m[1 + (xor(crc, b) & 255)]), 4294967295), 4294967295) AS text_crc32,
+               'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY g, doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+        FROM (SELECT *, hex(encode(t)) AS h FROM placed) p, remainders"""
