@@ -1,26 +1,30 @@
 """Byte-level BPE encoding and decoding with Spark's higher-order functions.
 
 A text is cut into words by the vocabulary's pattern. Each task encodes a different word once: the
-word's bytes become an array of tokens, and a fold merges, again and again, the leftmost pair of
-lowest rank. Ranks come from a literal map: a hash table of (left token, right token) -> merged token
-with two places for each pair, as one array literal, because a Spark map is searched from its start.
-An array element holds the rank of its pair with the next token, where the token begins, and the
-token, in this order, so that the least element names the pair to merge next.
+word's bytes become a text of one character for each token, and `aggregate` folds the merges over it,
+in ascending order of rank: a merge of rank r replaces the two characters of its pair, left to right,
+by the one of the merged token. Pairs and merged tokens come from a literal map, indexed by rank.
+
+Only the merges whose token stands somewhere in a word can happen in it. An Aho-Corasick automaton
+lists their ranks with each new word, so a fold has as many steps as its word holds different tokens.
+Taking ranks in ascending order is exact if each token of the vocabulary is built by merges of lower
+rank: until a merge crosses the ends of a token's bytes, they merge as they would alone, so at their
+rank they are the pair that makes the token; and after one crossed, they can never be that token. A
+vocabulary without that property is refused (see merge_halves).
 
 Words pass to Spark's functions and back in the order of a task's rows: the first step numbers each
 new word and lists it with the row that has it first; the last step looks ids up by number. Nothing is
-shuffled or broadcast beside the literals. Both steps forget their words when there are MOST_WORDS.
-Words of over FOLD_BYTES bytes, for which a fold would take the square of their length, are merged
-with a heap, by the same ranks.
+shuffled or broadcast beside the literals. Both steps forget their words when there are most_words;
+words that come again are then encoded again, with the same ids. Words of any length are folded.
 
 Decoding concatenates the tokens' binary pieces. Null texts are empty texts: no ids. Repeated rows are
-encoded as often as they stand there. Columns other than key and text are not read.
+encoded as often as they stand there; null keys stay null. Empty tables give no rows. Columns other
+than key and text are not read.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 import json
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,13 +33,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import table
+from .common import give_back, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-MOST_WORDS, FOLD_BYTES = 2_000_000, 256
-#: Bits of a token or rank, and of a token's place in its word.
-_TOKEN, _PLACE = 17, 24
-_NONE = (1 << _TOKEN) - 1
+#: Different words that a task keeps at hand.
+MOST_WORDS = 400_000
 
 
 @lru_cache(4)
@@ -56,199 +58,159 @@ def vocabulary_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
-def pair_ranks(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
-    """(left, right) -> merged for every pair of tokens whose bytes together are a token."""
-    return {(ranks[t[:k]], ranks[t[k:]]): r for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
-
-
-#: Odd multipliers of 28 bits, so that no product of a key (34 bits) overflows; a place is its middle bits.
-_FIRST, _SECOND, _SHIFT = 0x9E3779B, 0xC2B2AE3, 24
-
-
-def _place(key: int, factor: int, bits: int) -> int:
-    return key * factor >> _SHIFT & (1 << bits) - 1
+def merge_halves(ranks: dict[bytes, int]) -> dict[int, tuple[int, int]]:
+    """For each token of several bytes the two tokens that its last merge joins, by rank.
 
+    Fails if a token's bytes, merged by lower ranks alone, do not end as two tokens.
+    """
+    halves = {}
+    for token, r in ranks.items():
+        if len(token) == 1:
+            continue
+        parts = [token[i : i + 1] for i in range(len(token))]
+        while len(parts) > 2:
+            least, i = min((ranks.get(parts[i] + parts[i + 1], r), i) for i in range(len(parts) - 1))
+            if least >= r:
+                raise ValueError(f"merges of lower rank do not build the token of rank {r}")
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        if max(ranks.get(p, r) for p in parts) >= r and max(map(len, parts)) > 1:
+            raise ValueError(f"a half of the token of rank {r} has no lower rank")
+        halves[r] = (ranks[parts[0]], ranks[parts[1]])
+    return halves
 
-@lru_cache(4)
-def literal_table(path: str) -> tuple[int, str]:
-    """Bits of the table's size, and the table as JSON: key << 17 | merged, or -1."""
-    pairs = {(a << _TOKEN) | b: r for (a, b), r in pair_ranks(read_ranks(path)).items()}
-    bits = max(4, (2 * len(pairs)).bit_length())
-    while True:
-        slots: list[int] = [-1] * (1 << bits)
-        if all(_insert(slots, key, pairs, bits) for key in pairs):
-            return bits, json.dumps([-1 if k < 0 else k << _TOKEN | pairs[k] for k in slots], separators=(",", ":"))
-        bits += 1
-
-
-def _insert(slots: list[int], key: int, pairs: dict[int, int], bits: int) -> bool:
-    factor = _FIRST
-    for _ in range(500):
-        at = _place(key, factor, bits)
-        key, slots[at] = slots[at], key
-        if key < 0:
-            return True
-        # The key that gave way goes to its other place.
-        factor = _SECOND if _place(key, _FIRST, bits) == at else _FIRST
-    return False
-
-
-def let(value: Column, body) -> Column:
-    """body(value) with value computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def fold_merges(word: Column, path: str) -> Column:
-    """array<int>: the tokens of a non-empty word."""
-    ranks = read_ranks(path)
-    bits, packed = literal_table(path)
-    slots = F.from_json(F.lit(packed), "array<bigint>")
-    singles = F.from_json(F.lit(json.dumps([ranks[bytes([b])] for b in range(256)])), "array<int>")
-    long = lambda n: F.lit(n).cast("long")
 
-    def slot(key: Column, factor: int) -> Column:
-        return F.shiftright(key * long(factor), _SHIFT).bitwiseAND(long((1 << bits) - 1)).cast("int")
+#: A token's character: its id moved past the control characters, and past the code points that are no characters.
+_FIRST, _GAP, _GAP_SIZE = 0x20, 0xD800, 0x800
 
-    def rank(left: Column, right: Column) -> Column:
-        def at(key: Column) -> Column:
-            def first(e: Column) -> Column:
-                return F.when(F.shiftright(e, _TOKEN) == key, e).otherwise(F.get(slots, slot(key, _SECOND)))
 
-            return let(let(F.get(slots, slot(key, _FIRST)), first), lambda e: F.when(F.shiftright(e, _TOKEN) == key, e.bitwiseAND(long(_NONE))).otherwise(long(_NONE)))
+def character(token: int) -> str:
+    at = token + _FIRST
+    return chr(at if at < _GAP else at + _GAP_SIZE)
 
-        return let(F.shiftleft(left, _TOKEN).bitwiseOR(right), at)
 
-    def token(e: Column) -> Column:
-        return e.bitwiseAND(long(_NONE))
+def tokens_of(characters: str) -> np.ndarray:
+    points = np.frombuffer(characters.encode("utf-32-le"), np.uint32).astype(np.int32)
+    return points - _FIRST - np.where(points >= _GAP, _GAP_SIZE, 0)
 
-    def element(merged: Column, rest: Column) -> Column:
-        return F.shiftleft(merged, _TOKEN + _PLACE).bitwiseOR(rest)
 
-    low = long((1 << (_TOKEN + _PLACE)) - 1)
-    least_idle = long(_NONE << (_TOKEN + _PLACE))
+@lru_cache(4)
+def literal_map(path: str) -> tuple[str, str, str]:
+    """The characters of the 256 bytes; pairs and merged tokens by rank, as JSON."""
+    ranks = read_ranks(path)
+    halves = merge_halves(ranks)
+    pairs = ["".join(map(character, halves[r])) if r in halves else "" for r in range(max(ranks.values()) + 1)]
+    return "".join(character(ranks[bytes([b])]) for b in range(256)), json.dumps(pairs), json.dumps([character(r) for r in range(len(pairs))])
 
-    def start(tokens: Column) -> Column:
-        return F.transform(tokens, lambda t, i: element(rank(t, F.coalesce(F.get(tokens, i + 1), long(_NONE))), F.shiftleft(i.cast("long"), _TOKEN).bitwiseOR(t)))
 
-    def step(a: Column, _: Column) -> Column:
-        def merge(i: Column) -> Column:
-            here, before = F.element_at(a, i), F.element_at(a, i - 1)
+def fold_merges(word: Column, merges: Column, path: str) -> Column:
+    """The characters of a word's tokens. merges: ascending ranks, among them all that can happen in the word."""
+    singles, pairs, merged = literal_map(path)
+    pair_of, token_of = (F.from_json(F.lit(x), "array<string>") for x in (pairs, merged))
+    latin = "".join(map(chr, range(256)))
+    start = F.translate(F.decode(word.cast("binary"), "ISO-8859-1"), latin, singles)
+    return F.aggregate(merges, start, lambda text, r: F.replace(text, F.get(pair_of, r), F.get(token_of, r)))
 
-            def new(merged: Column) -> Column:
-                after = token(F.element_at(a, i + 2))
-                left = element(rank(token(before), merged), before.bitwiseAND(low))
-                right = element(rank(merged, after), here.bitwiseAND(F.lit(((1 << _PLACE) - 1) << _TOKEN).cast("long")).bitwiseOR(merged))
-                return F.concat(F.slice(a, F.lit(1), i - 2), F.array(left, right), F.slice(a, i + 2, F.size(a)))
 
-            return let(F.shiftrightunsigned(here, _TOKEN + _PLACE), new)
+@lru_cache(2)
+def token_finder(path: str):
+    """An automaton over the tokens of several bytes, as Latin-1 texts, with their ranks."""
+    import ahocorasick
 
-        return F.when(F.array_min(a) < least_idle, let(F.array_position(a, F.array_min(a)).cast("int"), merge)).otherwise(a)
+    found = ahocorasick.Automaton()
+    for token, r in read_ranks(path).items():
+        if len(token) > 1:
+            found.add_word(token.decode("latin-1"), r)
+    found.make_automaton()
+    return found
 
-    chars = F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "")
-    tokens = F.concat(F.array(long(_NONE)), F.transform(chars, lambda c: F.get(singles, F.ascii(c)).cast("long")), F.array(long(_NONE)))
-    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1))), let(tokens, start), step)
-    return let(folded, lambda a: F.transform(F.slice(a, F.lit(2), F.size(a) - 2), lambda e: token(e).cast("int")))
 
+def candidates(words: list[str], path: str) -> pa.ListArray:
+    """For each word, ascending, the ranks of the tokens of several bytes that stand in it."""
+    find = token_finder(path).iter
+    flat: list[int] = []
+    ends = [0]
+    for word in words:
+        flat += sorted({r for _, r in find(word.encode().decode("latin-1"))})
+        ends.append(len(flat))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
 
-def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The tokens of one long word, with a heap of pairs."""
-    parts: list[bytes | None] = [word[i : i + 1] for i in range(len(word))]
-    after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-    heap = [(r, i, 2) for i in range(len(parts) - 1) if (r := ranks.get(word[i : i + 2])) is not None]
-    heapq.heapify(heap)
-    while heap:
-        _, i, size = heapq.heappop(heap)
-        j = after[i] if parts[i] is not None else len(parts)
-        if j >= len(parts) or len(parts[i]) + len(parts[j]) != size:
-            continue
-        parts[i] += parts[j]
-        parts[j] = None
-        after[i] = after[j]
-        if after[j] < len(parts):
-            before[after[j]] = i
-        for a in (before[i], i):
-            b = after[a] if a >= 0 else len(parts)
-            if b < len(parts) and (r := ranks.get(parts[a] + parts[b])) is not None:
-                heapq.heappush(heap, (r, a, len(parts[a]) + len(parts[b])))
-    return [ranks[p] for p in parts if p is not None]
-
-
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers the words of each row; lists words that are new to the task with a batch's first row."""
-    known: dict[str, int] = {}
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 2000):
-            part = batch.slice(lo, 2000)
-            lists = part.column(1)
-            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            coded = lists.flatten().dictionary_encode()
-            if isinstance(coded, pa.ChunkedArray):
-                coded = coded.combine_chunks()
-            words = coded.dictionary.to_pylist()
-            fresh = len(known) + len(words) > MOST_WORDS
-            if fresh:
-                known.clear()
-            new = [w for w in words if w not in known]
-            for w in new:
-                known[w] = len(known)
-            numbers = np.fromiter((known[w] for w in words), np.int32, len(words))[coded.indices.to_numpy(zero_copy_only=False)]
-            cuts = np.r_[0, np.cumsum(sizes)].astype(np.int32)
-            n = part.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.ListArray.from_arrays(pa.array(cuts), pa.array(numbers, pa.int32())), pa.array([new] + [[]] * (n - 1), pa.list_(pa.string())), pa.array([fresh] + [False] * (n - 1), pa.bool_())],
-                names=["doc_id", "numbers", "words", "fresh"],
-            )
 
+def _numbered(path: str, most_words: int):
+    """Numbers the words of each row; lists words that are new to the task, and their merges, with a batch's first row."""
 
-def _looked_up(ranks: dict[bytes, int]):
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, begins = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        known: dict[str, int] = {}
         for batch in batches:
-            doc_id, numbers, coded, longs, fresh = batch.columns
-            turns = np.nonzero((coded.value_lengths().to_numpy(zero_copy_only=False) > 0) | fresh.to_numpy(zero_copy_only=False))[0]
-            edges = sorted({0, *map(int, turns), *range(0, batch.num_rows, 500), batch.num_rows})
-            for lo, hi in zip(edges, edges[1:]):
-                if fresh[lo].as_py():
-                    ids, begins = ids[:0], begins[:1]
-                own = coded.slice(lo, 1).flatten()
-                if len(own):
-                    sizes = own.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                    flat = own.flatten().to_numpy(zero_copy_only=False)
-                    left = longs[lo].as_py()
-                    if left:  # nulls stand for the long words, in their order
-                        merged = iter([merge_long(w.encode(), ranks) for w in left])
-                        cuts, gone = np.cumsum(sizes), own.is_null().to_numpy(zero_copy_only=False)
-                        lists = [np.array(next(merged), np.int32) if g else flat[c - s : c] for g, c, s in zip(gone, cuts, sizes)]
-                        sizes, flat = np.array([len(x) for x in lists]), np.concatenate(lists)
-                    ids = np.concatenate([ids, flat.astype(np.int32)])
-                    begins = np.concatenate([begins, begins[-1] + np.cumsum(sizes)])
-                part = numbers.slice(lo, hi - lo)
-                at = part.flatten().to_numpy(zero_copy_only=False)
-                sizes = begins[at + 1] - begins[at]
-                ends = np.cumsum(sizes)
-                out = ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[at] - (ends - sizes), sizes)]
-                rows = np.r_[0, np.cumsum(part.value_lengths().to_numpy(zero_copy_only=False))]
-                cuts = np.r_[0, ends][rows].astype(np.int32)
-                packed = out.astype("<u4").tobytes()
+            for lo in range(0, batch.num_rows, 2000):
+                part = batch.slice(lo, 2000)
+                lists = part.column(1)
+                sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                coded = lists.flatten().dictionary_encode()
+                words = coded.dictionary.to_pylist()
+                fresh = len(known) + len(words) > most_words
+                if fresh:
+                    known.clear()
+                new = [w for w in words if w not in known]
+                for w in new:
+                    known[w] = len(known)
+                numbers = np.fromiter((known[w] for w in words), np.int32, len(words))[coded.indices.to_numpy(zero_copy_only=False)]
+                cuts = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+                n = part.num_rows
+                ends = pa.array([0] + [len(new)] * n, pa.int32())  # all with the first row
                 yield pa.RecordBatch.from_arrays(
-                    [doc_id.slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(cuts), pa.array(out, pa.int32())), pa.array([packed[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])], pa.binary())],
-                    names=["doc_id", "ids", "packed"],
+                    [part.column(0), pa.ListArray.from_arrays(pa.array(cuts), pa.array(numbers, pa.int32())), pa.ListArray.from_arrays(ends, pa.array(new, pa.string())), pa.ListArray.from_arrays(ends, candidates(new, path)), pa.array([fresh] + [False] * (n - 1), pa.bool_())],
+                    names=["doc_id", "numbers", "words", "merges", "fresh"],
                 )
+        known.clear()
+        give_back()
 
     return per_partition
 
 
-def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
+def _looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """ids of each row, from its words' numbers and the folded words listed so far."""
+    import pyarrow.compute as pc
+
+    ids, begins = np.zeros(0, np.int32), np.zeros(1, np.int64)
+    for batch in batches:
+        doc_id, numbers, folded, fresh = batch.columns
+        turns = np.nonzero((folded.value_lengths().to_numpy(zero_copy_only=False) > 0) | fresh.to_numpy(zero_copy_only=False))[0]
+        edges = sorted({0, *map(int, turns), *range(0, batch.num_rows, 500), batch.num_rows})
+        for lo, hi in zip(edges, edges[1:]):
+            if fresh[lo].as_py():
+                ids, begins = ids[:0], begins[:1]
+            own = folded.slice(lo, 1).flatten()
+            if len(own):
+                sizes = pc.utf8_length(own).to_numpy(zero_copy_only=False).astype(np.int64)
+                ids = np.concatenate([ids, tokens_of("".join(own.to_pylist()))])
+                begins = np.concatenate([begins, begins[-1] + np.cumsum(sizes)])
+            part = numbers.slice(lo, hi - lo)
+            at = part.flatten().to_numpy(zero_copy_only=False)
+            sizes = begins[at + 1] - begins[at]
+            ends = np.cumsum(sizes)
+            out = ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[at] - (ends - sizes), sizes)]
+            rows = np.r_[0, np.cumsum(part.value_lengths().to_numpy(zero_copy_only=False))]
+            cuts = np.r_[0, ends][rows].astype(np.int32)
+            packed = out.astype("<u4").tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [doc_id.slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(cuts), pa.array(out, pa.int32())), pa.array([packed[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])], pa.binary())],
+                names=["doc_id", "ids", "packed"],
+            )
+    del ids, begins
+    give_back()
+
+
+def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, pattern: str | None = None, most_words: int = MOST_WORDS) -> DataFrame:
     """key, ids (array<int>) and packed (the ids as little-endian unsigned 32-bit numbers) of every row."""
     path, pattern = path or vocabulary_path(), pattern or vocabulary_pattern()
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     # (?U): white space is Unicode's.
     words = rows.select("doc_id", F.regexp_extract_all("text", F.lit(f"(?U){pattern}"), F.lit(0)).alias("words"))
-    numbered = words.mapInArrow(_numbered, f"doc_id {kind}, numbers array<int>, words array<string>, fresh boolean")
-    short = lambda w: F.octet_length(w) <= FOLD_BYTES
-    coded = numbered.select("doc_id", "numbers", F.transform("words", lambda w: F.when(short(w), fold_merges(w, path))).alias("coded"), F.filter("words", lambda w: ~short(w)).alias("longs"), "fresh")
-    return coded.mapInArrow(_looked_up(read_ranks(path)), f"doc_id {kind}, ids array<int>, packed binary").withColumnRenamed("doc_id", key)
+    numbered = words.mapInArrow(_numbered(path, most_words), f"doc_id {kind}, numbers array<int>, words array<string>, merges array<array<int>>, fresh boolean")
+    folded = F.zip_with("words", "merges", lambda word, merges: fold_merges(word, merges, path))
+    coded = numbered.select("doc_id", "numbers", folded.alias("folded"), "fresh")
+    return coded.mapInArrow(_looked_up, f"doc_id {kind}, ids array<int>, packed binary").withColumnRenamed("doc_id", key)
 
 
 def decode(ids: Column, path: str | None = None) -> Column:
