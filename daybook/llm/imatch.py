@@ -1,62 +1,153 @@
 """Document fingerprints by I-Match over randomised sub-lexicons.
 
-The lexicon is every term whose inverse document frequency lies in a band: terms in at least
-`least_docs` documents and in at most `most_share` of them. Each of `subsets` sub-lexicons takes a
-random 1/`sparsity` of the terms, drawn by the term's hash. A sub-lexicon's part of the fingerprint is
-the hash of the document's sorted distinct terms in it; "-" marks a part without terms. Documents
-without any lexicon term use the hash of their text for all parts, so that equal texts always have
-equal fingerprints. The likeness of two fingerprints is the share of their parts that agree, among
-those that either has terms for.
-
-Whether a term is drawn depends on its hash alone, so only about subsets/sparsity of all terms are
-ever exchanged. Terms that are too frequent number at most (drawn terms of a document) / most_share on
-average: a small table, which is broadcast and takes the hot terms away before the exchange.
+The lexicon is every term whose inverse document frequency lies in a band: terms in at least `least_docs`
+documents and in at most `most_share` of them, where documents of equal texts count once. `levels` says
+how many sub-lexicons there are and what part of the lexicon, drawn by the terms' hashes, each takes:
+those of the first level part the whole lexicon among them, those of the next ones are smaller and
+smaller, so that texts of any length have sub-lexicons that an edit leaves alone. A sub-lexicon's part of
+the fingerprint is the hash of the document's sorted distinct terms in it; "-" marks a part without
+terms. Documents without any lexicon term use the hash of their text for all parts, so that equal texts
+always have equal fingerprints. The likeness of two fingerprints is the share of their parts that agree,
+among those that either has terms for.
+
+Frequent terms number at most (terms of a document) / most_share on average, so they are found by
+counting and then left out by a literal. With least_docs of 1, the default, no term of a document is
+exchanged apart from counting; a higher one exchanges the terms of all documents to leave out rare ones.
 
 Null texts are empty texts. Rows that repeat an id stand on their own; equal ids are ordered by the hash
-of their text. Null ids come first. One document is its own next document. Everything here is
+of their text. Null ids come first. One document is its own next document. Empty tables give no rows.
+Very long texts are read whole. Columns other than key and text are not read. Everything here is
 DataFrame functions.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from .common import table, written
 
-SUBSETS, SPARSITY = 32, 256
-LEAST_DOCS, MOST_SHARE = 2, 0.1
+#: (sub-lexicons, of how many terms each takes one): numbers of terms are powers of two.
+LEVELS = ((16, 16), (32, 256), (32, 4096))
+LEAST_DOCS, MOST_SHARE = 1, 0.1
+#: Terms in up to so many texts are never frequent.
+NEVER_FREQUENT = 2
+#: Bytes of text that a range of neighbouring documents takes.
+RANGE_BYTES = 16 << 20
 NO_TERMS = "-"
 
 
-def drawn_terms(text: Column, subsets: int = SUBSETS, sparsity: int = SPARSITY) -> Column:
-    """Hashes of the distinct terms of text that some sub-lexicon draws."""
-    words = F.split(F.lower(text), r"[^\p{L}\p{N}]+")
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return F.array_distinct(F.filter(hashes, lambda h: F.pmod(h, F.lit(sparsity)) < subsets))
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def literal_array(values: list, kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
+
+
+def terms_of(text: Column) -> Column:
+    """Hashes of the distinct terms of text."""
+    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+
+
+def term_counts(docs: DataFrame, text: str, most_share: float, least_docs: int) -> tuple[list[int], DataFrame | None]:
+    """The terms that are in too many different texts; and those in enough of them (None if one is enough)."""
+    rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).select(F.xxhash64("text").alias("hash"), terms_of(F.col("text")).alias("terms"))
+    texts = rows.agg(F.count_distinct("hash").alias("n")).first()["n"]
+    limit = max(NEVER_FREQUENT, most_share * texts)
+    counted = rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    # Copies can only raise a count: terms that are frequent by rows are counted again by texts.
+    often = [r["term"] for r in counted.filter(F.col("df") > limit).select("term").collect()]
+    once = rows.select("hash", F.array_intersect("terms", literal_array(often, "bigint")).alias("terms")).dropDuplicates(["hash"])
+    frequent = once.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")).filter(F.col("df") > limit)
+    enough = None
+    if least_docs > 1:
+        enough = rows.dropDuplicates(["hash"]).select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")).filter(F.col("df") >= least_docs).select("term")
+    return sorted(r["term"] for r in frequent.select("term").collect()), enough
+
+
+def without_rare_terms(rows: DataFrame, enough: DataFrame, *names: str) -> DataFrame:
+    """rows with only the terms of `enough` in the arrays `names`."""
+    numbered = written(rows.withColumn("_row", F.monotonically_increasing_id()), "terms")
+
+    def marked(k: int, n: str) -> Column:
+        return F.transform(n, lambda t: F.struct(F.lit(k).alias("k"), t.alias("term")))
+
+    held = F.array(*(marked(k, n) for k, n in enumerate(names)))
+    found = numbered.select("_row", F.explode(F.flatten(held)).alias("t")).select("_row", "t.*").join(enough, "term")
+    found = found.groupBy("_row").agg(*(F.collect_list(F.when(F.col("k") == k, F.col("term"))).alias(f"_{n}") for k, n in enumerate(names)))
+    none = F.array().cast("array<bigint>")
+    return numbered.drop(*names).join(found, "_row", "left").select("*", *(F.coalesce(f"_{n}", none).alias(n) for n in names)).drop("_row", *(f"_{n}" for n in names))
+
+
+def place_hash(text: Column) -> Column:
+    """The part of a text's hash that ranges are cut by: a number that percentiles, which are doubles, keep whole."""
+    return F.shiftright(F.xxhash64(text), 12)
+
+
+def _range_begins(rows: DataFrame) -> list[tuple[int, int, int]]:
+    """Where ranges of about RANGE_BYTES begin in the order of (has an id, id, text hash): rows that occur, the very first before all.
+
+    An id that holds several ranges is cut by the hash of its texts.
+    """
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = rows.agg(F.count("*").alias("n"), F.count("doc_id").alias("named"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    if not size["n"]:
+        return []
+    parts = max(least, -(-size["bytes"] // RANGE_BYTES))
+    at = [k / parts for k in range(parts)]
+    named = max(1, parts * size["named"] // size["n"])
+    ids = rows.agg(F.percentile_approx("doc_id", [k / named for k in range(named)], max(10_000, 10 * named)).alias("q"), F.min("doc_id").alias("low")).first()
+    cuts: dict[int | None, int] = {}  # how many ranges begin at or inside an id
+    for q in ids["q"] or ():
+        cuts[q] = cuts.get(q, 0) + 1
+    if ids["low"] is not None:
+        cuts.setdefault(ids["low"], 1)
+    if size["n"] > size["named"]:
+        cuts[None] = max(1, parts - named)
+    most = max(cuts.values())
+    chosen = F.col("doc_id").isin([c for c in cuts if c is not None]) | F.col("doc_id").isNull()
+    spread = F.percentile_approx("hash", [k / most for k in range(most)], 10_000)
+    begins = set()
+    for r in rows.filter(chosen).groupBy("doc_id").agg(F.min("hash").alias("low"), spread.alias("q")).collect():  # a row a cut
+        k = cuts.get(r["doc_id"], 1)
+        begins |= {(int(r["doc_id"] is not None), r["doc_id"] or 0, h) for h in (r["low"], *(r["q"][j * most // k] for j in range(1, k)))}
+    return sorted(begins)
 
 
 def with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """doc_id, text, next_id, next_text, next_hash in ascending order of (id, text hash); the last row's next is the first.
+    """doc_id, text, next_text in ascending order of (id, text hash); the last row's next is the first.
 
-    Ids are cut into ranges that begin at ids that occur. The rows of a range's first id also go to the
-    range before it, so one exchange of the texts brings every row together with its successor.
+    Ranges begin at rows that occur. Such rows also go to the range before, so one exchange of the texts
+    brings every row together with its successor.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = rows.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 10_000).alias("c"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
-    begins = sorted(c for c in set(cuts["c"] or ()) if c > cuts["low"])
-    at = sum((F.when(F.col("doc_id") >= b, 1).otherwise(0) for b in begins), F.lit(0)) if len(begins) < 16 else F.size(F.filter(F.array(*map(F.lit, begins)), lambda b: b <= F.col("doc_id")))
-    at = F.coalesce(at, F.lit(0)).cast("int")
-    last = len(begins)
-    bucket = F.when(F.col("doc_id").isNull(), 0).otherwise(at)
-    first = F.col("doc_id").isin(begins) if begins else F.lit(False)
-    lowest = F.col("doc_id").isNull() if cuts["nulls"] else F.col("doc_id") == F.lit(cuts["low"])
+    rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("hash", place_hash(F.col("text")))
+    begins = _range_begins(rows) or [(0, 0, 0)]
+    kind = "struct<a:int,b:bigint,c:bigint>"
+    own = F.struct(F.col("doc_id").isNotNull().cast("int").alias("a"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("b"), F.col("hash").alias("c"))
+    # A range is found in two steps: a block of ranges, then the range in it.
+    width = max(1, int(len(begins) ** 0.5))
+    blocks = [begins[k : k + width] for k in range(0, len(begins), width)]
+    named = lambda cuts: [dict(zip("abc", c)) for c in cuts]
+    firsts, inner = literal_array(named(b[0] for b in blocks), kind), literal_array([named(b) for b in blocks], f"array<{kind}>")
+
+    def place(k: Column) -> Column:
+        """struct(range, whether the row begins it)."""
+        def inside(block: Column) -> Column:
+            return let(F.get(inner, block), lambda cuts: F.struct((block * width + F.size(F.filter(cuts, lambda c: c <= k)) - 1).alias("b"), F.array_contains(cuts, k).alias("begins")))
+
+        return let(F.greatest(F.size(F.filter(firsts, lambda c: c <= k)) - 1, F.lit(0)), inside)
+
+    at = let(own, place)
     # (range, lap): lap 1 stands for the way round from the last row to the first.
-    places = F.array_compact(F.array(F.struct(bucket.alias("b"), F.lit(0).alias("lap"), F.lit(True).alias("own")), F.when(F.coalesce(first, F.lit(False)), F.struct((bucket - 1).alias("b"), F.lit(0).alias("lap"), F.lit(False).alias("own"))), F.when(F.coalesce(lowest, F.lit(False)), F.struct(F.lit(last).alias("b"), F.lit(1).alias("lap"), F.lit(False).alias("own")))))
-    dealt = rows.select("doc_id", "text", F.xxhash64("text").alias("hash"), F.explode(places).alias("p")).select("doc_id", "text", "hash", "p.*")
-    order = W.partitionBy("b").orderBy("lap", F.asc_nulls_first("doc_id"), "hash")
-    return dealt.select("doc_id", "text", "hash", "own", *(F.lead(c).over(order).alias(f"next_{n}") for c, n in (("doc_id", "id"), ("text", "text"), ("hash", "hash")))).filter("own").drop("own")
+    lap = F.struct(F.when(F.col("at.b") > 0, F.col("at.b") - 1).otherwise(len(begins) - 1).alias("b"), F.when(F.col("at.b") > 0, 0).otherwise(1).alias("lap"), F.lit(False).alias("own"))
+    places = F.array_compact(F.array(F.struct(F.col("at.b").alias("b"), F.lit(0).alias("lap"), F.lit(True).alias("own")), F.when(F.col("at.begins"), lap)))
+    dealt = rows.withColumn("at", at).select("doc_id", "text", "hash", F.explode(places).alias("p")).select("doc_id", "text", "hash", "p.*")
+    order = W.partitionBy("b").orderBy("lap", F.asc_nulls_first("doc_id"), "hash", F.xxhash64("text"))
+    return dealt.select("doc_id", "text", "own", F.lead("text").over(order).alias("next_text")).filter("own").drop("own")
 
 
 def edited(text: Column, next_text: Column) -> Column:
@@ -66,59 +157,43 @@ def edited(text: Column, next_text: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), (n - half).cast("int")), F.substring(F.coalesce(next_text, F.lit("")), F.lit(1), half))
 
 
-def parts_of(terms: Column, subsets: int, sparsity: int, otherwise: Column) -> Column:
-    """The parts of the fingerprint as text: for each sub-lexicon the hash of its sorted terms."""
-    by_subset = F.transform(F.sequence(F.lit(0), F.lit(subsets - 1)), lambda s: F.filter(terms, lambda t: F.pmod(t, F.lit(sparsity)) == s))
+def parts_of(terms: Column, text: Column, levels: tuple[tuple[int, int], ...] = LEVELS) -> Column:
+    """The parts of the fingerprint as texts: for each sub-lexicon the hash of its sorted terms."""
     short = lambda h: F.lower(F.lpad(F.hex(F.pmod(h, F.lit(1 << 32))), 8, "0"))
-    return F.when(F.size(terms) == 0, F.array_repeat(short(otherwise), subsets)).otherwise(F.transform(by_subset, lambda t: F.when(F.size(t) == 0, F.lit(NO_TERMS)).otherwise(short(F.xxhash64(t)))))
+
+    def level(sorted_terms: Column, k: int) -> Column:
+        count, sparsity = levels[k]
+        drawn = lambda t: F.shiftright(t, 16 * k).bitwiseAND(F.lit(sparsity - 1).cast("long"))  # noqa: E731  each level by bits of its own
+        own = F.filter(sorted_terms, lambda t: drawn(t) < count) if count < sparsity else sorted_terms
+        part = lambda held, s: let(F.filter(held, lambda t: drawn(t) == s), lambda t: F.when(F.size(t) == 0, F.lit(NO_TERMS)).otherwise(short(F.xxhash64(t))))
+        return let(own, lambda held: F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda s: part(held, s)))
+
+    found = let(F.sort_array(terms), lambda t: F.concat(*(level(t, k) for k in range(len(levels)))))
+    return F.when(F.size(terms) == 0, F.array_repeat(short(F.xxhash64(text)), sum(count for count, _ in levels))).otherwise(found)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of agreeing parts among those that a or b has terms for."""
     both = F.zip_with(a, b, lambda x, y: F.when((x == NO_TERMS) & (y == NO_TERMS), 0).when(x == y, 1).otherwise(2))
-    counted = F.size(F.filter(both, lambda k: k > 0))
-    return F.when(counted > 0, F.size(F.filter(both, lambda k: k == 1)) / counted).otherwise(0.0)
+    return let(both, lambda kinds: F.when(F.exists(kinds, lambda k: k > 0), F.size(F.filter(kinds, lambda k: k == 1)) / F.size(F.filter(kinds, lambda k: k > 0))).otherwise(0.0))
 
 
-def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", subsets: int = SUBSETS, sparsity: int = SPARSITY, least_docs: int = LEAST_DOCS, most_share: float = MOST_SHARE) -> DataFrame:
+def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", levels: tuple[tuple[int, int], ...] = LEVELS, least_docs: int = LEAST_DOCS, most_share: float = MOST_SHARE) -> DataFrame:
     """Fingerprints of each text, of its edited text, and their likeness to each other and to the next document's."""
+    frequent, enough = term_counts(docs, text, most_share, least_docs)
+    left_out = literal_array(frequent, "bigint")
     pairs = with_next(docs, key, text).withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    known = written(
-        pairs.select(
-            "doc_id", "hash", "next_id", "next_hash",
-            F.char_length("text").cast("long").alias("n_chars"),
-            F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-            F.xxhash64("edited").alias("edited_hash"),
-            drawn_terms(F.col("text"), subsets, sparsity).alias("own"),
-            drawn_terms(F.col("edited"), subsets, sparsity).alias("other"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-        "terms",
-    )
-    n = known.count()
-    df = written(known.select(F.explode("own").alias("term")).groupBy("term").agg(F.count("*").alias("df")).filter(F.col("df") >= least_docs), "frequencies")
-    frequent = df.filter(F.col("df") > max(least_docs, most_share * n)).select("term")
-    lexicon = df.filter(F.col("df") <= max(least_docs, most_share * n)).select("term")
-    used = known.select("row", F.explode(F.transform(F.array_union("own", "other"), lambda t: F.struct(t.alias("term"), F.array_contains("own", t).alias("in_own"), F.array_contains("other", t).alias("in_other")))).alias("t")).select("row", "t.*")
-    used = used.join(F.broadcast(frequent), "term", "left_anti").join(lexicon, "term")
-    terms = used.groupBy("row").agg(F.collect_list(F.struct("term", "in_own", "in_other")).alias("found"))
-    none = F.array().cast("array<struct<term:bigint,in_own:boolean,in_other:boolean>>")
-    of = lambda flag: F.array_sort(F.transform(F.filter(F.coalesce("found", none), lambda t: t[flag]), lambda t: t["term"]))
-    prints = written(
-        known.drop("own", "other").join(terms, "row", "left").withColumns({"a": of("in_own"), "b": of("in_other")}).select(
-            "doc_id", "hash", "next_id", "next_hash", "n_chars", "edited_sha256",
-            parts_of(F.col("a"), subsets, sparsity, F.col("hash")).alias("own"),
-            parts_of(F.col("b"), subsets, sparsity, F.col("edited_hash")).alias("other"),
-        ),
-        "prints",
+    kinds = {"own": "text", "other": "edited", "following": "next_text"}
+    rows = pairs.withColumns({n: F.array_except(terms_of(F.col(c)), left_out) for n, c in kinds.items()})
+    if enough is not None:
+        rows = without_rare_terms(rows, enough, *kinds)
+    rows = rows.select(
+        F.col("doc_id").alias(key), F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        *(parts_of(F.col(n), F.col(c), levels).alias(n) for n, c in kinds.items()),
     )
-    following = prints.select(F.col("doc_id").alias("next_id"), F.col("hash").alias("next_hash"), F.col("own").alias("following")).dropDuplicates(["next_id", "next_hash"])
-    same = prints["next_id"].eqNullSafe(following["next_id"]) & (prints["next_hash"] == following["next_hash"])
-    return prints.join(following, same, "left").select(
-        prints["doc_id"].alias(key), "n_chars", "edited_sha256",
-        F.array_join("own", "").alias("fingerprint"), F.array_join("other", "").alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("other")).alias("near_edited"),
-        likeness(F.col("own"), F.col("following")).alias("near_next"),
+    return rows.select(
+        key, "n_chars", "edited_sha256", F.array_join("own", "").alias("fingerprint"), F.array_join("other", "").alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"),
     )
 
 
