@@ -30,8 +30,6 @@ from .common import small_parts, table, written
 
 LENGTH, GRAIN, CLOSING_ID = 2048, 8, 1
 TOKENIZER = "word_bpe_49k.json"
-#: Encoded words that a worker process keeps at hand; the cache starts afresh when it is full.
-CACHED_WORDS = 500_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -41,57 +39,75 @@ def tokenizer_path(name: str) -> str:
 
 
 @lru_cache(2)
-def word_encoder(path: str):
-    """A function from words to their ids as little-endian 32-bit numbers; one for each worker process.
-
-    The tokenizer never lets a token span white space, so runs between white space are encoded once
-    and kept for all later tasks of the process. It lowers case first, and parts a comma or full stop
-    from a letter or digit before it, so such runs are put together from what is known.
-    """
+def loaded_tokenizer(path: str):
+    """The tokenizer, once for each worker process, and by id whether a token ends a word."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    known: dict[str, bytes] = {}
-
-    def parts(word: str) -> tuple[str, str]:
-        """A run as what it shares with other runs, and a mark at its end."""
-        low = word if "\u03a3" in word else word.lower()
-        return (low[:-1], low[-1]) if low[-1:] in marks and low[-2:-1].isalnum() else (low, "")
-
-    def encode(words: list[str]) -> list[bytes]:
-        found = list(map(known.get, words))
-        if None in found:
-            if len(known) > CACHED_WORDS:
-                known.clear()
-                known.update(marks)
-                found = [None] * len(words)
-            lost = [k for k, ids in enumerate(found) if ids is None]
-            split = [parts(words[k]) for k in lost]
-            new = list({stem for stem, _ in split if stem not in known})
-            for stem, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[stem] = np.array(e.ids, "<u4").tobytes()
-            for k, (stem, end) in zip(lost, split):
-                found[k] = known[words[k]] = known[stem] + marks[end]
-        return found
-
-    marks: dict[str, bytes] = {}
-    for mark in ("", ",", "."):
-        marks[mark] = np.array(tokenizer.encode(mark, add_special_tokens=False).ids, "<u4").tobytes()
-    known.update(marks)
-    return encode
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    ends = np.zeros(tokenizer.get_vocab_size(), bool)
+    if suffix:
+        ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+    return tokenizer, ends
+
+
+def _encoded(texts: list[str], path: str) -> list[np.ndarray]:
+    tokenizer, _ = loaded_tokenizer(path)
+    return [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 #: Characters that split runs here, but that the tokenizer does not take for white space.
 _NO_SPACE = "[\\x1c-\\x1f]"
+#: Small letters that no normalisation changes; a run of them is one word to the tokenizer.
+_LETTERS = "^[a-z\u00df-\u00f6\u00f8-\u00ff]+$"
+#: Runs that end in a mark which the tokenizer parts from the letter or digit before it.
+_MARKED = "[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff][,.]$"
+#: Begins the strings that the tokenizer takes for special tokens, in this case of letters only.
+_SPECIAL = "<|"
+#: Stems that the tokenizer gets as one text.
+_JOINED = 256
+
+
+def encode_stems(stems: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of stems one after the other, and how many each stem has.
+
+    Stems of letters only are one word each: they are joined by blanks, encoded as one text, and told
+    apart by the tokens that end words. Others are encoded one by one.
+    """
+    import pyarrow.compute as pc
+
+    ends = loaded_tokenizer(path)[1]
+    letters = pc.match_substring_regex(stems, _LETTERS).to_numpy(zero_copy_only=False) & ends.any()
+    plain, rest = np.nonzero(letters)[0], np.nonzero(~letters)[0]
+    cuts = np.r_[np.arange(0, len(plain), _JOINED), len(plain)].astype(np.int32)
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), stems.take(pa.array(plain))), " ")
+    parts = _encoded(joined.to_pylist(), path)
+    last = np.nonzero(ends[np.concatenate(parts)])[0] if parts else np.zeros(0, np.int64)
+    if len(last) != len(plain):
+        raise ValueError("a word does not end with one token that ends words")
+    others = _encoded(stems.take(pa.array(rest)).to_pylist(), path)
+    sizes = np.zeros(len(stems), np.int64)
+    sizes[plain] = np.diff(np.r_[-1, last])
+    sizes[rest] = [len(ids) for ids in others]
+    order = np.r_[plain, rest]
+    begins = np.zeros(len(stems), np.int64)
+    begins[order] = np.cumsum(sizes[order]) - sizes[order]
+    return _gathered(np.concatenate([np.zeros(0, np.uint32), *parts, *others]), begins, sizes), sizes
+
+
+def _gathered(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of flat that begin at `begins`, one after the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - sizes), sizes)]
 
 
 def encode_batch(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """All ids of texts (no nulls) one after the other, and how many each text has.
 
-    Runs between white space are told apart and numbered by Arrow, so that Python sees each
-    different run of a batch once; ids are gathered by number.
+    Runs between white space are told apart and numbered by Arrow, in lower case and without a comma or
+    full stop at their end, so that the tokenizer sees each different stem of a batch once; ids are
+    gathered by number.
     """
     import pyarrow.compute as pc
 
@@ -103,14 +119,26 @@ def encode_batch(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
             lists[i] = [texts[i].as_py()]
         runs = pa.array(lists, pa.list_(pa.string()))
     coded = runs.flatten().dictionary_encode()
-    found = word_encoder(path)(coded.dictionary.to_pylist())
-    sizes = np.fromiter((len(x) >> 2 for x in found), np.int64, len(found))
-    flat, begins = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+    words = coded.dictionary
+    low = pc.if_else(pc.match_substring(words, _SPECIAL), words, pc.ascii_lower(words))
+    marked = pc.match_substring_regex(low, _MARKED)
+    stems = pc.if_else(marked, pc.utf8_slice_codeunits(low, 0, -1), low).dictionary_encode()
+    flat, sizes = encode_stems(stems.dictionary, path)
+    begins = np.cumsum(sizes) - sizes
+    comma, stop = _encoded([",", "."], path)
+    # The marks stand behind all stems; a run has its stem's ids, and those of its mark after them.
+    ends_in = np.where(marked.to_numpy(zero_copy_only=False), np.where(pc.ends_with(low, ",").to_numpy(zero_copy_only=False), 1, 2), 0)
+    mark_sizes = np.array([0, len(comma), len(stop)])
+    mark_begins = len(flat) + np.array([0, 0, len(comma)])
+    of = stems.indices.to_numpy()
+    pair_begins = np.stack([begins[of], mark_begins[ends_in]], 1).reshape(-1) if len(of) else np.zeros(0, np.int64)
+    pair_sizes = np.stack([sizes[of], mark_sizes[ends_in]], 1).reshape(-1) if len(of) else np.zeros(0, np.int64)
+    by_word = _gathered(np.concatenate([flat, comma, stop]), pair_begins, pair_sizes)
+    word_sizes = sizes[of] + mark_sizes[ends_in]
     at = coded.indices.to_numpy()
-    ends = np.cumsum(sizes[at])
-    ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[at] - (ends - sizes[at]), sizes[at])]
+    ids = _gathered(by_word, (np.cumsum(word_sizes) - word_sizes)[at], word_sizes[at])
     cuts = np.r_[0, np.cumsum(runs.value_lengths().to_numpy())]
-    return ids, np.diff(np.r_[0, ends][cuts])
+    return ids, np.diff(np.r_[0, np.cumsum(word_sizes[at])][cuts])
 
 
 def tokenised_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, tokenizer: str | None = None) -> DataFrame:
