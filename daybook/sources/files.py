@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.columns import SERIES, blank_to_null, by_header, candle_date, clean, dashed_date, field, first_filled, lakh_to_rupee, to_double, to_long
+from ..functions.columns import SERIES, blank_to_null, by_header, candle_date, clean, dashed_date, field, first_filled, lakh_to_rupee, to_double
 
 LISTING_HEADERS = ("SYMBOL", "NAME OF COMPANY", "SERIES", "DATE OF LISTING", "PAID UP VALUE", "MARKET LOT", "ISIN NUMBER", "FACE VALUE")
 DELIVERY_HEADERS = ("SYMBOL", "SERIES", "DATE1", "PREV_CLOSE", "OPEN_PRICE", "HIGH_PRICE", "LOW_PRICE", "LAST_PRICE", "CLOSE_PRICE", "AVG_PRICE", "TTL_TRD_QNTY", "TURNOVER_LACS", "NO_OF_TRADES", "DELIV_QTY", "DELIV_PER")
@@ -35,22 +35,38 @@ def listing_columns(raw: DataFrame) -> DataFrame:
     return out.filter((F.col("isin") != "") & (F.col("symbol") != ""))
 
 
+#: The numbers of a bar in the order that they are read in; the first five must be there.
+NUMBERS = ("open", "high", "low", "close", "volume", "prev_close", "last_price", "turnover", "trades", "deliv_qty", "deliv_pct")
+WHOLE = ("volume", "trades", "deliv_qty")
+
+
+def whole_bars(rows: DataFrame, cells: Mapping[str, Column]) -> DataFrame:
+    """Bars of rows (symbol, isin, series, trade_date, file_date), with numbers read from text cells.
+
+    Kept are bars of a kept series, complete in prices and volume. The numbers of a row are read in one
+    expression, so that they are read once for the filter and once for the result, not once for each use.
+    """
+    read = F.transform(F.array(*(cells.get(n, F.lit(None).cast("string")) for n in NUMBERS)), to_double)
+    rows = rows.select("symbol", "isin", "series", "trade_date", "file_date", read.alias("_n"))
+    # Beyond 64 bits a volume is no number.
+    there = F.forall(F.slice("_n", 1, 5), lambda x: x.isNotNull() & (F.abs(x) < 2.0**63))
+    rows = rows.filter((F.col("symbol") != "") & F.col("series").isin(*SERIES) & there)
+    number = {n: F.get("_n", F.lit(k)) for k, n in enumerate(NUMBERS)}
+    number |= {n: number[n].try_cast("bigint") for n in WHOLE}
+    return rows.select(*BAR[:5], *(number[n].alias(n) for n in BAR[5:]))
+
+
 def delivery_columns(raw: DataFrame, trade_date) -> DataFrame:
     """Bars from a delivery file's text columns, complete in prices and volume and of a kept series."""
     raw = by_header(raw)
-    out = raw.select(
+    named = {"open": "OPEN_PRICE", "high": "HIGH_PRICE", "low": "LOW_PRICE", "close": "CLOSE_PRICE", "volume": "TTL_TRD_QNTY", "prev_close": "PREV_CLOSE", "last_price": "LAST_PRICE", "turnover": "TURNOVER_LACS", "trades": "NO_OF_TRADES", "deliv_qty": "DELIV_QTY", "deliv_pct": "DELIV_PER"}
+    cells = {n: field(raw, c) for n, c in named.items()}
+    rows = raw.select(
         clean(field(raw, "SYMBOL")).alias("symbol"), F.lit(None).cast("string").alias("isin"), clean(field(raw, "SERIES")).alias("series"),
-        trade_date.alias("trade_date"), dashed_date(field(raw, "DATE1")).alias("file_date"),
-        *(to_double(field(raw, c)).alias(n) for c, n in (("OPEN_PRICE", "open"), ("HIGH_PRICE", "high"), ("LOW_PRICE", "low"), ("CLOSE_PRICE", "close"), ("PREV_CLOSE", "prev_close"), ("LAST_PRICE", "last_price"))),
-        to_long(field(raw, "TTL_TRD_QNTY")).alias("volume"), lakh_to_rupee(to_double(field(raw, "TURNOVER_LACS"))).alias("turnover"),
-        to_long(field(raw, "NO_OF_TRADES")).alias("trades"), to_long(field(raw, "DELIV_QTY")).alias("deliv_qty"), to_double(field(raw, "DELIV_PER")).alias("deliv_pct"),
+        trade_date.alias("trade_date"), dashed_date(field(raw, "DATE1")).alias("file_date"), *(c.alias(n) for n, c in cells.items()),
     )
-    return complete(out)
-
-
-def complete(bars: DataFrame) -> DataFrame:
-    kept = bars.filter((F.col("symbol") != "") & F.col("series").isin(*SERIES))
-    return kept.dropna(subset=["open", "high", "low", "close", "volume"])
+    out = whole_bars(rows, {n: F.col(n) for n in cells})
+    return out.withColumn("turnover", lakh_to_rupee(F.col("turnover")))
 
 
 def delivery_bars(spark: SparkSession, path: str) -> DataFrame:
@@ -87,14 +103,12 @@ def udiff_columns(archives: DataFrame) -> DataFrame:
     raw = archives.select("path", "content").mapInPandas(_unzipped, ", ".join(f"{c} string" for c in (*UDIFF_HEADERS, "path")))
     stocks = raw.filter(clean(F.col("FinInstrmTp")) == "STK")
     name = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"(\d{8})", 1)
-    out = stocks.select(
+    named = {"open": "OpnPric", "high": "HghPric", "low": "LwPric", "close": "ClsPric", "volume": "TtlTradgVol", "prev_close": "PrvsClsgPric", "last_price": "LastPric", "turnover": "TtlTrfVal", "trades": "TtlNbOfTxsExctd"}
+    rows = stocks.select(
         clean(F.col("TckrSymb")).alias("symbol"), blank_to_null(F.col("ISIN")).alias("isin"), clean(F.col("SctySrs")).alias("series"),
-        F.try_to_date(name, "yyyyMMdd").alias("trade_date"), F.try_to_date(clean(F.col("TradDt")), "yyyy-MM-dd").alias("file_date"),
-        *(to_double(F.col(c)).alias(n) for c, n in (("OpnPric", "open"), ("HghPric", "high"), ("LwPric", "low"), ("ClsPric", "close"), ("PrvsClsgPric", "prev_close"), ("LastPric", "last_price"))),
-        to_long(F.col("TtlTradgVol")).alias("volume"), to_double(F.col("TtlTrfVal")).alias("turnover"), to_long(F.col("TtlNbOfTxsExctd")).alias("trades"),
-        F.lit(None).cast("bigint").alias("deliv_qty"), F.lit(None).cast("double").alias("deliv_pct"),
+        F.try_to_date(name, "yyyyMMdd").alias("trade_date"), F.try_to_date(clean(F.col("TradDt")), "yyyy-MM-dd").alias("file_date"), *(F.col(c).alias(n) for n, c in named.items()),
     )
-    return complete(out)
+    return whole_bars(rows, {n: F.col(n) for n in named})
 
 
 ACTION = "array<struct<symbol:string,comp:string,exDate:string,faceVal:string,isin:string,subject:string,purpose:string>>"
@@ -118,9 +132,11 @@ def candle_columns(text: DataFrame, body: str, isin) -> DataFrame:
     """Adjusted bars in nested arrays [timestamp, open, high, low, close, volume, ...]; short and unreadable ones are left out."""
     parsed = F.from_json(body, "struct<data:struct<candles:array<array<string>>>>")
     rows = text.select(isin.alias("isin"), F.explode(parsed["data"]["candles"]).alias("c")).filter(F.size("c") >= 6)
-    item = lambda k: F.get("c", F.lit(k))
-    out = rows.select("isin", candle_date(item(0)).alias("trade_date"), *(to_double(item(k)).alias(n) for k, n in enumerate(("open", "high", "low", "close"), 1)), to_long(item(5)).alias("volume"))
-    return out.dropna()
+    # The numbers are read in one expression, as in whole_bars.
+    rows = rows.select("isin", candle_date(F.get("c", F.lit(0))).alias("trade_date"), F.transform(F.slice("c", 2, 5), to_double).alias("_n"))
+    rows = rows.filter(F.col("isin").isNotNull() & F.col("trade_date").isNotNull() & F.forall("_n", lambda x: x.isNotNull() & (F.abs(x) < 2.0**63)))
+    number = lambda k: F.get("_n", F.lit(k))
+    return rows.select("isin", "trade_date", *(number(k).alias(n) for k, n in enumerate(("open", "high", "low", "close"))), number(4).try_cast("bigint").alias("volume"))
 
 
 def candles(spark: SparkSession, path: str) -> DataFrame:
