@@ -148,7 +148,7 @@ def tokenised_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", l
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         closing = np.array([CLOSING_ID], "<u4").tobytes()
-        for part in small_parts(batches, 1500):
+        for part in small_parts(batches, 750):
             ids, sizes = encode_batch(part.column(1), path)
             packed, end = ids.tobytes(), 0
             at, start, lengths, pieces, totals = [], [], [], [], []

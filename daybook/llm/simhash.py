@@ -12,8 +12,13 @@ compared inside the task that holds their bucket; it yields a spanning set of li
 A bucket of over `chunk` fingerprints is cut into chunks, and every two chunks meet in a task of their
 own: exact, with bounded memory, whatever the bucket's size.
 
+A document can have several fingerprints, each over its own hashes of the same shingles. They link two
+documents if any of them does: k of them find what one overlooks with probability p but for p^k.
+
 Null and empty texts have fingerprint zero and are linked like any other. Rows that repeat an id count
-as rows; null ids reach the component of their fingerprint, but name none.
+as rows; rows with null ids link like any other, but name no component: one that only they reach has a
+null name. Very long texts are read whole, a slice of their hashes at a time. Empty tables give no rows.
+Columns other than key and text are not read, or come back as they were.
 """
 
 from __future__ import annotations
@@ -23,45 +28,67 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import table, written
+from .common import free_names, small_parts, table, written
 from .components import components
 
 SHINGLE, SEED, RADIUS, CHUNK = 4, 42, 4, 4096
 #: Texts whose shingles one task holds at once are at most two chunks of about so many.
 SET_CHUNK = 256
-#: A bucket with up to so many pairs for each row yields them all; of a denser one, each row meets about as many others, and as many rows with most links, before the rest.
-FEW = 8
+#: A bucket with up to so many pairs for each row yields them all; of a denser one, each row meets one other in each of the drawn orders, and so many rows with most links, before the rest.
+FEW, DRAWN = 8, (0x51ED270B35E1, 0x2545F4914F6C)
 #: Tables of up to so many rows (of a few numbers) are broadcast.
 BROADCAST_ROWS = 100_000
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED, distinct: bool = False) -> int:
-    """The fingerprint of one text as a signed 64-bit number; distinct: each different shingle counts once."""
+def fingerprint_set(text: str | None, shingle: int = SHINGLE, seed: int = SEED, distinct: bool = False, count: int = 1) -> list[int]:
+    """`count` fingerprints of one text as signed 64-bit numbers; distinct: each different shingle counts once.
+
+    The first is over the shingles' XXH64; the k-th over numbers that those and k determine.
+    """
     import numpy as np
     from xxhash import xxh64_intdigest
 
     words = (text or "").encode("utf-8", "replace").lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
-        return 0
-    runs = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else (b" ".join(words),)
+        return [0] * count
+    if shingle == 1:
+        runs = words
+    else:
+        runs = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else (b" ".join(words),)
     hashes = np.fromiter((xxh64_intdigest(s, seed) for s in (set(runs) if distinct else runs)), np.uint64)
-    ones = np.zeros(64, np.int64)
+    ones = np.zeros(64 * count, np.int64)
     for lo in range(0, len(hashes), 1 << 14):
-        part = hashes[lo : lo + (1 << 14)].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.int64)[0])
+        part = hashes[lo : lo + (1 << 14), None]
+        if count > 1:
+            part = np.concatenate([part, _mixed(part + np.arange(1, count, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))], 1)
+        bits = np.ascontiguousarray(part).view(np.uint8).reshape(len(part), -1)
+        ones += np.unpackbits(bits, axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.int64).tolist()
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, seed: int = SEED, distinct: bool = False) -> DataFrame:
-    """doc_id, fp (long) and text_hash of every row."""
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED, distinct: bool = False) -> int:
+    return fingerprint_set(text, shingle, seed, distinct)[0]
+
+
+def _mixed(x):
+    """Numbers whose bits all depend on all bits of x (numpy uint64)."""
+    import numpy as np
+
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, seed: int = SEED, distinct: bool = False, count: int = 1) -> DataFrame:
+    """doc_id, fps (array<long>) and text_hash of every row."""
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fps = [fingerprint(t.as_py(), shingle, seed, distinct) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), b.column(2)], names=["doc_id", "fp", "text_hash"])
+        for b in small_parts(batches):
+            fps = [fingerprint_set(t.as_py(), shingle, seed, distinct, count) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.list_(pa.int64())), b.column(2)], names=["doc_id", "fps", "text_hash"])
 
-    return rows.mapInArrow(per_batch, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long, text_hash long")
+    return rows.mapInArrow(per_batch, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fps array<long>, text_hash long")
 
 
 def covering_masks(radius: int = RADIUS) -> list[int]:
@@ -156,9 +183,9 @@ def _more_links(group, radius: int):
     else:
         return np.concatenate(found)
     some = [np.stack([ids, ids], 1)]
-    rng = np.random.default_rng(n)
-    for _ in range(FEW):
-        turn = np.roll(np.argsort(_drawn(ids, np.full(n, rng.integers(1 << 62)))), 1)
+    # In the same orders in all buckets, so that rows that meet in many tables mostly meet the same others.
+    for salt in DRAWN:
+        turn = np.roll(np.argsort(_drawn(ids, np.full(n, salt))), 1)
         other = np.empty(n, np.int64)
         other[turn] = np.roll(turn, 1)
         near = np.nonzero(np.bitwise_count(fps ^ fps[other]) <= radius)[0]
@@ -194,13 +221,17 @@ def _bucket_links(radius: int, dense: bool = False):
     return per_partition
 
 
-def dealt_buckets(nodes: DataFrame, radius: int, chunk: int, also: tuple[str, ...] = ()) -> DataFrame:
-    """v, key, i, j, fp, id and the columns `also` of nodes, once for each table and pair of chunks, sorted by bucket."""
+def dealt_buckets(nodes: DataFrame, count: int, radius: int, chunk: int, also: tuple[str, ...] = ()) -> DataFrame:
+    """v, key, i, j, fp, id and the columns `also` of nodes, once for each fingerprint, table and pair of chunks, sorted by bucket.
+
+    nodes: id and fps, of `count` fingerprints each.
+    """
     masks = covering_masks(radius)
-    tables = F.explode(F.array(*(F.struct(F.lit(v).alias("v"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for v, m in enumerate(masks))))
-    rows = nodes.select("id", "fp", *also, tables.alias("t")).select("t.v", "t.key", "fp", "id", *also)
+    fp = lambda k: F.get("fps", F.lit(k))
+    tables = F.explode(F.array(*(F.struct(F.lit(k * len(masks) + v).alias("v"), fp(k).bitwiseAND(F.lit(m).cast("long")).alias("key"), fp(k).alias("fp")) for k in range(count) for v, m in enumerate(masks))))
+    rows = nodes.select("id", *also, tables.alias("t")).select("t.v", "t.key", "t.fp", "id", *also)
     keys = ["v", "key", "i", "j"]
-    large = large_buckets(rows, nodes.count() * len(masks), chunk)
+    large = large_buckets(rows.select("v", "key"), nodes.count() * len(masks) * count, chunk)
     n_large = large.count()
     if not n_large:
         dealt = rows.select("v", "key", F.lit(0).alias("i"), F.lit(0).alias("j"), "fp", "id", *also)
@@ -213,13 +244,13 @@ def dealt_buckets(nodes: DataFrame, radius: int, chunk: int, also: tuple[str, ..
     return dealt.repartition(*keys).sortWithinPartitions(*keys)
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, chunk: int = CHUNK, dense: bool = False) -> DataFrame:
-    """a, b: links that connect the ids whose fingerprints differ in at most radius bits.
+def links(nodes: DataFrame, radius: int = RADIUS, chunk: int = CHUNK, dense: bool = False, count: int = 1) -> DataFrame:
+    """a, b: links that connect the ids of which some fingerprint differs in at most radius bits.
 
-    nodes: id long and fp long, one row for each text or fingerprint. If dense, all such pairs of a bucket
-    come too, or where they are many, some of them and a loop (a, a) for each row of that bucket.
+    nodes: id long and fps array<long>, one row for each text or fingerprint. If dense, all such pairs of a
+    bucket come too, or where they are many, some of them and a loop (a, a) for each row of that bucket.
     """
-    return dealt_buckets(nodes, radius, chunk).mapInArrow(_bucket_links(radius, dense), "a long, b long").distinct()
+    return dealt_buckets(nodes, count, radius, chunk).mapInArrow(_bucket_links(radius, dense), "a long, b long").distinct()
 
 
 def _owner_table(masks: list[int]):
@@ -235,22 +266,39 @@ def _owner_table(masks: list[int]):
     return out
 
 
-def open_pairs(state: DataFrame, radius: int, chunk: int, hubs: bool) -> DataFrame:
+def open_pairs(state: DataFrame, count: int, radius: int, chunk: int, hubs: bool) -> DataFrame:
     """id, others: pairs of state's rows within the radius and of different groups g, each listed at both ends.
 
-    hubs: only pairs with one of the rows of a bucket that have most links so far (degree). Otherwise
-    all, each in the first table that both rows meet in.
+    hubs: only pairs with one of the rows of a bucket that have most links so far (degree); else all. A
+    pair comes from the first fingerprint that links it and the first table that both rows meet in, so it
+    comes once. A row of a bucket lists all its partners at once.
     """
-    kept_out = None if hubs else _owner_table(covering_masks(radius))
+    masks = covering_masks(radius)
+    kept_out = _owner_table(masks)
+    earlier_fps = [f"f{k}" for k in range(count - 1)]
+    state = state.select("id", "fps", "g", "degree", *(F.get("fps", F.lit(k)).alias(n) for k, n in enumerate(earlier_fps)))
 
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        def batch(found: dict) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([o for _, o in found], pa.list_(pa.int64()))], names=["id", "others"])
-
-        found, held = [], 0
-        for rows in _whole_buckets(batches, 8):
+        def batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+            order = np.argsort(a, kind="stable")
+            a, b = a[order], b[order]
+            starts = np.r_[0, np.nonzero(a[1:] != a[:-1])[0] + 1]
+            ends = pa.array(np.r_[starts, len(a)].astype(np.int32))
+            return pa.RecordBatch.from_arrays([pa.array(a[starts]), pa.ListArray.from_arrays(ends, pa.array(b))], names=["id", "others"])
+
+        def first_met(v: int, differ: np.ndarray) -> np.ndarray:
+            """Whether table v is the first that keeps none of the bits in which the pairs differ."""
+            parts = differ.view(np.uint8).reshape(-1, 8)
+            out = np.zeros((len(differ), 2), np.uint64)
+            for byte in range(8):
+                out |= kept_out[byte, parts[:, byte]]
+            free = ~out
+            earlier = free[:, v >> 6] & np.uint64((1 << (v & 63)) - 1)
+            return (earlier == 0) & ((free[:, 0] == 0) if v >> 6 else True)
+
+        for rows in _whole_buckets(batches, 8 + len(earlier_fps)):
             for lo, hi in zip(*_bounds(rows)):
                 fps, ids, g, degree = np.ascontiguousarray(rows[lo:hi, 4]).view(np.uint64), rows[lo:hi, 5], rows[lo:hi, 6], rows[lo:hi, 7]
                 names, label, size = np.unique(g, return_inverse=True, return_counts=True)
@@ -263,30 +311,28 @@ def open_pairs(state: DataFrame, radius: int, chunk: int, hubs: bool) -> DataFra
                     turns = np.nonzero(label != size.argmax())[0]
                 taken = np.zeros(hi - lo, bool)
                 taken[turns] = True
-                v = int(rows[lo, 0])
+                space, v = divmod(int(rows[lo, 0]), len(masks))
+                before = np.ascontiguousarray(rows[lo:hi, 8 : 8 + space]).view(np.uint64)
+                found, held = [], 0
                 for t in turns:
                     near = np.nonzero((np.bitwise_count(fps ^ fps[t]) <= radius) & (label != label[t]))[0]
-                    if not hubs and v:
-                        differ = (fps[near] ^ fps[t]).view(np.uint8).reshape(-1, 8)
-                        out = np.zeros((len(near), 2), np.uint64)
-                        for byte in range(8):
-                            out |= kept_out[byte, differ[:, byte]]
-                        free = ~out
-                        first = v & 63
-                        earlier = free[:, v >> 6] & np.uint64((1 << first) - 1)
-                        near = near[(earlier == 0) & ((free[:, 0] == 0) if v >> 6 else True)]
+                    if space and len(near):
+                        near = near[(np.bitwise_count(before[near] ^ before[t]) > radius).all(1)]
+                    if v:
+                        near = near[first_met(v, fps[near] ^ fps[t])]
                     if len(near):
-                        found.append((ids[t], ids[near]))
-                        # The other ends that take no turn of their own list the pair here.
-                        found.extend((ids[k], ids[t : t + 1]) for k in near[~taken[near]])
+                        found.append((np.full(len(near), ids[t]), ids[near]))
+                        # The other ends that take no turn of their own list the pair too.
+                        rest = near[~taken[near]]
+                        found.append((ids[rest], np.full(len(rest), ids[t])))
                         held += 2 * len(near)
-                    if held > 1 << 18:
-                        yield batch(found)
+                    if held > 1 << 20:
+                        yield batch(*map(np.concatenate, zip(*found)))
                         found, held = [], 0
-        if found:
-            yield batch(found)
+                if found:
+                    yield batch(*map(np.concatenate, zip(*found)))
 
-    return dealt_buckets(state, radius, chunk, ("g", "degree")).mapInArrow(per_partition, "id long, others array<long>")
+    return dealt_buckets(state, count, radius, chunk, ("g", "degree", *earlier_fps)).mapInArrow(per_partition, "id long, others array<long>")
 
 
 def alike_pairs(pairs: DataFrame, state: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -353,11 +399,16 @@ def large_buckets(rows: DataFrame, n: int, chunk: int) -> DataFrame:
 
 def near_duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, distinct: bool = False) -> DataFrame:
     """key, fp and component_id, the smallest id that links reach, of every row."""
-    prints = written(fingerprints(docs, key, text, shingle, distinct=distinct).withColumn("doc_id", F.col("doc_id").cast("long")), "fingerprints")
-    nodes = written(prints.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
-    found = components(links(nodes.select("id", "fp"), radius))
-    of = nodes.join(found, nodes["id"] == found["node"], "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    return prints.join(written(of, "components"), "fp", "left").select(F.col("doc_id").alias(key), "fp", "component_id")
+    prints = fingerprints(docs, key, text, shingle, distinct=distinct).select(F.col("doc_id").cast("long").alias("doc_id"), F.get("fps", F.lit(0)).alias("fp"))
+    prints = written(prints, "fingerprints")
+    # A fingerprint is its own node, so that it links whether or not a row with an id has it.
+    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    found = components(links(nodes.select(F.col("fp").alias("id"), F.array("fp").alias("fps")), radius))
+    of = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    of = written(of, "components")
+    names = of.groupBy("component").agg(F.min("least").alias("component_id"))
+    of = of.join(names, "component").select("fp", "component_id")
+    return prints.join(of, "fp", "left").select(F.col("doc_id").alias(key), "fp", "component_id")
 
 
 def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
@@ -380,10 +431,11 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
 def sets_of_ends(found: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     """id, shingles of the texts that links name."""
     ends = found.select(F.col("a").alias("id")).union(found.select(F.col("b").alias("id"))).distinct()
-    named = written(nodes.join(ends, "id", "left_semi").select("id", "text_hash"), "ends")
+    named = written(nodes.join(ends, "id", "left_semi").select("id", "least", "text_hash"), "ends")
     n = named.count()
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    rows = rows.join(F.broadcast(named) if n <= BROADCAST_ROWS else named, ["id", "text_hash"], "left_semi").dropDuplicates(["id"])
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+    # Rows that repeat an id and a text are one text.
+    rows = rows.join(F.broadcast(named) if n <= BROADCAST_ROWS else named, (F.col("hash") == F.col("text_hash")) & F.col("doc_id").eqNullSafe(F.col("least"))).select("id", "text").dropDuplicates(["id"])
     return written(shingle_sets(rows, words), "shingles")
 
 
@@ -394,17 +446,21 @@ def similar_links(found: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return found.join(left, "a").join(right, "b").filter(share >= least).select("a", "b")
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, distinct: bool = False, words: int = 5, least: float = 0.8, chunk: int = CHUNK) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, distinct: bool = False, count: int = 1, words: int = 5, least: float = 0.8, chunk: int = CHUNK) -> DataFrame:
     """One row of docs for each group of texts that links connect: the row with the smallest id.
 
-    A link counts if its two texts share at least `least` of their runs of `words` words. Rows with
-    null ids are kept. Every pair within the radius is checked, unless checked pairs connect it already.
-    In dense buckets a few pairs are checked first, then those with the rows that have most links, and
-    last all pairs between what are still different groups.
+    A link counts if its two texts share at least `least` of their runs of `words` words. Equal texts are
+    one text. Null ids come after all others. Of rows that share id and text one stays, no matter which;
+    of different texts with the group's smallest id the one whose text has the least hash. Every pair
+    within the radius is checked, unless checked pairs connect it already: in dense buckets a few pairs
+    are checked first, then those with the rows that have most links, and last all pairs between what are
+    still different groups.
     """
-    prints = written(fingerprints(docs, key, text, shingle, distinct=distinct).withColumn("doc_id", F.col("doc_id").cast("long")), "fingerprints")
-    nodes = written(prints.filter("doc_id IS NOT NULL").groupBy("fp", "text_hash").agg(F.min("doc_id").alias("id")), "nodes")
-    found = written(links(nodes.select("id", "fp"), radius, chunk, dense=True), "links")
+    prints = fingerprints(docs, key, text, shingle, distinct=distinct, count=count)
+    prints = written(prints.select(F.col("doc_id").cast("long").alias("doc_id"), "fps", "text_hash"), "fingerprints")
+    nodes = prints.groupBy("fps", "text_hash").agg(F.min("doc_id").alias("least"))
+    nodes = written(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
+    found = written(links(nodes.select("id", "fps"), radius, chunk, dense=True, count=count), "links")
     sets = sets_of_ends(found, nodes, docs, key, text, words)
     alike = written(similar_links(found.filter("a <> b"), sets, least), "alike")
     groups = components(alike)
@@ -412,23 +468,25 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     if not dense.isEmpty():
         inner = found.filter("a <> b").join(dense.withColumnRenamed("id", "a"), "a", "left_semi").join(dense.withColumnRenamed("id", "b"), "b", "left_semi")
         near = components(inner.select("a", "b")).select(F.col("node").alias("id"), F.col("component").alias("near"))
-        near = written(nodes.select("id", "fp").join(near, "id"), "near")
+        near = written(nodes.select("id", "fps").join(near, "id"), "near")
         for hubs in (True, False):
             degree = alike.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
             state = near.join(groups.select(F.col("node").alias("id"), F.col("component").alias("g")), "id", "left").join(degree, "id", "left")
-            state = state.select("id", "fp", "near", F.coalesce("g", "id").alias("g"), F.coalesce("degree", F.lit(0)).alias("degree"))
+            state = state.select("id", "fps", "near", F.coalesce("g", "id").alias("g"), F.coalesce("degree", F.lit(0)).alias("degree"))
             split = state.groupBy("near").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high")
-            state = written(state.join(split, "near", "left_semi").select("id", "fp", "near", "g", "degree"), "state")
+            state = written(state.join(split, "near", "left_semi").select("id", "fps", "near", "g", "degree"), "state")
             if state.isEmpty():
                 break
-            pairs = written(open_pairs(state, radius, chunk, hubs), "pairs")
+            pairs = written(open_pairs(state, count, radius, chunk, hubs), "pairs")
             alike = written(alike.union(alike_pairs(pairs, state, sets, least)), "alike")
             groups = components(alike)
-    # A text's smallest id stays, unless its group has a smaller one.
-    kept = nodes.select("id").join(groups.filter("node <> component").select(F.col("node").alias("id")), "id", "left_anti").select(F.col("id").alias(key)).distinct()
-    unnamed = docs.filter(F.col(key).isNull())
-    docs = docs.filter(F.col(key).isNotNull())
-    return docs.join(kept, key, "left_semi").select(docs.columns).dropDuplicates([key]).unionByName(unnamed)
+    of = nodes.join(groups, nodes["id"] == groups["node"], "left").select("least", "text_hash", F.coalesce("component", "id").alias("component"))
+    first = of.groupBy("component").agg(F.min(F.struct(F.col("least").isNull().alias("none"), F.coalesce("least", F.lit(0)).alias("id"), "text_hash")).alias("first"))
+    keys = free_names(docs, "_none", "_id", "_hash")
+    kept = written(first.select(*(F.col(f"first.{c}").alias(k) for c, k in zip(("none", "id", "text_hash"), keys))), "kept")
+    id_ = F.col(key).cast("long")
+    marked = docs.withColumns(dict(zip(keys, (id_.isNull(), F.coalesce(id_, F.lit(0)), F.xxhash64(F.coalesce(F.col(text), F.lit("")))))))
+    return marked.join(kept, keys, "left_semi").dropDuplicates(keys).select(docs.columns)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

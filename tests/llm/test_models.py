@@ -220,3 +220,19 @@ def test_pipeline_keeps_clean_documents_whole(spark):
     assert kept.count() == kept.select("text").distinct().count()
     pieces = corpus_pipeline.STAGES[-1][1](spark, kept, SF)
     assert pieces.select("doc_id").distinct().count() == kept.count()
+
+
+def test_stages_on_odd_and_on_no_rows(spark):
+    extra = "_score double, _accepted boolean, _lang string, _none int, _id int, _hash int, _entropies int, length int, fps string"
+    blank = (None,) * 9
+    text = "the cat sat on the mat and the dog ran to the old house by the river in the early morning light " * 3
+    rows = [(k, f"{text} {k}", "en", "s", 5, *blank) for k in range(8)] + [(1, f"{text} 1", "en", "s", 5, *blank), (2, "another text of the same id", "en", None, None, *blank)]
+    rows += [(None, text, None, None, None, *blank), (20, None, "de", "s", None, *blank), (21, "", None, "s", 0, *blank), (22, text * 500, "en", "s", 1, 0.5, True, "x", 1, 1, 1, 1, 1, "f")]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars int, {extra}")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, SF)
+        assert kept.columns == docs.columns and kept.count() <= docs.count(), name
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert pieces.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), SF).count() == 0

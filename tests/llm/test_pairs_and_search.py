@@ -1,9 +1,11 @@
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from daybook.llm import components, simhash, topk, url_filter
 
 
@@ -56,14 +58,14 @@ def test_links_of_large_and_small_buckets(spark, chunk):
     rng = random.Random(2)
     values = sorted({flip(0, rng.randint(0, 6), rng) for _ in range(60)} | {rng.getrandbits(64) for _ in range(20)})
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
-    nodes = spark.createDataFrame(list(enumerate(signed)), "id long, fp long")
+    nodes = spark.createDataFrame([(i, [f]) for i, f in enumerate(signed)], "id long, fps array<long>")
     found = {r["node"]: r["component"] for r in components.components(simhash.links(nodes, 4, chunk)).collect()}
     assert same([found.get(i, i) for i in range(len(values))], groups(values, 4))
 
 
 def test_chunks_part_texts_of_one_fingerprint(spark):
-    nodes = spark.range(600).select("id", F.lit(5).cast("long").alias("fp"))
-    sizes = simhash.dealt_buckets(nodes, 1, 50).groupBy("v", "key", "i", "j").count()
+    nodes = spark.range(600).select("id", F.array(F.lit(5).cast("long")).alias("fps"))
+    sizes = simhash.dealt_buckets(nodes, 1, 1, 50).groupBy("v", "key", "i", "j").count()
     assert sizes.agg(F.max("count")).first()[0] < 200
     assert {r["component"] for r in components.components(simhash.links(nodes, 1, 50)).collect()} == {0}
 
@@ -87,7 +89,9 @@ def test_near_duplicate_groups_of_odd_rows(spark):
     kept = simhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     named = sorted(r["doc_id"] for r in kept.filter("doc_id IS NOT NULL").collect())
-    assert named == [1, 6, 7, 8] and kept.filter("doc_id IS NULL").count() == 1
+    assert named == [1, 6, 7, 8] and kept.filter("doc_id IS NULL").count() == 0
+    apart = spark.createDataFrame([(1, "a b c d e", 1), (1, "v w x y z", 2), (1, "v w x y z", 3), (None, "a b c d e", 4), (None, "only here", 5)], "doc_id long, text string, _hash int")
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in simhash.drop_near_duplicates(apart).collect()) == [(0, "only here"), (1, "a b c d e"), (1, "v w x y z")]
     assert simhash.drop_near_duplicates(docs.limit(0)).count() == 0
     assert simhash.near_duplicate_groups(docs.limit(0)).count() == 0
 
@@ -108,9 +112,24 @@ def test_stage_drops_alike_texts_only(spark):
     assert all((i in kept) == (edits != 2) for i, (_, edits) in twin.items())
 
 
-@pytest.mark.parametrize("copies, words, chunk", [(300, 300, 4096), (120, 1500, 50)])
-def test_stage_against_brute_force_on_a_dense_group(spark, copies, words, chunk):
-    rng = random.Random(copies)
+def runs_of(text):
+    w = text.split()
+    return set(zip(*(w[i:] for i in range(5)))) if len(w) >= 5 else {tuple(w)}
+
+
+def alike_groups(texts, may_link=lambda i, j: True):
+    """For each text the least one that links of 0.8 of five-word runs reach."""
+    runs = [runs_of(t) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and may_link(i, j) and len(runs[i] & runs[j]) >= 0.8 * len(runs[i] | runs[j]):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
+def edited_copies(rng, copies, words):
     base = [f"w{rng.randrange(100000)}" for _ in range(words)]
     texts = []
     for _ in range(copies):  # alike to the original, mostly not to each other
@@ -119,17 +138,66 @@ def test_stage_against_brute_force_on_a_dense_group(spark, copies, words, chunk)
             w[at] = f"v{rng.randrange(100000)}"
         texts.append(" ".join(w))
     texts.insert(copies // 2, " ".join(base))
-    prints = [simhash.fingerprint(t, 1, distinct=True) % (1 << 64) for t in texts]
-    runs = [set(zip(*(t.split()[i:] for i in range(5)))) for t in texts]
-    label = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            if label[i] != label[j] and (prints[i] ^ prints[j]).bit_count() <= 6 and len(runs[i] & runs[j]) >= 0.8 * len(runs[i] | runs[j]):
-                low, high = sorted((label[i], label[j]))
-                label = [low if x == high else x for x in label]
+    return texts
+
+
+@pytest.mark.parametrize("copies, words, chunk, count, radius", [(300, 300, 4096, 1, 6), (120, 1500, 50, 1, 6), (200, 200, 60, 16, 2)])
+def test_stage_against_brute_force_on_a_dense_group(spark, copies, words, chunk, count, radius):
+    texts = edited_copies(random.Random(copies), copies, words)
+    prints = [[f % (1 << 64) for f in simhash.fingerprint_set(t, 1, distinct=True, count=count)] for t in texts]
+    near = lambda i, j: any((a ^ b).bit_count() <= radius for a, b in zip(prints[i], prints[j]))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(docs, radius=6, shingle=1, distinct=True, chunk=chunk).collect()}
-    assert kept == set(label)
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(docs, radius=radius, shingle=1, distinct=True, count=count, chunk=chunk).collect()}
+    assert kept == set(alike_groups(texts, near))
+
+
+def test_stage_finds_nearly_all_pairs_that_are_just_alike(spark):
+    rng = random.Random(9)
+    texts = []
+    for k in range(250):  # one text and a copy at 0.8 to 0.9, as short as such a copy can be and longer
+        n = rng.choice([60, 90, 120, 250, 600])
+        base = [f"w{rng.randrange(20000)}" for _ in range(n)]
+        copy = list(base)
+        for at in rng.sample(range(n), max(1, n // 60)):
+            copy[at] = f"v{rng.randrange(20000)}"
+        texts += [" ".join(base), " ".join(copy)]
+    alike = [k for k in range(250) if alike_groups(texts[2 * k : 2 * k + 2]) == [0, 0]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_one_of_near_duplicates(spark, docs, "").collect()}
+    assert len(alike) > 200 and sum(2 * k + 1 not in kept for k in alike) >= 0.95 * len(alike)
+    assert all({2 * k, 2 * k + 1} <= kept for k in range(250) if k not in alike) and all(2 * k in kept for k in range(250))
+
+
+def test_fingerprint_is_the_plain_one():
+    from xxhash import xxh64
+
+    def plain(text):
+        words = re.findall(r"[^\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+        runs = [" ".join(words[i : i + 4]) for i in range(len(words) - 3)] or ([" ".join(words)] if words else [])
+        hashes = [xxh64(r.encode(), seed=42).intdigest() for r in runs]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    rng = random.Random(4)
+    texts = ["", " ", "one", "A b C d", "É É é\u00a0x\x1cy z\x0bq", "a b c d a b c d a b c d"] + [" ".join(rng.choice("ab Ab c\td ée x\u2003y".split(" ")) for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    texts.append(" ".join(f"w{rng.randrange(500)}" for _ in range(40_000)))
+    assert [simhash.fingerprint(t) % (1 << 64) for t in texts] == list(map(plain, texts))
+
+
+def test_null_ids_bridge_two_groups(spark):
+    """Only a row without an id has the fingerprint between two that are too far from each other."""
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(12)]
+    while True:
+        a, b, c = ([rng.choice(words) for _ in range(4000)] for _ in "abc")
+        b = a[:3990] + b[3990:]
+        c = b[:3900] + c[3900:]
+        texts = [" ".join(x) for x in (a, b, c)]
+        f, g, h = (simhash.fingerprint(t) for t in texts)
+        apart = lambda x, y: ((x ^ y) % (1 << 64)).bit_count()
+        if apart(f, g) <= 4 and apart(g, h) <= 4 < apart(f, h):
+            break
+    docs = spark.createDataFrame([(1, texts[0]), (None, texts[1]), (2, texts[2])], "doc_id long, text string")
+    assert {r["component_id"] for r in simhash.near_duplicate_groups(docs).collect()} == {1}
 
 
 def test_op3_against_all_pairs(spark, sf_dir):
@@ -142,22 +210,39 @@ def test_op3_against_all_pairs(spark, sf_dir):
     assert [least[g] for g in label] == got["component_id"].tolist()
 
 
-def test_topk_against_all_products(spark):
+@pytest.mark.parametrize("shard_bytes, least_rows, fan_in", [(400, 1, 3), (1 << 20, 1000, 16)])
+def test_topk_against_all_products(spark, shard_bytes, least_rows, fan_in):
     rng = np.random.default_rng(0)
     v = rng.integers(-3, 4, (400, 5))
     rows = [(i, [float(x) / 64 for x in r]) for i, r in enumerate(v.tolist())]
-    rows += [(400, None), (401, [1.0, None, 0.0, 0.0, 0.0]), (402, [float("nan")] * 5), (403, [float("inf")] * 5), (None, [0.0] * 5), rows[0], (404, [0.5])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    whole = topk.whole_vectors(df)
-    got = topk.exact_top_k(whole.filter("id % 20 = 0"), whole, 7, query_block=6, shard=50, fan_in=3).collect()
+    rows += [(20, [1.0] * 5), (20, [1.0] * 5), (21, rows[21][1]), (40, rows[40][1])]  # ids and rows that repeat
+    odd = [(400, None), (401, [1.0, None, 0.0, 0.0, 0.0]), (402, [float("nan")] * 5), (403, [float("inf")] * 5), (None, [0.0] * 5), (404, [0.5])]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows + odd], "vec_id long, embedding array<float>, row string, shard int")
+    got = topk.exact_top_k(topk.whole_vectors(df), F.col("id") % 20 == 0, 7, shard_bytes, least_rows, fan_in).collect()
+    w = np.array([[round(64 * x) for x in r[1]] for r in rows])
+    want = []
+    for n, (q, _) in enumerate(rows):
+        if q % 20 == 0:
+            best = sorted((-int(w[n] @ w[m]), c) for m, (c, _) in enumerate(rows) if m != n)[:7]
+            want += [(q, k + 1, c, -s) for k, (s, c) in enumerate(best)]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == sorted(want)
+    assert topk.exact_top_k(topk.whole_vectors(df).limit(0), F.col("id") % 20 == 0).count() == 0
+
+
+def test_topk_of_one_repeated_id(spark):
+    df = spark.createDataFrame([(20, [1.0]), (20, [2.0]), (20, [3.0]), (20, [4.0]), (1, [0.5]), (2, [0.25]), (3, [0.125])], "vec_id long, embedding array<double>")
+    got = topk.exact_top_k(topk.whole_vectors(df), F.col("id") % 20 == 0, 3).collect()
+    assert len(got) == 12
+    assert sorted(r["score"] for r in got if r["rank"] == 1) == [64 * 64 * 4, 64 * 64 * 8, 64 * 64 * 12, 64 * 64 * 12]
+
+
+def test_topk_ties_at_the_last_place_across_shards(spark):
+    df = spark.createDataFrame([(i, [1.0, 1.0]) for i in range(500)], "vec_id long, embedding array<double>")
+    got = topk.exact_top_k(topk.whole_vectors(df), F.col("id") % 20 == 0, 4, 320, 1, 2).collect()
     by = {}
     for r in got:
-        by.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
-    assert set(by) == set(range(0, 400, 20))
-    for q, found in by.items():
-        scores = sorted((-int(v[q] @ v[c]), c) for c in range(400) if c != q)[:7]
-        assert [found[k + 1] for k in range(7)] == [(c, -s) for s, c in scores]
-    assert topk.exact_top_k(whole.limit(0), whole).count() == 0
+        by.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert len(by) == 25 and all(sorted(found) == [c for c in range(6) if c != q][:4] for q, found in by.items())
 
 
 def test_urls(spark):
@@ -170,3 +255,20 @@ def test_urls(spark):
         ("", "", None, "allow"), ("", "", None, "allow"), ("", "", None, "allow"), ("b.com", "/de/casino", "com/de/", "block"), ("a.com", "/fr/casino", "com/fr/", "allow"),
     ]
     assert url_filter.judge_urls(df.limit(0)).count() == 0
+
+
+def test_urls_against_plain_search(spark):
+    rng = random.Random(7)
+    alphabet = ["ab", "-", "/", ".", "1", "é", "пор", "но", "赌场", "b", "AB", "_"]
+    weights = {"".join(rng.choice(alphabet).lower() for _ in range(rng.randint(1, 4))): rng.choice([1, 1, 1, 2, 3]) for _ in range(4000)}
+    urls = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 12))) for _ in range(1500)] + ["ab-" * 100_000, "x" * 300_000, None]
+    rows = spark.createDataFrame([(i, u, 1) for i, u in enumerate(urls)], "page_id long, url string, weight int")
+    terms = spark.createDataFrame([*weights.items(), (None, 1), ("", 2), ("ab", None)], "term string, weight int")
+    assert url_filter.vocabulary(terms) == weights
+    got = {r["page_id"]: (r["strict_hits"], r["soft_hits"], r["weight"], r["verdict"]) for r in url_filter.judge_urls(rows, weights=weights, rules=()).collect()}
+    word = lambda c: c.isascii() and c.isalnum()
+    for i, url in enumerate(urls[:1500] + [urls[-1]]):
+        low = url_filter.lowered(url or "")
+        hit = {t: w for t, w in weights.items() for at in range(len(low)) if low.startswith(t, at) and not (at and word(low[at - 1])) and not word(low[at + len(t) : at + len(t) + 1] or "-")}
+        strict, total = sum(w >= 2 for w in hit.values()), sum(hit.values())
+        assert got[i if i < 1500 else len(urls) - 1] == (strict, len(hit) - strict, total, "block" if total >= 2 else "allow")
