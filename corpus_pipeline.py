@@ -31,11 +31,12 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 
     A change of one word touches five shingles of five words, but one word: texts whose five-word
     shingles agree to 0.8 differ by some 10 of 64 bits in fingerprints over such shingles, too many for
-    covering hashing, and by some 3 bits in fingerprints over their different words. So the stage
-    fingerprints different words, links what differs in up to 6 bits, and keeps the links whose texts
-    share at least 0.8 of their five-word shingles.
+    covering hashing, and by some 4 bits in fingerprints over their different words. So the stage takes
+    sixteen fingerprints over different words, each of them over hashes mixed anew, links what differs in
+    up to 2 bits in any of them, and keeps the links whose texts share at least 0.8 of their five-word
+    shingles.
     """
-    return simhash.drop_near_duplicates(docs, radius=6, shingle=1, distinct=True, words=5, least=0.8)
+    return simhash.drop_near_duplicates(docs, radius=2, shingle=1, distinct=True, count=16, words=5, least=0.8)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
