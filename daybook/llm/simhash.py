@@ -35,7 +35,7 @@ SHINGLE, SEED, RADIUS, CHUNK = 4, 42, 4, 4096
 #: Texts whose shingles one task holds at once are at most two chunks of about so many.
 SET_CHUNK = 256
 #: A bucket with up to so many pairs for each row yields them all; of a denser one, each row meets one other in each of the drawn orders, and so many rows with most links, before the rest.
-FEW, DRAWN = 8, (0x51ED270B35E1, 0x2545F4914F6C)
+FEW, DRAWN = 8, (0x51ED270B35E1,)
 #: Tables of up to so many rows (of a few numbers) are broadcast.
 BROADCAST_ROWS = 100_000
 
