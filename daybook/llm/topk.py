@@ -117,11 +117,11 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K, shard_bytes: i
             return lists.select("query_id", "rank", "vec_id", "score")
 
 
-def whole_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = 64) -> DataFrame:
-    """id, v: every usable vector with each component x as floor(scale * x)."""
+def whole_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = 64, also: tuple[str, ...] = ()) -> DataFrame:
+    """id, v and the columns `also`: every usable vector with each component x as floor(scale * x)."""
     v = F.col(vector)
     usable = v.isNotNull() & F.col(key).isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
-    return df.filter(F.coalesce(usable, F.lit(False))).select(F.col(key).cast("long").alias("id"), F.transform(v, lambda x: F.floor(x.cast("double") * scale)).alias("v"))
+    return df.filter(F.coalesce(usable, F.lit(False))).select(F.col(key).cast("long").alias("id"), F.transform(v, lambda x: F.floor(x.cast("double") * scale)).alias("v"), *also)
 
 
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
