@@ -28,14 +28,16 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import free_names, small_parts, table, written
+from .common import free_names, removed, small_parts, table, written
 from .components import components
 
 SHINGLE, SEED, RADIUS, CHUNK = 4, 42, 4, 4096
-#: Texts whose shingles one task holds at once are at most two chunks of about so many.
-SET_CHUNK = 256
-#: A bucket with up to so many pairs for each row yields them all; of a denser one, each row meets one other in each of the drawn orders, and so many rows with most links, before the rest.
-FEW, DRAWN = 8, (0x51ED270B35E1,)
+#: Shingles that one task holds at once are those of two chunks of about so many, or of two texts that are longer.
+SET_SHINGLES = 1 << 19
+#: A bucket with up to so many pairs for each row yields them all; of a denser one, each row meets the one of least rank (by HOOK) and one other in each of the drawn orders, and so many rows with most links, before the rest.
+FEW, HOOK, DRAWN = 8, 0x2545F4914F6C, (0x51ED270B35E1, 0x3C6EF372FE94)
+#: Rows of least rank that a dense bucket tries; rows that meet none of them stay trees of their own until trees that touch are joined.
+HOOK_TURNS = 64
 #: Tables of up to so many rows (of a few numbers) are broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -168,8 +170,8 @@ def _drawn(a, b):
     return ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)
 
 
-def _more_links(group, radius: int):
-    """Pairs of ids beyond the spanning ones, of one bucket's rows: all within the radius, if few; else some, and (id, id) of every row."""
+def _all_pairs(group, radius: int):
+    """All pairs of ids within the radius of one bucket's rows; None if they are more than FEW for each row."""
     import numpy as np
 
     fps, ids = np.ascontiguousarray(group[:, 4]).view(np.uint64), group[:, 5]
@@ -178,23 +180,43 @@ def _more_links(group, radius: int):
         near = k + 1 + np.nonzero(np.bitwise_count(fps[k + 1 :] ^ fps[k]) <= radius)[0]
         count += len(near)
         if count > FEW * n:
-            break
+            return None
         found.append(np.stack([np.full(len(near), ids[k]), ids[near]], 1))
-    else:
-        return np.concatenate(found)
-    some = [np.stack([ids, ids], 1)]
-    # In the same orders in all buckets, so that rows that meet in many tables mostly meet the same others.
-    for salt in DRAWN:
+    return np.concatenate(found)
+
+
+def _partners(group, radius: int):
+    """For each row of a dense bucket: [partner, its rank] of the row within the radius whose id's hash is least, and of one row for each order of DRAWN; its own id where there is none.
+
+    The ranks are the same in all buckets, so the least of a row's partners over all of them is one for each order.
+    """
+    import numpy as np
+
+    fps, ids = np.ascontiguousarray(group[:, 4]).view(np.uint64), group[:, 5]
+    n = len(fps)
+    out = np.empty((n, 1 + len(DRAWN), 2), np.int64)
+    out[:, :, 0], out[:, :, 1] = ids[:, None], np.iinfo(np.int64).max
+    rank = _drawn(ids, np.full(n, HOOK)).astype(np.int64)
+    order = np.argsort(rank, kind="stable")
+    free = order  # rows that no row of lesser rank has met
+    for other in order[:HOOK_TURNS]:
+        free = free[rank[free] > rank[other]]
+        near = np.bitwise_count(fps[free] ^ fps[other]) <= radius
+        out[free[near], 0, 0], out[free[near], 0, 1] = ids[other], rank[other]
+        free = free[~near]
+        if not len(free):
+            break
+    for k, salt in enumerate(DRAWN, 1):
         turn = np.roll(np.argsort(_drawn(ids, np.full(n, salt))), 1)
         other = np.empty(n, np.int64)
         other[turn] = np.roll(turn, 1)
         near = np.nonzero(np.bitwise_count(fps ^ fps[other]) <= radius)[0]
-        some.append(np.stack([ids[near], ids[other[near]]], 1))
-    return np.concatenate(some)
+        out[near, k, 0], out[near, k, 1] = ids[other[near]], _drawn(ids[near], ids[other[near]])
+    return out
 
 
-def _bucket_links(radius: int, dense: bool = False):
-    """For rows sorted by bucket: (a, b) of the links that span each bucket; if dense, also those of _more_links."""
+def _bucket_links(radius: int):
+    """For rows sorted by bucket: (a, b) of the links that span each bucket."""
 
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -202,17 +224,13 @@ def _bucket_links(radius: int, dense: bool = False):
         def links(rows: np.ndarray) -> pa.RecordBatch:
             """rows: columns v, key, i, j, fp, id of whole buckets."""
             starts, ends = _bounds(rows)
-            found = []
             pairs = starts[ends - starts == 2]
             near = pairs[np.bitwise_count((rows[pairs, 4] ^ rows[pairs + 1, 4]).view(np.uint64)) <= radius]
-            found.append(np.stack([rows[near, 5], rows[near + 1, 5]], 1))
+            found = [np.stack([rows[near, 5], rows[near + 1, 5]], 1)]
             for lo, hi in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
-                group = rows[lo:hi]
-                at = spanning_links(np.ascontiguousarray(group[:, 4]).view(np.uint64), radius)
+                at = spanning_links(np.ascontiguousarray(rows[lo:hi, 4]).view(np.uint64), radius)
                 if at:
-                    found.append(group[np.array(at), 5])
-                    if dense:
-                        found.append(_more_links(group, radius))
+                    found.append(rows[lo:hi, 5][np.array(at)])
             ids = np.concatenate(found)
             return pa.RecordBatch.from_arrays([pa.array(ids[:, 0], pa.int64()), pa.array(ids[:, 1], pa.int64())], names=["a", "b"])
 
@@ -221,6 +239,74 @@ def _bucket_links(radius: int, dense: bool = False):
     return per_partition
 
 
+def _bucket_candidates(radius: int):
+    """For rows sorted by bucket: (a, b) of all pairs of a bucket within the radius; of a dense bucket (a, null) with the _partners of a instead."""
+
+    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        width = 2 * (1 + len(DRAWN))
+        names = ["a", "b", *(f"{c}{k}" for k in range(1 + len(DRAWN)) for c in "pr")]
+
+        def some(rows: np.ndarray) -> pa.RecordBatch:
+            starts, ends = _bounds(rows)
+            pairs = starts[ends - starts == 2]
+            near = pairs[np.bitwise_count((rows[pairs, 4] ^ rows[pairs + 1, 4]).view(np.uint64)) <= radius]
+            few, dense = [np.stack([rows[near, 5], rows[near + 1, 5]], 1)], [np.zeros((0, 1 + width), np.int64)]
+            for lo, hi in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
+                at = _all_pairs(rows[lo:hi], radius)
+                if at is not None:
+                    few.append(at)
+                else:
+                    dense.append(np.concatenate([rows[lo:hi, 5:6], _partners(rows[lo:hi], radius).reshape(hi - lo, width)], 1))
+            few, dense = np.concatenate(few), np.concatenate(dense)
+            none = pa.nulls(len(few), pa.int64())
+            columns = [pa.array(np.r_[few.min(1), dense[:, 0]]), pa.concat_arrays([pa.array(few.max(1)), pa.nulls(len(dense), pa.int64())])]
+            return pa.RecordBatch.from_arrays([*columns, *(pa.concat_arrays([none, pa.array(dense[:, k])]) for k in range(1, 1 + width))], names=names)
+
+        yield from map(some, _whole_buckets(batches, 6))
+
+    return per_partition
+
+
+def candidates(nodes: DataFrame, radius: int, chunk: int, count: int) -> DataFrame:
+    """a, b of all pairs within the radius in some bucket that is not dense; a and `others` (b null) of each row of a dense one.
+
+    others: over all of a row's dense buckets one partner for each of a few orders, itself not among them.
+    """
+    orders = range(1 + len(DRAWN))
+    found = dealt_buckets(nodes, count, radius, chunk).mapInArrow(_bucket_candidates(radius), "a long, b long, " + ", ".join(f"p{k} long, r{k} long" for k in orders))
+    least = [F.min(F.struct(f"r{k}", f"p{k}")).getField(f"p{k}") for k in orders]
+    return found.groupBy("a", "b").agg(F.array_distinct(F.filter(F.array(*least), lambda p: p.isNotNull() & (p != F.col("a")))).alias("others"), least[0].alias("hook"))
+
+
+def touching_groups(state: DataFrame, radius: int, chunk: int, count: int) -> DataFrame:
+    """a, b: links between the groups g of state's rows (id, fps, g) that rows within the radius connect."""
+
+    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for rows in _whole_buckets(batches, 7):
+            found = set()
+            for lo, hi in zip(*_bounds(rows)):
+                names, label, size = np.unique(rows[lo:hi, 6], return_inverse=True, return_counts=True)
+                if len(names) < 2:
+                    continue
+                fps = np.ascontiguousarray(rows[lo:hi, 4]).view(np.uint64)
+                joined = np.arange(len(names))  # groups that links of this bucket connect already
+                for t in np.nonzero(label != size.argmax())[0]:
+                    own = joined[label]
+                    near = np.unique(label[(np.bitwise_count(fps ^ fps[t]) <= radius) & (own != own[t])])
+                    for g in near:
+                        if joined[g] != joined[label[t]]:
+                            found.add((int(names[label[t]]), int(names[g])))
+                            joined[joined == joined[g]] = joined[label[t]]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return dealt_buckets(state, count, radius, chunk, ("g",)).mapInArrow(per_partition, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def dealt_buckets(nodes: DataFrame, count: int, radius: int, chunk: int, also: tuple[str, ...] = ()) -> DataFrame:
     """v, key, i, j, fp, id and the columns `also` of nodes, once for each fingerprint, table and pair of chunks, sorted by bucket.
 
@@ -244,13 +330,39 @@ def dealt_buckets(nodes: DataFrame, count: int, radius: int, chunk: int, also: t
     return dealt.repartition(*keys).sortWithinPartitions(*keys)
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, chunk: int = CHUNK, dense: bool = False, count: int = 1) -> DataFrame:
+def links(nodes: DataFrame, radius: int = RADIUS, chunk: int = CHUNK, count: int = 1) -> DataFrame:
     """a, b: links that connect the ids of which some fingerprint differs in at most radius bits.
 
-    nodes: id long and fps array<long>, one row for each text or fingerprint. If dense, all such pairs of a
-    bucket come too, or where they are many, some of them and a loop (a, a) for each row of that bucket.
+    nodes: id long and fps array<long>, one row for each text or fingerprint.
+    """
+    return dealt_buckets(nodes, count, radius, chunk).mapInArrow(_bucket_links(radius), "a long, b long").distinct()
+
+
+def first_links(found: DataFrame) -> DataFrame:
+    """a, b: the pairs of candidates that are checked at first: those of few, and of rows of dense buckets (1 + orders of DRAWN) each."""
+    dense = found.filter("b IS NULL")
+    ends = dense.select("a").withColumn("_dense", F.lit(True))
+    few = found.filter("b IS NOT NULL").select("a", "b").join(ends, "a", "left").join(ends.select(F.col("a").alias("b"), F.col("_dense").alias("_both")), "b", "left")
+    few = few.filter("_dense IS NULL OR _both IS NULL").select("a", "b")  # pairs of rows of dense buckets come later
+    drawn = dense.select("a", F.explode("others").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return few.union(drawn.distinct())
+
+
+def reach_of_dense(found: DataFrame, nodes: DataFrame, radius: int, chunk: int, count: int) -> DataFrame:
+    """id, fps, near: the nodes of dense buckets, and which of them the radius connects.
+
+    Every node is hooked to the one of least rank that it meets anywhere, which leaves a few trees; a
+    second pass over the buckets finds the trees that touch.
     """
-    return dealt_buckets(nodes, count, radius, chunk).mapInArrow(_bucket_links(radius, dense), "a long, b long").distinct()
+    dense = found.filter("b IS NULL").select(F.col("a").alias("id"), "hook")
+    hooks = written(dense.select(F.col("id").alias("a"), F.col("hook").alias("b")).filter("a <> b"), "hooks")
+    trees = components(hooks).select(F.col("node").alias("id"), F.col("component").alias("g"))
+    state = written(nodes.join(dense.select("id"), "id", "left_semi").join(trees, "id", "left").select("id", "fps", F.coalesce("g", "id").alias("g")), "trees")
+    touching = components(touching_groups(state, radius, chunk, count)).select(F.col("node").alias("g"), "component")
+    out = written(state.join(touching, "g", "left").select("id", "fps", F.coalesce("component", "g").alias("near")), "near")
+    for df in (hooks, state):
+        removed(df)
+    return out
 
 
 def _owner_table(masks: list[int]):
@@ -338,10 +450,10 @@ def open_pairs(state: DataFrame, count: int, radius: int, chunk: int, hubs: bool
 def alike_pairs(pairs: DataFrame, state: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """a, b: links that connect what the pairs whose shingles agree to `least` connect.
 
-    The nodes of a component of near fingerprints are cut into chunks; a task holds the shingles of two
-    chunks at most, and only of nodes that have a pair there.
+    The nodes of a component of near fingerprints are cut into chunks by what their shingles number; a task
+    holds the shingles of two chunks at most, and only of nodes that have a pair there.
     """
-    parts = state.groupBy("near").agg(F.ceil(F.count("*") / SET_CHUNK).cast("int").alias("parts"))
+    parts = state.join(sets.select("id", F.size("shingles").alias("size")), "id").groupBy("near").agg(F.ceil(F.sum("size") / SET_SHINGLES).cast("int").alias("parts"))
     part = lambda id_: F.pmod(F.xxhash64(F.lit("sets"), id_), F.col("parts")).cast("int")
     of = pairs.join(state.select("id", "near"), "id").join(parts, "near")
     of = of.withColumn("to", F.explode(F.array_distinct(F.transform("others", part)))).withColumn("c", part(F.col("id")))
@@ -428,9 +540,9 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("id", "text").mapInArrow(per_batch, "id long, shingles array<long>")
 
 
-def sets_of_ends(found: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """id, shingles of the texts that links name."""
-    ends = found.select(F.col("a").alias("id")).union(found.select(F.col("b").alias("id"))).distinct()
+def sets_of_ends(found: DataFrame, also: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """id, shingles of the texts that links or `also` name."""
+    ends = found.select(F.col("a").alias("id")).union(found.select(F.col("b").alias("id"))).union(also).distinct()
     named = written(nodes.join(ends, "id", "left_semi").select("id", "least", "text_hash"), "ends")
     n = named.count()
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
@@ -460,15 +572,15 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     prints = written(prints.select(F.col("doc_id").cast("long").alias("doc_id"), "fps", "text_hash"), "fingerprints")
     nodes = prints.groupBy("fps", "text_hash").agg(F.min("doc_id").alias("least"))
     nodes = written(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
-    found = written(links(nodes.select("id", "fps"), radius, chunk, dense=True, count=count), "links")
-    sets = sets_of_ends(found, nodes, docs, key, text, words)
-    alike = written(similar_links(found.filter("a <> b"), sets, least), "alike")
-    groups = components(alike)
-    dense = found.filter("a = b").select(F.col("a").alias("id"))
+    removed(prints)
+    met = written(candidates(nodes.select("id", "fps"), radius, chunk, count), "candidates")
+    found = written(first_links(met), "links")
+    dense = met.filter("b IS NULL").select(F.col("a").alias("id"))
+    sets = sets_of_ends(found, dense, nodes, docs, key, text, words)
+    alike = written(similar_links(found, sets, least), "alike")
+    groups, near = components(alike), None
     if not dense.isEmpty():
-        inner = found.filter("a <> b").join(dense.withColumnRenamed("id", "a"), "a", "left_semi").join(dense.withColumnRenamed("id", "b"), "b", "left_semi")
-        near = components(inner.select("a", "b")).select(F.col("node").alias("id"), F.col("component").alias("near"))
-        near = written(nodes.select("id", "fps").join(near, "id"), "near")
+        near = reach_of_dense(met, nodes.select("id", "fps"), radius, chunk, count)
         for hubs in (True, False):
             degree = alike.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
             state = near.join(groups.select(F.col("node").alias("id"), F.col("component").alias("g")), "id", "left").join(degree, "id", "left")
@@ -478,12 +590,16 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
             if state.isEmpty():
                 break
             pairs = written(open_pairs(state, count, radius, chunk, hubs), "pairs")
-            alike = written(alike.union(alike_pairs(pairs, state, sets, least)), "alike")
+            before, alike = alike, written(alike.union(alike_pairs(pairs, state, sets, least)), "alike")
+            for df in (before, pairs, state):
+                removed(df)
             groups = components(alike)
     of = nodes.join(groups, nodes["id"] == groups["node"], "left").select("least", "text_hash", F.coalesce("component", "id").alias("component"))
     first = of.groupBy("component").agg(F.min(F.struct(F.col("least").isNull().alias("none"), F.coalesce("least", F.lit(0)).alias("id"), "text_hash")).alias("first"))
     keys = free_names(docs, "_none", "_id", "_hash")
     kept = written(first.select(*(F.col(f"first.{c}").alias(k) for c, k in zip(("none", "id", "text_hash"), keys))), "kept")
+    for df in (nodes, met, found, sets, alike, *([near] if near is not None else [])):
+        removed(df)
     id_ = F.col(key).cast("long")
     marked = docs.withColumns(dict(zip(keys, (id_.isNull(), F.coalesce(id_, F.lit(0)), F.xxhash64(F.coalesce(F.col(text), F.lit("")))))))
     return marked.join(kept, keys, "left_semi").dropDuplicates(keys).select(docs.columns)

@@ -272,3 +272,46 @@ def test_urls_against_plain_search(spark):
         hit = {t: w for t, w in weights.items() for at in range(len(low)) if low.startswith(t, at) and not (at and word(low[at - 1])) and not word(low[at + len(t) : at + len(t) + 1] or "-")}
         strict, total = sum(w >= 2 for w in hit.values()), sum(hit.values())
         assert got[i if i < 1500 else len(urls) - 1] == (strict, len(hit) - strict, total, "block" if total >= 2 else "allow")
+
+
+@pytest.mark.parametrize("copies", [2_000, 8_000, 32_000])
+def test_links_a_row_of_a_dense_group(spark, copies):
+    """Near copies of one text of 120 words: a row has a few links at first, however large the group."""
+    rng = random.Random(copies)
+    base = [f"w{k}" for k in range(120)]
+    texts = set()
+    while len(texts) < copies:
+        w = list(base)
+        for at in rng.sample(range(120), 2):
+            w[at] = f"v{rng.randrange(100_000)}"
+        texts.add(" ".join(w))
+    docs = spark.createDataFrame(list(enumerate(sorted(texts))), "doc_id long, text string").repartition(16)
+    nodes = simhash.fingerprints(docs, shingle=1, distinct=True, count=2).select(F.col("doc_id").alias("id"), "fps")
+    nodes = simhash.written(nodes, "nodes")
+    met = simhash.written(simhash.candidates(nodes, 2, 4096, 2), "candidates")
+    found = simhash.first_links(met)
+    dense = met.filter("b IS NULL").count()
+    assert dense > 0.9 * copies and found.count() < 5 * copies
+    if copies == 2_000:
+        near = simhash.reach_of_dense(met, nodes, 2, 4096, 2)
+        prints = {r["id"]: [f % (1 << 64) for f in r["fps"]] for r in near.collect()}
+        ids = sorted(prints)
+        label = {i: i for i in ids}
+
+        def top(i):
+            while label[i] != i:
+                i = label[i]
+            return i
+
+        for k in range(2):
+            own = np.array([prints[i][k] for i in ids], np.uint64)
+            for x, i in enumerate(ids):
+                for y in np.nonzero(np.bitwise_count(own[:x] ^ own[x]) <= 2)[0]:
+                    label[max(top(i), top(ids[y]))] = min(top(i), top(ids[y]))
+        got = {}
+        for r in near.collect():
+            got.setdefault(r["near"], set()).add(r["id"])
+        want = {}
+        for i in ids:
+            want.setdefault(top(i), set()).add(i)
+        assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
