@@ -8,7 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .calendar import classify_loaded, classify_missing
-from .quality import judged_dates, storable
+from .quality import judged_dates
+from .store import Table
 
 DETAIL_WIDTH = 4000
 
@@ -22,16 +23,21 @@ def latest_bar(bars: DataFrame) -> DataFrame:
     return bars.agg(F.max("trade_date").alias("latest"), F.count("*").alias("n_bars"))
 
 
-def load_status(expected: DataFrame, bars: DataFrame, today: Column) -> DataFrame:
+def load_status(expected: DataFrame, bars: DataFrame, today: Column, refused: DataFrame | None = None) -> DataFrame:
     """trade_date, status, rows_loaded of every expected date, in one scan of bars.
 
     Dates without bars are failed or no_data by their age; dates with an error among their findings are
-    failed whole; others are loaded or partial. One bad date does not touch the others.
+    failed whole; others are loaded or partial. One bad date does not touch the others. refused: trade
+    dates whose file landed and gave nothing; without bars from elsewhere they are failed at any age.
     """
     joined = expected.join(judged_dates(bars), "trade_date", "left")
+    landed = F.lit(False)
+    if refused is not None:
+        joined = joined.join(refused.select("trade_date").distinct().withColumn("_landed", F.lit(True)), "trade_date", "left")
+        landed = F.coalesce("_landed", F.lit(False))
     d, good = F.col("trade_date"), F.col("n_bars").isNotNull() & ~F.col("has_error")
-    status = F.when(F.col("n_bars").isNull(), classify_missing(d, today)).when(F.col("has_error"), "failed").otherwise(classify_loaded(F.col("n_delivery") > 0, d, today))
-    return joined.select("trade_date", status.alias("status"), F.when(good, F.col("n_bars")).otherwise(0).cast("int").alias("rows_loaded"), (F.col("n_bars").isNull() & (status == "failed")).alias("pending"))
+    status = F.when(F.col("n_bars").isNull() & landed, "failed").when(F.col("n_bars").isNull(), classify_missing(d, today)).when(F.col("has_error"), "failed").otherwise(classify_loaded(F.col("n_delivery") > 0, d, today))
+    return joined.select("trade_date", status.alias("status"), F.when(good, F.col("n_bars")).otherwise(0).cast("int").alias("rows_loaded"), (F.col("n_bars").isNull() & ~landed & (status == "failed")).alias("pending"))
 
 
 def finding_rows(findings: DataFrame, run_id: Column) -> DataFrame:
@@ -39,17 +45,26 @@ def finding_rows(findings: DataFrame, run_id: Column) -> DataFrame:
     return findings.withColumns({"detail": F.left("detail", F.lit(DETAIL_WIDTH)), "run_id": run_id})
 
 
-def append_findings(findings: DataFrame, run_id: int, path: str) -> None:
-    """Appends a run's findings to the stored ones, if their severities are known."""
-    storable(finding_rows(findings, F.lit(run_id).cast("long")), "findings").write.mode("append").parquet(path)
+FINDINGS = "check_name string, severity string, detail string, symbol_id long, trade_date date, run_id long"
+EVENTS = "run_id long, event_time timestamp, status string, commit_sha string, notes string"
 
 
-EVENTS = "run_id long, event_time timestamp, status string, commit_sha string, notes string"
+def findings_table(spark: SparkSession, path: str) -> Table:
+    return Table(spark, path, FINDINGS, "findings", "trade_date")
+
+
+def events_table(spark: SparkSession, path: str) -> Table:
+    return Table(spark, path, EVENTS, "runs")
+
+
+def append_findings(findings: DataFrame, run_id: int, path: str, batch: str = "") -> None:
+    """Appends a batch of a run's findings to the stored ones, if their severities are known; one that is there already is not appended again."""
+    findings_table(findings.sparkSession, path).append(finding_rows(findings, F.lit(run_id).cast("long")), f"{run_id}/{batch}")
 
 
 def record_event(spark: SparkSession, path: str, run_id: int, status: str, at: datetime, commit: str | None = None, notes: str = "") -> None:
-    """Appends one event of a run: running, succeeded, halted or failed."""
-    spark.createDataFrame([(run_id, at, status, commit, notes[:DETAIL_WIDTH])], EVENTS).write.mode("append").parquet(path)
+    """Appends one event of a run: running, succeeded, halted or failed. A run has each of them once."""
+    events_table(spark, path).append(spark.createDataFrame([(run_id, at, status, commit, notes[:DETAIL_WIDTH])], EVENTS), f"{run_id}/{status}")
 
 
 def recorded_run(spark: SparkSession, path: str, run_id: int, work: Callable[[], DataFrame], clock: Callable[[], datetime], commit: str | None = None) -> str:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import MAX_PLAUSIBLE_FACTOR, SERIES, adjustment_factor, volume_consistent
 
 FINDING = ("check_name", "severity", "detail", "symbol_id", "trade_date")
-STATUSES, SEVERITIES = ("loaded", "partial", "no_data", "failed"), ("info", "warning", "error")
+STATUSES, SEVERITIES, RUN_STATUSES = ("loaded", "partial", "no_data", "failed"), ("info", "warning", "error"), ("running", "succeeded", "halted", "failed")
 
 
 def ohlc_rules() -> dict[str, Column]:
@@ -118,16 +120,32 @@ def first_errors(findings: DataFrame, n: int = 20) -> DataFrame:
     return findings.filter("severity = 'error'").orderBy("trade_date", "symbol_id", "check_name", "detail").limit(n)
 
 
-def bar_constraints() -> dict[str, Column]:
-    c = F.col
-    prices = c("open").isNull() | c("high").isNull() | c("low").isNull() | c("close").isNull()
-    shape = (c("high") < c("low")) | (c("high") < c("open")) | (c("high") < c("close")) | (c("low") > c("open")) | (c("low") > c("close"))
-    return {"not_null": c("symbol_id").isNull() | c("trade_date").isNull() | c("series").isNull() | prices, "ohlc": F.coalesce(shape, F.lit(False)), "positive": F.coalesce((c("open") <= 0) | (c("close") <= 0), F.lit(False)), "volume": F.coalesce(c("volume") < 0, F.lit(False))}
+PRICES = ("open", "high", "low", "close")
+
+
+def bar_constraints(columns: Collection[str] | None = None, keys: tuple[str, ...] = ("symbol_id", "trade_date", "series")) -> dict[str, Column]:
+    """The rules of stored bars; of a table that lacks some of the columns what the others show."""
+    c, has = F.col, lambda *names: columns is None or set(names) <= set(columns)
+    either = lambda *rules: F.coalesce(reduce(or_, rules, F.lit(False)), F.lit(False))
+    shape = [rule for names, rule in ((("high", "low"), c("high") < c("low")), (("high", "open"), c("high") < c("open")), (("high", "close"), c("high") < c("close")), (("low", "open"), c("low") > c("open")), (("low", "close"), c("low") > c("close"))) if has(*names)]
+    return {
+        "not_null": _any_null(*keys, *(n for n in PRICES if has(n))), "ohlc": either(*shape),
+        "positive": either(*(c(n) <= 0 for n in ("open", "close") if has(n))), "volume": either(*(c(n) < 0 for n in ("volume",) if has(n))),
+    }
+
+
+def _any_null(*names: str) -> Column:
+    out = F.lit(False)
+    for name in names:
+        out = out | F.col(name).isNull()
+    return out
 
 
 CONSTRAINTS = {
     "bars": bar_constraints,
-    "membership": lambda: {"range": F.col("valid_to") < F.col("valid_from"), "not_null": F.col("valid_from").isNull() | F.col("valid_to").isNull()},
+    "adjusted": lambda columns=None: bar_constraints(columns, ("symbol_id", "trade_date")),
+    "runs": lambda: {"not_null": _any_null("run_id", "event_time"), "status": ~F.coalesce(F.col("status").isin(*RUN_STATUSES), F.lit(False))},
+    "membership": lambda: {"range": F.col("valid_to") < F.col("valid_from"), "not_null": _any_null("symbol_id", "series", "valid_from", "valid_to")},
     "log": lambda: {"status": ~F.coalesce(F.col("status").isin(*STATUSES), F.lit(False))},
     "findings": lambda: {"severity": ~F.coalesce(F.col("severity").isin(*SEVERITIES), F.lit(False))},
     "actions": lambda: {"not_null": F.col("symbol_id").isNull() | F.col("ex_date").isNull() | F.col("purpose").isNull() | F.col("source").isNull()},
@@ -155,7 +173,29 @@ def assert_constraints(df: DataFrame, rules: Mapping[str, Column], unique: tuple
 
 
 #: The keys that each table's rows are unique by.
-UNIQUE = {"bars": ("symbol_id", "trade_date", "series"), "membership": ("symbol_id", "series", "valid_from"), "log": ("source", "data_date"), "findings": (), "actions": ("symbol_id", "ex_date", "purpose"), "symbols": ("isin",), "factors": ("symbol_id", "trade_date")}
+UNIQUE = {"bars": ("symbol_id", "trade_date", "series"), "membership": ("symbol_id", "series", "valid_from"), "log": ("source", "data_date"), "findings": (), "actions": ("symbol_id", "ex_date", "purpose"), "symbols": ("isin",), "factors": ("symbol_id", "trade_date"), "adjusted": ("symbol_id", "trade_date"), "runs": ()}
+
+
+def guarded(df: DataFrame, table: str | None) -> DataFrame:
+    """df, which fails when a row is computed that breaks a constraint of the table: the check is part of the write that it guards.
+
+    Bars that lack a column are judged by the others. Uniqueness is not seen row by row.
+    """
+    for name, rule in rules_of(df, table).items():
+        df = df.filter(F.when(F.coalesce(rule, F.lit(False)), F.raise_error(F.lit(f"constraints broken: {name} of {table}"))).otherwise(F.lit(True)))
+    return df
+
+
+def rules_of(df: DataFrame, table: str | None) -> dict[str, Column]:
+    if table in ("bars", "adjusted"):
+        return CONSTRAINTS[table](df.columns)
+    return CONSTRAINTS[table]() if table else {}
+
+
+def refused_rows(df: DataFrame, table: str) -> DataFrame:
+    """Rows of df that the table would refuse, once for each rule they break."""
+    broken = F.array_compact(F.array(*(F.when(F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules_of(df, table).items())))
+    return df.withColumn("rule", F.explode(broken))
 
 
 def storable(df: DataFrame, table: str) -> DataFrame:

@@ -61,14 +61,51 @@ def expand(intervals: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def size_by_date(intervals: DataFrame, dates: DataFrame) -> DataFrame:
-    return expand(intervals, dates).groupBy("snapshot_date").agg(F.count("*").alias("n_listed"))
+    """snapshot_date, n_listed of the dates that any interval covers: a sweep over what begins and ends, two rows for each interval.
+
+    Its window has no key, but runs on distinct observation dates.
+    """
+    ends = F.array(F.struct(F.col("valid_from").alias("snapshot_date"), F.lit(1).alias("opened"), F.lit(0).alias("closed")), F.struct(F.col("valid_to").alias("snapshot_date"), F.lit(0).alias("opened"), F.lit(1).alias("closed")))
+    steps = intervals.select(F.inline(ends)).groupBy("snapshot_date").agg(F.sum("opened").alias("opened"), F.sum("closed").alias("closed"))
+    order = W.orderBy("snapshot_date")
+    swept = dates.select("snapshot_date").distinct().join(steps, "snapshot_date", "left").fillna(0, ["opened", "closed"])
+    listed = F.sum("opened").over(order) - F.coalesce(F.sum("closed").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return swept.select("snapshot_date", listed.alias("n_listed")).filter("n_listed > 0")
+
+
+#: A number for each date; sums of them tell sets of dates apart.
+_MARK = "decimal(38,0)"
+
+
+def unequal_keys(real: DataFrame, intervals: DataFrame) -> DataFrame:
+    """The (symbol, series) whose intervals do not cover just the dates of their rows in real (snapshot_date and keys, distinct).
+
+    The digest of a set of dates is its size and the sum of the dates' hashes; that of an interval is a
+    difference of two prefix sums, so nothing is expanded.
+    """
+    mark = F.xxhash64("snapshot_date").cast(_MARK)
+    order = W.orderBy("snapshot_date")
+    dates = real.select("snapshot_date").distinct()
+    sums = _small(dates.select("snapshot_date", F.sum(mark).over(order).alias("upto"), F.row_number().over(order).cast("long").alias("place"), mark.alias("own")))
+    at = lambda name, *columns: sums.select(F.col("snapshot_date").alias(name), *columns)
+    spans = intervals.join(at("valid_from", (F.col("upto") - F.col("own")).alias("_a"), F.col("place").alias("_p")), "valid_from", "left").join(at("valid_to", F.col("upto").alias("_b"), F.col("place").alias("_q")), "valid_to", "left")
+    covered = spans.groupBy(*KEYS).agg(F.sum(F.col("_q") - F.col("_p") + 1).alias("n"), F.sum(F.col("_b") - F.col("_a")).alias("h"), F.bool_or(F.col("_p").isNull() | F.col("_q").isNull()).alias("odd"))
+    seen = real.groupBy(*KEYS).agg(F.count("*").alias("m"), F.sum(mark).alias("g"))
+    same = F.col("n").eqNullSafe(F.col("m")) & F.col("h").eqNullSafe(F.col("g")) & ~F.coalesce("odd", F.lit(False))
+    return seen.join(covered, list(KEYS), "full_outer").filter(~same).select(*KEYS)
 
 
 def equivalence(snapshots: DataFrame, intervals: DataFrame) -> DataFrame:
-    """One row: snapshot rows that intervals lack, rows they have too much, both sizes, and the reduction in percent."""
+    """One row: snapshot rows that intervals lack, rows they have too much, both sizes, and the reduction in percent.
+
+    Only the intervals of keys whose digests differ are expanded and compared row by row.
+    """
     real = snapshots.select("snapshot_date", *KEYS).distinct()
-    again = expand(intervals, observations(snapshots))
-    parts = [real.subtract(again).agg(F.count("*").alias("missing")), again.subtract(real).agg(F.count("*").alias("extra")), real.agg(F.count("*").alias("n_rows")), intervals.agg(F.count("*").alias("n_intervals"))]
+    differ = unequal_keys(real, intervals)
+    own = real.join(differ, list(KEYS), "left_semi").withColumn("_n", F.lit(1))
+    again = expand(intervals.join(differ, list(KEYS), "left_semi"), observations(snapshots)).distinct().withColumn("_n", F.lit(-1))
+    sides = own.unionByName(again).groupBy("snapshot_date", *KEYS).agg(F.sum("_n").alias("_n"))
+    parts = [sides.agg(F.count_if(F.col("_n") > 0).alias("missing"), F.count_if(F.col("_n") < 0).alias("extra")), real.agg(F.count("*").alias("n_rows")), intervals.agg(F.count("*").alias("n_intervals"))]
     out = parts[0]
     for p in parts[1:]:  # single rows
         out = out.join(p)
@@ -168,3 +205,35 @@ def record_snapshot(intervals: DataFrame, today: DataFrame, day: Column, previou
         F.coalesce("listing_date", "_new").alias("listing_date"),
     )
     return out.unionByName(intervals.filter(~able).select(out.columns))
+
+
+def record_snapshots(intervals: DataFrame, known: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """The intervals after any number of snapshots, of new, late or repeated days in any order, in one plan.
+
+    known: snapshot_date of all observations that the intervals come from. A day that is new and falls inside
+    an interval splits it, unless the day's snapshot has its symbol and series, and may join two that it lies
+    between. New days that follow each other without a known one between are a block: an interval is cut at the
+    blocks inside it, not day by day, and what the new snapshots hold closes the cuts. Rows of a day that is
+    known add to it. Both parts of a split interval keep its listing date; joined ones take the earlier.
+    """
+    before = known.select("snapshot_date").distinct().withColumn("_known", F.lit(True))
+    order = W.orderBy("snapshot_date")  # distinct dates, as in observations()
+    dates = snapshots.select("snapshot_date").distinct().join(before, "snapshot_date", "full_outer").select("snapshot_date", F.col("_known").isNull().alias("new"))
+    dates = dates.select("snapshot_date", "new", F.row_number().over(order).alias("ordinal"), (F.col("new") & ~F.coalesce(F.lag("new").over(order), F.lit(False))).cast("int").alias("_opens"))
+    dates = _small(dates.select("snapshot_date", "new", "ordinal", F.sum("_opens").over(order).alias("block")))
+    blocks = dates.filter("new").groupBy("block").agg(F.min("ordinal").alias("low"), F.max("ordinal").alias("high"))
+    at = lambda name, *columns: dates.select(F.col("snapshot_date").alias(name), *columns)
+    spans = intervals.join(at("valid_from", F.col("ordinal").alias("_a"), F.col("block").alias("_j")), "valid_from").join(at("valid_to", F.col("ordinal").alias("_b"), F.col("block").alias("_k")), "valid_to")
+    # Blocks _j + 1 to _k lie inside; the part number p begins behind block p and ends before block p + 1.
+    parts = spans.select(*KEYS, "listing_date", "_a", "_b", "_j", "_k", F.explode(F.sequence("_j", "_k")).alias("_p"))
+    behind, ahead = blocks.select(F.col("block").alias("_p"), "high"), blocks.select((F.col("block") - 1).alias("_p"), "low")
+    parts = parts.join(behind, "_p", "left").join(ahead, "_p", "left")
+    held = parts.select(*KEYS, "listing_date", F.when(F.col("_p") == F.col("_j"), F.col("_a")).otherwise(F.col("high") + 1).alias("a"), F.when(F.col("_p") == F.col("_k"), F.col("_b")).otherwise(F.col("low") - 1).alias("b"))
+    seen = snapshots.groupBy("snapshot_date", *KEYS).agg(F.min("listing_date").alias("listing_date")).join(at("snapshot_date", "ordinal"), "snapshot_date")
+    whole = held.unionByName(seen.select(*KEYS, "listing_date", F.col("ordinal").alias("a"), F.col("ordinal").alias("b")))
+    own = W.partitionBy(*KEYS).orderBy("a", "b")
+    apart = F.col("a") > F.max("b").over(own.rowsBetween(W.unboundedPreceding, -1)) + 1
+    merged = whole.withColumn("_new", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("_n", F.sum("_new").over(own))
+    merged = merged.groupBy(*KEYS, "_n").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.min("listing_date").alias("listing_date"))
+    day = lambda ordinal, name: dates.select(F.col("ordinal").alias(ordinal), F.col("snapshot_date").alias(name))
+    return merged.join(day("a", "valid_from"), "a").join(day("b", "valid_to"), "b").select(*KEYS, "valid_from", "valid_to", "listing_date")

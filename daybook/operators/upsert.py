@@ -13,6 +13,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .quality import guarded
+
 RULES = {
     "new": lambda new, old: new,
     "fill": lambda new, old: F.coalesce(new, old),
@@ -123,29 +125,38 @@ def symbols_by_ticker(symbols: DataFrame, limit: int = 0) -> DataFrame:
     return out.limit(limit) if limit else out
 
 
-def write_partitions(df: DataFrame, path: str, month_of: str) -> None:
-    """Replaces the months that df has rows of; other months stay. df must hold those months whole."""
-    months = df.withColumn("trade_month", F.date_format(month_of, "yyyy-MM"))
+def write_partitions(df: DataFrame, path: str, month_of: str, table: str | None = None) -> None:
+    """Replaces the months that df has rows of; other months stay. df must hold those months whole.
+
+    A row that breaks a constraint of `table` fails the write, which then replaces nothing.
+    """
+    months = guarded(df, table).withColumn("trade_month", F.date_format(month_of, "yyyy-MM"))
     months.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("trade_month").parquet(path)
 
 
-def months_after(spark: SparkSession, path: str, schema: StructType, updates: DataFrame, keys: Sequence[str], rules: Mapping[str, str], month_of: str) -> DataFrame:
-    """The rows that the months of updates (one for each key) hold after them. Only those months of the stored table are read."""
-    months = [r["m"] for r in updates.select(F.date_format(month_of, "yyyy-MM").alias("m")).distinct().collect()]
+def stored_months(spark: SparkSession, path: str, schema: StructType, months: Sequence[str] | None) -> DataFrame:
+    """The rows of those months, or of all; none if nothing is stored yet."""
     stored = StructType([*schema.fields, StructField("trade_month", StringType())])
     try:
-        old = spark.read.schema(stored).parquet(path).filter(F.col("trade_month").isin(months)).drop("trade_month")
+        rows = spark.read.schema(stored).parquet(path)
+        return (rows if months is None else rows.filter(F.col("trade_month").isin(list(months)))).drop("trade_month")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        old = spark.createDataFrame([], schema)  # nothing stored yet
+        return spark.createDataFrame([], schema)
+
+
+def months_after(spark: SparkSession, path: str, schema: StructType, updates: DataFrame, keys: Sequence[str], rules: Mapping[str, str], month_of: str) -> DataFrame:
+    """The rows that the months of updates (one for each key) hold after them. Only those months of the stored table are read."""
+    months = [r["m"] for r in updates.select(F.date_format(month_of, "yyyy-MM").alias("m")).distinct().collect()]
+    old = stored_months(spark, path, schema, months)
     return keyed_upsert(old, updates, keys, rules)
 
 
-def upsert_months(spark: SparkSession, path: str, schema: StructType, updates: DataFrame, keys: Sequence[str], rules: Mapping[str, str], month_of: str) -> None:
-    """Upserts into a table that is stored by month: reads and replaces the months that updates touch.
+def upsert_months(spark: SparkSession, path: str, schema: StructType, updates: DataFrame, keys: Sequence[str], rules: Mapping[str, str], month_of: str, table: str | None = None) -> None:
+    """Upserts into a table that is stored by month: reads and replaces the months that updates touch, if the rows keep the constraints of `table`.
 
     Doing it again changes nothing, so a batch that is lost half-way is simply done again. Keys hold
     month_of, so that a key never moves to another month.
     """
-    write_partitions(months_after(spark, path, schema, updates, keys, rules, month_of), path, month_of)
+    write_partitions(months_after(spark, path, schema, updates, keys, rules, month_of), path, month_of, table)

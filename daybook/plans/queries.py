@@ -124,6 +124,18 @@ def universe_incremental(spark, sf_dir):
     return out
 
 
+@registered("{intervals}")
+def universe_bulk(spark, sf_dir):
+    """Every third snapshot at once; then the latest ones and some of the first, again; then all others, which fall between those: three plans for all days."""
+    snapshots, _, dates = _intervals(spark, sf_dir)
+    numbered = snapshots.join(dates.select("snapshot_date", "ordinal"), "snapshot_date")
+    batches = [numbered.filter(w).drop("ordinal") for w in ("ordinal % 3 = 0 AND ordinal < 60", "ordinal >= 60 OR ordinal % 6 = 0", "ordinal % 3 <> 0")]
+    out, known = universe.build_intervals(batches[0]), batches[0].select("snapshot_date")
+    for batch in batches[1:]:
+        out, known = universe.record_snapshots(out, known, batch), known.union(batch.select("snapshot_date"))
+    return out.select("symbol_id", "series", "valid_from", "valid_to", "listing_date")
+
+
 _LATEST = "(SELECT max(snapshot_date) FROM ({snapshots}) z)"
 _PREVIOUS = "(SELECT max(previous) FROM ({dates}) z)"
 _OPENED = f"""
@@ -702,16 +714,16 @@ def recorded_runs(spark, sf_dir):
             ingest.recorded_run(spark, f"{folder}/runs", region["r_regionkey"], work, lambda: next(ticks))
         except ValueError:
             pass
-    return ingest.run_state(spark.read.schema(ingest.EVENTS).parquet(f"{folder}/runs")).select("run_id", "status", "notes")
+    return ingest.run_state(ingest.events_table(spark, f"{folder}/runs").read()).select("run_id", "status", "notes")
 
 
 @registered(f"SELECT run_id, check_name, count(*) AS n FROM (SELECT CAST(1 AS BIGINT) AS run_id, check_name FROM ({_BATCH}) f WHERE symbol_id < 10 UNION ALL SELECT 2, check_name FROM ({_BATCH}) f WHERE symbol_id >= 10) u GROUP BY ALL")
 def appended_findings(spark, sf_dir):
-    """The findings of two runs, one appended after the other."""
+    """The findings of two runs, one appended after the other; the first one is replayed, which appends nothing."""
     folder, bars = _folder(spark), view(spark, sf_dir, "bars")
-    for run, which in ((1, "symbol_id < 10"), (2, "symbol_id >= 10")):
+    for run, which in ((1, "symbol_id < 10"), (2, "symbol_id >= 10"), (1, "symbol_id < 10")):
         ingest.append_findings(quality.batch_findings(bars.filter(which)), run, f"{folder}/findings")
-    return spark.read.parquet(f"{folder}/findings").groupBy("run_id", "check_name").agg(F.count("*").alias("n"))
+    return ingest.findings_table(spark, f"{folder}/findings").read().groupBy("run_id", "check_name").agg(F.count("*").alias("n"))
 
 
 @registered("SELECT o_custkey AS run_id, arg_max(o_orderstatus, o_orderkey) AS status, min(o_orderkey) AS started FROM orders GROUP BY o_custkey")
@@ -738,36 +750,44 @@ def _folder(spark: SparkSession) -> str:
     return f"{shared or 'file://' + tempfile.mkdtemp(prefix='spark-daybook-')}/stream-{uuid.uuid4().hex}"
 
 
-def _landed_bars(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    """Bars as files: prices first, then delivery figures for the same keys."""
-    bars = view(spark, sf_dir, "bars").select("symbol_id", "trade_date", "series", F.col("close").cast("double").alias("close"), "volume", "deliv_qty")
-    early = bars.withColumns({"deliv_qty": F.lit(None).cast("bigint"), "seq": F.lit(1)})
-    late = bars.filter("deliv_qty IS NOT NULL").withColumns({"close": F.col("close") + 1, "seq": F.lit(2)})
+_STORED = ("symbol_id", "trade_date", "series", "open", "high", "low", "close", "volume", "deliv_qty", "deliv_pct", "file_date")
+
+
+def _landed_bars(spark: SparkSession, sf_dir: str, folder: str, raised: float = 1.0) -> DataFrame:
+    """Bars as files: prices first, then delivery figures for the same keys, with prices that are raised."""
+    bars = view(spark, sf_dir, "bars").select(*_STORED).withColumns({c: F.col(c).cast("double") for c in ("open", "high", "low", "close")})
+    early = bars.withColumns({"deliv_qty": F.lit(None).cast("bigint"), "deliv_pct": F.lit(None).cast("double"), "seq": F.lit(1)})
+    late = bars.filter("deliv_qty IS NOT NULL").withColumns({"close": F.col("close") + raised, "seq": F.lit(2)})
     for part in (early, late):
         part.write.mode("append").parquet(f"{folder}/landed")
     return feeds.landed(spark, f"{folder}/landed", spark.read.parquet(f"{folder}/landed").schema, 8)
 
 
+#: What a stored bar becomes: as in RAW_BARS, and the file's date with the prices.
+_BAR_RULES = {**upsert.RAW_BARS[1], "file_date": "new"}
+
+
 @registered("SELECT symbol_id, trade_date, series, CAST(close AS DOUBLE) + CASE WHEN deliv_qty IS NULL THEN 0 ELSE 1 END AS close, deliv_qty FROM ({bars}) b")
 def stream_upsert(spark, sf_dir):
     folder = _folder(spark)
     stream = _landed_bars(spark, sf_dir, folder)
-    keys, rules = upsert.RAW_BARS
     schema = stream.drop("seq").schema
-    feeds.upsert_stream(spark, stream, f"{folder}/bars", schema, f"{folder}/state", keys, {c: r for c, r in rules.items() if c in schema.names}, ("seq",)).awaitTermination()
+    feeds.upsert_stream(spark, stream, f"{folder}/bars", schema, f"{folder}/state", upsert.RAW_BARS[0], {c: r for c, r in _BAR_RULES.items() if c in schema.names}, ("seq",)).awaitTermination()
     return spark.read.parquet(f"{folder}/bars").select("symbol_id", "trade_date", "series", "close", "deliv_qty")
 
 
-@registered("""
-    SELECT 'daily' AS source, trade_date AS data_date, CASE WHEN count(deliv_qty) > 0 THEN 'loaded' WHEN date_diff('day', trade_date, DATE '1998-03-31') <= 3 THEN 'partial' ELSE 'loaded' END AS status, CAST(count(*) AS INTEGER) AS rows_loaded
-    FROM ({bars}) b GROUP BY trade_date""")
+@registered(f"""
+    SELECT 'daily' AS source, b.trade_date AS data_date,
+           CASE WHEN b.trade_date IN (SELECT trade_date FROM ({_BATCH}) f) THEN 'failed' WHEN count(deliv_pct) > 0 THEN 'loaded' WHEN date_diff('day', b.trade_date, DATE '2001-11-04') <= 3 THEN 'partial' ELSE 'loaded' END AS status,
+           CAST(CASE WHEN b.trade_date IN (SELECT trade_date FROM ({_BATCH}) f) THEN 0 ELSE count(*) END AS INTEGER) AS rows_loaded
+    FROM ({{bars}}) b GROUP BY b.trade_date""")
 def stream_enrich(spark, sf_dir):
-    """Bars land without delivery figures, which follow; the log says of each date how far it has come."""
+    """Bars land without delivery figures, which follow for some. A second run, years later and without a new file, settles the dates that were open."""
     folder = _folder(spark)
-    stream = _landed_bars(spark, sf_dir, folder)
-    keys, rules = upsert.RAW_BARS
+    stream = _landed_bars(spark, sf_dir, folder, 0.0)
     schema = stream.drop("seq").schema
-    feeds.enrich_stream(spark, stream, f"{folder}/bars", schema, f"{folder}/log", f"{folder}/state", keys, {c: r for c, r in rules.items() if c in schema.names}, ("seq",), F.lit(TODAY), "daily").awaitTermination()
+    for today in (TODAY, date(2001, 11, 4)):
+        feeds.enrich_available(spark, stream, f"{folder}/bars", schema, f"{folder}/log", f"{folder}/state", upsert.RAW_BARS[0], {c: r for c, r in _BAR_RULES.items() if c in schema.names}, ("seq",), F.lit(today), "daily")
     return spark.read.parquet(f"{folder}/log").select("source", "data_date", "status", "rows_loaded")
 
 

@@ -40,20 +40,21 @@ NUMBERS = ("open", "high", "low", "close", "volume", "prev_close", "last_price",
 WHOLE = ("volume", "trades", "deliv_qty")
 
 
-def whole_bars(rows: DataFrame, cells: Mapping[str, Column]) -> DataFrame:
-    """Bars of rows (symbol, isin, series, trade_date, file_date), with numbers read from text cells.
+def whole_bars(rows: DataFrame, cells: Mapping[str, Column], also: tuple[str, ...] = ()) -> DataFrame:
+    """Bars of rows (symbol, isin, series, trade_date, file_date), with numbers read from text cells, and the columns `also`; rows with an `error` among those are kept as they are.
 
     Kept are bars of a kept series, complete in prices and volume. The numbers of a row are read in one
     expression, so that they are read once for the filter and once for the result, not once for each use.
     """
     read = F.transform(F.array(*(cells.get(n, F.lit(None).cast("string")) for n in NUMBERS)), to_double)
-    rows = rows.select("symbol", "isin", "series", "trade_date", "file_date", read.alias("_n"))
+    rows = rows.select(*also, "symbol", "isin", "series", "trade_date", "file_date", read.alias("_n"))
     # Beyond 64 bits a volume is no number.
     there = F.forall(F.slice("_n", 1, 5), lambda x: x.isNotNull() & (F.abs(x) < 2.0**63))
-    rows = rows.filter((F.col("symbol") != "") & F.col("series").isin(*SERIES) & there)
+    whole = (F.col("symbol") != "") & F.col("series").isin(*SERIES) & there
+    rows = rows.filter(whole | F.col("error").isNotNull() if "error" in also else whole)
     number = {n: F.get("_n", F.lit(k)) for k, n in enumerate(NUMBERS)}
     number |= {n: number[n].try_cast("bigint") for n in WHOLE}
-    return rows.select(*BAR[:5], *(number[n].alias(n) for n in BAR[5:]))
+    return rows.select(*also, *BAR[:5], *(number[n].alias(n) for n in BAR[5:]))
 
 
 def delivery_columns(raw: DataFrame, trade_date) -> DataFrame:
@@ -128,15 +129,15 @@ def corporate_actions(spark: SparkSession, path: str) -> DataFrame:
     return action_columns(spark.read.text(path, wholetext=True))
 
 
-def candle_columns(text: DataFrame, body: str, isin) -> DataFrame:
-    """Adjusted bars in nested arrays [timestamp, open, high, low, close, volume, ...]; short and unreadable ones are left out."""
+def candle_columns(text: DataFrame, body: str, isin, also: tuple[str, ...] = ()) -> DataFrame:
+    """Adjusted bars in nested arrays [timestamp, open, high, low, close, volume, ...], with the columns `also`; short and unreadable ones are left out."""
     parsed = F.from_json(body, "struct<data:struct<candles:array<array<string>>>>")
-    rows = text.select(isin.alias("isin"), F.explode(parsed["data"]["candles"]).alias("c")).filter(F.size("c") >= 6)
+    rows = text.select(*also, isin.alias("isin"), F.explode(parsed["data"]["candles"]).alias("c")).filter(F.size("c") >= 6)
     # The numbers are read in one expression, as in whole_bars.
-    rows = rows.select("isin", candle_date(F.get("c", F.lit(0))).alias("trade_date"), F.transform(F.slice("c", 2, 5), to_double).alias("_n"))
+    rows = rows.select(*also, "isin", candle_date(F.get("c", F.lit(0))).alias("trade_date"), F.transform(F.slice("c", 2, 5), to_double).alias("_n"))
     rows = rows.filter(F.col("isin").isNotNull() & F.col("trade_date").isNotNull() & F.forall("_n", lambda x: x.isNotNull() & (F.abs(x) < 2.0**63)))
     number = lambda k: F.get("_n", F.lit(k))
-    return rows.select("isin", "trade_date", *(number(k).alias(n) for k, n in enumerate(("open", "high", "low", "close"))), number(4).try_cast("bigint").alias("volume"))
+    return rows.select(*also, "isin", "trade_date", *(number(k).alias(n) for k, n in enumerate(("open", "high", "low", "close"))), number(4).try_cast("bigint").alias("volume"))
 
 
 def candles(spark: SparkSession, path: str) -> DataFrame:

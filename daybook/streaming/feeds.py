@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.calendar import GRACE_DAYS, classify_loaded
-from ..operators.upsert import LOG, applied_in_order, upsert_months
+from ..operators.calendar import SETTLED
+from ..operators.ingest import load_status
+from ..operators.upsert import LOG, applied_in_order, stored_months, upsert_months
 
 
 def landed(spark: SparkSession, path: str, schema: StructType, files_a_batch: int = 100) -> DataFrame:
@@ -21,39 +22,63 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def upsert_stream(spark: SparkSession, stream: DataFrame, path: str, schema: StructType, checkpoint: str, keys: Sequence[str], rules: Mapping[str, str], order: Sequence[str], month_of: str = "trade_date") -> StreamingQuery:
+def upsert_stream(spark: SparkSession, stream: DataFrame, path: str, schema: StructType, checkpoint: str, keys: Sequence[str], rules: Mapping[str, str], order: Sequence[str], month_of: str = "trade_date", table: str | None = None) -> StreamingQuery:
     """Micro-batch upsert into a table stored by month: the rows of a batch take effect in `order`.
 
     Late delivery figures fill what an earlier row left null; prices of later rows win. A batch reads and
-    replaces the months it touches; a batch that is replayed changes nothing more.
+    replaces the months it touches; a batch that is replayed changes nothing more. A row that breaks a
+    constraint of `table` stops the stream before its batch has replaced anything.
     """
     def each(rows: DataFrame, batch: int) -> None:
-        upsert_months(spark, path, schema, applied_in_order(rows, keys, rules, *order), keys, rules, month_of)
+        upsert_months(spark, path, schema, applied_in_order(rows, keys, rules, *order), keys, rules, month_of, table)
 
     return run_available(stream, checkpoint, each)
 
 
-def enrich_stream(spark: SparkSession, stream: DataFrame, path: str, schema: StructType, log_path: str, checkpoint: str, keys: Sequence[str], rules: Mapping[str, str], order: Sequence[str], today: Column, source: str, grace: int = GRACE_DAYS) -> StreamingQuery:
-    """upsert_stream, and after each batch the status of the trade dates it touched.
+LOG_SCHEMA = "source string, data_date date, status string, rows_loaded int"
 
-    A date is loaded once a bar has a delivery figure, partial while it has none and is within the grace
-    period, and loaded as it is beyond. The log is a table by month too: source, data_date, status, rows_loaded.
+
+def settle_dates(spark: SparkSession, path: str, schema: StructType, log_path: str, today: Column, source: str, touched: DataFrame | None = None) -> None:
+    """Judges the dates that the log has open, and those that were touched, by the bars stored for them; as load_status would, all at once.
+
+    Open are failed and partial dates, some days as a rule. Bars and log are stored by month; only months of
+    such dates are read. Doing it again on the same day changes nothing.
     """
     log_keys, log_rules = LOG
-
+    log_schema = spark.createDataFrame([], LOG_SCHEMA).schema
+    log = stored_months(spark, log_path, log_schema, None)
+    dates = log.filter((F.col("source") == source) & ~F.col("status").isin(*SETTLED)).select(F.col("data_date").alias("trade_date"))
+    if touched is not None:
+        dates = dates.union(touched.select("trade_date")).distinct()
+    days = [r["trade_date"] for r in dates.dropna().collect()]  # the days of a batch and the open ones
+    if not days:
+        return
+    expected = spark.createDataFrame([(d,) for d in days], "trade_date date")
+    bars = stored_months(spark, path, schema, sorted({f"{d:%Y-%m}" for d in days})).join(F.broadcast(expected), "trade_date", "left_semi")
+    status = load_status(expected, bars, today)
+    outcome = status.select(F.lit(source).alias("source"), F.col("trade_date").alias("data_date"), "status", "rows_loaded")
+    upsert_months(spark, log_path, log_schema, outcome, log_keys, {c: r for c, r in log_rules.items() if c in outcome.columns}, "data_date", "log")
+
+
+def enrich_stream(spark: SparkSession, stream: DataFrame, path: str, schema: StructType, log_path: str, checkpoint: str, keys: Sequence[str], rules: Mapping[str, str], order: Sequence[str], today: Column, source: str) -> StreamingQuery:
+    """upsert_stream, and after each batch the status of the trade dates it touched and of those that are open.
+
+    The log, a table by month of source, data_date, status and rows_loaded, says of each date what
+    load_status says of the bars stored so far. settle_dates brings it up to a later day without new files.
+    """
     def each(rows: DataFrame, batch: int) -> None:
         upsert_months(spark, path, schema, applied_in_order(rows, keys, rules, *order), keys, rules, "trade_date")
-        touched = rows.select("trade_date").distinct()
-        months = [r["m"] for r in rows.select(F.date_format("trade_date", "yyyy-MM").alias("m")).distinct().collect()]
-        bars = spark.read.parquet(path).filter(F.col("trade_month").isin(months)).join(touched, "trade_date", "left_semi")
-        days = bars.groupBy("trade_date").agg(F.count("*").alias("n"), F.count("deliv_qty").alias("d"))
-        status = classify_loaded(F.col("d") > 0, F.col("trade_date"), today, grace)
-        outcome = days.select(F.lit(source).alias("source"), F.col("trade_date").alias("data_date"), status.alias("status"), F.col("n").cast("int").alias("rows_loaded"))
-        upsert_months(spark, log_path, outcome.schema, outcome, log_keys, {c: r for c, r in log_rules.items() if c in outcome.columns}, "data_date")
+        settle_dates(spark, path, schema, log_path, today, source, rows.select("trade_date").distinct())
 
     return run_available(stream, checkpoint, each)
 
 
+def enrich_available(spark: SparkSession, stream: DataFrame, path: str, schema: StructType, log_path: str, checkpoint: str, keys: Sequence[str], rules: Mapping[str, str], order: Sequence[str], today: Column, source: str) -> None:
+    """One run: takes the files that have landed, and settles open dates even if there are none."""
+    enrich_stream(spark, stream, path, schema, log_path, checkpoint, keys, rules, order, today, source).awaitTermination()
+    settle_dates(spark, path, schema, log_path, today, source)
+
+
 def without_repeats(stream: DataFrame, keys: Sequence[str], time: str, lateness: str = "3 days") -> DataFrame:
     """Drops exact repeats that arrive within the lateness; revisions of a key go through upsert_stream."""
     return stream.withWatermark(time, lateness).dropDuplicatesWithinWatermark(list(keys))

@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -168,31 +169,56 @@ def test_runs_are_closed_whatever_happens(spark, tmp_path):
     with pytest.raises(OSError):
         ingest.recorded_run(spark, path, 3, breaks, lambda: next(ticks))
     ingest.record_event(spark, path, 4, "running", next(ticks))
-    state = {r["run_id"]: (r["status"], r["notes"]) for r in ingest.run_state(spark.read.schema(ingest.EVENTS).parquet(path)).collect()}
+    state = {r["run_id"]: (r["status"], r["notes"]) for r in ingest.run_state(ingest.events_table(spark, path).read()).collect()}
     assert state == {1: ("succeeded", ""), 2: ("halted", ""), 3: ("failed", "disk full"), 4: ("running", "")}
     ingest.append_findings(finding("error"), 2, str(tmp_path / "f"))
     ingest.append_findings(finding("info"), 3, str(tmp_path / "f"))
-    assert sorted((r["run_id"], len(r["detail"])) for r in spark.read.parquet(str(tmp_path / "f")).collect()) == [(2, 4000), (3, 4000)]
-    with pytest.raises(ValueError):
+    assert sorted((r["run_id"], len(r["detail"])) for r in ingest.findings_table(spark, str(tmp_path / "f")).read().collect()) == [(2, 4000), (3, 4000)]
+    with pytest.raises(Exception, match="constraints broken"):
         ingest.append_findings(finding("fatal"), 4, str(tmp_path / "f"))
 
 
-def test_late_figures_settle_a_date(spark, tmp_path):
-    schema = "symbol_id long, trade_date date, series string, close double, deliv_qty long, seq int"
-    keys, rules = upsert.RAW_BARS
-    rules = {c: r for c, r in rules.items() if c in ("close", "deliv_qty")}
+STORED = "symbol_id long, trade_date date, series string, open double, high double, low double, close double, volume long, deliv_qty long, deliv_pct double, file_date date, seq int"
 
-    def land(*rows):
-        df = spark.createDataFrame(list(rows), schema)
-        df.write.mode("append").parquet(str(tmp_path / "landed"))
-        stream = feeds.landed(spark, str(tmp_path / "landed"), df.schema)
-        feeds.enrich_stream(spark, stream, str(tmp_path / "bars"), df.drop("seq").schema, str(tmp_path / "log"), str(tmp_path / "state"), keys, rules, ("seq",), F.lit(D(21)), "daily").awaitTermination()
-        return {r["data_date"].day: (r["status"], r["rows_loaded"]) for r in spark.read.parquet(str(tmp_path / "log")).collect()}
 
-    assert land((1, D(18), "EQ", 1.0, None, 1), (2, D(18), "EQ", 2.0, None, 1), (1, D(17), "EQ", 1.0, None, 1)) == {18: ("partial", 2), 17: ("loaded", 1)}
-    assert land((1, D(21), "EQ", 1.0, None, 1)) == {21: ("partial", 1), 18: ("partial", 2), 17: ("loaded", 1)}
-    assert land((2, D(18), "EQ", 2.0, 40, 2)) == {21: ("partial", 1), 18: ("loaded", 2), 17: ("loaded", 1)}
-    assert {(r["symbol_id"], r["trade_date"].day): r["deliv_qty"] for r in spark.read.parquet(str(tmp_path / "bars")).collect()} == {(1, 18): None, (2, 18): 40, (1, 17): None, (1, 21): None}
+def test_a_stream_settles_dates_as_the_batch_does(spark, tmp_path):
+    """The log is load_status of the stored rows at every age, with new files and without."""
+    keys, rules = upsert.RAW_BARS
+    rules = {c: r for c, r in {**rules, "file_date": "new"}.items() if c in STORED}
+    at = {n: str(tmp_path / n) for n in ("landed", "bars", "log", "state")}
+    schema = spark.createDataFrame([], STORED).schema
+
+    def bar(symbol, day, seq=1, qty=None, pct=None, close=2.0):
+        return (symbol, D(day), "EQ", 1.0, 3.0, 1.0, close, 5, qty, pct, D(day), seq)
+
+    def run(today, *rows):
+        if rows:
+            spark.createDataFrame(list(rows), STORED).write.mode("append").parquet(at["landed"])
+        stream = feeds.landed(spark, at["landed"], schema)
+        bars_schema = spark.createDataFrame([], STORED).drop("seq").schema
+        feeds.enrich_available(spark, stream, at["bars"], bars_schema, at["log"], at["state"], keys, rules, ("seq",), F.lit(D(today)), "daily")
+        bars = spark.read.parquet(at["bars"])
+        log = {r["data_date"].day: (r["status"], r["rows_loaded"]) for r in spark.read.parquet(at["log"]).collect()}
+        batch = ingest.load_status(bars.select("trade_date").distinct(), bars, F.lit(D(today)))
+        assert log == {r["trade_date"].day: (r["status"], r["rows_loaded"]) for r in batch.collect()}
+        return log
+
+    # 17: no figure; 18: a quantity but no share is no figure; 16: a price above the day's high.
+    assert run(18, bar(1, 18, qty=40), bar(2, 18), bar(1, 17), bar(1, 16, close=9.0)) == {18: ("partial", 2), 17: ("partial", 1), 16: ("failed", 0)}
+    assert run(20) == {18: ("partial", 2), 17: ("partial", 1), 16: ("failed", 0)}  # 17 is 3 days old
+    assert run(21) == {18: ("partial", 2), 17: ("loaded", 1), 16: ("failed", 0)}  # 17 is 4 days old; nothing landed
+    assert run(21, bar(2, 18, 2, 40, 40.0), bar(1, 21)) == {21: ("partial", 1), 18: ("loaded", 2), 17: ("loaded", 1), 16: ("failed", 0)}
+    assert run(25, bar(1, 16, 3, close=2.5)) == {21: ("loaded", 1), 18: ("loaded", 2), 17: ("loaded", 1), 16: ("loaded", 1)}
+    assert {(r["symbol_id"], r["trade_date"].day): r["deliv_pct"] for r in spark.read.parquet(at["bars"]).collect()} == {(1, 18): None, (2, 18): 40.0, (1, 17): None, (1, 21): None, (1, 16): None}
+
+
+def test_a_stream_refuses_bad_rows(spark, tmp_path):
+    keys, rules = upsert.RAW_BARS
+    schema = spark.createDataFrame([], STORED).schema
+    spark.createDataFrame([(1, D(18), "EQ", 1.0, 3.0, 1.0, -2.0, 5, None, None, D(18), 1)], STORED).write.parquet(str(tmp_path / "landed"))
+    stream = feeds.landed(spark, str(tmp_path / "landed"), schema)
+    with pytest.raises(Exception, match="constraints broken"):
+        feeds.upsert_stream(spark, stream, str(tmp_path / "bars"), spark.createDataFrame([], STORED).drop("seq").schema, str(tmp_path / "state"), keys, {c: r for c, r in rules.items() if c in STORED}, ("seq",), table="bars").awaitTermination()
 
 
 def test_report_of_one_date(spark):
@@ -251,3 +277,42 @@ def test_counts_sizes_and_partitions(spark, tmp_path):
     assert size["bytes"] > 0 and size["verdict"] == "ok"
     back.createOrReplaceTempView("t_bars")
     assert [(r["table_name"], r["n"]) for r in audit.table_counts(spark, ["t_bars", "t_absent"]).collect()] == [("t_bars", 2)]
+
+
+def test_many_late_and_repeated_snapshots_at_once(spark):
+    """Days in any order and in batches of any size give the intervals of all days at once, in plans that do not grow with the days."""
+    rng = random.Random(3)
+    for trial in range(4):
+        present = {(s, day): rng.random() < (0.85 if s % 2 else 0.4) for s in range(12) for day in range(1, 29)}
+        rows = lambda days: [(day, s, "EQ" if s % 5 else "BE") for day in days for s in range(12) if present[s, day]]  # noqa: B023, E731
+        days = rng.sample(range(1, 29), 24)
+        cuts = sorted(rng.sample(range(1, 24), 3))
+        batches = [days[a:b] for a, b in zip([0, *cuts], [*cuts, 24])]
+        batches.append(rng.sample(days, 4))  # again
+        known = snapshots(spark, rows(batches[0]))
+        out, seen = universe.build_intervals(known), known.select("snapshot_date")
+        for batch in batches[1:]:
+            new = snapshots(spark, rows(batch))
+            # A day on which nobody was seen is no observation.
+            out, seen = universe.record_snapshots(out, seen, new), seen.union(new.select("snapshot_date"))
+        whole = universe.build_intervals(snapshots(spark, rows(days)))
+        key = lambda r: (r["symbol_id"], r["series"], r["valid_from"], r["valid_to"])
+        assert sorted(map(key, out.collect())) == sorted(map(key, whole.collect()))
+
+
+def test_sizes_and_equality_need_no_expansion(spark):
+    snap = snapshots(spark, [(d, s, "EQ") for d in range(1, 20) for s in range(30) if (d * s) % 7 != 3])
+    built, dates = universe.build_intervals(snap), universe.observations(snap)
+    sizes = universe.size_by_date(built, dates)
+    assert sorted(map(tuple, sizes.collect())) == sorted(map(tuple, snap.groupBy("snapshot_date").agg(F.count("*")).collect()))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan(sizes).lower()
+    assert universe.unequal_keys(snap.select("snapshot_date", *universe.KEYS).distinct(), built).count() == 0
+    wrong = built.withColumn("valid_to", F.when(F.col("symbol_id") == 3, F.col("valid_from")).otherwise(F.col("valid_to"))).filter("symbol_id <> 4")
+    wrong = wrong.unionByName(built.filter("symbol_id = 0").withColumn("symbol_id", F.lit(99).cast("long")))
+    r = universe.equivalence(snap, wrong).first()
+    days = {s: sum((d * s) % 7 != 3 for d in range(1, 20)) for s in (0, 3, 4)}
+    assert (r["missing"], r["extra"]) == (days[3] - built.filter("symbol_id = 3").count() + days[4], days[0])
+    assert {r["symbol_id"] for r in universe.unequal_keys(snap.select("snapshot_date", *universe.KEYS).distinct(), wrong).collect()} == {3, 4, 99}
+    twice = universe.equivalence(snap, built.union(built.filter("symbol_id = 5"))).first()  # the same dates again: nothing is missing or too much
+    assert (twice["missing"], twice["extra"]) == (0, 0)
