@@ -453,9 +453,11 @@ def alike_pairs(pairs: DataFrame, state: DataFrame, sets: DataFrame, least: floa
     The nodes of a component of near fingerprints are cut into chunks by what their shingles number; a task
     holds the shingles of two chunks at most, and only of nodes that have a pair there.
     """
-    parts = state.join(sets.select("id", F.size("shingles").alias("size")), "id").groupBy("near").agg(F.ceil(F.sum("size") / SET_SHINGLES).cast("int").alias("parts"))
+    size = state.join(sets.select("id", F.size("shingles").alias("size")), "id").groupBy("near").agg(F.ceil(F.sum("size") / SET_SHINGLES).cast("int").alias("parts"))
+    large = written(size.filter("parts > 1"), "parts")  # at most one for each SET_SHINGLES shingles
+    large = F.broadcast(large) if large.count() <= BROADCAST_ROWS else large
     part = lambda id_: F.pmod(F.xxhash64(F.lit("sets"), id_), F.col("parts")).cast("int")
-    of = pairs.join(state.select("id", "near"), "id").join(parts, "near")
+    of = pairs.join(state.select("id", "near"), "id").join(large, "near", "left").fillna(1, ["parts"])
     of = of.withColumn("to", F.explode(F.array_distinct(F.transform("others", part)))).withColumn("c", part(F.col("id")))
     of = of.withColumn("others", F.filter("others", lambda o: part(o) == F.col("to"))).select("near", F.least("c", "to").alias("i"), F.greatest("c", "to").alias("j"), "id", "others")
     of = of.groupBy("near", "i", "j", "id").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
