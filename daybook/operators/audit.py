@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -55,18 +56,22 @@ def overall(assessed: DataFrame) -> DataFrame:
 
 
 def table_counts(spark: SparkSession, names: list[str]) -> DataFrame:
-    """table_name, n of the catalog's tables among names; absent ones are skipped."""
-    out = spark.createDataFrame([], "table_name string, n long")
-    for name in names:
-        if spark.catalog.tableExists(name):
-            out = out.unionByName(spark.table(name).agg(F.lit(name).alias("table_name"), F.count("*").alias("n")))
-    return out
-
-
-def footprint(df: DataFrame, allowance: Column, warn_below: float = 0.1) -> DataFrame:
-    """One row for the files that df scans: bytes, share of the allowance, and ok, warning or stop."""
-    files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
-    used = files.agg(F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"))
+    """table_name, n of the catalog's tables and the parquet paths (with a slash) among names, in one plan; absent ones are skipped."""
+    known = {t.name for t in spark.catalog.listTables()}
+    context = spark.sparkContext
+
+    def there(path: str) -> bool:
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
+
+    found = {n: spark.read.parquet(n) if "/" in n else spark.table(n) for n in names if (there(n) if "/" in n else n in known or "." in n and spark.catalog.tableExists(n))}
+    counts = [df.agg(F.lit(name).alias("table_name"), F.count("*").alias("n")) for name, df in found.items()]
+    return reduce(DataFrame.unionByName, counts, spark.createDataFrame([], "table_name string, n long"))
+
+
+def footprint(files: DataFrame, allowance: Column, warn_below: float = 0.1) -> DataFrame:
+    """One row for listed files (path, size, as landing.manifest gives them): bytes, share of the allowance, and ok, warning or stop. No file is opened."""
+    used = files.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"))
     share = F.round(100.0 * F.col("bytes") / allowance, 2)
     left = 1 - F.col("bytes") / allowance
     return used.select("bytes", share.alias("used_pct"), F.when(left <= 0, "stop").when(left < warn_below, "warning").otherwise("ok").alias("verdict"))

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import columns as C
 from ..operators import audit, calendar, ingest, quality, universe, upsert
-from ..sources import files
+from ..operators.store import Table
+from ..sources import files, landing
 from ..streaming import feeds
 from .views import query, sql, view, views
 
@@ -647,19 +648,20 @@ def table_constraints(spark, sf_dir):
     return out
 
 
-@registered("SELECT 'daybook_nation' AS table_name, count(*) AS n FROM nation UNION ALL SELECT 'daybook_events', count(*) FROM events")
+@registered("SELECT 'daybook_nation' AS table_name, count(*) AS n FROM nation UNION ALL SELECT 'daybook_events', count(*) FROM events UNION ALL SELECT 'orders', count(*) FROM orders")
 def table_counts(spark, sf_dir):
-    """Rows of the tables that are there; one that is not is skipped."""
+    """Rows of the tables and paths that are there; those that are not are skipped."""
     for name in ("nation", "events"):
         query(spark, sf_dir, f"SELECT * FROM {{{name}}}").createOrReplaceTempView(f"daybook_{name}")
-    return audit.table_counts(spark, ["daybook_nation", "daybook_absent", "daybook_events"])
+    out = audit.table_counts(spark, ["daybook_nation", "daybook_absent", "daybook_events", f"{sf_dir}/orders.parquet", f"{sf_dir}/absent.parquet"])
+    return out.withColumn("table_name", F.regexp_replace("table_name", r".*/(\w+)\.parquet", "$1"))
 
 
 @registered()
 def footprint(spark, sf_dir):
-    """Bytes of the line items' files against an allowance of twice as many rows of 100 bytes."""
+    """Bytes of the line items' files, by their listing, against an allowance of twice as many rows of 100 bytes."""
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return audit.footprint(items, F.lit(200 * items.count()))
+    return audit.footprint(landing.manifest(spark, f"{sf_dir}/lineitem.parquet"), F.lit(200 * items.count()))
 
 
 @registered("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 4 <> 0)")
@@ -739,6 +741,137 @@ def clean_detail(spark, sf_dir):
     return e.select("event_id", C.plain_detail(dirty).alias("detail"), C.redacted(F.col("props"), "k").alias("hidden"), C.row_key(F.col("event_id"), F.col("event_type")).alias("row_text"))
 
 
+# --- landed files: one for each month of line items, in a folder; headers differ, and some files are broken
+
+_FILE_DAY = "CAST(date_trunc('month', ship_date) AS DATE)"
+_FAULT = "CASE month(ship_date) WHEN 5 THEN 'no column CLOSE_PRICE' WHEN 7 THEN 'open quote' WHEN 9 THEN 'no rows' END"
+_GOOD = "month(ship_date) NOT IN (5, 7, 9)"
+_BY_MONTH = (r"file=daily_(\d{8})/", "ddMMyyyy")
+
+
+def _landed_files(spark: SparkSession, sf_dir: str) -> str:
+    """The folder: every third file has its columns in another order, others pad their headers."""
+    names = ("SYMBOL", "SERIES", "DATE1", "OPEN_PRICE", "HIGH_PRICE", "LOW_PRICE", "CLOSE_PRICE", "TTL_TRD_QNTY", "DELIV_QTY", "DELIV_PER")
+    folder = f"{_folder(spark)}/landed"
+    d = query(spark, sf_dir, f"SELECT *, {_FILE_DAY} AS file_day, month(ship_date) AS m, year(ship_date) AS y FROM ({{dirty}}) d")
+    turned = (F.col("m") + F.col("y")) % 3 == 0
+    quoted = F.concat(F.lit('"'), "price_text", F.lit('"'))
+    day = F.when(F.col("m") % 6 == 2, F.lit("01-Jan-1990")).otherwise(F.date_format("file_day", "dd-MMM-yyyy"))
+    cells = {"SYMBOL": F.col("symbol_text"), "SERIES": F.col("series_text"), "DATE1": day, **dict.fromkeys(names[3:7], quoted), "TTL_TRD_QNTY": F.col("qty_text"), "DELIV_QTY": F.lit(" - "), "DELIV_PER": F.lit("40.5")}
+    line = F.when(turned, F.concat_ws(",", *(cells[n] for n in names[::-1]))).otherwise(F.concat_ws(",", *(cells[n] for n in names)))
+    line = F.when((F.col("m") == 7) & (F.col("l_linenumber") == 1), F.concat(line, F.lit(',"x'))).otherwise(line)
+    head = F.when(turned, F.lit(",".join(names[::-1]))).otherwise(F.lit(", ".join(names)))
+    head = F.when(F.col("m") == 5, F.replace(head, F.lit("CLOSE_PRICE"), F.lit("CLOSE"))).otherwise(head)
+    name = F.concat(F.lit("daily_"), F.date_format("file_day", "ddMMyyyy"))
+    heads = d.select(name.alias("file"), F.lit(0).alias("at"), head.alias("line")).distinct()
+    lines = heads.unionByName(d.filter("m <> 9").select(name.alias("file"), F.lit(1).alias("at"), line.alias("line")))
+    lines.repartition("file").sortWithinPartitions("file", "at").select("file", "line").write.partitionBy("file").text(folder)
+    return folder
+
+
+@registered(f"""
+    SELECT concat('SYM', CAST(l_partkey AS VARCHAR)) AS symbol, CASE l_returnflag WHEN 'A' THEN 'EQ' ELSE 'BE' END AS series, {_FILE_DAY} AS trade_date, whole_price + 0.5 AS close, CAST(l_quantity AS BIGINT) AS volume, 40.5 AS deliv_pct
+    FROM ({{dirty}}) d WHERE l_returnflag <> 'R' AND l_orderkey % 11 <> 0 AND l_orderkey % 13 <> 0 AND l_orderkey % 17 <> 0 AND {_GOOD}""")
+def mixed_files(spark, sf_dir):
+    """The bars of all files that can be read, whatever the order of their columns."""
+    read = landing.delivery_read(landing.landed(spark, _landed_files(spark, sf_dir)), _BY_MONTH)
+    return landing.taken(read).select("symbol", "series", "trade_date", "close", "volume", "deliv_pct")
+
+
+@registered(f"""
+    SELECT DISTINCT 'delivery' AS kind, {_FILE_DAY} AS trade_date, {_FAULT} AS error FROM ({{dirty}}) d WHERE {_FAULT} IS NOT NULL
+    UNION ALL SELECT DISTINCT 'archive', ship_date, CASE day(ship_date) WHEN 3 THEN 'unreadable: BadZipFile' ELSE 'no .csv entry' END FROM ({{dirty}}) d WHERE day(ship_date) IN (3, 4)""")
+def files_refused(spark, sf_dir):
+    """What is wrong with which file: delivery files of a folder, and archives of which some are cut short or empty."""
+    read = landing.delivery_read(landing.landed(spark, _landed_files(spark, sf_dir)), _BY_MONTH)
+    d = view(spark, sf_dir, "dirty").select(F.date_format("ship_date", "yyyyMMdd").alias("day"), F.col("symbol_text").alias("TckrSymb"), *(F.lit(c).alias(c) for c in landing.UDIFF_NEEDS if c != "TckrSymb"))
+    archives = d.groupBy("day").applyInPandas(_zipped, "path string, content binary")
+    cut = F.when(F.col("path").rlike(r"03_F\.zip"), F.substring("content", 1, 60)).when(F.col("path").rlike(r"04_F\.zip"), F.unhex(F.lit("504B0506" + "00" * 18))).otherwise(F.col("content"))
+    bad = landing.refused(landing.udiff_read(archives.withColumn("content", cut), (r"_(\d{8})_F", "yyyyMMdd")).select("path", "error"))
+    bad = bad.select(F.lit("archive").alias("kind"), landing.dated(F.col("path"), (r"_(\d{8})_F", "yyyyMMdd")).alias("trade_date"), "error")
+    return landing.refused(read).select(F.lit("delivery").alias("kind"), landing.dated(F.col("path"), _BY_MONTH).alias("trade_date"), "error").unionByName(bad)
+
+
+@registered(f"""
+    SELECT {_FILE_DAY} AS trade_date, CASE WHEN month(ship_date) = 9 THEN 0 ELSE count(*) END AS n_rows,
+           CASE WHEN month(ship_date) = 9 THEN 'no rows' WHEN month(ship_date) % 6 = 2 THEN 'wrong date' WHEN count(*) < 700 THEN 'too few rows' ELSE 'ready' END AS verdict
+    FROM ({{dirty}}) d GROUP BY {_FILE_DAY}, month(ship_date)""")
+def landed_completeness(spark, sf_dir):
+    """Is each landed file whole, as read from its lines?"""
+    out = landing.verdicts(landing.landed(spark, _landed_files(spark, sf_dir)), _BY_MONTH, 700)
+    return out.select(landing.dated(F.col("file"), _BY_MONTH).alias("trade_date"), "n_rows", "verdict")
+
+
+@registered(f"""
+    SELECT w.trade_date, l.status, CASE WHEN l.status IN ('loaded', 'partial', 'no_data') THEN 'ok' WHEN w.trade_date IN (SELECT {_FILE_DAY} FROM ({{dirty}}) d) THEN 'STALE' ELSE 'ok' END AS verdict
+    FROM (SELECT CAST(d AS DATE) AS trade_date FROM range(DATE '1997-01-01', DATE '1998-04-01', INTERVAL 1 DAY) r(d) WHERE isodow(CAST(d AS DATE)) < 6) w LEFT JOIN ({{log}}) l ON l.data_date = w.trade_date""")
+def landed_freshness(spark, sf_dir):
+    """Published is what the listing of the folder has; no file is opened."""
+    expected = calendar.candidate_dates(spark, date(1997, 1, 1), TODAY)
+    files_there = landing.manifest(spark, _landed_files(spark, sf_dir), _BY_MONTH)
+    return audit.assess(expected, view(spark, sf_dir, "log"), landing.published(expected, files_there), "daily")
+
+
+@registered(f"""
+    SELECT w.trade_date, CASE WHEN g.n IS NULL AND x.day IS NOT NULL THEN 'failed' WHEN g.n IS NULL AND date_diff('day', w.trade_date, DATE '1998-03-31') <= 3 THEN 'failed' WHEN g.n IS NULL THEN 'no_data' WHEN g.repeats THEN 'failed' ELSE 'loaded' END AS status
+    FROM (SELECT CAST(d AS DATE) AS trade_date FROM range(DATE '1995-01-01', DATE '1998-04-01', INTERVAL 1 DAY) r(d) WHERE isodow(CAST(d AS DATE)) < 6) w
+    LEFT JOIN (SELECT day, sum(k) AS n, max(k) > 1 OR month(day) % 6 = 2 AS repeats FROM (
+                   SELECT {_FILE_DAY} AS day, l_partkey, CASE l_returnflag WHEN 'A' THEN 'EQ' ELSE 'BE' END AS series, count(*) AS k
+                   FROM ({{dirty}}) d WHERE l_returnflag <> 'R' AND l_orderkey % 11 <> 0 AND l_orderkey % 13 <> 0 AND l_orderkey % 17 <> 0 AND {_GOOD} GROUP BY ALL) k GROUP BY day) g ON g.day = w.trade_date
+    LEFT JOIN (SELECT DISTINCT {_FILE_DAY} AS day FROM ({{dirty}}) d WHERE {_FAULT} IS NOT NULL) x ON x.day = w.trade_date""")
+def landed_status(spark, sf_dir):
+    """A refused file fails its date, at any age, and no other."""
+    read = landing.delivery_read(landing.landed(spark, _landed_files(spark, sf_dir)), _BY_MONTH)
+    bars = landing.taken(read).withColumn("symbol_id", F.regexp_extract("symbol", r"(\d+)", 1).cast("long"))
+    expected = calendar.candidate_dates(spark, date(1995, 1, 1), TODAY)
+    return ingest.load_status(expected, bars, F.lit(TODAY), landing.refused(read).select("trade_date")).select("trade_date", "status")
+
+
+# --- stored tables
+
+
+_BAR_TABLE = "symbol_id long, trade_date date, series string, close double, deliv_qty long"
+
+
+def _stored_bars(spark: SparkSession, sf_dir: str) -> tuple[Table, DataFrame]:
+    """Bars of a kept close as a stored table, appended year by year."""
+    bars = view(spark, sf_dir, "bars").select("symbol_id", "trade_date", "series", F.col("close").cast("double").alias("close"), "deliv_qty")
+    t = Table(spark, f"{_folder(spark)}/bars", _BAR_TABLE, "bars", "trade_date")
+    for year in range(1995, 2002):
+        t.append(bars.filter(F.year("trade_date") == year).repartitionByRange(4, "trade_date"), str(year))
+    return t, bars
+
+
+@registered("SELECT symbol_id, trade_date, series, CASE WHEN trade_date = DATE '1998-03-16' THEN close + 1 ELSE close END AS close, CASE WHEN trade_date = DATE '1998-03-16' THEN coalesce(deliv_qty, 5) ELSE deliv_qty END AS deliv_qty FROM ({bars}) b")
+def upsert_touched_files(spark, sf_dir):
+    """A day's late figures rewrite the files that hold its keys; a year that is appended again changes nothing."""
+    t, bars = _stored_bars(spark, sf_dir)
+    late = bars.filter(F.col("trade_date") == F.lit(date(1998, 3, 16))).select("symbol_id", "trade_date", "series", (F.col("close") + 1).alias("close"), F.coalesce("deliv_qty", F.lit(5)).alias("deliv_qty"))
+    keys, rules = upsert.RAW_BARS
+    t.upsert(late, keys, rules)
+    t.append(bars.filter("year(trade_date) = 1997"), "1997")
+    return t.read()
+
+
+@registered("""
+    SELECT strftime(trade_date, '%Y-%m') AS month, count(*) AS n, min(trade_date) AS lo, max(trade_date) AS hi, strftime(trade_date, '%Y-%m') = '1998-03' AS changed
+    FROM ({bars}) b GROUP BY ALL""")
+def kept_digests(spark, sf_dir):
+    """Counts and ends of each month, and whether an upsert has changed it, from what the versions keep: no row is read for it."""
+    t, bars = _stored_bars(spark, sf_dir)
+    before = t.version()
+    keys, rules = upsert.RAW_BARS
+    after = t.upsert(bars.filter("trade_date BETWEEN DATE '1998-03-10' AND DATE '1998-03-12'").withColumn("close", F.col("close") + 1), keys, rules)
+    changed = set(t.changed_months(before, after))
+    return spark.createDataFrame([(m, n, date.fromisoformat(lo), date.fromisoformat(hi), m in changed) for m, (n, lo, hi, _) in after.digests.items()], "month string, n long, lo date, hi date, changed boolean")
+
+
+@registered("SELECT symbol_id, trade_date, series, rule FROM ({bars}) b, LATERAL (SELECT 'ohlc' AS rule WHERE high < low OR high < open OR high < close OR low > open OR low > close UNION ALL SELECT 'positive' WHERE open <= 0 OR close <= 0 UNION ALL SELECT 'volume' WHERE volume < 0) r")
+def refused_rows(spark, sf_dir):
+    """The bars that the stored table would refuse, by rule."""
+    return quality.refused_rows(view(spark, sf_dir, "bars"), "bars").select("symbol_id", "trade_date", "series", "rule")
+
+
 # --- streams: each is run to its end, and its result read
 
 

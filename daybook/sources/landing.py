@@ -50,8 +50,8 @@ def published(expected: DataFrame, files: DataFrame) -> DataFrame:
     return expected.join(of, "trade_date", "left").select("trade_date", F.coalesce("_landed", F.lit(False)).alias("published"))
 
 
-def landed(spark: SparkSession, path: str, most_bytes: int = MOST_BYTES) -> DataFrame:
-    """path, content of every file below path; the content of files over most_bytes is null, and is not read."""
+def landed(spark: SparkSession, path: str | list[str], most_bytes: int = MOST_BYTES) -> DataFrame:
+    """path, content of every file below path (or paths); the content of files over most_bytes is null, and is not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     small = files.filter(F.col("length") <= most_bytes).select("path", "content")
     return small.unionByName(files.filter(F.col("length") > most_bytes).select("path", F.lit(None).cast("binary").alias("content")))
