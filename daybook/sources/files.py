@@ -9,7 +9,7 @@ from collections.abc import Iterator, Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.columns import SERIES, blank_to_null, by_header, candle_date, clean, dashed_date, field, first_filled, lakh_to_rupee, to_double
+from ..functions.columns import SERIES, blank_to_null, by_header, candle_date, clean, csv_cells, dashed_date, field, first_filled, lakh_to_rupee, to_double
 
 LISTING_HEADERS = ("SYMBOL", "NAME OF COMPANY", "SERIES", "DATE OF LISTING", "PAID UP VALUE", "MARKET LOT", "ISIN NUMBER", "FACE VALUE")
 DELIVERY_HEADERS = ("SYMBOL", "SERIES", "DATE1", "PREV_CLOSE", "OPEN_PRICE", "HIGH_PRICE", "LOW_PRICE", "LAST_PRICE", "CLOSE_PRICE", "AVG_PRICE", "TTL_TRD_QNTY", "TURNOVER_LACS", "NO_OF_TRADES", "DELIV_QTY", "DELIV_PER")
@@ -173,7 +173,7 @@ def file_verdict(lines: DataFrame, least_rows: int = 500) -> DataFrame:
     The reasons come in this order: a header that lacks DATE1 or DELIV_PER, no rows, a first row of
     another date, too few rows; else "ready".
     """
-    cells = F.transform(F.split("line", ","), lambda c: F.trim(c))
+    cells = F.transform(csv_cells(F.col("line")), lambda c: F.trim(c))
     header = lines.filter("line_no = 0").select("file", "expected", cells.alias("header"))
     header = header.select("file", "expected", F.array_position("header", "DATE1").alias("at"), (F.array_contains("header", "DATE1") & F.array_contains("header", "DELIV_PER")).alias("whole"))
     rows = lines.filter((F.col("line_no") > 0) & (F.trim("line") != "")).select("file", "line_no", cells.alias("cells"))

@@ -18,16 +18,16 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.columns import blank_to_null, clean, dashed_date, lakh_to_rupee, to_double
+from ..functions.columns import blank_to_null, clean, csv_cells, dashed_date, lakh_to_rupee, to_double
 from .files import DELIVERY_HEADERS, LISTING_HEADERS, UDIFF_HEADERS, candle_columns, file_verdict, whole_bars
 
 MOST_BYTES = 256 << 20
-#: A cell behind its comma, in quotes or not; what stands between its quotes.
-_CELL, _QUOTED = r',( *"(?:[^"]++|"")*+"[^,]*|[^,]*)', r'^ *"((?:[^"]++|"")*+)"'
 #: Where the names of daily files have their date, and how it is written there.
 DELIVERY_DATE, UDIFF_DATE = (r"(\d{8})\D*$", "ddMMyyyy"), (r"(\d{8})[^/]*$", "yyyyMMdd")
 ISIN_NAME = r"([A-Z]{2}[A-Z0-9]{9}\d)[^/]*$"
 
+UNDATED = "no date in its name"
+
 DELIVERY_NEEDS = ("SYMBOL", "SERIES", "OPEN_PRICE", "HIGH_PRICE", "LOW_PRICE", "CLOSE_PRICE", "TTL_TRD_QNTY")
 UDIFF_NEEDS = ("FinInstrmTp", "TckrSymb", "SctySrs", "OpnPric", "HghPric", "LwPric", "ClsPric", "TtlTradgVol")
 LISTING_NEEDS = ("SYMBOL", "ISIN NUMBER")
@@ -71,15 +71,8 @@ def text_of(content: Column) -> Column:
     return F.regexp_replace(F.make_valid_utf8(content.cast("string")), "^﻿", "")
 
 
-def cells_of(line: Column) -> Column:
-    """A CSV line as an array of texts. Only lines with quotes are matched cell by cell."""
-    found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), F.lit(1))
-    plain = lambda c: F.when(F.ltrim(c).startswith('"'), F.replace(F.regexp_extract(c, _QUOTED, 1), F.lit('""'), F.lit('"'))).otherwise(c)
-    return F.when(F.contains(line, F.lit('"')), F.transform(found, plain)).otherwise(F.split(line, ",", -1))
-
-
-def csv_rows(files: DataFrame, names: Sequence[str], needs: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """path, the columns `keep`, error and the text columns `names` of CSV files (path, content).
+def csv_rows(files: DataFrame, names: Sequence[str], needs: Sequence[str], keep: Sequence[str] = (), fault: Column | None = None) -> DataFrame:
+    """path, the columns `keep`, error and the text columns `names` of CSV files (path, content). fault: what else a file is refused for.
 
     A header names the cells, blanks around it not counting; a name with none is preferred to one with
     some. Files are refused that are too large, empty or no text, that lack a column of `needs`, that
@@ -87,7 +80,7 @@ def csv_rows(files: DataFrame, names: Sequence[str], needs: Sequence[str], keep:
     """
     lines = F.split(F.col("_text"), "\r?\n")
     out = files.select("path", *keep, text_of(F.col("content")).alias("_text")).withColumn("_lines", lines)
-    out = out.withColumn("_header", cells_of(F.get("_lines", F.lit(0)))).withColumn("_trimmed", F.transform("_header", lambda c: F.trim(c)))
+    out = out.withColumn("_header", csv_cells(F.get("_lines", F.lit(0)))).withColumn("_trimmed", F.transform("_header", lambda c: F.trim(c)))
     at = lambda name: F.coalesce(*(F.nullif(F.array_position(c, name), F.lit(0)) for c in ("_header", "_trimmed")))
     lacks = F.filter(F.array(*map(F.lit, needs)), lambda n: ~F.array_contains("_trimmed", n))
     body = F.filter(F.slice("_lines", 2, F.greatest(F.size("_lines"), F.lit(1))), lambda line: F.trim(line) != "")
@@ -100,9 +93,10 @@ def csv_rows(files: DataFrame, names: Sequence[str], needs: Sequence[str], keep:
         .when(F.size("_lacks") > 0, F.concat(F.lit("no column "), F.array_join("_lacks", ", ")))
         .when(F.contains("_text", F.lit('"')) & odd, "open quote")
         .when(F.size("_body") == 0, "no rows")
+        .otherwise(F.lit(None) if fault is None else fault)
     )
     # Cells are cut inside of the array that is exploded, so that a filter on them does not cut them again.
-    picked = lambda line: F.element_at(F.transform(F.array(cells_of(line)), lambda cells: F.transform("_at", lambda at: F.get(cells, (at - 1).cast("int")))), 1)
+    picked = lambda line: F.element_at(F.transform(F.array(csv_cells(line)), lambda cells: F.transform("_at", lambda at: F.get(cells, (at - 1).cast("int")))), 1)
     lines = F.when(F.col("error").isNull(), F.transform("_body", picked)).otherwise(F.array(F.lit(None).cast("array<string>")))
     rows = out.select("path", *keep, error.alias("error"), "_at", "_body").select("path", *keep, "error", F.explode(lines).alias("_cells"))
     return rows.select("path", *keep, "error", *(F.get("_cells", F.lit(k)).alias(n) for k, n in enumerate(names)))
@@ -110,31 +104,24 @@ def csv_rows(files: DataFrame, names: Sequence[str], needs: Sequence[str], keep:
 
 def delivery_read(files: DataFrame, where: tuple[str, str] = DELIVERY_DATE) -> DataFrame:
     """path, error and the bars of daily delivery files, whatever their headers' order; the trade date is the path's. Files without a date in their path are refused."""
-    raw = csv_rows(files.withColumn("_day", dated(F.col("path"), where)), DELIVERY_HEADERS, DELIVERY_NEEDS, ("_day",))
+    raw = csv_rows(files.withColumn("_day", dated(F.col("path"), where)), DELIVERY_HEADERS, DELIVERY_NEEDS, ("_day",), F.when(F.col("_day").isNull(), UNDATED))
     named = {"open": "OPEN_PRICE", "high": "HIGH_PRICE", "low": "LOW_PRICE", "close": "CLOSE_PRICE", "volume": "TTL_TRD_QNTY", "prev_close": "PREV_CLOSE", "last_price": "LAST_PRICE", "turnover": "TURNOVER_LACS", "trades": "NO_OF_TRADES", "deliv_qty": "DELIV_QTY", "deliv_pct": "DELIV_PER"}
     rows = raw.select(
-        "path", _or_undated(F.col("error"), F.col("_day")).alias("error"), clean(F.col("SYMBOL")).alias("symbol"), F.lit(None).cast("string").alias("isin"), clean(F.col("SERIES")).alias("series"),
+        "path", "error", clean(F.col("SYMBOL")).alias("symbol"), F.lit(None).cast("string").alias("isin"), clean(F.col("SERIES")).alias("series"),
         F.col("_day").alias("trade_date"), dashed_date(F.col("DATE1")).alias("file_date"), *(F.col(c).alias(n) for n, c in named.items()),
     )
-    return _one_row_a_refusal(whole_bars(rows, {n: F.col(n) for n in named}, ("path", "error")).withColumn("turnover", lakh_to_rupee(F.col("turnover"))))
-
-
-def _or_undated(error: Column, day: Column) -> Column:
-    return F.coalesce(error, F.when(day.isNull(), "no date in its name"))
-
-
-def _one_row_a_refusal(read: DataFrame) -> DataFrame:
-    """Refused files whose rows were parsed before the fault showed keep one row. Only refusals are exchanged."""
-    return read.filter("error IS NULL").unionByName(read.filter("error IS NOT NULL").dropDuplicates(["path"]))
+    return whole_bars(rows, {n: F.col(n) for n in named}, ("path", "error")).withColumn("turnover", lakh_to_rupee(F.col("turnover")))
 
 
 def _archived(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The rows of the first .csv entry of each archive, all of them or none: an archive that cannot be read to its end gives one row with its error."""
     columns = [*UDIFF_HEADERS, "path", "error"]
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
+        for path, content, fault in zip(batch["path"], batch["content"], batch["fault"]):
             parts: list[pd.DataFrame] = []
             try:
+                if fault is not None:
+                    raise ValueError(fault)
                 if content is None:
                     raise ValueError("too large")
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
@@ -150,23 +137,22 @@ def _archived(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             parts.append(part.reindex(columns=list(UDIFF_HEADERS)).assign(path=path, error=None))
                 if not sum(map(len, parts)):
                     raise ValueError("no rows")
-            except Exception as fault:  # whatever is wrong with an archive is that archive's
-                known = isinstance(fault, ValueError) and type(fault) is ValueError
-                parts = [pd.DataFrame([{"path": path, "error": str(fault) if known else f"unreadable: {type(fault).__name__}"}])]
+            except Exception as error:  # whatever is wrong with an archive is that archive's
+                parts = [pd.DataFrame([{"path": path, "error": str(error) if type(error) is ValueError else f"unreadable: {type(error).__name__}"}])]
             for part in parts:
                 yield part.reindex(columns=columns).astype(object).where(lambda x: x.notna(), None)
 
 
 def udiff_read(archives: DataFrame, where: tuple[str, str] = UDIFF_DATE) -> DataFrame:
     """path, error and the bars of zipped daily files (path, content): stocks only, with their ISIN."""
-    raw = archives.select("path", "content").mapInPandas(_archived, ", ".join(f"{c} string" for c in (*UDIFF_HEADERS, "path", "error")))
     day = dated(F.col("path"), where)
+    raw = archives.select("path", "content", F.when(day.isNull(), UNDATED).alias("fault")).mapInPandas(_archived, ", ".join(f"{c} string" for c in (*UDIFF_HEADERS, "path", "error")))
     named = {"open": "OpnPric", "high": "HghPric", "low": "LwPric", "close": "ClsPric", "volume": "TtlTradgVol", "prev_close": "PrvsClsgPric", "last_price": "LastPric", "turnover": "TtlTrfVal", "trades": "TtlNbOfTxsExctd"}
     rows = raw.filter("error IS NOT NULL OR trim(FinInstrmTp) = 'STK'").select(
-        "path", _or_undated(F.col("error"), day).alias("error"), clean(F.col("TckrSymb")).alias("symbol"), blank_to_null(F.col("ISIN")).alias("isin"), clean(F.col("SctySrs")).alias("series"),
+        "path", "error", clean(F.col("TckrSymb")).alias("symbol"), blank_to_null(F.col("ISIN")).alias("isin"), clean(F.col("SctySrs")).alias("series"),
         day.alias("trade_date"), F.try_to_date(clean(F.col("TradDt")), "yyyy-MM-dd").alias("file_date"), *(F.col(c).alias(n) for n, c in named.items()),
     )
-    return _one_row_a_refusal(whole_bars(rows, {n: F.col(n) for n in named}, ("path", "error")))
+    return whole_bars(rows, {n: F.col(n) for n in named}, ("path", "error"))
 
 
 def listing_read(files: DataFrame) -> DataFrame:
