@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -55,7 +56,13 @@ class Landed:
 
 
 def tables(spark: SparkSession, folder: str) -> dict[str, Table]:
-    return {name: Table(spark, f"{folder}/{name}", schema, rules, month) for name, (schema, rules, month) in STORED.items()}
+    """The store's tables. What names a symbol must name one that is stored, and the log and the findings a run."""
+    out: dict[str, Table] = {}
+    for name in ("symbols", "runs", *(n for n in STORED if n not in ("symbols", "runs"))):
+        schema, rules, month = STORED[name]
+        refers = {c: out[t] for c, t in (("symbol_id", "symbols"), ("run_id", "runs")) if t in out and c in schema and name not in (t, "runs")}
+        out[name] = Table(spark, f"{folder}/{name}", schema, rules, month, refers)
+    return out
 
 
 def _files(spark: SparkSession, path: str | None, where: tuple[str, str] | None = None, dates: list[date] | None = None) -> DataFrame:
@@ -177,13 +184,52 @@ class DailyRun:
         self.at["factors"].upsert(factors, *upsert.FACTORS)
         return quality.cross_findings(pairs)
 
-    def append_findings(self, found: DataFrame) -> None:
-        ingest.append_findings(found.select(*quality.FINDING), self.run_id, f"{self.folder}/findings")
+    def append_findings(self, found: DataFrame, batch: str = "") -> None:
+        rows = ingest.finding_rows(found.select(*quality.FINDING), F.lit(self.run_id).cast("long"))
+        self.at["findings"].append(rows, f"{self.run_id}/{batch}")
 
     def _log(self, rows: DataFrame) -> None:
         self.at["log"].upsert(rows.withColumn("run_id", F.lit(self.run_id).cast("long")), *upsert.LOG)
 
 
+class Backfill(DailyRun):
+    """Unsettled weekdays of a range, the newest first, in rounds of some dates: a run that stops goes on there the next time.
+
+    The universe is read only if no symbol is known yet. budget() says between rounds why to stop, or None.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, landed: Landed, today: date, run_id: int, start: date, end: date, limit: int = 0, dates_a_round: int = 60, source: str = DAILY):
+        super().__init__(spark, folder, landed, today, run_id, source=source)
+        self.start, self.end, self.limit, self.dates_a_round = start, end, limit, dates_a_round
+        self.todo: list[date] = []
+
+    def pending(self) -> list[date]:
+        """The dates of this round."""
+        return self.todo[: self.dates_a_round]
+
+    def fill(self, clock: Callable[[], datetime], budget: Callable[[], str | None] = lambda: None, commit: str | None = None) -> tuple[DataFrame, str | None]:
+        """(trade_date, status, rows_loaded, pending of the dates that were tried; why it stopped, or None)."""
+        worklist = calendar.backfill_worklist(self.spark, self.at["log"].read(), self.source, self.start, self.end, self.limit)
+        self.todo = [r["trade_date"] for r in worklist.collect()]  # the weekdays of a range
+        tried: list[DataFrame] = []
+        stopped: list[str | None] = [None]
+
+        def work() -> DataFrame:
+            if self.at["symbols"].version().number == 0:
+                self.update_universe()
+            said = None
+            while self.todo and not (said := budget()):
+                status, found = self.update_bars()
+                tried.append(status)
+                self.append_findings(found, str(self.todo[0]))
+                self.todo = self.todo[self.dates_a_round :]
+            stopped[0] = said
+            return self.at["findings"].read().filter(F.col("run_id") == self.run_id)
+
+        ingest.recorded_run(self.spark, f"{self.folder}/runs", self.run_id, work, clock, commit)
+        return reduce(DataFrame.unionByName, tried, self.spark.createDataFrame([], "trade_date date, status string, rows_loaded int, pending boolean")), stopped[0]
+
+
 def universe_at(spark: SparkSession, folder: str, day: Column) -> DataFrame:
     """symbol_id, symbol, series of the store's universe on a day."""
     at = tables(spark, folder)

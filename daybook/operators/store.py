@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from .quality import UNIQUE, guarded
+from .quality import UNIQUE, guarded, orphans
 from .upsert import applied_in_order, keyed_upsert
 
 #: Bytes under which a file counts as small, and what merged files should have.
@@ -44,10 +44,12 @@ class Version:
 class Table:
     """A table in a folder that all executors share.
 
-    name: the constraints it keeps (quality.CONSTRAINTS, UNIQUE); month_of: the date column whose months have digests.
+    name: the constraints it keeps (quality.CONSTRAINTS, UNIQUE); month_of: the date column whose months have
+    digests; refers: by column the table whose column of that name must have every value written here.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, schema: StructType | str, name: str | None = None, month_of: str | None = None):
+    def __init__(self, spark: SparkSession, folder: str, schema: StructType | str, name: str | None = None, month_of: str | None = None, refers: Mapping[str, Table] | None = None):
+        self.refers = dict(refers or {})
         self.spark, self.folder, self.name, self.month_of = spark, folder.rstrip("/"), name, month_of
         self.schema = spark.createDataFrame([], schema).schema
 
@@ -99,7 +101,16 @@ class Table:
         at = f"data/{uuid.uuid4().hex}"
         df = df.select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields))
         guarded(df, self.name).write.parquet(f"{self.folder}/{at}")
-        return [f"{at}/{s.getPath().getName()}" for s in self._listed(at) if s.getPath().getName().endswith(".parquet")]
+        files = [f"{at}/{s.getPath().getName()}" for s in self._listed(at) if s.getPath().getName().endswith(".parquet")]
+        for column, parent in self.refers.items():
+            lost = orphans(self._of(files).select(column).distinct(), parent.read(), column)
+            if files and not lost.isEmpty():
+                raise ValueError(f"constraints broken: {column} {lost.first()[0]} is not in {parent.folder}")
+        return files
+
+    def bytes(self) -> int:
+        """The size of the last version's files, by their listing."""
+        return sum(self._fs.getFileStatus(self._path(f)).getLen() for f in self.version().files)
 
     def _put(self, base: Version, files: Sequence[str], digests: Mapping[str, list], batches: Sequence[str]) -> Version:
         number = base.number + 1

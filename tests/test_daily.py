@@ -37,9 +37,12 @@ class World:
             z.writestr("d.csv", f"{UDIFF}\n2026-09-{day:02},STK,INE000AAA011,AAA,EQ,100,110,95,105,104,99,1000,100000,10\n")
         (self.path / "zip" / f"Bhav_202609{day:02}_F.zip").write_bytes(out.getvalue() if whole else out.getvalue()[:40])
 
+    def landed(self):
+        return daily.Landed(*(f"file://{self.path}/{n}" for n in ("list.csv", "daily", "zip", "actions", "candles")))
+
     def run(self, today, run_id, catchup=4):
         at = lambda n: f"file://{self.path}/{n}"
-        landed = daily.Landed(at("list.csv"), at("daily"), at("zip"), at("actions"), at("candles"))
+        landed = self.landed()
         return daily.DailyRun(self.spark, at("store"), landed, D(today), run_id, catchup).run(lambda: next(self.ticks)).first()
 
     def table(self, name):
@@ -124,3 +127,23 @@ def test_a_run_without_listing_fails_and_is_recorded(world):
     with pytest.raises(ValueError, match="listing"):
         world.run(21, 1)
     assert world.state() == {1: "failed"} and world.table("bars").count() == 0
+
+
+def test_backfill_goes_on_where_it_stopped(world):
+    for day in (14, 15, 16, 17):
+        world.bars(day)
+    world.bars(15, high=1)  # rejected
+    store = f"file://{world.path}/store"
+    fill = lambda run_id, said: daily.Backfill(world.spark, store, world.landed(), D(30), run_id, D(11), D(17), dates_a_round=2).fill(lambda: next(world.ticks), lambda: next(said))
+    tried, why = fill(1, iter([None, "time is up"]))
+    assert sorted(r["trade_date"].day for r in tried.collect()) == [16, 17] and why == "time is up" and world.log() == {17: ("loaded", 2), 16: ("loaded", 2)}
+    tried, why = fill(2, itertools.repeat(None))
+    assert {r["trade_date"].day: r["status"] for r in tried.collect()} == {15: "failed", 14: "loaded", 11: "no_data"} and why is None
+    assert world.state() == {1: "succeeded", 2: "halted"} and world.table("findings").filter("run_id = 2").count() > 0
+    tables = daily.tables(world.spark, store)
+    size = sum(f.stat().st_size for f in (world.path / "store" / "bars").rglob("*.parquet"))
+    assert 0 < tables["bars"].bytes() <= size
+    bar = tables["bars"].read().limit(1).withColumn("symbol_id", F.lit(77).cast("long"))
+    with pytest.raises(ValueError, match="symbol_id 77"):
+        tables["bars"].append(bar, "x")
+    assert tables["bars"].read().filter("symbol_id = 77").isEmpty()
