@@ -40,6 +40,10 @@ STORED = {
 }
 
 
+#: What the readers of daily files give, and from which of them it is.
+_READ = "path string, error string, symbol string, isin string, series string, trade_date date, file_date date, open double, high double, low double, close double, prev_close double, last_price double, volume long, turnover double, trades long, deliv_qty long, deliv_pct double, origin int"
+
+
 @dataclass(frozen=True)
 class Landed:
     """Where files land. A folder that is not there has no files; without the listing a run fails.
@@ -65,18 +69,20 @@ def tables(spark: SparkSession, folder: str) -> dict[str, Table]:
     return out
 
 
-def _files(spark: SparkSession, path: str | None, where: tuple[str, str] | None = None, dates: list[date] | None = None) -> DataFrame:
-    """path, content of the files below path; of those dates only, which are few."""
-    none = spark.createDataFrame([], "path string, content binary")
+def _files(spark: SparkSession, path: str | None, where: tuple[str, str] | None = None, dates: list[date] | None = None) -> DataFrame | None:
+    """path, content of the files below path, of those dates only, which are few; None if there are no files."""
     try:
-        if path is None or dates is None:
-            return none if path is None else landing.landed(spark, path)
+        if path is None:
+            return None
+        if dates is None:
+            found = landing.landed(spark, path)
+            return None if found.select("path").isEmpty() else found
         named = landing.manifest(spark, path, where).filter(F.col("trade_date").isin(dates)).select("path").collect()
-        return landing.landed(spark, [r["path"] for r in named]) if named else none
+        return landing.landed(spark, [r["path"] for r in named]) if named else None
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return none
+        return None
 
 
 class DailyRun:
@@ -109,7 +115,7 @@ class DailyRun:
 
     def update_universe(self) -> None:
         """Symbols, membership and observation of the day, from its listing."""
-        listed = landing.taken(landing.listing_read(landing.landed(self.spark, self.landed.listing))).drop("path")
+        listed = self._staged(landing.taken(landing.listing_read(landing.landed(self.spark, self.landed.listing))).drop("path"), "listing")
         if listed.isEmpty():
             raise ValueError("the listing has no rows")
         today = F.lit(self.today)
@@ -121,6 +127,12 @@ class DailyRun:
         self.counted["universe_symbols"] = n = rows.select("symbol_id", "series").distinct().count()
         self._log(self.spark.createDataFrame([(UNIVERSE, self.today, "loaded", n)], "source string, data_date date, status string, rows_loaded int"))
 
+    def _staged(self, df: DataFrame, name: str) -> DataFrame:
+        """df, written once: what was read is judged, counted and stored from there."""
+        path = f"{self.folder}/staged/{self.run_id}-{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def pending(self) -> list[date]:
         """The dates of the catch-up window that have not settled, some days."""
         return [r["trade_date"] for r in calendar.outstanding_dates(self.spark, self.at["log"].read(), self.source, self.today, self.catchup).collect()]
@@ -129,13 +141,12 @@ class DailyRun:
         """(status of each pending date, findings). Bars of dates without an error are stored, and the log says how it went."""
         pending = self.pending()
         expected = self.spark.createDataFrame([(d,) for d in pending], "trade_date date")
-        first = landing.delivery_read(_files(self.spark, self.landed.delivery, landing.DELIVERY_DATE, pending))
-        second = landing.udiff_read(_files(self.spark, self.landed.archives, landing.UDIFF_DATE, pending))
-        # What was read is written once: it is judged, counted and stored from there.
-        staged = f"{self.folder}/staged/{self.run_id}"
-        both = first.withColumns({"origin": F.lit(1), "_day": landing.dated(F.col("path"), landing.DELIVERY_DATE)}).unionByName(second.withColumns({"origin": F.lit(2), "_day": landing.dated(F.col("path"), landing.UDIFF_DATE)}))
-        both.withColumn("trade_date", F.coalesce("trade_date", "_day")).drop("_day").write.mode("overwrite").parquet(staged)
-        read = self.spark.read.parquet(staged)
+        parts = [self.spark.createDataFrame([], _READ)]
+        for origin, (path, where, reader) in enumerate(((self.landed.delivery, landing.DELIVERY_DATE, landing.delivery_read), (self.landed.archives, landing.UDIFF_DATE, landing.udiff_read)), 1):
+            found = _files(self.spark, path, where, pending)
+            if found is not None:
+                parts.append(reader(found).withColumns({"origin": F.lit(origin), "trade_date": F.coalesce("trade_date", landing.dated(F.col("path"), where))}))
+        read = self._staged(reduce(DataFrame.unionByName, parts), "bars")
         bars = files.first_source(landing.taken(read.filter("origin = 1")).drop("path"), landing.taken(read.filter("origin = 2")).drop("path"))
         known = upsert.ticker_ids(self.at["symbols"].read())
         # A ticker that nobody knows is judged like any other, by a number of its own, and is not stored.
@@ -159,7 +170,11 @@ class DailyRun:
         return kept, found
 
     def update_actions(self) -> None:
-        rows = _files(self.spark, self.landed.actions).select(landing.text_of(F.col("content")).alias("value"))
+        found = _files(self.spark, self.landed.actions)
+        self.counted["corporate_actions_written"] = 0
+        if found is None:
+            return
+        rows = found.select(landing.text_of(F.col("content")).alias("value"))
         known, _ = upsert.with_ids(files.action_columns(rows), upsert.ticker_ids(self.at["symbols"].read()), "symbol")
         rows = known.select("symbol_id", "ex_date", "purpose", "face_value", F.lit(self.source).alias("source"))
         keys, rules = upsert.ACTIONS
@@ -168,7 +183,11 @@ class DailyRun:
         self.at["actions"].upsert(new, keys, rules)
 
     def update_adjusted(self) -> None:
-        bars = landing.taken(landing.candle_read(_files(self.spark, self.landed.candles))).drop("path")
+        found = _files(self.spark, self.landed.candles)
+        self.counted["adjusted_bars_written"] = 0
+        if found is None:
+            return
+        bars = self._staged(landing.taken(landing.candle_read(found)).drop("path"), "adjusted")
         known, _ = upsert.with_ids(bars, self.at["symbols"].read().select("isin", "symbol_id"), "isin")
         keys, rules = upsert.ADJUSTED_BARS
         new = upsert.last_by_key(known.withColumn("source", F.lit(self.source)), keys, "close", "volume").select(*self.at["adjusted"].schema.names)
@@ -177,7 +196,10 @@ class DailyRun:
 
     def cross_check(self, loaded: list[date]) -> DataFrame:
         """Findings of the loaded dates' pairs of raw and adjusted closes; their factors are stored."""
-        of = F.col("trade_date").isin(loaded) if loaded else F.lit(False)
+        self.counted["factors_written"] = 0
+        if not loaded or self.at["adjusted"].version().number == 0:
+            return self.spark.createDataFrame([], ingest.FINDINGS).select(*quality.FINDING)
+        of = F.col("trade_date").isin(loaded)
         pairs = quality.paired_closes(self.at["bars"].read().filter(of), self.at["adjusted"].read().filter(of))
         factors = quality.adjustment_factors(pairs)
         self.counted["factors_written"] = factors.count()

@@ -100,7 +100,6 @@ def test_the_universe_comes_first_and_unknown_tickers_are_not_stored(world):
     assert (r["universe_symbols"], r["bars_written"], r["run_status"]) == (2, 1, "succeeded") and world.log() == {21: ("loaded", 1)}
     world.listing(["AAA", "ZZZ"])  # BBB goes, ZZZ comes
     world.run(22, 2, catchup=0)
-    world.run(22, 2, catchup=0)  # the same run again
     spans = {(x["symbol_id"], x["valid_from"].day, x["valid_to"].day) for x in world.table("membership").collect()}
     assert spans == {(1, 21, 22), (2, 21, 21), (3, 22, 22)}
     at = lambda d: sorted(x["symbol"] for x in daily.universe_at(world.spark, f"file://{world.path}/store", F.lit(D(d))).collect())
