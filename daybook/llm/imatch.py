@@ -14,6 +14,8 @@ Frequent terms number at most (terms of a document) / most_share on average, so
 counting and then left out by a literal. With least_docs of 1, the default, no term of a document is
 exchanged apart from counting; a higher one exchanges the terms of all documents to leave out rare ones.
 
+Terms in at most NEVER_FREQUENT texts are never frequent, so in tables of under 20 texts the band is wider.
+
 Null texts are empty texts. Rows that repeat an id stand on their own; equal ids are ordered by the hash
 of their text. Null ids come first. One document is its own next document. Empty tables give no rows.
 Very long texts are read whole. Columns other than key and text are not read. Everything here is
@@ -33,9 +35,11 @@ LEVELS = ((16, 16), (32, 256), (32, 4096))
 LEAST_DOCS, MOST_SHARE = 1, 0.1
 #: Terms in up to so many texts are never frequent.
 NEVER_FREQUENT = 2
-#: Bytes of text that a range of neighbouring documents takes.
-RANGE_BYTES = 16 << 20
-NO_TERMS = "-"
+#: Bytes of text that a range of neighbouring documents takes, and how many ranges there are at most: their
+#: begins go through the driver, a few numbers each. Beyond, ranges take more bytes and are sorted on disk.
+RANGE_BYTES, MOST_RANGES = 16 << 20, 1 << 15
+#: How a part without terms is printed, and its number.
+NO_TERMS, NO_PART = "-", -1
 
 
 def let(value: Column, body) -> Column:
@@ -97,7 +101,7 @@ def _range_begins(rows: DataFrame) -> list[tuple[int, int, int]]:
     size = rows.agg(F.count("*").alias("n"), F.count("doc_id").alias("named"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
     if not size["n"]:
         return []
-    parts = max(least, -(-size["bytes"] // RANGE_BYTES))
+    parts = max(least, min(MOST_RANGES, -(-size["bytes"] // RANGE_BYTES)))
     at = [k / parts for k in range(parts)]
     named = max(1, parts * size["named"] // size["n"])
     ids = rows.agg(F.percentile_approx("doc_id", [k / named for k in range(named)], max(10_000, 10 * named)).alias("q"), F.min("doc_id").alias("low")).first()
@@ -118,16 +122,16 @@ def _range_begins(rows: DataFrame) -> list[tuple[int, int, int]]:
     return sorted(begins)
 
 
-def with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """doc_id, text, next_text in ascending order of (id, text hash); the last row's next is the first.
+def with_next(docs: DataFrame, key: str, text: str, own: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text, next_text and the columns `own`, also as next_..., in ascending order of (id, text hash); the last row's next is the first.
 
     Ranges begin at rows that occur. Such rows also go to the range before, so one exchange of the texts
     brings every row together with its successor.
     """
-    rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("hash", place_hash(F.col("text")))
+    rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *own).withColumn("hash", place_hash(F.col("text")))
     begins = _range_begins(rows) or [(0, 0, 0)]
     kind = "struct<a:int,b:bigint,c:bigint>"
-    own = F.struct(F.col("doc_id").isNotNull().cast("int").alias("a"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("b"), F.col("hash").alias("c"))
+    at_row = F.struct(F.col("doc_id").isNotNull().cast("int").alias("a"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("b"), F.col("hash").alias("c"))
     # A range is found in two steps: a block of ranges, then the range in it.
     width = max(1, int(len(begins) ** 0.5))
     blocks = [begins[k : k + width] for k in range(0, len(begins), width)]
@@ -141,13 +145,13 @@ def with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
 
         return let(F.greatest(F.size(F.filter(firsts, lambda c: c <= k)) - 1, F.lit(0)), inside)
 
-    at = let(own, place)
+    at = let(at_row, place)
     # (range, lap): lap 1 stands for the way round from the last row to the first.
     lap = F.struct(F.when(F.col("at.b") > 0, F.col("at.b") - 1).otherwise(len(begins) - 1).alias("b"), F.when(F.col("at.b") > 0, 0).otherwise(1).alias("lap"), F.lit(False).alias("own"))
     places = F.array_compact(F.array(F.struct(F.col("at.b").alias("b"), F.lit(0).alias("lap"), F.lit(True).alias("own")), F.when(F.col("at.begins"), lap)))
-    dealt = rows.withColumn("at", at).select("doc_id", "text", "hash", F.explode(places).alias("p")).select("doc_id", "text", "hash", "p.*")
+    dealt = rows.withColumn("at", at).select("doc_id", "text", *own, "hash", F.explode(places).alias("p")).select("doc_id", "text", *own, "hash", "p.*")
     order = W.partitionBy("b").orderBy("lap", F.asc_nulls_first("doc_id"), "hash", F.xxhash64("text"))
-    return dealt.select("doc_id", "text", "own", F.lead("text").over(order).alias("next_text")).filter("own").drop("own")
+    return dealt.select("doc_id", "text", *own, "own", *(F.lead(c).over(order).alias(f"next_{c}") for c in ("text", *own))).filter("own").drop("own")
 
 
 def edited(text: Column, next_text: Column) -> Column:
@@ -158,23 +162,28 @@ def edited(text: Column, next_text: Column) -> Column:
 
 
 def parts_of(terms: Column, text: Column, levels: tuple[tuple[int, int], ...] = LEVELS) -> Column:
-    """The parts of the fingerprint as texts: for each sub-lexicon the hash of its sorted terms."""
-    short = lambda h: F.lower(F.lpad(F.hex(F.pmod(h, F.lit(1 << 32))), 8, "0"))
+    """The parts of the fingerprint as numbers below 2^32: for each sub-lexicon the hash of its sorted terms, or NO_PART."""
+    short = lambda h: F.pmod(h, F.lit(1 << 32))
 
     def level(sorted_terms: Column, k: int) -> Column:
         count, sparsity = levels[k]
         drawn = lambda t: F.shiftright(t, 16 * k).bitwiseAND(F.lit(sparsity - 1).cast("long"))  # noqa: E731  each level by bits of its own
         own = F.filter(sorted_terms, lambda t: drawn(t) < count) if count < sparsity else sorted_terms
-        part = lambda held, s: let(F.filter(held, lambda t: drawn(t) == s), lambda t: F.when(F.size(t) == 0, F.lit(NO_TERMS)).otherwise(short(F.xxhash64(t))))
+        part = lambda held, s: let(F.filter(held, lambda t: drawn(t) == s), lambda t: F.when(F.size(t) == 0, F.lit(NO_PART).cast("long")).otherwise(short(F.xxhash64(t))))
         return let(own, lambda held: F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda s: part(held, s)))
 
     found = let(F.sort_array(terms), lambda t: F.concat(*(level(t, k) for k in range(len(levels)))))
     return F.when(F.size(terms) == 0, F.array_repeat(short(F.xxhash64(text)), sum(count for count, _ in levels))).otherwise(found)
 
 
+def printed(parts: Column) -> Column:
+    """The parts as one text: eight digits each, NO_TERMS for a part without terms."""
+    return F.array_join(F.transform(parts, lambda p: F.when(p == NO_PART, NO_TERMS).otherwise(F.lower(F.lpad(F.hex(p), 8, "0")))), "")
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Share of agreeing parts among those that a or b has terms for."""
-    both = F.zip_with(a, b, lambda x, y: F.when((x == NO_TERMS) & (y == NO_TERMS), 0).when(x == y, 1).otherwise(2))
+    both = F.zip_with(a, b, lambda x, y: F.when((x == NO_PART) & (y == NO_PART), 0).when(x == y, 1).otherwise(2))
     return let(both, lambda kinds: F.when(F.exists(kinds, lambda k: k > 0), F.size(F.filter(kinds, lambda k: k == 1)) / F.size(F.filter(kinds, lambda k: k > 0))).otherwise(0.0))
 
 
@@ -182,17 +191,21 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """Fingerprints of each text, of its edited text, and their likeness to each other and to the next document's."""
     frequent, enough = term_counts(docs, text, most_share, least_docs)
     left_out = literal_array(frequent, "bigint")
-    pairs = with_next(docs, key, text).withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    kinds = {"own": "text", "other": "edited", "following": "next_text"}
-    rows = pairs.withColumns({n: F.array_except(terms_of(F.col(c)), left_out) for n, c in kinds.items()})
+    own = docs.select(key, F.coalesce(F.col(text), F.lit("")).alias(text))
+    own = own.withColumn("terms", F.array_except(terms_of(F.col(text)), left_out))
+    if enough is not None:
+        own = without_rare_terms(own, enough, "terms")
+    own = own.select(key, text, parts_of(F.col("terms"), F.col(text), levels).alias("parts"))
+    rows = with_next(own, key, text, ("parts",)).withColumn("edited", edited(F.col("text"), F.col("next_text")))
+    rows = rows.withColumn("terms", F.array_except(terms_of(F.col("edited")), left_out))
     if enough is not None:
-        rows = without_rare_terms(rows, enough, *kinds)
+        rows = without_rare_terms(rows, enough, "terms")
     rows = rows.select(
         F.col("doc_id").alias(key), F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        *(parts_of(F.col(n), F.col(c), levels).alias(n) for n, c in kinds.items()),
+        F.col("parts").alias("own"), parts_of(F.col("terms"), F.col("edited"), levels).alias("other"), F.col("next_parts").alias("following"),
     )
     return rows.select(
-        key, "n_chars", "edited_sha256", F.array_join("own", "").alias("fingerprint"), F.array_join("other", "").alias("edited_fingerprint"),
+        key, "n_chars", "edited_sha256", printed(F.col("own")).alias("fingerprint"), printed(F.col("other")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"),
     )
 

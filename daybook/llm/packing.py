@@ -52,6 +52,18 @@ def loaded_tokenizer(path: str):
     return tokenizer, ends
 
 
+@lru_cache(2)
+def splits_at_blanks(path: str) -> bool:
+    """Whether the file's tokenizer is of the kind whose texts can be cut at white space: small letters, blanks dropped, words found by a pattern."""
+    import json
+
+    with open(path, encoding="utf-8") as file:
+        form = json.load(file)
+    kinds = [n.get("type") for n in (form.get("normalizer") or {}).get("normalizers", ())]
+    cut = ((form.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    return kinds == ["NFC", "Replace", "Lowercase"] and (cut.get("type"), cut.get("behavior"), cut.get("invert")) == ("Split", "Removed", True)
+
+
 def _encoded(texts: list[str], path: str) -> list[np.ndarray]:
     tokenizer, _ = loaded_tokenizer(path)
     return [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -107,10 +119,14 @@ def encode_batch(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
 
     Runs between white space are told apart and numbered by Arrow, in lower case and without a comma or
     full stop at their end, so that the tokenizer sees each different stem of a batch once; ids are
-    gathered by number.
+    gathered by number. Tokenizers of another kind see whole texts.
     """
     import pyarrow.compute as pc
 
+    if not splits_at_blanks(path):
+        ids = _encoded(texts.to_pylist(), path)
+        return np.concatenate([np.zeros(0, np.uint32), *ids]), np.array([len(i) for i in ids], np.int64)
+
     runs = pc.utf8_split_whitespace(texts)
     odd = np.nonzero(pc.match_substring_regex(texts, _NO_SPACE).to_numpy(zero_copy_only=False))[0]
     if len(odd):
@@ -275,7 +291,9 @@ def pack(pieces: DataFrame, length: int = LENGTH, grain: int = GRAIN, order: tup
 
     earlier = W.partitionBy("_class").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select("_part", "_class", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    local = F.row_number().over(W.partitionBy("_part", "_class").orderBy(*order)) - 1
+    # Of items that agree in `order` the other columns decide, so that a task that is run again ranks them alike.
+    rest = [c for c, kind in pieces.dtypes if c not in order and not kind.startswith(("array", "map", "struct"))]
+    local = F.row_number().over(W.partitionBy("_part", "_class").orderBy(*order, *rest)) - 1
     items = ranked.withColumn("_row", local).join(starts, ["_part", "_class"]).withColumn("_rank", (F.col("_row") + F.col("_before")).cast("long")).drop("_row", "_before", "_part")
     at_class, at_rank = items.columns.index("_class"), items.columns.index("_rank")
 

@@ -107,7 +107,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K, shard_bytes: i
     shards = max(1, -(-size["n"] * 8 * max(1, size["dim"]) // shard_bytes), min(parts, size["n"] // least_rows))
     held = rows.select(F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"), "dim", F.lit(False).alias("asks"), "row", "id", "v")
     asked = rows.filter("asks").select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "dim", "asks", "row", "id", "v")
-    dealt = held.union(asked).repartition(max(parts, shards), "shard").sortWithinPartitions("shard", "dim", "asks", "id")
+    dealt = held.union(asked).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "dim", "asks", "id")  # a shard a task
     lists = dealt.mapInArrow(_searched(k), "row long, query_id long, vec_id long, score long, shard int")
     while True:
         shards = -(-shards // fan_in)
