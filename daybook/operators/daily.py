@@ -50,6 +50,7 @@ class Landed:
 
     listing: the day's listing. delivery, archives: daily files, named by their dates; the archives stand in for
     dates without a delivery file. actions: JSON arrays. candles: adjusted bars, named by their ISIN.
+    delivery_date, archive_date: where the daily files' paths have their date.
     """
 
     listing: str
@@ -57,6 +58,8 @@ class Landed:
     archives: str | None = None
     actions: str | None = None
     candles: str | None = None
+    delivery_date: tuple[str, str] = landing.DELIVERY_DATE
+    archive_date: tuple[str, str] = landing.UDIFF_DATE
 
 
 def tables(spark: SparkSession, folder: str) -> dict[str, Table]:
@@ -142,10 +145,10 @@ class DailyRun:
         pending = self.pending()
         expected = self.spark.createDataFrame([(d,) for d in pending], "trade_date date")
         parts = [self.spark.createDataFrame([], _READ)]
-        for origin, (path, where, reader) in enumerate(((self.landed.delivery, landing.DELIVERY_DATE, landing.delivery_read), (self.landed.archives, landing.UDIFF_DATE, landing.udiff_read)), 1):
+        for origin, (path, where, reader) in enumerate(((self.landed.delivery, self.landed.delivery_date, landing.delivery_read), (self.landed.archives, self.landed.archive_date, landing.udiff_read)), 1):
             found = _files(self.spark, path, where, pending)
             if found is not None:
-                parts.append(reader(found).withColumns({"origin": F.lit(origin), "trade_date": F.coalesce("trade_date", landing.dated(F.col("path"), where))}))
+                parts.append(reader(found, where).withColumns({"origin": F.lit(origin), "trade_date": F.coalesce("trade_date", landing.dated(F.col("path"), where))}))
         read = self._staged(reduce(DataFrame.unionByName, parts), "bars")
         bars = files.first_source(landing.taken(read.filter("origin = 1")).drop("path"), landing.taken(read.filter("origin = 2")).drop("path"))
         known = upsert.ticker_ids(self.at["symbols"].read())

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import columns as C
-from ..operators import audit, calendar, ingest, quality, universe, upsert
+from ..operators import audit, calendar, daily, ingest, quality, universe, upsert
 from ..operators.store import Table
 from ..sources import files, landing
 from ..streaming import feeds
@@ -749,11 +749,14 @@ _GOOD = "month(ship_date) NOT IN (5, 7, 9)"
 _BY_MONTH = (r"file=daily_(\d{8})/", "ddMMyyyy")
 
 
-def _landed_files(spark: SparkSession, sf_dir: str) -> str:
-    """The folder: every third file has its columns in another order, others pad their headers."""
+def _landed_files(spark: SparkSession, sf_dir: str, unique: bool = False) -> str:
+    """The folder: every third file has its columns in another order, others pad their headers. unique: a symbol and series once a file."""
     names = ("SYMBOL", "SERIES", "DATE1", "OPEN_PRICE", "HIGH_PRICE", "LOW_PRICE", "CLOSE_PRICE", "TTL_TRD_QNTY", "DELIV_QTY", "DELIV_PER")
     folder = f"{_folder(spark)}/landed"
     d = query(spark, sf_dir, f"SELECT *, {_FILE_DAY} AS file_day, month(ship_date) AS m, year(ship_date) AS y FROM ({{dirty}}) d")
+    if unique:
+        first = F.min_by(F.struct(*d.columns), F.struct("l_orderkey", "l_linenumber", "whole_price", "l_quantity", "ship_date"))
+        d = d.groupBy(F.col("file_day").alias("_day"), F.col("l_partkey").alias("_part"), F.col("l_returnflag").alias("_flag")).agg(first.alias("d")).select("d.*")
     turned = (F.col("m") + F.col("y")) % 3 == 0
     quoted = F.concat(F.lit('"'), "price_text", F.lit('"'))
     day = F.when(F.col("m") % 6 == 2, F.lit("01-Jan-1990")).otherwise(F.date_format("file_day", "dd-MMM-yyyy"))
@@ -827,6 +830,40 @@ def landed_status(spark, sf_dir):
     return ingest.load_status(expected, bars, F.lit(TODAY), landing.refused(read).select("trade_date")).select("trade_date", "status")
 
 
+@registered(f"""
+    SELECT {_FILE_DAY} AS trade_date, count(*) AS n FROM ({{dirty}}) d
+    WHERE l_returnflag <> 'R' AND l_orderkey % 11 <> 0 AND l_orderkey % 13 <> 0 AND l_orderkey % 17 <> 0 AND {_GOOD} GROUP BY 1""")
+def stream_landed_files(spark, sf_dir):
+    """The folder as a stream of files, parsed batch by batch; a second run finds nothing new."""
+    folder, out = _landed_files(spark, sf_dir), _folder(spark)
+    for _ in range(2):
+        read = landing.taken(landing.delivery_read(feeds.landed_files(spark, folder, 20), _BY_MONTH))
+        feeds.run_available(read, f"{out}/state", lambda rows, _: rows.groupBy("trade_date").agg(F.count("*").alias("n")).write.mode("append").parquet(f"{out}/counts")).awaitTermination()
+    return spark.read.parquet(f"{out}/counts")
+
+
+@registered(f"""
+    WITH first AS (SELECT *, {_FILE_DAY} AS day, CASE l_returnflag WHEN 'A' THEN 'EQ' ELSE 'BE' END AS kept FROM (
+                       SELECT *, row_number() OVER (PARTITION BY {_FILE_DAY}, l_partkey, l_returnflag ORDER BY l_orderkey, l_linenumber, whole_price, l_quantity, ship_date) AS n FROM ({{dirty}}) d) r WHERE n = 1),
+         good AS (SELECT day, count(*) FILTER (concat('SYM', CAST(l_partkey AS VARCHAR)) IN (SELECT symbol FROM ({{symbols}}) s)) AS n
+                  FROM first WHERE l_returnflag <> 'R' AND l_orderkey % 11 <> 0 AND l_orderkey % 13 <> 0 AND l_orderkey % 17 <> 0 AND month(day) NOT IN (5, 7, 9) GROUP BY day)
+    SELECT 'daily' AS source, w.trade_date AS data_date,
+           CASE WHEN month(f.day) IN (5, 7, 9) OR (g.day IS NOT NULL AND month(f.day) % 6 = 2) THEN 'failed' WHEN g.day IS NOT NULL THEN 'loaded' WHEN date_diff('day', w.trade_date, DATE '1998-03-31') <= 3 THEN 'failed' ELSE 'no_data' END AS status,
+           CAST(CASE WHEN g.day IS NOT NULL AND month(f.day) % 6 <> 2 THEN g.n ELSE 0 END AS INTEGER) AS rows_loaded
+    FROM ({_span('1995-01-01', '1998-03-31')}) w LEFT JOIN (SELECT DISTINCT day FROM first) f ON f.day = w.trade_date LEFT JOIN good g ON g.day = w.trade_date
+    UNION ALL SELECT 'universe', DATE '1998-03-31', 'loaded', CAST(count(*) AS INTEGER) FROM ({{symbols}}) s""")
+def daily_run(spark, sf_dir):
+    """A run over the folder: a listing, all weekdays of some years outstanding, refused and rejected files among theirs. What the log says then."""
+    symbols, folder = view(spark, sf_dir, "symbols"), _folder(spark)
+    rows = symbols.select((F.col("symbol_id") % 4).alias("file"), F.lit(1).alias("at"), F.concat_ws(",", "symbol", "isin", F.lit("EQ"), F.concat(F.lit('"'), "name", F.lit('"'))).alias("line"))
+    heads = rows.select("file", F.lit(0).alias("at"), F.lit("SYMBOL, ISIN NUMBER, SERIES, NAME OF COMPANY").alias("line")).distinct()
+    heads.unionByName(rows).repartition("file").sortWithinPartitions("file", "at").select("file", "line").write.partitionBy("file").text(f"{folder}/listing")
+    landed = daily.Landed(f"{folder}/listing", _landed_files(spark, sf_dir, True), delivery_date=_BY_MONTH)
+    ticks = iter(datetime(2020, 1, 1) + timedelta(seconds=k) for k in range(1000))
+    daily.DailyRun(spark, f"{folder}/store", landed, TODAY, 1, (TODAY - date(1995, 1, 1)).days).run(lambda: next(ticks))
+    return daily.tables(spark, f"{folder}/store")["log"].read().select("source", "data_date", "status", "rows_loaded")
+
+
 # --- stored tables
 
 

@@ -18,6 +18,12 @@ def landed(spark: SparkSession, path: str, schema: StructType, files_a_batch: in
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).parquet(path)
 
 
+def landed_files(spark: SparkSession, path: str, files_a_batch: int = 100) -> DataFrame:
+    """A stream of files of any kind as path and content, for the readers of sources.landing; each file is read once."""
+    kind = "path string, modificationTime timestamp, length long, content binary"
+    return spark.readStream.schema(kind).format("binaryFile").option("maxFilesPerTrigger", files_a_batch).option("recursiveFileLookup", "true").load(path).select("path", "content")
+
+
 def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> StreamingQuery:
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
