@@ -70,7 +70,10 @@ def table_counts(spark: SparkSession, names: list[str]) -> DataFrame:
 
 
 def footprint(files: DataFrame, allowance: Column, warn_below: float = 0.1) -> DataFrame:
-    """One row for listed files (path, size, as landing.manifest gives them): bytes, share of the allowance, and ok, warning or stop. No file is opened."""
+    """One row for listed files (path, size, as landing.manifest gives them), or for the files that a table scans: bytes, share of the allowance, and ok, warning or stop. No file is opened."""
+    if not {"path", "size"} <= set(files.columns):
+        names = files.inputFiles()
+        files = files.sparkSession.read.format("binaryFile").load(names).select("path", F.col("length").alias("size")) if names else files.sparkSession.createDataFrame([], "path string, size long")
     used = files.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"))
     share = F.round(100.0 * F.col("bytes") / allowance, 2)
     left = 1 - F.col("bytes") / allowance

@@ -783,13 +783,13 @@ def mixed_files(spark, sf_dir):
 
 @registered(f"""
     SELECT DISTINCT 'delivery' AS kind, {_FILE_DAY} AS trade_date, {_FAULT} AS error FROM ({{dirty}}) d WHERE {_FAULT} IS NOT NULL
-    UNION ALL SELECT DISTINCT 'archive', ship_date, CASE day(ship_date) WHEN 3 THEN 'unreadable: BadZipFile' ELSE 'no .csv entry' END FROM ({{dirty}}) d WHERE day(ship_date) IN (3, 4)""")
+    UNION ALL SELECT DISTINCT 'archive', {_FILE_DAY}, CASE month(ship_date) WHEN 3 THEN 'unreadable: BadZipFile' ELSE 'no .csv entry' END FROM ({{dirty}}) d WHERE month(ship_date) IN (3, 4)""")
 def files_refused(spark, sf_dir):
     """What is wrong with which file: delivery files of a folder, and archives of which some are cut short or empty."""
     read = landing.delivery_read(landing.landed(spark, _landed_files(spark, sf_dir)), _BY_MONTH)
-    d = view(spark, sf_dir, "dirty").select(F.date_format("ship_date", "yyyyMMdd").alias("day"), F.col("symbol_text").alias("TckrSymb"), *(F.lit(c).alias(c) for c in landing.UDIFF_NEEDS if c != "TckrSymb"))
+    d = query(spark, sf_dir, f"SELECT symbol_text, {_FILE_DAY} AS file_day FROM ({{dirty}}) d").select(F.date_format("file_day", "yyyyMMdd").alias("day"), F.col("symbol_text").alias("TckrSymb"), *(F.lit(c).alias(c) for c in landing.UDIFF_NEEDS if c != "TckrSymb"))
     archives = d.groupBy("day").applyInPandas(_zipped, "path string, content binary")
-    cut = F.when(F.col("path").rlike(r"03_F\.zip"), F.substring("content", 1, 60)).when(F.col("path").rlike(r"04_F\.zip"), F.unhex(F.lit("504B0506" + "00" * 18))).otherwise(F.col("content"))
+    cut = F.when(F.col("path").rlike(r"0301_F\.zip"), F.substring("content", 1, 60)).when(F.col("path").rlike(r"0401_F\.zip"), F.unhex(F.lit("504B0506" + "00" * 18))).otherwise(F.col("content"))
     bad = landing.refused(landing.udiff_read(archives.withColumn("content", cut), (r"_(\d{8})_F", "yyyyMMdd")).select("path", "error"))
     bad = bad.select(F.lit("archive").alias("kind"), landing.dated(F.col("path"), (r"_(\d{8})_F", "yyyyMMdd")).alias("trade_date"), "error")
     return landing.refused(read).select(F.lit("delivery").alias("kind"), landing.dated(F.col("path"), _BY_MONTH).alias("trade_date"), "error").unionByName(bad)
