@@ -12,14 +12,23 @@ from daybook.llm import common, language, packing, quality, simhash
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out documents whose language is not determined or whose text fits no language's limit."""
+    """Leaves out documents whose language is not determined or whose text fits no language's limit.
+
+    Null and empty texts and texts without a letter go. Long texts are read whole. Rows that repeat an id or a
+    text are judged each for itself, alike. Columns keep their names, whatever they are; no rows give no rows.
+    """
     model = language.fit(docs.filter(~common.held_out()))
     lang, score, accepted = common.free_names(docs, "_lang", "_score", "_accepted")
     return language.identify(docs, model, names=(lang, score, accepted)).filter(F.col(accepted)).select(*docs.columns)
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out documents that the quality model scores under its threshold."""
+    """Leaves out documents that the quality model scores under its threshold.
+
+    Null texts are scored as empty ones. Long texts are read whole. Rows that repeat an id or a text are scored each
+    for itself, alike. Without labels all score 0.5 and stay. Columns keep their names,
+    whatever they are; no rows give no rows.
+    """
     labels = common.table(spark, sf_dir, "labels").filter(~common.held_out())
     model = quality.learn(docs, labels)
     (score,) = common.free_names(docs, "_score")
@@ -40,7 +49,12 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
+    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece.
+
+    Null and empty texts are pieces of the one closing id. Long texts are cut into pieces. Repeated rows are packed as
+    often as they stand there; equal pieces are ranked alike by all their columns. Other columns are not read; no rows
+    give no pieces.
+    """
     pieces = packing.tokenised_pieces(docs)
     return packing.pack(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
 
