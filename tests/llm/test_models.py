@@ -236,3 +236,104 @@ def test_stages_on_odd_and_on_no_rows(spark):
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert pieces.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), SF).count() == 0
+
+
+def _plain_value(g, h):
+    return sum(g) / (sum(h) + 1.0)
+
+
+def _plain_gain(parts, whole):
+    one = lambda p: sum(g for g, _ in p) ** 2 / (sum(h for _, h in p) + 1.0)
+    return sum(map(one, parts)) - one(whole)
+
+
+def _plain_tree(bins, depth):
+    """Every cut tried, each with its own sums; bins: (gradient, curvature)."""
+    best, at = 1e-6, None
+    if depth:
+        for cut in range(1, len(bins)):
+            if min(sum(h for _, h in bins[:cut]), sum(h for _, h in bins[cut:])) >= 1:
+                gain = _plain_gain([bins[:cut], bins[cut:]], bins)
+                if gain > best + 1e-9:
+                    best, at = gain, cut
+    if at is None:
+        return [_plain_value(*zip(*bins))] * len(bins)
+    return _plain_tree(bins[:at], depth - 1) + _plain_tree(bins[at:], depth - 1)
+
+
+def _plain_cross(cells):
+    """Every pair of cuts tried; cells: rows of (gradient, curvature). Values and gain."""
+    flat = [c for row in cells for c in row]
+    best, found = None, None
+    for i in range(1, len(cells)):
+        for j in range(1, len(cells[0])):
+            quarters = [[c for row in rows for c in row[cols]] for rows in (cells[:i], cells[i:]) for cols in (slice(None, j), slice(j, None))]
+            gain = _plain_gain(quarters, flat)
+            if best is None or gain > best + 1e-9:
+                best, found = gain, (i, j, quarters)
+    if best is None:
+        return [[_plain_value(*zip(*flat))] * len(cells[0]) for _ in cells], 0.0
+    i, j, q = found
+    value = [_plain_value(*zip(*x)) for x in q]
+    return [[value[2 * (a >= i) + (b >= j)] for b in range(len(cells[0]))] for a in range(len(cells))], best
+
+
+def test_boosting_steps_are_the_plain_ones():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        n, m = rng.integers(1, 9, 2)
+        g, h = rng.normal(0, 3, n), rng.random(n) * 4
+        assert np.allclose(quality._tree(g, h, 2), _plain_tree(list(zip(g, h)), 2))
+        g, h = rng.normal(0, 3, (n, m)), rng.random((n, m)) * 4
+        values, gain = quality._cross(g, h)
+        want, best = _plain_cross([list(zip(a, b)) for a, b in zip(g, h)])
+        assert np.allclose(values, want) and abs(gain - best) < 1e-6
+
+
+def test_boosting_is_the_plain_one(monkeypatch):
+    """The whole fit by loops over rows: tables in turn, the strongest pairs, then their tables."""
+    for name, value in (("ROUNDS", 6), ("PAIR_ROUNDS", 4), ("PAIRS", 2), ("BINS", 6), ("PAIR_BINS", 3)):
+        monkeypatch.setattr(quality, name, value)
+    rng = np.random.default_rng(2)
+    x = rng.random((150, 3)).round(2)
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.4) ^ (rng.random(150) < 0.1)).astype(int)  # what only a pair can tell
+    model = quality.fit(x, y)
+    edges = [sorted(set(np.quantile(x[:, j], np.linspace(0, 1, 7)[1:-1]))) for j in range(3)]
+    b = [[sum(e <= v for e in edges[j]) for j, v in enumerate(row)] for row in x]
+    size = [len(e) + 1 for e in edges]
+    coarse = [[k * 3 // max(n, 3) for k in range(n)] for n in size]
+    z = [float(np.log(y.mean() / (1 - y.mean())))] * len(y)
+    tables = [[0.0] * n for n in size]
+
+    def slopes():
+        p = [1 / (1 + np.exp(-v)) for v in z]
+        return [(t - q, q * (1 - q)) for t, q in zip(y, p)]
+
+    def summed(at, n):
+        out = [(0.0, 0.0)] * n
+        for k, (g, h) in zip(at, slopes()):
+            out[k] = (out[k][0] + g, out[k][1] + h)
+        return out
+
+    for _ in range(6):
+        for j in range(3):
+            step = _plain_tree(summed([r[j] for r in b], size[j]), 2)
+            tables[j] = [t + 0.12 * s for t, s in zip(tables[j], step)]
+            z = [v + 0.12 * step[r[j]] for v, r in zip(z, b)]
+    c = [[coarse[j][r[j]] for j in range(3)] for r in b]
+    wide = [max(q) + 1 for q in coarse]
+
+    def cells(i, j):
+        flat = summed([r[i] * wide[j] + r[j] for r in c], wide[i] * wide[j])
+        return [flat[k * wide[j] : (k + 1) * wide[j]] for k in range(wide[i])]
+
+    gains = sorted(((_plain_cross(cells(i, j))[1], i, j) for i in range(3) for j in range(i)), reverse=True)[:2]
+    pairs = {(i, j): np.zeros((wide[i], wide[j])) for g, i, j in gains if g > 1}
+    assert list(model.pairs) == list(pairs) and (1, 0) in pairs
+    for _ in range(4):
+        for i, j in pairs:
+            step = 0.12 * np.array(_plain_cross(cells(i, j))[0])
+            pairs[i, j] += step
+            z = [v + step[r[i]][r[j]] for v, r in zip(z, c)]
+    assert all(np.allclose(a, t) for a, t in zip(model.tables, tables)) and all(np.allclose(model.pairs[k], t) for k, t in pairs.items())
+    assert np.allclose(model.scores(x), 1 / (1 + np.exp(-np.array(z))))
