@@ -9,10 +9,13 @@ lowest cross-entropy for a letter wins. A text is accepted if that cross-entropy
 that the language's own training texts show, is within the calibrated limit and the winner's posterior is
 at least one half.
 
-Models grow with the corpus, and nothing is cut off them. A group takes at most MODEL_BYTES, or is one
-language alone; one group at a time passes through the driver and is broadcast, and texts are read once
-for each group. So tasks hold one group, however many languages there are. A language needs some 24
-bytes for each of its different 4-grams.
+Models grow with the corpus, and nothing is cut off them. A group takes at most MODEL_BYTES. A larger language is cut into
+ranges of the two symbols in the middle of its 4-grams: what a 4-gram backs off to has them too, or only the second of
+them, so each range answers for its positions alone, given the continuation counts of its pairs and single symbols and the
+language's discounts, which the cluster counts over all ranges. One group or range at a time passes through the driver and is
+broadcast; texts are read once for each, and a text's sums add up over the ranges. So neither a task nor the driver
+holds more than one, however many languages there are and however large they are. A language needs some 24 bytes for each of its
+different 4-grams. What is not cut: the 4-grams around one pair of symbols, and LEAST_RANGE of them.
 
 Null texts and texts without a letter get `und`, score 0, and are not accepted. Languages whose texts
 have no letter are never predicted. Empty training tables give models of no language: all texts get `und`.
@@ -23,20 +26,22 @@ text and lang are not read; those of the appended names are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
-from .common import free_names, held_out, sliced, small_parts, table, written
+from .common import free_names, held_out, removed, sliced, small_parts, table, written
 
 ORDER = 4
 UNDETERMINED = "und"
-#: The most bytes that the models of one group of languages take together; a larger language is a group of its own.
+#: The most bytes that the models of one group of languages take together; a larger language is cut into ranges.
 MODEL_BYTES = 128 << 20
+#: Bytes that a 4-gram takes with what it backs off to, in a model of one language; 4-grams that are never cut.
+GRAM_BYTES, LEAST_RANGE = 24, 1 << 12
 #: Of n training texts of a language, medians and quantiles are off by n / ACCURACY ranks at most.
 ACCURACY = 10_000
 #: The least limit, in spreads, and the share of a language's own texts that lie within the limit.
@@ -132,14 +137,20 @@ class Level:
         return at, self.hashes[at] == hashes
 
 
+def middles(keys: np.ndarray) -> np.ndarray:
+    """The third symbol of 4-grams, then the second."""
+    return (keys & np.uint64(0xFFFF0000)) | ((keys >> np.uint64(32)) & np.uint64(0xFFFF))
+
+
 @dataclass
 class Model:
-    """The models of a group of languages."""
+    """The models of a group of languages, or a range of one language's: of the 4-grams whose middles are in span (low, high)."""
 
     langs: list[str]
     grams: list[Level]  # of orders ORDER..1
     weights: list[Level]  # of contexts of ORDER-1..1 symbols
     floor: np.ndarray
+    span: tuple[int, int] | None = None
 
     def log_probabilities(self, keys: np.ndarray, level: int = 0) -> np.ndarray:
         """One row for each key of order ORDER - level."""
@@ -158,8 +169,17 @@ class Model:
                 out[lost] = lower
         return out
 
+    def at_positions(self, keys: np.ndarray) -> np.ndarray:
+        """Log-probabilities; 0 for what is not in the range."""
+        if self.span is None:
+            return self.log_probabilities(keys)
+        out, middle = np.zeros((len(keys), len(self.langs)), np.float32), middles(keys)
+        own = np.nonzero((middle >= np.uint64(self.span[0])) & (middle < np.uint64(self.span[1])))[0]
+        out[own] = self.log_probabilities(keys[own])
+        return out
+
     def cross_entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Mean negative log-probability for each text and language, and the number of letters and gaps."""
+        """Mean negative log-probability for each text and language, and the number of letters and gaps. Those of ranges add up."""
         out, sizes = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), np.int64)
         for lo, hi in sliced(texts):
             letters, begins = symbols(texts[lo:hi])
@@ -169,7 +189,7 @@ class Model:
             sums = np.zeros((hi - lo, len(self.langs)))
             for a in range(0, len(letters) - ORDER + 1, 1 << 18):
                 b = min(a + (1 << 18), len(letters) - ORDER + 1)
-                logs = self.log_probabilities(grams(letters[a : b + ORDER - 1]))
+                logs = self.at_positions(grams(letters[a : b + ORDER - 1]))
                 # Positions a..b hold the symbols a+3..b+3; those between texts count for none.
                 first, last = np.clip(begins - (ORDER - 1), a, b) - a, np.clip(ends - (ORDER - 1), a, b) - a
                 total = np.cumsum(logs, axis=0, dtype=np.float64)
@@ -183,22 +203,14 @@ class Model:
 
 
 @dataclass
-class Models:
-    """All languages, in groups, and what tells a text of a language from others."""
+class Limits:
+    """What tells a text of a language from others."""
 
-    groups: list[Model]
+    langs: list[str]
     centre: np.ndarray
     spread: np.ndarray
     limit: np.ndarray
 
-    @property
-    def langs(self) -> list[str]:
-        return [name for group in self.groups for name in group.langs]
-
-    def cross_entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [group.cross_entropies(texts) for group in self.groups]
-        return np.concatenate([f[0] for f in found], 1), found[0][1]
-
     def verdicts(self, entropies: np.ndarray, sizes: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
         """The language, the winner's posterior and whether it is accepted, for each row of entropies."""
         langs = self.langs
@@ -213,13 +225,63 @@ class Models:
         return [langs[b] if s else UNDETERMINED for b, s in zip(best, some)], np.where(some, posterior, 0.0), accepted
 
 
-def _discount(n: np.ndarray) -> float:
-    n1, n2 = (n == 1).sum(), (n == 2).sum()
+@dataclass
+class Part:
+    """A group of languages or a range of one language, and how to get its model."""
+
+    langs: list[str]
+    build: Callable[[], Model]
+    first: bool = True  # of its language's ranges
+    last: bool = True
+
+
+def combined(earlier: np.ndarray, entropies: np.ndarray, part: Part) -> np.ndarray:
+    """Entropies of one more part: new languages stand beside the earlier ones, a further range is added to the last."""
+    if part.first:
+        return np.concatenate([earlier, entropies], 1)
+    n = earlier.shape[1] - entropies.shape[1]
+    return np.concatenate([earlier[:, :n], earlier[:, n:] + entropies], 1)
+
+
+@dataclass
+class Models(Limits):
+    """All languages, in groups and ranges. The driver holds the model of the part that was asked for last."""
+
+    groups: list[Part]
+    _held: list = field(default_factory=list)
+
+    def model(self, part: Part) -> Model:
+        if not self._held or self._held[0] is not part:
+            self._held.clear()
+            self._held += [part, part.build()]
+        return self._held[1]
+
+    def cross_entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        out, sizes = np.zeros((len(texts), 0)), np.zeros(len(texts), np.int64)
+        for part in self.groups:
+            entropies, sizes = self.model(part).cross_entropies(texts)
+            out = combined(out, entropies, part)
+        return out, sizes
+
+
+def _discount_of(n1: int, n2: int) -> float:
     return float(n1 / (n1 + 2 * n2)) if n1 and n2 else 0.5
 
 
-def kneser_ney(langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
-    """counts: for each language all its 4-grams, ascending, and their counts."""
+def _discount(n: np.ndarray) -> float:
+    return _discount_of((n == 1).sum(), (n == 2).sum())
+
+
+@dataclass
+class Whole:
+    """What a range of a language takes from the others: discounts of orders 1 to ORDER; symbols and pairs, ascending, with their continuation counts."""
+
+    discounts: dict[int, float]
+    counts: dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def kneser_ney(langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]], whole: Whole | None = None, span: tuple[int, int] | None = None) -> Model:
+    """counts: for each language all its 4-grams (or those of the range), ascending, and their counts."""
     most = 1 << 16
     parts = []  # for each language, the orders' (grams, probabilities) and contexts' (contexts, weights)
     for name in langs:
@@ -229,7 +291,9 @@ def kneser_ney(langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]
         for order in range(ORDER, 0, -1):
             if order < ORDER:  # continuation counts: how many symbols stand before
                 keys, n = np.unique(keys & np.uint64((1 << 16 * order) - 1), return_counts=True)
-            discount = _discount(n)
+            if whole and order in whole.counts:
+                keys, n = whole.counts[order]
+            discount = whole.discounts[order] if whole else _discount(n)
             context, at = np.unique(keys >> np.uint64(16), return_inverse=True)
             total = np.bincount(at, weights=n)
             kinds = np.bincount(at)
@@ -253,7 +317,7 @@ def kneser_ney(langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]
     levels, weights = [], []
     unseen = np.log([p[2] for p in parts]) if parts else np.zeros(0)
     # From the lowest order up: a gram that one language lacks gets that language's backed-off value.
-    model = Model(langs, [Level(np.zeros(0, np.uint64), np.zeros((0, len(langs)), np.float32))] * ORDER, [], unseen.astype(np.float32))
+    model = Model(langs, [Level(np.zeros(0, np.uint64), np.zeros((0, len(langs)), np.float32))] * ORDER, [], unseen.astype(np.float32), span)
     for i in range(ORDER - 1):
         keys = np.unique(np.concatenate([p[1][i][0] for p in parts])) if parts else np.zeros(0, np.uint64)
         values = np.zeros((len(keys), len(langs)))
@@ -284,40 +348,128 @@ def grouped(kinds: dict[str, int], most_bytes: int) -> list[list[str]]:
     return groups
 
 
+def _sorted(held) -> tuple[np.ndarray, np.ndarray]:
+    keys = held["gram"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], held["n"].to_numpy()[order]
+
+
+def _group(counted: DataFrame, names: list[str]) -> Model:
+    held = counted.filter(F.col("lang").isin(names)).toPandas()
+    return kneser_ney(names, {name: _sorted(own) for name, own in held.groupby("lang")})
+
+
+def cuts(own: DataFrame, room: int) -> list[int]:
+    """Where ranges of about `room` rows begin and end. own: middle. A row for each symbol (at most 65,536) goes to the driver, and for each symbol with too many rows one for each symbol before it."""
+    third = F.shiftright("middle", 16)
+    ends, held = [0], 0
+    for c, n in sorted(own.groupBy(third).count().collect()):
+        parts = [(c << 16, n)] if n <= room else sorted(own.filter(third == c).groupBy("middle").count().collect())
+        for middle, m in parts:
+            if held and held + m > room:
+                ends.append(middle)
+                held = 0
+            held += m
+    return [*ends, 1 << 32]
+
+
+def ranged(counted: DataFrame, names: list[str], room: int) -> dict[str, list[Part]]:
+    """Large languages in ranges. Their 4-grams are stored sorted by their middles, so a range is read without the others."""
+    orders = {ORDER: counted.filter(F.col("lang").isin(names))}
+    for order in range(ORDER - 1, 0, -1):  # continuation counts: how many symbols stand before
+        shorter = F.col("gram").bitwiseAND(F.lit((1 << 16 * order) - 1))
+        orders[order] = written(orders[order + 1].groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n")), "grams")
+    discounts: dict[str, dict[int, float]] = {name: {} for name in names}
+    for order, rows in orders.items():
+        for r in rows.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("one"), F.count_if(F.col("n") == 2).alias("two")).collect():  # a row a language
+            discounts[r["lang"]][order] = _discount_of(r["one"], r["two"])
+    middle = F.col("gram").bitwiseAND(F.lit(0xFFFF0000)).bitwiseOR(F.shiftright("gram", 32).bitwiseAND(F.lit(0xFFFF)))  # as middles()
+    stored = written(orders[ORDER].withColumn("middle", middle).repartitionByRange("lang", "middle").sortWithinPartitions("lang", "middle"), "grams")
+
+    def build(name: str, low: int, high: int) -> Model:
+        keys = stored.filter((F.col("lang") == name) & (F.col("middle") >= low) & (F.col("middle") < high)).select("gram", "n").toPandas()
+        first = F.shiftright("gram", 16)
+        pairs = orders[2].filter((F.col("lang") == name) & (first >= low >> 16) & (first <= high - 1 >> 16)).toPandas()
+        single = orders[1].filter(F.col("lang") == name).toPandas()  # at most 65,536
+        return kneser_ney([name], {name: _sorted(keys)}, Whole(discounts[name], {2: _sorted(pairs), 1: _sorted(single)}), (low, high))
+
+    out = {}
+    for name in names:
+        ends = cuts(stored.filter(F.col("lang") == name).select("middle"), room)
+        spans = list(zip(ends, ends[1:]))
+        out[name] = [Part([name], lambda name=name, span=span: build(name, *span), span is spans[0], span is spans[-1]) for span in spans]
+    removed(orders[3])
+    return out
+
+
 def fit(train: DataFrame, text: str = "text", lang: str = "lang", most_bytes: int = MODEL_BYTES) -> Models:
-    """Counts all rows of train; the driver holds the counts of one group of languages at a time."""
+    """Counts all rows of train; the driver holds the counts of one group of languages, or of a range of one, at a time."""
     counted = written(count_grams(train, text, lang), "grams")
     kinds = {r["lang"]: r["n"] for r in counted.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
-    groups = []
+    room = max(LEAST_RANGE, most_bytes // GRAM_BYTES)
+    large = [name for name in sorted(kinds) if kinds[name] > room]
+    ranges = ranged(counted, large, room) if large else {}
+    parts: list[Part] = []
     for names in grouped(kinds, most_bytes):
-        held = counted.filter(F.col("lang").isin(names)).toPandas()
-        counts = {}
-        for name, own in held.groupby("lang"):
-            keys = own["gram"].to_numpy().view(np.uint64)
-            order = np.argsort(keys)
-            counts[name] = (keys[order], own["n"].to_numpy()[order])
-        groups.append(kneser_ney(names, counts))
-    return calibrate(groups, train, text, lang)
+        parts += ranges[names[0]] if names[0] in ranges else [Part(names, lambda names=names: _group(counted, names))]
+    return calibrate(parts, train, text, lang)
 
 
-def calibrate(groups: list[Model], train: DataFrame, text: str, lang: str) -> Models:
+def _between(batch: pa.RecordBatch, entropies: np.ndarray, sizes: np.ndarray) -> list[pa.Array]:
+    return [pa.array(list(entropies), pa.list_(pa.float64())), pa.array(sizes)]
+
+
+def pass_over(rows: DataFrame, models: Models, part: Part | None, text: str, so_far: str, fields: list[StructField], added: list[StructField], finish=_between):
+    """The fields of rows and what finish(batch, entropies, sizes) makes of the entropies after one more part, with the part's broadcast."""
+    shared = rows.sparkSession.sparkContext.broadcast(part and models.model(part))  # of bounded size, see MODEL_BYTES
+    at, before = rows.columns.index(text), rows.columns.index(so_far) if so_far in rows.columns else None
+    keep = [rows.columns.index(f.name) for f in fields]
+    kind = part and Part(part.langs, None, part.first, part.last)
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_parts(batches):
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            entropies, sizes = np.zeros((len(texts), 0)), np.zeros(len(texts), np.int64)
+            if before is not None:
+                entropies = batch.column(before).flatten().to_numpy(zero_copy_only=False).reshape(len(texts), -1)
+            if kind and texts:
+                own, sizes = shared.value.cross_entropies(texts)
+                entropies = combined(entropies, own, kind)
+            out = finish(batch, entropies, sizes)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *out], names=[f.name for f in (*fields, *added)])
+
+    return rows.mapInArrow(per_batch, StructType([*fields, *added])), shared
+
+
+def _stored(rows: DataFrame, shared, earlier: DataFrame) -> DataFrame:
+    """Rows of a pass, written; what it needed goes."""
+    out = written(rows, "entropies")
+    shared.destroy()
+    removed(earlier)
+    return out
+
+
+def calibrate(parts: list[Part], train: DataFrame, text: str, lang: str) -> Models:
     """Sets each language's centre, spread and limit from all of its own training texts, equal ones once."""
-    shape = sum(len(group.langs) for group in groups)
-    models = Models(groups, np.zeros(shape), np.ones(shape), np.full(shape, LEAST_LIMIT))
+    langs = [name for part in parts if part.first for name in part.langs]
+    models = Models(langs, np.zeros(len(langs)), np.ones(len(langs)), np.full(len(langs), LEAST_LIMIT), parts)
     rows = train.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    place = {name: j for j, name in enumerate(models.langs)}
-    for group in groups:
-        shared = train.sparkSession.sparkContext.broadcast(group)  # of bounded size, see MODEL_BYTES
-
-        def per_batch(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own = {name: j for j, name in enumerate(shared.value.langs)}
-            for batch in small_parts(batches):
-                entropies, sizes = shared.value.cross_entropies(batch.column(1).to_pylist())
-                h = entropies[np.arange(len(sizes)), [own[name] for name in batch.column(0).to_pylist()]]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(h, pa.float64()), pa.array(sizes), pa.array(_slack(sizes), pa.float64())], names=["lang", "h", "n", "slack"])
-
-        mine = rows.filter(F.col("lang").isin(group.langs))
-        seen = written(mine.mapInArrow(per_batch, "lang string, h double, n long, slack double").filter("n > 0").distinct(), "entropies")
+    place = {name: j for j, name in enumerate(langs)}
+    added = [StructField("_entropies", ArrayType(DoubleType())), StructField("_length", LongType())]
+    seen_fields = [StructField("h", DoubleType()), StructField("n", LongType()), StructField("slack", DoubleType())]
+    for part in parts:
+        if part.first:
+            mine = rows.filter(F.col("lang").isin(part.langs))
+        if not part.last:
+            mine = _stored(*pass_over(mine, models, part, "text", "_entropies", rows.schema.fields, added), mine)
+            continue
+
+        def own_entropy(batch: pa.RecordBatch, entropies: np.ndarray, sizes: np.ndarray, own={name: j for j, name in enumerate(part.langs)}) -> list[pa.Array]:
+            h = entropies[np.arange(len(sizes)), [own[name] for name in batch.column(0).to_pylist()]]
+            return [pa.array(h, pa.float64()), pa.array(sizes), pa.array(_slack(sizes), pa.float64())]
+
+        last, shared = pass_over(mine, models, part, "text", "_entropies", rows.schema.fields[:1], seen_fields, own_entropy)
+        seen = _stored(last.filter("n > 0").distinct(), shared, mine)
         at = lambda value, share: F.percentile_approx(value, share, ACCURACY)
         centres = seen.groupBy("lang").agg(at("h", 0.5).alias("centre"))  # a row a language
         away = (F.col("h") - F.col("centre")) / F.col("slack")
@@ -327,6 +479,7 @@ def calibrate(groups: list[Model], train: DataFrame, text: str, lang: str) -> Mo
             models.centre[j] = r["centre"]
             models.spread[j] = max(1e-3, 1.4826 * r["mad"])
             models.limit[j] = max(LEAST_LIMIT, 1.5 * r["far"] / models.spread[j])
+        removed(seen)
     return models
 
 
@@ -341,39 +494,20 @@ def identify(docs: DataFrame, models: Models, text: str = "text", names: tuple[s
     Columns of these names are replaced. Without keep_text the texts do not come back.
     """
     docs = docs.drop(*names)
-    spark = docs.sparkSession
     so_far, length = free_names(docs, "_entropies", "_length")
     verdict = [StructField(n, t) for n, t in zip(names, (StringType(), DoubleType(), BooleanType()))]
-    limits = Models([Model(models.langs, [], [], np.zeros(0))], models.centre, models.spread, models.limit)
-
-    def pass_over(rows: DataFrame, group: Model | None, fields: list[StructField], last: bool) -> DataFrame:
-        """Appends the entropies of one more group, or in the last pass the verdict."""
-        shared = spark.sparkContext.broadcast(group)  # of bounded size, see MODEL_BYTES
-        at, before = rows.columns.index(text), rows.columns.index(so_far) if so_far in rows.columns else None
-        keep = [rows.columns.index(f.name) for f in fields]
-        added = verdict if last else [StructField(so_far, ArrayType(DoubleType())), StructField(length, LongType())]
-
-        def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in small_parts(batches):
-                texts = [t or "" for t in batch.column(at).to_pylist()]
-                entropies, sizes = shared.value.cross_entropies(texts) if shared.value and texts else (np.zeros((len(texts), 0)), np.zeros(len(texts), np.int64))
-                if before is not None:
-                    earlier = batch.column(before).flatten().to_numpy(zero_copy_only=False).reshape(len(texts), -1)
-                    entropies = np.concatenate([earlier, entropies], 1)
-                if last:
-                    langs, scores, accepted = limits.verdicts(entropies, sizes)
-                    out = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())]
-                else:
-                    out = [pa.array(list(entropies), pa.list_(pa.float64())), pa.array(sizes)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *out], names=[f.name for f in (*fields, *added)])
-
-        return rows.mapInArrow(per_batch, StructType([*fields, *added]))
+    between = [StructField(so_far, ArrayType(DoubleType())), StructField(length, LongType())]
+    limits = Limits(models.langs, models.centre, models.spread, models.limit)
+
+    def judge(batch: pa.RecordBatch, entropies: np.ndarray, sizes: np.ndarray) -> list[pa.Array]:
+        langs, scores, accepted = limits.verdicts(entropies, sizes)
+        return [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())]
 
     fields, rows = list(docs.schema.fields), docs
-    for group in models.groups[:-1]:
-        rows = written(pass_over(rows, group, fields, False), "entropies")
+    for part in models.groups[:-1]:
+        rows = _stored(*pass_over(rows, models, part, text, so_far, fields, between), rows)
     ends = [f for f in fields if keep_text or f.name != text]
-    return pass_over(rows, models.groups[-1] if models.groups else None, ends, True)
+    return pass_over(rows, models, models.groups[-1] if models.groups else None, text, so_far, ends, verdict, judge)[0]
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:

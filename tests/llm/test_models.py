@@ -73,6 +73,29 @@ def test_models_of_two_languages_are_the_plain_ones(spark):
     assert [(r[0], r[1], r[3]) for r in one] == [(r[0], r[1], r[3]) for r in two] and all(abs(a[2] - b[2]) < 1e-6 for a, b in zip(one, two))
 
 
+def test_ranges_of_a_large_language_are_the_whole_model(spark):
+    rng = random.Random(5)
+    draw = lambda letters, n: "".join(rng.choices(letters, [8] + [1] * (len(letters) - 1), k=n))
+    train = [(draw("eabcdfghijklmnopqrs ", 40), "x") for _ in range(6000)] + [(draw("èabc ", 30), "y") for _ in range(40)] + [("12", "z")]
+    rows = spark.createDataFrame(train, "text string, lang string")
+    whole, cut = language.fit(rows), language.fit(rows, most_bytes=1)
+    assert whole.langs == cut.langs == ["x", "y"] and len(whole.groups) == 1
+    ranges = [cut.model(part) for part in cut.groups if part.langs == ["x"]]
+    spans = [model.span for model in ranges]
+    assert len(spans) > 5 and spans[0][0] == 0 and spans[-1][1] == 1 << 32 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+    assert any(low & 0xFFFF for low, _ in spans)  # a symbol with too many is cut by the one before it
+    assert max(len(model.grams[0].hashes) for model in ranges) <= language.LEAST_RANGE
+    assert sum(len(model.grams[0].hashes) for model in ranges) == len(language.count_grams(rows.filter("lang = 'x'")).collect())
+    new = [draw("eabcdfghzé ", 50) for _ in range(30)] + ["", "12", "eee", "èabc " * 400, "\U00020000 ab"]
+    a, b = whole.cross_entropies(new), cut.cross_entropies(new)
+    assert np.allclose(a[0], b[0], atol=1e-6) and (a[1] == b[1]).all()
+    for kept in ("centre", "spread", "limit"):
+        assert np.allclose(getattr(whole, kept), getattr(cut, kept), atol=1e-6)
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*new, None])], "doc_id long, text string")
+    one, two = (sorted(map(tuple, language.identify(docs, m, keep_text=False).collect())) for m in (whole, cut))
+    assert [(r[0], r[1], r[3]) for r in one] == [(r[0], r[1], r[3]) for r in two] and all(abs(p[2] - q[2]) < 1e-6 for p, q in zip(one, two))
+
+
 def test_letters_beyond_the_basic_plane():
     letters, begins = language.symbols(["\U00020000", "a\U00010400 \ud400", "\U0001f600", ""])
     assert letters.tolist() == [0, 0, 0, 0xD840, 0xDC00, 0, 0, 0, ord("a"), 0xD801, 0xDC28, 0, 0xD400, 0, 0, 0, 0, 0, 0, 0, 0, 0] and begins.tolist() == [3, 8, 16, 19]
