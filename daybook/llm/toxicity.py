@@ -6,15 +6,17 @@ whatever their endings); besides terms it sees the probabilities of the categori
 these are out-of-fold predictions, so that a later model never learns from a probability that an earlier
 one fitted to the same row.
 
-The tables label one category, `toxic`. Two weak ones come before it in the chain: the terms that tell
-toxic texts best are dealt into two kinds, and a text is of a kind if it holds such a term. A kind's
-model never sees the terms of its own kind, so it learns which texts are like those that hold them from
-everything else. A text is marked toxic if the last probability reaches the threshold, which is the one
-that does best (by F1) on out-of-fold predictions of the training rows.
+The tables label one category, `toxic`. The two before it in the chain are kinds of toxic texts: the toxic texts of the fit
+fall into two clusters (spherical k-means over their terms, the larger one first), and a text is of a kind if it is in that cluster; texts that are not
+toxic are of no kind. A text is marked toxic if the last probability reaches the threshold.
 
 Vocabulary: the terms whose presence differs most between the labels, by chi-square over the labelled
 texts of the fit, among those in LEAST_TEXTS texts or more; the fit takes about MOST_LABELLED rows (all,
-if fewer). Null texts are empty texts. Very long texts are read whole. Ids labelled more than once count
+if fewer). A fold is a share of the texts by their hash, so that copies are in one. Every fold has a vocabulary of its own, of the
+other folds' texts: models that predict a fold see only that one's terms. The threshold is the one that does best (by F1)
+on texts of which nothing was known: for each fold, vocabulary, clusters and a whole chain are learned from the others.
+
+Null texts are empty texts. Very long texts are read whole. Ids labelled more than once count
 with their largest label; rows that repeat an id are learned from as often as they stand there and are all
 rated; null labels and ids are not learned from. A probability equal to the threshold is toxic; of
 equally good thresholds the lowest counts, of equally telling terms the first in the order of bytes.
@@ -32,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import hash_share, held_out, small_parts, table
+from .common import hash_share, held_out, removed, small_parts, table, written
 
 MOST_LABELLED, VOCABULARY, FOLDS = 20_000, 500, 5
-#: Terms in fewer texts of the fit are not in the vocabulary; terms that make the weak categories.
-LEAST_TEXTS, KIND_TERMS = 3, 60
+#: Terms in fewer texts of the fit are not in the vocabulary; steps of the clustering.
+LEAST_TEXTS, CLUSTER_STEPS = 3, 20
 #: Bytes of the beginnings of words that are terms beside the words.
 BEGINNINGS = (5, 7)
 TARGET = "toxic"
@@ -100,6 +102,8 @@ def fit_linear(at, values, rows, more: np.ndarray, y: np.ndarray, size: int, pen
     """Logistic regression with a square penalty; steps have a scale for each weight, as rows differ much in length."""
     n, k = len(y), more.shape[1]
     w = np.zeros(size + k + 1)
+    if not n:
+        return w
     p = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     w[-1] = np.log(p / (1 - p))
     mean, square = np.zeros_like(w), np.zeros_like(w)
@@ -121,69 +125,140 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float(steps[np.argmax(hits / np.maximum(marked + (y > 0).sum(), 1))])
 
 
-def fit_chain(vocabulary: dict[bytes, int], at, values, rows, labels: np.ndarray, folds: np.ndarray, names: tuple[str, ...] = CHAIN, hidden: tuple[np.ndarray, ...] = ()) -> Chain:
-    """labels: one column for each category, in the chain's order; folds: the fold of each row; hidden: terms that the k-th model does not see."""
+def clusters(x: np.ndarray, k: int) -> np.ndarray:
+    """The cluster of each row of x by its direction, 0 for the largest. The first centres are rows far from the mean and from each other."""
+    x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    if not len(x):
+        return np.zeros(0, np.int64)
+    near = x @ x.mean(0)
+    centres = np.zeros((k, x.shape[1]))
+    for j in range(k):
+        centres[j] = x[np.argmin(near)]
+        near = np.maximum(near, x @ centres[j]) if j else x @ centres[j]
+    for _ in range(CLUSTER_STEPS):
+        own = (x @ centres.T).argmax(1)
+        centres = np.stack([x[own == j].sum(0) if (own == j).any() else centres[j] for j in range(k)])
+        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
+    own = (x @ centres.T).argmax(1)
+    return np.argsort(np.argsort(-np.bincount(own, minlength=k), kind="stable"))[own]
+
+
+def categories(at, values, rows, y: np.ndarray, size: int, kinds: int) -> np.ndarray:
+    """One column for each kind of toxic rows, then y. Terms from `size` on do not count."""
+    toxic = np.nonzero(y > 0)[0]
+    place = np.full(len(y), -1)
+    place[toxic] = np.arange(len(toxic))
+    mine = (place[rows] >= 0) & (at < size)
+    x = np.zeros((len(toxic), size))
+    x[place[rows[mine]], at[mine]] = values[mine]
+    own = np.full(len(y), -1)
+    own[toxic] = clusters(x, kinds)
+    return np.column_stack([*(own == k for k in range(kinds)), y > 0]).astype(float)
+
+
+def fit_chain(vocabulary: dict[bytes, int], at, values, rows, labels: np.ndarray, folds: np.ndarray, names: tuple[str, ...] = CHAIN, terms: dict[int | None, np.ndarray] | None = None) -> Chain:
+    """labels: one column for each category, in the chain's order; folds: the fold of each row; terms: which ones the models that predict a fold see, and under None those of the chain itself (all, if not given)."""
     chain = Chain(vocabulary, names)
     n, size = len(labels), len(vocabulary)
     before = np.zeros((n, 0))
     for k in range(labels.shape[1]):
-        seen = ~np.isin(at, hidden[k]) if k < len(hidden) else np.ones(len(at), bool)
-        a, v, r = at[seen], values[seen], rows[seen]
-        chain.weights.append(fit_linear(a, v, r, before, labels[:, k], size))
-        apart = np.zeros(n)  # what the next models see of this one
+        seen = terms[None][at] if terms else np.ones(len(at), bool)
+        chain.weights.append(fit_linear(at[seen], values[seen], rows[seen], before, labels[:, k], size))
+        found = np.zeros(n)  # what the next models see of this one
         for f in np.unique(folds):
             own, out = np.nonzero(folds != f)[0], np.nonzero(folds == f)[0]
             place = np.full(n, -1)
             place[own] = np.arange(len(own))
-            mine = place[r] >= 0
-            w = fit_linear(a[mine], v[mine], place[r[mine]], before[own], labels[own, k], size)
-            z = np.bincount(r, w[a] * v, n) + before @ w[size : size + k] + w[-1]
-            apart[out] = _logistic(z[out])
-        before = np.column_stack([before, apart])
+            seen = terms[f][at] if terms else np.ones(len(at), bool)
+            mine = seen & (place[rows] >= 0)
+            w = fit_linear(at[mine], values[mine], place[rows[mine]], before[own], labels[own, k], size)
+            z = np.bincount(rows[seen], w[at[seen]] * values[seen], n) + before @ w[size : size + k] + w[-1]
+            found[out] = _logistic(z[out])
+        before = np.column_stack([before, found])
     chain.threshold = best_threshold(before[:, -1], labels[:, -1])
     return chain
 
 
-def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", most: int = MOST_LABELLED, vocabulary: int = VOCABULARY, kind_terms: int = KIND_TERMS) -> Chain:
+def part_of(at, values, rows, chosen: np.ndarray, terms: np.ndarray):
+    """Positions (among the terms), values and row numbers (among the chosen) of what is in both."""
+    row, term = np.full(len(chosen), -1), np.full(len(terms), -1)
+    row[chosen], term[terms] = np.arange(chosen.sum()), np.arange(terms.sum())
+    both = chosen[rows] & terms[at]
+    return term[at[both]], values[both], row[rows[both]]
+
+
+def fit_apart(listed: list[bytes], terms: dict[int | None, np.ndarray], at, values, rows, y: np.ndarray, folds: np.ndarray, names: tuple[str, ...] = CHAIN) -> Chain:
+    """The chain over the terms under None, which are listed first. Its threshold comes from chains that were learned without the fold that they predict, over that fold's terms."""
+    kinds, unseen = len(names) - 1, np.zeros(len(y))
+    for f in np.unique(folds):
+        chosen, size = folds != f, int(terms[f].sum())
+        own = part_of(at, values, rows, chosen, terms[f])
+        vocabulary = {listed[t]: k for k, t in enumerate(np.nonzero(terms[f])[0])}
+        chain = fit_chain(vocabulary, *own, categories(*own, y[chosen], size, kinds), folds[chosen], names)
+        unseen[~chosen] = chain.predict(*part_of(at, values, rows, ~chosen, terms[f]), int((~chosen).sum()))[:, -1]
+    size = int(terms[None].sum())
+    chain = fit_chain({t: k for k, t in enumerate(listed)}, at, values, rows, categories(at, values, rows, y, size, kinds), folds, names, terms)
+    weights = [np.r_[w[:size], w[len(listed) :]] for w in chain.weights]
+    return Chain({t: k for k, t in enumerate(listed[:size])}, names, weights, best_threshold(unseen, y))
+
+
+def telling(counts: DataFrame, sizes: list, most: int) -> DataFrame:
+    """fold, word, gain: the `most` terms that tell the labels best, of all folds (fold null) and without each. counts: word, n and p by fold."""
+    out = None
+    for f in (None, *range(FOLDS)):
+        left = [k for k in range(FOLDS) if k != f]
+        n, p = (sum((F.col(c)[k] for k in left), F.lit(0)) for c in ("n", "p"))
+        share = sum(sizes[k][1] for k in left) / max(1, sum(sizes[k][0] for k in left))
+        best = counts.select(F.lit(f).cast("int").alias("fold"), "word", n.alias("n"), ((p - n * share) ** 2 / (n * share + 1)).alias("gain"))
+        best = best.filter(F.col("n") >= LEAST_TEXTS).orderBy(F.desc("gain"), "word").limit(most).select("fold", "word", "gain")
+        out = best if out is None else out.union(best)
+    return out
+
+
+def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", most: int = MOST_LABELLED, vocabulary: int = VOCABULARY) -> Chain:
     known = labels.filter(F.col(key).isNotNull() & F.col(TARGET).isNotNull()).groupBy(F.col(key).alias("doc_id")).agg(F.max(TARGET).cast("int").alias("y"))
     chosen = known.filter(hash_share("doc_id", known.count(), most))
+    fold = F.pmod(F.xxhash64(F.lit("fold"), F.col("text")), F.lit(FOLDS)).cast("int")
     # About `most` rows of two numbers: small, whatever the size of docs.
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
     rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+    rows = written(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y", fold.alias("fold")), "labelled")  # read twice
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_parts(batches):
-            found = [sorted({t for w in set(words(text)) for t in (w, *beginnings(w))}) for text in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(2), pa.array(found, pa.list_(pa.binary()))], names=["y", "words"])
-
-    seen = rows.select("doc_id", "text", "y").mapInArrow(split, "y int, words array<binary>")
-    size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("p")).first()
-    counts = seen.select("y", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.sum("y").alias("p"))
-    expected = F.col("n") * (size["p"] / max(1, size["n"]))
-    gain = (F.col("p") - expected) ** 2 / (expected + 1)
-    kept = counts.filter(F.col("n") >= LEAST_TEXTS).select("word", gain.alias("gain"), (F.col("p") > expected).alias("more")).orderBy(F.desc("gain"), "word").limit(vocabulary).collect()
-    chain = Chain({bytes(r["word"]): k for k, r in enumerate(kept)})
-    telling = [k for k, r in enumerate(kept) if r["more"]][:kind_terms]
-    kinds = [np.array(telling[j :: len(CHAIN) - 1], np.int64) for j in range(len(CHAIN) - 1)]
+            found = [sorted({t for w in set(words(text)) for t in (w, *beginnings(w))}) for text in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(found, pa.list_(pa.binary()))], names=["y", "fold", "words"])
+
+    seen = rows.select("text", "y", "fold").mapInArrow(split, "y int, fold int, words array<binary>")
+    held = {r["fold"]: (r["n"], r["p"]) for r in rows.groupBy("fold").agg(F.count("*").alias("n"), F.sum("y").alias("p")).collect()}  # a row a fold
+    by_fold = lambda value: F.array(*(F.sum(F.when(F.col("fold") == k, value).otherwise(0)) for k in range(FOLDS)))
+    counts = written(seen.select("y", "fold", F.explode("words").alias("word")).groupBy("word").agg(by_fold(F.lit(1)).alias("n"), by_fold(F.col("y")).alias("p")), "terms")
+    # At most `vocabulary` terms for each fold and for all.
+    best = telling(counts, [held.get(k, (0, 0)) for k in range(FOLDS)], vocabulary).collect()
+    listed = list(dict.fromkeys(bytes(r["word"]) for r in sorted(best, key=lambda r: (r["fold"] is not None, r["fold"] or 0, -r["gain"], bytes(r["word"])))))
+    place = {t: k for k, t in enumerate(listed)}
+    terms: dict[int | None, np.ndarray] = {f: np.zeros(len(listed), bool) for f in (None, *range(FOLDS))}
+    for r in best:
+        terms[r["fold"]][place[bytes(r["word"])]] = True
+    finder = Chain(place)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_parts(batches):
-            at, values, of = chain.sparse(b.column(1).to_pylist())
+            at, values, of = finder.sparse(b.column(1).to_pylist())
             cuts = np.r_[0, np.cumsum(np.bincount(of, minlength=b.num_rows))].astype(np.int32)
             lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x)) for x in (at.astype(np.int64), values)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *lists], names=["doc_id", "y", "at", "v"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *lists], names=["doc_id", "y", "fold", "at", "v"])
 
-    # At most `vocabulary` numbers for each of about `most` rows.
-    table_ = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y").mapInArrow(count, "doc_id long, y int, at array<long>, v array<double>").orderBy("doc_id").toPandas()
+    # At most the listed terms for each of about `most` rows.
+    table_ = rows.withColumn("text", F.coalesce("text", F.lit(""))).mapInArrow(count, "doc_id long, y int, fold int, at array<long>, v array<double>").orderBy("doc_id", "fold", "at", "v").toPandas()
+    removed(rows)
+    removed(counts)
     if not len(table_):
-        chain.weights = [np.zeros(len(chain.vocabulary) + k + 1) for k in range(len(CHAIN))]
-        return chain
+        return Chain(place, weights=[np.zeros(len(place) + k + 1) for k in range(len(CHAIN))])
     sizes = table_["at"].map(len).to_numpy()
     at, values = np.concatenate(table_["at"].tolist()).astype(np.int64), np.concatenate(table_["v"].tolist())
     of = np.repeat(np.arange(len(table_)), sizes)
-    columns = [np.bincount(of, np.isin(at, kind), len(table_)) > 0 for kind in kinds]
-    labelled = np.column_stack([*columns, table_["y"].to_numpy() > 0]).astype(float)
-    return fit_chain(chain.vocabulary, at, values, of, labelled, np.arange(len(table_)) % FOLDS, hidden=tuple(kinds))
+    return fit_apart(listed, terms, at, values, of, (table_["y"].to_numpy() > 0).astype(float), table_["fold"].to_numpy())
 
 
 def rate(docs: DataFrame, chain: Chain, text: str = "text", prefix: str = "p_", keep_text: bool = True) -> DataFrame:

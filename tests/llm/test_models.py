@@ -187,17 +187,15 @@ def test_chain_is_the_plain_one():
     x = rng.integers(0, 3, (n, terms)) * (rng.random((n, terms)) < 0.5).astype(float)
     labels = np.column_stack([x[:, 0] > 0, x[:, 1] > 0, x[:, 0] + x[:, 2] + rng.random(n) > 1.5]).astype(float)
     rows, at = np.nonzero(x)
-    hidden = (np.array([0]), np.array([1]))
-    chain = toxicity.fit_chain({bytes([97 + k]): k for k in range(terms)}, at, x[rows, at], rows, labels, folds, hidden=hidden)
+    seen = {f: np.arange(terms) != f for f in range(3)} | {None: np.arange(terms) != 5}
+    chain = toxicity.fit_chain({bytes([97 + k]): k for k in range(terms)}, at, x[rows, at], rows, labels, folds, terms=seen)
     before = np.zeros((n, 0))
     for k in range(3):
-        own = x.copy()
-        if k < 2:
-            own[:, hidden[k]] = 0
-        full = np.column_stack([own, before])
+        full = np.column_stack([x * seen[None], before])
         assert np.allclose(chain.weights[k], plain_fit(full, labels[:, k]), atol=1e-6)
         apart = np.zeros(n)
         for f in range(3):
+            full = np.column_stack([x * seen[f], before])
             w = plain_fit(full[folds != f], labels[folds != f, k])
             apart[folds == f] = 1 / (1 + np.exp(-(full[folds == f] @ w[:-1] + w[-1])))
         before = np.column_stack([before, apart])
@@ -207,11 +205,69 @@ def test_chain_is_the_plain_one():
     for r in range(n):
         seen: list[float] = []
         for k, w in enumerate(chain.weights):
-            z = sum(w[j] * x[r, j] for j in range(terms) if not (k < 2 and j in hidden[k])) + sum(w[terms + j] * q for j, q in enumerate(seen)) + w[-1]
+            z = sum(w[j] * x[r, j] for j in range(terms) if j != 5) + sum(w[terms + j] * q for j, q in enumerate(seen)) + w[-1]
             seen.append(1 / (1 + math.exp(-z)))
         assert np.allclose(p[r], seen, atol=1e-9)
 
 
+def test_terms_of_a_fold_are_chosen_without_it(spark):
+    rng = random.Random(2)
+    docs = [(k, " ".join(rng.choices(["good", "fine", "bad", "vile", "day", "night"], k=6)), k % 2) for k in range(200)]
+    rows = spark.createDataFrame([(k, t, y, k % 5) for k, t, y in docs], "doc_id long, text string, y int, fold int")
+    word = rows.select("y", "fold", F.explode(F.array_distinct(F.split("text", " "))).alias("word")).withColumn("word", F.col("word").cast("binary"))
+    by_fold = lambda value: F.array(*(F.sum(F.when(F.col("fold") == k, value).otherwise(0)) for k in range(5)))
+    counts = word.groupBy("word").agg(by_fold(F.lit(1)).alias("n"), by_fold(F.col("y")).alias("p"))
+    sizes = [(sum(k % 5 == f for k, _, _ in docs), sum(y for k, _, y in docs if k % 5 == f)) for f in range(5)]
+    got = {(r["fold"], bytes(r["word"])): r["gain"] for r in toxicity.telling(counts, sizes, 3).collect()}
+    assert len(got) == 18
+    for fold in (None, *range(5)):
+        left = [(set(t.encode().split()), y) for k, t, y in docs if k % 5 != fold]
+        gains = {}
+        for w in (b"good", b"fine", b"bad", b"vile", b"day", b"night"):
+            n, p = sum(w in t for t, _ in left), sum(y for t, y in left if w in t)
+            expected = n * sum(y for _, y in left) / len(left)
+            gains[w] = (p - expected) ** 2 / (expected + 1)
+        best = sorted(gains, key=lambda w: (-gains[w], w))[:3]
+        assert all(abs(got[fold, w] - gains[w]) < 1e-9 for w in best)
+
+
+def test_kinds_of_toxic_texts_are_clusters():
+    rng = np.random.default_rng(4)
+    y = (np.arange(90) % 3 > 0).astype(float)
+    x = np.zeros((90, 6))
+    kind = np.arange(90) % 9 // 7  # of the toxic rows 0 mostly, 1 for some
+    for r in range(90):
+        x[r, (kind[r] * 3 if y[r] else 2) + rng.integers(0, 2, 3)] = rng.random(3) + 1
+    rows, at = np.nonzero(x)
+    got = toxicity.categories(at, x[rows, at], rows, y, 6, 2)
+    assert (got[:, 2] == y).all() and (got[:, :2].sum(1) == y).all() and got[:, 0].sum() > got[:, 1].sum()
+    assert (got[y > 0, 1] == kind[y > 0]).all()
+    assert toxicity.categories(at[:0], x[:0, 0], rows[:0], np.zeros(3), 6, 2).sum() == 0
+    same = toxicity.clusters(np.ones((5, 2)), 2)
+    assert same.tolist() == [0] * 5
+
+
+def test_threshold_comes_from_unseen_folds():
+    rng = np.random.default_rng(6)
+    n, terms, folds = 80, 5, np.arange(80) % 4
+    x = (rng.random((n, terms)) < 0.5) * (1 + rng.random((n, terms)))
+    y = (x[:, 0] + x[:, 1] + rng.random(n) > 2).astype(float)
+    rows, at = np.nonzero(x)
+    listed = [bytes([97 + k]) for k in range(terms)]
+    seen = {f: np.arange(terms) != 1 + f for f in range(4)} | {None: np.arange(terms) < 4}
+    chain = toxicity.fit_apart(listed, seen, at, x[rows, at], rows, y, folds)
+    assert list(chain.vocabulary) == listed[:4] and [len(w) for w in chain.weights] == [5, 6, 7]
+    unseen = np.zeros(n)
+    for f in range(4):  # dense, each fold for itself
+        own, kept = x[:, seen[f]], folds != f
+        r, a = np.nonzero(own[kept])
+        labels = toxicity.categories(a, own[kept][r, a], r, y[kept], own.shape[1], 2)
+        part = toxicity.fit_chain(dict.fromkeys(range(own.shape[1])), a, own[kept][r, a], r, labels, folds[kept])
+        r, a = np.nonzero(own[~kept])
+        unseen[~kept] = part.predict(a, own[~kept][r, a], r, int((~kept).sum()))[:, 2]
+    assert chain.threshold == toxicity.best_threshold(unseen, y)
+
+
 def test_chain_feeds_earlier_probabilities(spark):
     rng = np.random.default_rng(1)
     n = 600
