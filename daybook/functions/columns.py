@@ -53,13 +53,18 @@ def field(df: DataFrame, name: str) -> Column:
 
 #: A cell behind its comma, in quotes or not; what stands between its quotes.
 _CELL, _QUOTED = r',( *"(?:[^"]++|"")*+"[^,]*|[^,]*)', r'^ *"((?:[^"]++|"")*+)"'
+#: A cell behind its comma, if no quotes are doubled: what stands between its quotes, nothing after an open quote, or the cell.
+_SIMPLE, _MARK = r', *"([^"]*+)"[^,]*|, *"[^,]*|,([^,]*)', "\x01"
 
 
 def csv_cells(line: Column) -> Column:
-    """A CSV line as an array of texts. Only lines with quotes are matched cell by cell."""
-    found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), F.lit(1))
+    """A CSV line as an array of texts. Only lines with quotes are matched; those without doubled quotes in one go, others cell by cell."""
+    behind = F.concat(F.lit(","), line)
+    found = F.regexp_extract_all(behind, F.lit(_CELL), F.lit(1))
     plain = lambda c: F.when(F.ltrim(c).startswith('"'), F.replace(F.regexp_extract(c, _QUOTED, 1), F.lit('""'), F.lit('"'))).otherwise(c)
-    return F.when(F.contains(line, F.lit('"')), F.transform(found, plain)).otherwise(F.split(line, ",", -1))
+    odd = F.contains(line, F.lit('""')) | F.contains(line, F.lit(_MARK))
+    simple = F.split(F.substring(F.regexp_replace(behind, _SIMPLE, f"{_MARK}$1$2"), 2, 1 << 30), _MARK, -1)
+    return F.when(~F.contains(line, F.lit('"')), F.split(line, ",", -1)).when(odd, F.transform(found, plain)).otherwise(simple)
 
 
 def first_filled(*columns: Column) -> Column:

@@ -766,7 +766,7 @@ def _landed_files(spark: SparkSession, sf_dir: str, unique: bool = False) -> str
     head = F.when(turned, F.lit(",".join(names[::-1]))).otherwise(F.lit(", ".join(names)))
     head = F.when(F.col("m") == 5, F.replace(head, F.lit("CLOSE_PRICE"), F.lit("CLOSE"))).otherwise(head)
     name = F.concat(F.lit("daily_"), F.date_format("file_day", "ddMMyyyy"))
-    heads = d.select(name.alias("file"), F.lit(0).alias("at"), head.alias("line")).distinct()
+    heads = d.select("file_day", "m", "y").distinct().select(name.alias("file"), F.lit(0).alias("at"), head.alias("line"))
     lines = heads.unionByName(d.filter("m <> 9").select(name.alias("file"), F.lit(1).alias("at"), line.alias("line")))
     lines.repartition("file").sortWithinPartitions("file", "at").select("file", "line").write.partitionBy("file").text(folder)
     return folder
@@ -777,7 +777,7 @@ def _landed_files(spark: SparkSession, sf_dir: str, unique: bool = False) -> str
     FROM ({{dirty}}) d WHERE l_returnflag <> 'R' AND l_orderkey % 11 <> 0 AND l_orderkey % 13 <> 0 AND l_orderkey % 17 <> 0 AND {_GOOD}""")
 def mixed_files(spark, sf_dir):
     """The bars of all files that can be read, whatever the order of their columns."""
-    read = landing.delivery_read(landing.landed(spark, _landed_files(spark, sf_dir)), _BY_MONTH)
+    read = landing.delivery_read(landing.landed_lines(spark, _landed_files(spark, sf_dir)), _BY_MONTH)
     return landing.taken(read).select("symbol", "series", "trade_date", "close", "volume", "deliv_pct")
 
 
@@ -786,7 +786,7 @@ def mixed_files(spark, sf_dir):
     UNION ALL SELECT DISTINCT 'archive', {_FILE_DAY}, CASE month(ship_date) WHEN 3 THEN 'unreadable: BadZipFile' ELSE 'no .csv entry' END FROM ({{dirty}}) d WHERE month(ship_date) IN (3, 4)""")
 def files_refused(spark, sf_dir):
     """What is wrong with which file: delivery files of a folder, and archives of which some are cut short or empty."""
-    read = landing.delivery_read(landing.landed(spark, _landed_files(spark, sf_dir)), _BY_MONTH)
+    read = landing.delivery_read(landing.landed_lines(spark, _landed_files(spark, sf_dir)), _BY_MONTH)
     d = query(spark, sf_dir, f"SELECT symbol_text, {_FILE_DAY} AS file_day FROM ({{dirty}}) d").select(F.date_format("file_day", "yyyyMMdd").alias("day"), F.col("symbol_text").alias("TckrSymb"), *(F.lit(c).alias(c) for c in landing.UDIFF_NEEDS if c != "TckrSymb"))
     archives = d.groupBy("day").applyInPandas(_zipped, "path string, content binary")
     cut = F.when(F.col("path").rlike(r"0301_F\.zip"), F.substring("content", 1, 60)).when(F.col("path").rlike(r"0401_F\.zip"), F.unhex(F.lit("504B0506" + "00" * 18))).otherwise(F.col("content"))
@@ -824,7 +824,7 @@ def landed_freshness(spark, sf_dir):
     LEFT JOIN (SELECT DISTINCT {_FILE_DAY} AS day FROM ({{dirty}}) d WHERE {_FAULT} IS NOT NULL) x ON x.day = w.trade_date""")
 def landed_status(spark, sf_dir):
     """A refused file fails its date, at any age, and no other."""
-    read = landing.delivery_read(landing.landed(spark, _landed_files(spark, sf_dir)), _BY_MONTH)
+    read = landing.delivery_read(landing.landed_lines(spark, _landed_files(spark, sf_dir)), _BY_MONTH)
     bars = landing.taken(read).withColumn("symbol_id", F.regexp_extract("symbol", r"(\d+)", 1).cast("long"))
     expected = calendar.candidate_dates(spark, date(1995, 1, 1), TODAY)
     return ingest.load_status(expected, bars, F.lit(TODAY), landing.refused(read).select("trade_date")).select("trade_date", "status")

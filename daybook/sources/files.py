@@ -5,6 +5,8 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator, Mapping
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -43,15 +45,16 @@ WHOLE = ("volume", "trades", "deliv_qty")
 def whole_bars(rows: DataFrame, cells: Mapping[str, Column], also: tuple[str, ...] = ()) -> DataFrame:
     """Bars of rows (symbol, isin, series, trade_date, file_date), with numbers read from text cells, and the columns `also`; rows with an `error` among those are kept as they are.
 
-    Kept are bars of a kept series, complete in prices and volume. The numbers of a row are read in one
-    expression, so that they are read once for the filter and once for the result, not once for each use.
+    Kept are bars of a kept series, complete in prices and volume. The numbers of a row come out of an
+    explosion, so that a filter on them does not read them again; rows of other series are left out before.
     """
-    read = F.transform(F.array(*(cells.get(n, F.lit(None).cast("string")) for n in NUMBERS)), to_double)
-    rows = rows.select(*also, "symbol", "isin", "series", "trade_date", "file_date", read.alias("_n"))
+    kept = lambda rule: rule | F.col("error").isNotNull() if "error" in also else rule
+    read = F.array(*(to_double(cells[n]) if n in cells else F.lit(None).cast("double") for n in NUMBERS))
+    rows = rows.filter(kept((F.col("symbol") != "") & F.col("series").isin(*SERIES)))
+    rows = rows.select(*also, "symbol", "isin", "series", "trade_date", "file_date", F.explode(F.array(read)).alias("_n"))
     # Beyond 64 bits a volume is no number.
-    there = F.forall(F.slice("_n", 1, 5), lambda x: x.isNotNull() & (F.abs(x) < 2.0**63))
-    whole = (F.col("symbol") != "") & F.col("series").isin(*SERIES) & there
-    rows = rows.filter(whole | F.col("error").isNotNull() if "error" in also else whole)
+    there = reduce(and_, (F.coalesce(F.abs(F.get("_n", F.lit(k))) < 2.0**63, F.lit(False)) for k in range(5)))
+    rows = rows.filter(kept(there))
     number = {n: F.get("_n", F.lit(k)) for k, n in enumerate(NUMBERS)}
     number |= {n: number[n].try_cast("bigint") for n in WHOLE}
     return rows.select(*also, *BAR[:5], *(number[n].alias(n) for n in BAR[5:]))

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from ..operators.calendar import SETTLED
 from ..operators.ingest import load_status
 from ..operators.upsert import LOG, applied_in_order, stored_months, upsert_months
+from ..sources.landing import lines_of_text
 
 
 def landed(spark: SparkSession, path: str, schema: StructType, files_a_batch: int = 100) -> DataFrame:
@@ -24,6 +25,12 @@ def landed_files(spark: SparkSession, path: str, files_a_batch: int = 100) -> Da
     return spark.readStream.schema(kind).format("binaryFile").option("maxFilesPerTrigger", files_a_batch).option("recursiveFileLookup", "true").load(path).select("path", "content")
 
 
+def landed_lines(spark: SparkSession, path: str, files_a_batch: int = 100) -> DataFrame:
+    """A stream of files as path, at, line, for the readers of sources.landing in each batch: a file of any size is spread over tasks, and each file is in one batch."""
+    text = spark.readStream.format("text").option("lineSep", "\n").option("maxFilesPerTrigger", files_a_batch).option("recursiveFileLookup", "true").load(path)
+    return lines_of_text(text)
+
+
 def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> StreamingQuery:
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -131,3 +131,51 @@ def test_a_refused_file_fails_its_date_only(spark, tmp_path):
     expected = spark.createDataFrame([(date(2024, 3, d),) for d in (11, 12, 15, 16, 22)], "trade_date date")
     out = ingest.load_status(expected, bars, F.lit(date(2024, 6, 1)), landing.refused(read).select("trade_date"))
     assert {r["trade_date"].day: (r["status"], r["rows_loaded"], r["pending"]) for r in out.collect()} == {11: ("loaded", 2, False), 12: ("loaded", 2, False), 15: ("failed", 0, False), 16: ("failed", 0, False), 22: ("no_data", 0, False)}
+
+
+def test_files_as_lines_are_read_alike(spark, tmp_path):
+    """A folder whose files are cut into many parts gives what it gives when each file is read whole."""
+    folder = delivery_folder(tmp_path)
+    (tmp_path / "daily" / "a b_22032024.csv").write_text(delivery(22, [f"S{k}" for k in range(3000)], order=[1, 0, *range(14, 1, -1)], quoted=True))
+    (tmp_path / "daily" / "late_23032024.csv").write_text(delivery(23, [f"S{k}" for k in range(3000)]) + 'X, "open\n')
+    (tmp_path / "daily" / "head_24032024.csv").write_bytes(b"\r\n\r\n")
+    (tmp_path / "daily" / "blank_25032024.csv").write_bytes(b"\n" + delivery(25, ["AAA"]).encode())
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1024")
+        lines = landing.landed_lines(spark, folder)
+        assert lines.filter("path LIKE '%22032024.csv'").select("at").distinct().count() > 20
+        whole, spread = (landing.delivery_read(files) for files in (landing.landed(spark, folder), lines))
+        for part in (landing.taken, landing.refused):
+            a, b = (sorted(map(repr, part(read).drop("path" if part is landing.taken else "").collect())) for read in (whole, spread))
+            assert a == b
+        assert landing.taken(spread).count() == 3007
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_a_file_of_any_size_is_never_one_value(spark, tmp_path):
+    """No array and no binary value in the plan holds a file: lines meet one small row a file."""
+    read = landing.delivery_read(landing.landed_lines(spark, delivery_folder(tmp_path)))
+    plan = landing.taken(read)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "binary" not in plan.lower().replace("binaryfile", "binary file") and "\\r?\\n" not in plan and "Union" not in plan
+    assert "Join" not in landing.refused(read)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_listing_as_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('ISIN NUMBER, SYMBOL,NAME OF COMPANY\nINE1,AAA,"One, ""The"" Ltd"\n,BBB,x\n')
+    (tmp_path / "b.csv").write_text("nothing\n1\n")
+    read = landing.listing_read(landing.landed_lines(spark, str(tmp_path)))
+    assert [(r["symbol"], r["name"], r["isin"]) for r in landing.taken(read).collect()] == [("AAA", 'One, "The" Ltd', "INE1")]
+    assert [r["error"] for r in landing.refused(read).collect()] == ["no column SYMBOL, ISIN NUMBER"]
+
+
+def test_cells_of_odd_lines(spark):
+    """Lines of all kinds of quotes: in one match, or cell by cell."""
+    from daybook.functions.columns import csv_cells
+
+    said = {'a,"1,2",c': ["a", "1,2", "c"], ' "x"y ,z': ["x", "z"], 'a"b,c"d': ['a"b', 'c"d'], 'a"x,"b': ['a"x', ""], '"a""b",""': ['a"b', ""], '"p\x01q",r': ["p\x01q", "r"], "a,,": ["a", "", ""], '"",""': ["", ""], '$1,"\\"': ["$1", "\\"]}
+    rows = spark.createDataFrame([(k,) for k in said], "line string").select("line", csv_cells(F.col("line")).alias("cells")).collect()
+    assert {r["line"]: r["cells"] for r in rows} == said
