@@ -836,9 +836,13 @@ def landed_status(spark, sf_dir):
 def stream_landed_files(spark, sf_dir):
     """The folder as a stream of files, parsed batch by batch; a second run finds nothing new."""
     folder, out = _landed_files(spark, sf_dir), _folder(spark)
+
+    def each(rows: DataFrame, _: int) -> None:
+        read = landing.taken(landing.delivery_read(rows, _BY_MONTH))
+        read.groupBy("trade_date").agg(F.count("*").alias("n")).write.mode("append").parquet(f"{out}/counts")
+
     for _ in range(2):
-        read = landing.taken(landing.delivery_read(feeds.landed_files(spark, folder, 20), _BY_MONTH))
-        feeds.run_available(read, f"{out}/state", lambda rows, _: rows.groupBy("trade_date").agg(F.count("*").alias("n")).write.mode("append").parquet(f"{out}/counts")).awaitTermination()
+        feeds.run_available(feeds.landed_lines(spark, folder, 20), f"{out}/state", each).awaitTermination()
     return spark.read.parquet(f"{out}/counts")
 
 

@@ -179,3 +179,21 @@ def test_cells_of_odd_lines(spark):
     said = {'a,"1,2",c': ["a", "1,2", "c"], ' "x"y ,z': ["x", "z"], 'a"b,c"d': ['a"b', 'c"d'], 'a"x,"b': ['a"x', ""], '"a""b",""': ['a"b', ""], '"p\x01q",r': ["p\x01q", "r"], "a,,": ["a", "", ""], '"",""': ["", ""], '$1,"\\"': ["$1", "\\"]}
     rows = spark.createDataFrame([(k,) for k in said], "line string").select("line", csv_cells(F.col("line")).alias("cells")).collect()
     assert {r["line"]: r["cells"] for r in rows} == said
+
+
+def test_a_stream_of_lines_takes_each_file_once(spark, tmp_path):
+    """Files cut into parts by the stream are whole in their batch: header and lines meet, and a second run finds nothing."""
+    from daybook.streaming import feeds
+
+    folder, out = delivery_folder(tmp_path), str(tmp_path / "out")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+        spark.conf.set("spark.sql.files.openCostInBytes", "10")
+        for _ in range(2):
+            each = lambda rows, _: landing.taken(landing.delivery_read(rows)).write.mode("append").parquet(out)
+            feeds.run_available(feeds.landed_lines(spark, folder, 2), str(tmp_path / "state"), each).awaitTermination()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert sorted((r["trade_date"].day, r["symbol"]) for r in spark.read.parquet(out).collect()) == [(11, "AAA"), (11, "BBB"), (12, "AAA"), (12, "BBB"), (13, "CCC"), (14, "AAA"), (21, "A��")]
