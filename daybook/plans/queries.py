@@ -208,12 +208,13 @@ def parse_candles(spark, sf_dir):
 
 
 def _zipped(rows: pd.DataFrame) -> pd.DataFrame:
-    """One day's rows as a zipped file."""
+    """One day's rows, or a part of them, as a zipped file."""
     content = io.BytesIO()
+    folder = f"/landed/{rows['part'].iloc[0]}" if "part" in rows else "/landed"
     with zipfile.ZipFile(content, "w") as archive:
         archive.writestr("about.txt", "no data")
-        archive.writestr("DAY.CSV", rows.drop(columns="day").to_csv(index=False))
-    return pd.DataFrame({"path": [f"/landed/BhavCopy_{rows['day'].iloc[0]}_F.zip"], "content": [content.getvalue()]}, dtype=object)
+        archive.writestr("DAY.CSV", rows.drop(columns=[c for c in ("day", "part") if c in rows]).to_csv(index=False))
+    return pd.DataFrame({"path": [f"{folder}/BhavCopy_{rows['day'].iloc[0]}_F.zip"], "content": [content.getvalue()]}, dtype=object)
 
 
 @registered("""
@@ -746,6 +747,8 @@ def clean_detail(spark, sf_dir):
 _FILE_DAY = "CAST(date_trunc('month', ship_date) AS DATE)"
 _FAULT = "CASE month(ship_date) WHEN 5 THEN 'no column CLOSE_PRICE' WHEN 7 THEN 'open quote' WHEN 9 THEN 'no rows' END"
 _GOOD = "month(ship_date) NOT IN (5, 7, 9)"
+#: Rows of line items for each archive that a month is cut into, so that an archive has about 25,000 rows.
+_ARCHIVED = 2_000_000
 _BY_MONTH = (r"file=daily_(\d{8})/", "ddMMyyyy")
 
 
@@ -785,13 +788,16 @@ def mixed_files(spark, sf_dir):
     SELECT DISTINCT 'delivery' AS kind, {_FILE_DAY} AS trade_date, {_FAULT} AS error FROM ({{dirty}}) d WHERE {_FAULT} IS NOT NULL
     UNION ALL SELECT DISTINCT 'archive', {_FILE_DAY}, CASE month(ship_date) WHEN 3 THEN 'unreadable: BadZipFile' ELSE 'no .csv entry' END FROM ({{dirty}}) d WHERE month(ship_date) IN (3, 4)""")
 def files_refused(spark, sf_dir):
-    """What is wrong with which file: delivery files of a folder, and archives of which some are cut short or empty."""
+    """What is wrong with which file: delivery files of a folder, and archives of which some are cut short or empty. A month of a large table is in several archives."""
     read = landing.delivery_read(landing.landed_lines(spark, _landed_files(spark, sf_dir)), _BY_MONTH)
-    d = query(spark, sf_dir, f"SELECT symbol_text, {_FILE_DAY} AS file_day FROM ({{dirty}}) d").select(F.date_format("file_day", "yyyyMMdd").alias("day"), F.col("symbol_text").alias("TckrSymb"), *(F.lit(c).alias(c) for c in landing.UDIFF_NEEDS if c != "TckrSymb"))
-    archives = d.groupBy("day").applyInPandas(_zipped, "path string, content binary")
+    d = query(spark, sf_dir, f"SELECT l_orderkey, l_linenumber, symbol_text, {_FILE_DAY} AS file_day FROM ({{dirty}}) d")
+    parts = 1 + d.count() // _ARCHIVED
+    part = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(parts)).alias("part")
+    d = d.select(F.date_format("file_day", "yyyyMMdd").alias("day"), part, F.col("symbol_text").alias("TckrSymb"), *(F.lit(c).alias(c) for c in landing.UDIFF_NEEDS if c != "TckrSymb"))
+    archives = d.groupBy("day", "part").applyInPandas(_zipped, "path string, content binary")
     cut = F.when(F.col("path").rlike(r"0301_F\.zip"), F.substring("content", 1, 60)).when(F.col("path").rlike(r"0401_F\.zip"), F.unhex(F.lit("504B0506" + "00" * 18))).otherwise(F.col("content"))
     bad = landing.refused(landing.udiff_read(archives.withColumn("content", cut), (r"_(\d{8})_F", "yyyyMMdd")).select("path", "error"))
-    bad = bad.select(F.lit("archive").alias("kind"), landing.dated(F.col("path"), (r"_(\d{8})_F", "yyyyMMdd")).alias("trade_date"), "error")
+    bad = bad.select(F.lit("archive").alias("kind"), landing.dated(F.col("path"), (r"_(\d{8})_F", "yyyyMMdd")).alias("trade_date"), "error").distinct()
     return landing.refused(read).select(F.lit("delivery").alias("kind"), landing.dated(F.col("path"), _BY_MONTH).alias("trade_date"), "error").unionByName(bad)
 
 

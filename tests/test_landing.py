@@ -197,3 +197,16 @@ def test_a_stream_of_lines_takes_each_file_once(spark, tmp_path):
         for k, v in kept.items():
             spark.conf.set(k, v)
     assert sorted((r["trade_date"].day, r["symbol"]) for r in spark.read.parquet(out).collect()) == [(11, "AAA"), (11, "BBB"), (12, "AAA"), (12, "BBB"), (13, "CCC"), (14, "AAA"), (21, "A��")]
+
+
+def test_a_month_in_several_archives_is_one_fault(spark, sf_dir, monkeypatch):
+    from daybook.plans import queries
+
+    seen = []
+    read = landing.udiff_read
+    monkeypatch.setattr(queries, "_ARCHIVED", 1500)
+    monkeypatch.setattr(landing, "udiff_read", lambda files, where: (seen.append(files), read(files, where))[1])
+    got = [(r["trade_date"].year, r["trade_date"].month, r["error"]) for r in queries.files_refused(spark, sf_dir).filter("kind = 'archive'").collect()]
+    assert len(got) == len(set(got)) == 14 and {m for _, m, _ in got} == {3, 4}
+    paths = seen[0].filter("path LIKE '%0301_F.zip'").select("path").collect()
+    assert len(paths) > 7
