@@ -72,16 +72,16 @@ def tables(spark: SparkSession, folder: str) -> dict[str, Table]:
     return out
 
 
-def _files(spark: SparkSession, path: str | None, where: tuple[str, str] | None = None, dates: list[date] | None = None) -> DataFrame | None:
-    """path, content of the files below path, of those dates only, which are few; None if there are no files."""
+def _files(spark: SparkSession, path: str | None, where: tuple[str, str] | None = None, dates: list[date] | None = None, read: Callable[..., DataFrame] = landing.landed) -> DataFrame | None:
+    """What `read` gives of the files below path (path, content), of those dates only, which are few; None if there are no files."""
     try:
         if path is None:
             return None
         if dates is None:
-            found = landing.landed(spark, path)
+            found = read(spark, path)
             return None if found.select("path").isEmpty() else found
         named = landing.manifest(spark, path, where).filter(F.col("trade_date").isin(dates)).select("path").collect()
-        return landing.landed(spark, [r["path"] for r in named]) if named else None
+        return read(spark, [r["path"] for r in named]) if named else None
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
@@ -118,7 +118,7 @@ class DailyRun:
 
     def update_universe(self) -> None:
         """Symbols, membership and observation of the day, from its listing."""
-        listed = self._staged(landing.taken(landing.listing_read(landing.landed(self.spark, self.landed.listing))).drop("path"), "listing")
+        listed = self._staged(landing.taken(landing.listing_read(landing.landed_lines(self.spark, self.landed.listing))).drop("path"), "listing")
         if listed.isEmpty():
             raise ValueError("the listing has no rows")
         today = F.lit(self.today)
@@ -145,8 +145,10 @@ class DailyRun:
         pending = self.pending()
         expected = self.spark.createDataFrame([(d,) for d in pending], "trade_date date")
         parts = [self.spark.createDataFrame([], _READ)]
-        for origin, (path, where, reader) in enumerate(((self.landed.delivery, self.landed.delivery_date, landing.delivery_read), (self.landed.archives, self.landed.archive_date, landing.udiff_read)), 1):
-            found = _files(self.spark, path, where, pending)
+        delivery = (self.landed.delivery, self.landed.delivery_date, landing.landed_lines, landing.delivery_read)
+        archives = (self.landed.archives, self.landed.archive_date, landing.landed, landing.udiff_read)
+        for origin, (path, where, read, reader) in enumerate((delivery, archives), 1):
+            found = _files(self.spark, path, where, pending, read)
             if found is not None:
                 parts.append(reader(found, where).withColumns({"origin": F.lit(origin), "trade_date": F.coalesce("trade_date", landing.dated(F.col("path"), where))}))
         read = self._staged(reduce(DataFrame.unionByName, parts), "bars")

@@ -210,3 +210,10 @@ def test_a_month_in_several_archives_is_one_fault(spark, sf_dir, monkeypatch):
     assert len(got) == len(set(got)) == 14 and {m for _, m, _ in got} == {3, 4}
     paths = seen[0].filter("path LIKE '%0301_F.zip'").select("path").collect()
     assert len(paths) > 7
+
+
+def test_the_daily_run_takes_the_lines_of_its_dates(spark, tmp_path):
+    from daybook.operators import daily
+
+    found = daily._files(spark, delivery_folder(tmp_path), landing.DELIVERY_DATE, [date(2024, 3, 12)], landing.landed_lines)
+    assert found.columns == ["path", "at", "line"] and found.count() == 3
