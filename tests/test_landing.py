@@ -217,3 +217,19 @@ def test_the_daily_run_takes_the_lines_of_its_dates(spark, tmp_path):
 
     found = daily._files(spark, delivery_folder(tmp_path), landing.DELIVERY_DATE, [date(2024, 3, 12)], landing.landed_lines)
     assert found.columns == ["path", "at", "line"] and found.count() == 3
+
+
+def test_mixed_files_cuts_files_over_tasks(spark, sf_dir):
+    """The query's files are read in parts: no file is one value of one task."""
+    from daybook.plans import queries
+
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+        spark.conf.set("spark.sql.files.openCostInBytes", "512")
+        read = queries.mixed_files(spark, sf_dir)
+        assert "binary" not in read._jdf.queryExecution().executedPlan().toString().lower()
+        assert read.rdd.getNumPartitions() > 2 * len(read.inputFiles()) > 100
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
