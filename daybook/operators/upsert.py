@@ -128,9 +128,10 @@ def symbols_by_ticker(symbols: DataFrame, limit: int = 0) -> DataFrame:
 def write_partitions(df: DataFrame, path: str, month_of: str, table: str | None = None) -> None:
     """Replaces the months that df has rows of; other months stay. df must hold those months whole.
 
-    A row that breaks a constraint of `table` fails the write, which then replaces nothing.
+    A row that breaks a constraint of `table` fails the write, which then replaces nothing. Rows meet by
+    month before, so that a month is one file and not one of every task; Spark cuts months that are large.
     """
-    months = guarded(df, table).withColumn("trade_month", F.date_format(month_of, "yyyy-MM"))
+    months = guarded(df, table).withColumn("trade_month", F.date_format(month_of, "yyyy-MM")).hint("rebalance", "trade_month")
     months.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("trade_month").parquet(path)
 
 
@@ -146,17 +147,20 @@ def stored_months(spark: SparkSession, path: str, schema: StructType, months: Se
         return spark.createDataFrame([], schema)
 
 
-def months_after(spark: SparkSession, path: str, schema: StructType, updates: DataFrame, keys: Sequence[str], rules: Mapping[str, str], month_of: str) -> DataFrame:
-    """The rows that the months of updates (one for each key) hold after them. Only those months of the stored table are read."""
-    months = [r["m"] for r in updates.select(F.date_format(month_of, "yyyy-MM").alias("m")).distinct().collect()]
-    old = stored_months(spark, path, schema, months)
+def months_of(rows: DataFrame, month_of: str) -> list[str]:
+    return [r["m"] for r in rows.select(F.date_format(month_of, "yyyy-MM").alias("m")).distinct().collect()]
+
+
+def months_after(spark: SparkSession, path: str, schema: StructType, updates: DataFrame, keys: Sequence[str], rules: Mapping[str, str], month_of: str, months: Sequence[str] | None = None) -> DataFrame:
+    """The rows that the months of updates (one for each key) hold after them. Only those months of the stored table are read. months: those of updates, where they are known; else updates are worked out once more for them."""
+    old = stored_months(spark, path, schema, months_of(updates, month_of) if months is None else months)
     return keyed_upsert(old, updates, keys, rules)
 
 
-def upsert_months(spark: SparkSession, path: str, schema: StructType, updates: DataFrame, keys: Sequence[str], rules: Mapping[str, str], month_of: str, table: str | None = None) -> None:
+def upsert_months(spark: SparkSession, path: str, schema: StructType, updates: DataFrame, keys: Sequence[str], rules: Mapping[str, str], month_of: str, table: str | None = None, months: Sequence[str] | None = None) -> None:
     """Upserts into a table that is stored by month: reads and replaces the months that updates touch, if the rows keep the constraints of `table`.
 
     Doing it again changes nothing, so a batch that is lost half-way is simply done again. Keys hold
     month_of, so that a key never moves to another month.
     """
-    write_partitions(months_after(spark, path, schema, updates, keys, rules, month_of), path, month_of, table)
+    write_partitions(months_after(spark, path, schema, updates, keys, rules, month_of, months), path, month_of, table)

@@ -934,12 +934,14 @@ _STORED = ("symbol_id", "trade_date", "series", "open", "high", "low", "close",
 
 
 def _landed_bars(spark: SparkSession, sf_dir: str, folder: str, raised: float = 1.0) -> DataFrame:
-    """Bars as files: prices first, then delivery figures for the same keys, with prices that are raised."""
+    """Bars as files: prices first, then delivery figures for the same keys, with prices that are raised. A file has the bars of a range of days, so that a batch of files touches the months of few."""
     bars = view(spark, sf_dir, "bars").select(*_STORED).withColumns({c: F.col(c).cast("double") for c in ("open", "high", "low", "close")})
+    bars.write.parquet(f"{folder}/whole")  # worked out once for both parts
+    bars = spark.read.schema(bars.schema).parquet(f"{folder}/whole")
     early = bars.withColumns({"deliv_qty": F.lit(None).cast("bigint"), "deliv_pct": F.lit(None).cast("double"), "seq": F.lit(1)})
     late = bars.filter("deliv_qty IS NOT NULL").withColumns({"close": F.col("close") + raised, "seq": F.lit(2)})
     for part in (early, late):
-        part.write.mode("append").parquet(f"{folder}/landed")
+        part.repartitionByRange("trade_date", "symbol_id").write.mode("append").parquet(f"{folder}/landed")
     return feeds.landed(spark, f"{folder}/landed", spark.read.parquet(f"{folder}/landed").schema, 8)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.calendar import SETTLED
 from ..operators.ingest import load_status
-from ..operators.upsert import LOG, applied_in_order, stored_months, upsert_months
+from ..operators.upsert import LOG, applied_in_order, months_of, stored_months, upsert_months
 from ..sources.landing import lines_of_text
 
 
@@ -43,7 +43,7 @@ def upsert_stream(spark: SparkSession, stream: DataFrame, path: str, schema: Str
     constraint of `table` stops the stream before its batch has replaced anything.
     """
     def each(rows: DataFrame, batch: int) -> None:
-        upsert_months(spark, path, schema, applied_in_order(rows, keys, rules, *order), keys, rules, month_of, table)
+        upsert_months(spark, path, schema, applied_in_order(rows, keys, rules, *order), keys, rules, month_of, table, months_of(rows, month_of))
 
     return run_available(stream, checkpoint, each)
 
@@ -67,10 +67,11 @@ def settle_dates(spark: SparkSession, path: str, schema: StructType, log_path: s
     if not days:
         return
     expected = spark.createDataFrame([(d,) for d in days], "trade_date date")
-    bars = stored_months(spark, path, schema, sorted({f"{d:%Y-%m}" for d in days})).join(F.broadcast(expected), "trade_date", "left_semi")
+    months = sorted({f"{d:%Y-%m}" for d in days})
+    bars = stored_months(spark, path, schema, months).join(F.broadcast(expected), "trade_date", "left_semi")
     status = load_status(expected, bars, today)
     outcome = status.select(F.lit(source).alias("source"), F.col("trade_date").alias("data_date"), "status", "rows_loaded")
-    upsert_months(spark, log_path, log_schema, outcome, log_keys, {c: r for c, r in log_rules.items() if c in outcome.columns}, "data_date", "log")
+    upsert_months(spark, log_path, log_schema, outcome, log_keys, {c: r for c, r in log_rules.items() if c in outcome.columns}, "data_date", "log", months)
 
 
 def enrich_stream(spark: SparkSession, stream: DataFrame, path: str, schema: StructType, log_path: str, checkpoint: str, keys: Sequence[str], rules: Mapping[str, str], order: Sequence[str], today: Column, source: str) -> StreamingQuery:
@@ -80,16 +81,18 @@ def enrich_stream(spark: SparkSession, stream: DataFrame, path: str, schema: Str
     load_status says of the bars stored so far. settle_dates brings it up to a later day without new files.
     """
     def each(rows: DataFrame, batch: int) -> None:
-        upsert_months(spark, path, schema, applied_in_order(rows, keys, rules, *order), keys, rules, "trade_date")
+        upsert_months(spark, path, schema, applied_in_order(rows, keys, rules, *order), keys, rules, "trade_date", None, months_of(rows, "trade_date"))
         settle_dates(spark, path, schema, log_path, today, source, rows.select("trade_date").distinct())
 
     return run_available(stream, checkpoint, each)
 
 
 def enrich_available(spark: SparkSession, stream: DataFrame, path: str, schema: StructType, log_path: str, checkpoint: str, keys: Sequence[str], rules: Mapping[str, str], order: Sequence[str], today: Column, source: str) -> None:
-    """One run: takes the files that have landed, and settles open dates even if there are none."""
-    enrich_stream(spark, stream, path, schema, log_path, checkpoint, keys, rules, order, today, source).awaitTermination()
-    settle_dates(spark, path, schema, log_path, today, source)
+    """One run: takes the files that have landed, and settles open dates even if there are none. The last batch has settled them, if there was one."""
+    run = enrich_stream(spark, stream, path, schema, log_path, checkpoint, keys, rules, order, today, source)
+    run.awaitTermination()
+    if not any(p.numInputRows for p in run.recentProgress):
+        settle_dates(spark, path, schema, log_path, today, source)
 
 
 def without_repeats(stream: DataFrame, keys: Sequence[str], time: str, lateness: str = "3 days") -> DataFrame:

@@ -212,6 +212,47 @@ def test_a_stream_settles_dates_as_the_batch_does(spark, tmp_path):
     assert {(r["symbol_id"], r["trade_date"].day): r["deliv_pct"] for r in spark.read.parquet(at["bars"]).collect()} == {(1, 18): None, (2, 18): 40.0, (1, 17): None, (1, 21): None, (1, 16): None}
 
 
+def test_a_run_settles_once_and_stores_a_month_in_one_file(spark, tmp_path, monkeypatch):
+    """Whatever the tasks: months are not cut into files of each, and open dates are judged once a batch or once a run without files."""
+    keys, rules = upsert.RAW_BARS
+    rules = {c: r for c, r in {**rules, "file_date": "new"}.items() if c in STORED}
+    at = {n: str(tmp_path / n) for n in ("landed", "bars", "log", "state")}
+    settle, settled = feeds.settle_dates, []
+    monkeypatch.setattr(feeds, "settle_dates", lambda *a: (settled.append(len(a)), settle(*a))[1])
+    days = [date(2026, m, 1 + k) for m in (1, 2, 3) for k in range(20)]
+    rows = [(k, d, "EQ", 1.0, 3.0, 1.0, 2.0, 5, 40, 40.0, d, 1) for d in days for k in range(5)]
+    spark.createDataFrame(rows, STORED).repartition(4).write.parquet(at["landed"])
+    schema = spark.createDataFrame([], STORED).schema
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for runs in (1, 2):
+            stream = feeds.landed(spark, at["landed"], schema)
+            feeds.enrich_available(spark, stream, at["bars"], spark.createDataFrame([], STORED).drop("seq").schema, at["log"], at["state"], keys, rules, ("seq",), F.lit(D(1)), "daily")
+            assert len(settled) == runs
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    assert settled == [7, 6]  # with the dates of the batch; then without
+    for name in ("bars", "log"):
+        assert sorted(p.parent.name for p in (tmp_path / name).glob("*/*.parquet")) == [f"trade_month=2026-0{m}" for m in (1, 2, 3)]
+    assert spark.read.parquet(at["bars"]).count() == len(rows) and spark.read.parquet(at["log"]).filter("status = 'loaded' AND rows_loaded = 5").count() == len(days)
+
+
+def test_landed_bars_hold_ranges_of_days(spark, sf_dir, tmp_path):
+    from daybook.plans import queries
+
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        queries._landed_bars(spark, sf_dir, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    files = spark.read.parquet(str(tmp_path / "landed")).groupBy("seq", F.input_file_name().alias("file")).agg(F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"))
+    for seq in (1, 2):
+        ends = sorted((r["lo"], r["hi"]) for r in files.filter(F.col("seq") == seq).collect())
+        assert len(ends) > 2 and all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+
+
 def test_a_stream_refuses_bad_rows(spark, tmp_path):
     keys, rules = upsert.RAW_BARS
     schema = spark.createDataFrame([], STORED).schema
