@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -51,18 +52,21 @@ def upsert_stream(spark: SparkSession, stream: DataFrame, path: str, schema: Str
 LOG_SCHEMA = "source string, data_date date, status string, rows_loaded int"
 
 
-def settle_dates(spark: SparkSession, path: str, schema: StructType, log_path: str, today: Column, source: str, touched: DataFrame | None = None) -> None:
+def settle_dates(spark: SparkSession, path: str, schema: StructType, log_path: str, today: Column, source: str, touched: DataFrame | None = None, still_open: bool = True) -> None:
     """Judges the dates that the log has open, and those that were touched, by the bars stored for them; as load_status would, all at once.
 
-    Open are failed and partial dates, some days as a rule. Bars and log are stored by month; only months of
+    still_open: False leaves out open dates that were not touched, as their bars and the day are the same. Open are failed and partial dates, some days as a rule. Bars and log are stored by month; only months of
     such dates are read. Doing it again on the same day changes nothing.
     """
     log_keys, log_rules = LOG
     log_schema = spark.createDataFrame([], LOG_SCHEMA).schema
-    log = stored_months(spark, log_path, log_schema, None)
-    dates = log.filter((F.col("source") == source) & ~F.col("status").isin(*SETTLED)).select(F.col("data_date").alias("trade_date"))
-    if touched is not None:
-        dates = dates.union(touched.select("trade_date")).distinct()
+    parts = [] if touched is None else [touched.select("trade_date")]
+    if still_open:
+        log = stored_months(spark, log_path, log_schema, None)
+        parts.append(log.filter((F.col("source") == source) & ~F.col("status").isin(*SETTLED)).select(F.col("data_date").alias("trade_date")))
+    if not parts:
+        return
+    dates = reduce(DataFrame.union, parts).distinct()
     days = [r["trade_date"] for r in dates.dropna().collect()]  # the days of a batch and the open ones
     if not days:
         return
@@ -75,20 +79,23 @@ def settle_dates(spark: SparkSession, path: str, schema: StructType, log_path: s
 
 
 def enrich_stream(spark: SparkSession, stream: DataFrame, path: str, schema: StructType, log_path: str, checkpoint: str, keys: Sequence[str], rules: Mapping[str, str], order: Sequence[str], today: Column, source: str) -> StreamingQuery:
-    """upsert_stream, and after each batch the status of the trade dates it touched and of those that are open.
+    """upsert_stream, and after each batch the status of the trade dates it touched; after the first one also of those that are open.
 
     The log, a table by month of source, data_date, status and rows_loaded, says of each date what
     load_status says of the bars stored so far. settle_dates brings it up to a later day without new files.
     """
+    settled: list[int] = []  # batches of this run
+
     def each(rows: DataFrame, batch: int) -> None:
         upsert_months(spark, path, schema, applied_in_order(rows, keys, rules, *order), keys, rules, "trade_date", None, months_of(rows, "trade_date"))
-        settle_dates(spark, path, schema, log_path, today, source, rows.select("trade_date").distinct())
+        settle_dates(spark, path, schema, log_path, today, source, rows.select("trade_date").distinct(), not settled)
+        settled.append(batch)
 
     return run_available(stream, checkpoint, each)
 
 
 def enrich_available(spark: SparkSession, stream: DataFrame, path: str, schema: StructType, log_path: str, checkpoint: str, keys: Sequence[str], rules: Mapping[str, str], order: Sequence[str], today: Column, source: str) -> None:
-    """One run: takes the files that have landed, and settles open dates even if there are none. The last batch has settled them, if there was one."""
+    """One run: takes the files that have landed, and settles open dates even if there are none. The first batch has settled them, if there was one, and each batch its own."""
     run = enrich_stream(spark, stream, path, schema, log_path, checkpoint, keys, rules, order, today, source)
     run.awaitTermination()
     if not any(p.numInputRows for p in run.recentProgress):

@@ -213,12 +213,12 @@ def test_a_stream_settles_dates_as_the_batch_does(spark, tmp_path):
 
 
 def test_a_run_settles_once_and_stores_a_month_in_one_file(spark, tmp_path, monkeypatch):
-    """Whatever the tasks: months are not cut into files of each, and open dates are judged once a batch or once a run without files."""
+    """Whatever the tasks: months are not cut into files of each. Open dates are judged by the first batch only, or once by a run without files."""
     keys, rules = upsert.RAW_BARS
     rules = {c: r for c, r in {**rules, "file_date": "new"}.items() if c in STORED}
     at = {n: str(tmp_path / n) for n in ("landed", "bars", "log", "state")}
     settle, settled = feeds.settle_dates, []
-    monkeypatch.setattr(feeds, "settle_dates", lambda *a: (settled.append(len(a)), settle(*a))[1])
+    monkeypatch.setattr(feeds, "settle_dates", lambda *a: (settled.append(a[7:]), settle(*a))[1])
     days = [date(2026, m, 1 + k) for m in (1, 2, 3) for k in range(20)]
     rows = [(k, d, "EQ", 1.0, 3.0, 1.0, 2.0, 5, 40, 40.0, d, 1) for d in days for k in range(5)]
     spark.createDataFrame(rows, STORED).repartition(4).write.parquet(at["landed"])
@@ -226,13 +226,13 @@ def test_a_run_settles_once_and_stores_a_month_in_one_file(spark, tmp_path, monk
     kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     try:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-        for runs in (1, 2):
-            stream = feeds.landed(spark, at["landed"], schema)
+        for calls in (2, 3):
+            stream = feeds.landed(spark, at["landed"], schema, 2)
             feeds.enrich_available(spark, stream, at["bars"], spark.createDataFrame([], STORED).drop("seq").schema, at["log"], at["state"], keys, rules, ("seq",), F.lit(D(1)), "daily")
-            assert len(settled) == runs
+            assert len(settled) == calls
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
-    assert settled == [7, 6]  # with the dates of the batch; then without
+    assert settled == [(True,), (False,), ()]  # two batches; then a run without files
     for name in ("bars", "log"):
         assert sorted(p.parent.name for p in (tmp_path / name).glob("*/*.parquet")) == [f"trade_month=2026-0{m}" for m in (1, 2, 3)]
     assert spark.read.parquet(at["bars"]).count() == len(rows) and spark.read.parquet(at["log"]).filter("status = 'loaded' AND rows_loaded = 5").count() == len(days)
