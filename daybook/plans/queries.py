@@ -749,14 +749,21 @@ _FAULT = "CASE month(ship_date) WHEN 5 THEN 'no column CLOSE_PRICE' WHEN 7 THEN
 _GOOD = "month(ship_date) NOT IN (5, 7, 9)"
 #: Rows of line items for each archive that a month is cut into, so that an archive has about 25,000 rows.
 _ARCHIVED = 2_000_000
+#: The same for each file that a month is cut into, so that a file has about 200,000 lines; and rows for each task that writes files.
+_FILED, _WRITTEN = 16_000_000, 200_000
 _BY_MONTH = (r"file=daily_(\d{8})/", "ddMMyyyy")
 
 
-def _landed_files(spark: SparkSession, sf_dir: str, unique: bool = False) -> str:
-    """The folder: every third file has its columns in another order, others pad their headers. unique: a symbol and series once a file."""
+def _landed_files(spark: SparkSession, sf_dir: str, unique: bool = False, cut: bool = False) -> str:
+    """The folder: every third file has its columns in another order, others pad their headers. unique: a symbol and series once a file. cut: a month of a large table is in several files.
+
+    A task sorts what it writes, so tasks grow in number with the rows.
+    """
     names = ("SYMBOL", "SERIES", "DATE1", "OPEN_PRICE", "HIGH_PRICE", "LOW_PRICE", "CLOSE_PRICE", "TTL_TRD_QNTY", "DELIV_QTY", "DELIV_PER")
     folder = f"{_folder(spark)}/landed"
     d = query(spark, sf_dir, f"SELECT *, {_FILE_DAY} AS file_day, month(ship_date) AS m, year(ship_date) AS y FROM ({{dirty}}) d")
+    n = d.count()
+    parts = 1 + n // _FILED if cut else 1
     if unique:
         first = F.min_by(F.struct(*d.columns), F.struct("l_orderkey", "l_linenumber", "whole_price", "l_quantity", "ship_date"))
         d = d.groupBy(F.col("file_day").alias("_day"), F.col("l_partkey").alias("_part"), F.col("l_returnflag").alias("_flag")).agg(first.alias("d")).select("d.*")
@@ -768,10 +775,15 @@ def _landed_files(spark: SparkSession, sf_dir: str, unique: bool = False) -> str
     line = F.when((F.col("m") == 7) & (F.col("l_linenumber") == 1), F.concat(line, F.lit(',"x'))).otherwise(line)
     head = F.when(turned, F.lit(",".join(names[::-1]))).otherwise(F.lit(", ".join(names)))
     head = F.when(F.col("m") == 5, F.replace(head, F.lit("CLOSE_PRICE"), F.lit("CLOSE"))).otherwise(head)
+    if parts > 1:  # a file need not have one of the lines that leave a quote open
+        head = F.when(F.col("m") == 7, F.concat(head, F.lit(',"x'))).otherwise(head)
     name = F.concat(F.lit("daily_"), F.date_format("file_day", "ddMMyyyy"))
-    heads = d.select("file_day", "m", "y").distinct().select(name.alias("file"), F.lit(0).alias("at"), head.alias("line"))
-    lines = heads.unionByName(d.filter("m <> 9").select(name.alias("file"), F.lit(1).alias("at"), line.alias("line")))
-    lines.repartition("file").sortWithinPartitions("file", "at").select("file", "line").write.partitionBy("file").text(folder)
+    part = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(parts)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    heads = d.select("file_day", "m", "y").distinct().select(name.alias("file"), every.alias("part"), F.lit(0).alias("at"), head.alias("line"))
+    lines = heads.unionByName(d.filter("m <> 9").select(name.alias("file"), part.alias("part"), F.lit(1).alias("at"), line.alias("line")))
+    by = ["file", "part"] if parts > 1 else ["file"]
+    lines.repartition(8 + n // _WRITTEN, *by).sortWithinPartitions(*by, "at").select(*by, "line").write.partitionBy(*by).text(folder)
     return folder
 
 
@@ -780,7 +792,7 @@ def _landed_files(spark: SparkSession, sf_dir: str, unique: bool = False) -> str
     FROM ({{dirty}}) d WHERE l_returnflag <> 'R' AND l_orderkey % 11 <> 0 AND l_orderkey % 13 <> 0 AND l_orderkey % 17 <> 0 AND {_GOOD}""")
 def mixed_files(spark, sf_dir):
     """The bars of all files that can be read, whatever the order of their columns."""
-    read = landing.delivery_read(landing.landed_lines(spark, _landed_files(spark, sf_dir)), _BY_MONTH)
+    read = landing.delivery_read(landing.landed_lines(spark, _landed_files(spark, sf_dir, cut=True)), _BY_MONTH)
     return landing.taken(read).select("symbol", "series", "trade_date", "close", "volume", "deliv_pct")
 
 

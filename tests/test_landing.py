@@ -1,4 +1,5 @@
 import io
+import os
 import zipfile
 from datetime import date
 
@@ -233,3 +234,19 @@ def test_mixed_files_cuts_files_over_tasks(spark, sf_dir):
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)
+
+
+def test_mixed_files_cuts_months_of_large_tables(spark, sf_dir, monkeypatch):
+    """A task writes so many rows, whatever a month has: a month is several files, all of them refused if one would be."""
+    from daybook.plans import queries
+
+    whole = queries.mixed_files(spark, sf_dir)
+    monkeypatch.setattr(queries, "_FILED", 1500)
+    monkeypatch.setattr(queries, "_WRITTEN", 200)
+    cut = queries.mixed_files(spark, sf_dir)
+    assert len(cut.inputFiles()) > 3 * len(whole.inputFiles()) > 200
+    rows = sorted(map(repr, cut.collect()))
+    assert rows == sorted(map(repr, whole.collect())) and len(rows) > 1000
+    assert max(map(os.path.getsize, (f.removeprefix("file://") for f in cut.inputFiles()))) < max(map(os.path.getsize, (f.removeprefix("file://") for f in whole.inputFiles()))) / 2
+    parted = landing.refused(landing.delivery_read(landing.landed_lines(spark, queries._landed_files(spark, sf_dir, cut=True)), queries._BY_MONTH))
+    assert {r["error"] for r in parted.filter("month(trade_date) = 7").collect()} == {"open quote"} and parted.filter("month(trade_date) = 7").count() > 20
